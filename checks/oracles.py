@@ -436,7 +436,7 @@ ORACLES: dict[str, str] = {
     "error_total_by_borough": f"""{WITH_PREDICTED}, s AS (
         SELECT borough, sum(baseline_error) / 1000000 AS x FROM predicted GROUP BY 1)
       SELECT borough, {sr('x', 6)} AS signed_millions, {sr('abs(x)', 6)} AS millions FROM s WHERE abs(x) > 1e-9""",
-    "bias_improvement": _improvement(),
+    **dict.fromkeys(("bias_improvement", "summaries_side_by_side"), _improvement()),
     "bias_reduction": f"""{WITH_PREDICTED}, s AS ({SUMMARY}) SELECT income_category, baseline_overcharge_pct,
         fair_overcharge_pct, CASE WHEN baseline_overcharge_pct <> 0 THEN
         {sr('(1 - fair_overcharge_pct / baseline_overcharge_pct) * 100', 4)} ELSE 0 END AS reduction_pct

@@ -15,7 +15,7 @@ from evenhand.operators import (
 )
 from evenhand.plans import fixture as fx
 from evenhand.plans.fixture import MODELS
-from evenhand.session import shared_path, tune
+from evenhand.session import shared_path, tune, written
 from evenhand.sources import catalog, files, messages
 from evenhand.streaming import live
 
@@ -392,7 +392,14 @@ def error_total_by_borough(spark, sf):
 
 @query
 def bias_improvement(spark, sf):
-    table = disparity.bias_table(fx.predicted_trips(spark, sf), INCOME, MODELS)
+    table = disparity.summary_by_income(fx.predicted_trips(spark, sf), MODELS)
+    columns = ["baseline_overcharge_pct", "fair_overcharge_pct"]
+    return disparity.improvement(table.select(INCOME, *columns), *columns)
+
+
+@query
+def summaries_side_by_side(spark, sf):
+    table = written(disparity.bias_table(fx.predicted_trips(spark, sf), INCOME, MODELS), "bias")
     sides = [table.filter(F.col("model") == m) for m in MODELS]
     pairs = disparity.side_by_side(*sides, INCOME, ["overcharge_pct"])
     return disparity.improvement(pairs, "baseline_overcharge_pct", "fair_overcharge_pct")

@@ -24,6 +24,7 @@ from evenhand.operators.joins import SALTS, salted_join
 
 ROWS_PER_CHUNK = 2_000_000
 MAX_CHUNKS = 10_000
+CUT_SAMPLE = 500_000
 
 
 def nearest_in_band(
@@ -75,16 +76,16 @@ def nearest_in_band(
 def _splits(left: DataFrame, right: DataFrame, on: str, rows_per_chunk: int) -> list[float]:
     """Rising cut points that part the rows of both sides into chunks of about ``rows_per_chunk``.
 
-    They come from a mergeable sketch. Any cuts give the same answer; even ones give even work.
+    They come from a sample of bounded size. Any cuts give the same answer; even ones give even work.
     """
     both = left.select(on).unionByName(right.select(on))
-    chunk_probs = [i / 1000.0 for i in range(1, 1000)]
-    total, cuts = both.agg(F.count(F.lit(1)), F.percentile_approx(on, chunk_probs, 10_000)).first()
-    if total <= rows_per_chunk:
+    total = both.count()
+    chunks = min(MAX_CHUNKS, -(-total // rows_per_chunk))
+    if chunks <= 1:
         return []
-    chunks = min(MAX_CHUNKS, len(chunk_probs) + 1, -(-total // rows_per_chunk))
-    picked = [cuts[min(len(cuts) - 1, i * len(cuts) // chunks)] for i in range(1, chunks)]
-    return sorted(set(picked))
+    sample = F.when(F.rand(0) < CUT_SAMPLE / total, F.col(on).cast("double"))
+    cuts = both.agg(F.percentile_approx(sample, [i / chunks for i in range(1, chunks)], 10 * chunks)).first()[0]
+    return sorted(set(cuts or []))
 
 
 def _number(values: DataFrame, splits: list[float]) -> DataFrame:

@@ -85,7 +85,7 @@ def enrich_trips(trips: DataFrame, zones: DataFrame, census: DataFrame, **census
     from one lookup and are neither joined twice nor shuffled.
     """
     areas = zones_with_income(zones, census, **census_columns).withColumnRenamed("zip", "pickup_zip")
-    found = first_match(trips, areas, ZONE_FIELDS, keep_unmatched=False)
+    found = first_match(trips, areas, ZONE_FIELDS, keep_unmatched=False, sized_by=zones)
     return found.withColumn("income_category", C.income_band(F.col("median_income")))
 
 

@@ -165,12 +165,11 @@ def compare_models(scores: DataFrame, before: str = "baseline", after: str = "fa
 
 
 def all_scores(df: DataFrame, models: Mapping[str, str], keys: Sequence[str], **pairing) -> DataFrame:
-    """The three scores of every model as rows of ``metric, model, score``."""
-    groups = group_scores(df, models)
-    parts = {
-        "demographic_parity": demographic_parity(groups),
-        "equalized_odds": equalized_odds(groups),
-        "individual_fairness": individual_fairness(partner_pairs(df, models, keys, **pairing), models),
-    }
-    named = [t.select(F.lit(metric).alias("metric"), "model", "score") for metric, t in parts.items()]
-    return named[0].unionByName(named[1]).unionByName(named[2])
+    """The three scores of every model as rows of ``metric, model, score``; two reads of the input."""
+    pairs = individual_fairness(partner_pairs(df, models, keys, **pairing), models)
+    spreads = group_scores(df, models).groupBy("model").agg(
+        F.stddev_samp("mean_prediction").alias("demographic_parity"), F.stddev_pop("rmse").alias("equalized_odds")
+    )
+    long = spreads.unpivot("model", ["demographic_parity", "equalized_odds"], "metric", "score")
+    by_pairs = pairs.select(F.lit("individual_fairness").alias("metric"), "model", "score")
+    return long.select("metric", "model", "score").unionByName(by_pairs)

@@ -124,13 +124,15 @@ def first_match(
     cell: float = 0.02,
     max_cells: int = MAX_CELLS,
     salts: int = SALTS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add the attributes of the first matching box to every point.
 
     Up to ``max_cells`` cell rows the cells are broadcast and the points are not shuffled at all. Larger box
-    tables are joined by a salted shuffle on the cell, over distinct positions only.
+    tables are joined by a salted shuffle on the cell, over distinct positions only. ``sized_by`` is a table of
+    the same boxes that is cheaper to measure.
     """
-    count, sides, area = _box_profile(boxes)
+    count, sides, area = _box_profile(boxes if sized_by is None else sized_by)
     size = _cell_size(cell, count, sides, area, max_cells)
     if count <= SMALL_TABLE:
         boxes = boxes.coalesce(1)  # a bounded table in one task needs no exchange

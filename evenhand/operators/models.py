@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from evenhand import schemas
 from evenhand.fixed_values import BASELINE_FEATURES, FAIR_FEATURES, FOREST
 from evenhand.operators.disparity import with_errors
 from evenhand.operators.sampling import hash_split
+from evenhand.session import written
 
 FEATURE_SETS = {"baseline": BASELINE_FEATURES, "fair": FAIR_FEATURES}
 LABEL = "fare_amount"
@@ -89,7 +91,6 @@ class TrainedModels:
             forest.write().overwrite().save(f"{folder}/{name}_model")
 
     def release(self) -> None:
-        self.train.unpersist()
         self.test.unpersist()
 
 
@@ -103,14 +104,18 @@ def train(
     feature_sets: Mapping[str, Sequence[str]] = FEATURE_SETS,
     train_part: float = 0.8,
     forest: Mapping[str, int] = FOREST,
+    keep: Sequence[str] = schemas.PREDICTIONS.fieldNames(),
 ) -> TrainedModels:
     """Fit one forest per feature set on the same rows.
 
     Scalers see all rows, the held-back ones included. The split goes by row content, so it does not change
-    with the partitioning. Training and test rows stay cached, on disk where memory is short, until ``release``.
+    with the partitioning. Training rows are cached, on disk where memory is short, while the forests grow, test
+    rows until ``release``. Of the columns that no model needs only those in ``keep`` are carried along.
     """
     names = sorted({f for features in feature_sets.values() for f in features})
-    usable = numeric(ml_ready(trips, names), names)
+    carried = [c for c in trips.columns if c in {*names, LABEL, *split_keys, *keep}]
+    # read by two scalers and two splits: written once instead of derived four times
+    usable = written(numeric(ml_ready(trips, names), names).select(*carried, *[f"x_{n}" for n in names]), "features")
     pipeline = Pipeline(stages=feature_stages(feature_sets)).fit(usable)
     parts = hash_split(pipeline.transform(usable), split_keys, train_part)
     fit_rows, held_back = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in parts]
@@ -120,6 +125,7 @@ def train(
             featuresCol=f"{model}_features", labelCol=LABEL, predictionCol=f"predicted_fare_{model}", **forest
         )
         forests[model] = regressor.fit(fit_rows)
+    fit_rows.unpersist()
     return TrainedModels(pipeline, forests, feature_sets, fit_rows, held_back)
 
 

@@ -1,84 +1,123 @@
-"""Exact quantiles without collecting a column in one place."""
+"""Exact quantiles and numeric summaries without gathering a column in one place."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 1_000_000
+FINAL_ROWS = 2_000_000
+SAMPLE_ROWS = 500_000
+MARGIN = 0.005
+MAX_ROUNDS = 12
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+@dataclass(frozen=True)
+class _Target:
+    """A wanted rank of one column and the closed value range known to hold it."""
+
+    column: str
+    rank: int
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    inside: int = 0
+    margin: float = MARGIN
+
+    def value(self) -> Column:
+        return F.col(self.column).cast("double")
+
+    def holds(self) -> Column:
+        return self.value().between(self.low, self.high)
+
+    def settled(self, final_rows: int) -> bool:
+        return self.low == self.high or self.inside <= final_rows
+
+    def spot(self) -> float:
+        """Where the rank lies among the rows in the range, from 0 to 1."""
+        return (self.rank - self.below) / max(self.inside - 1, 1)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float] = (0.25, 0.5, 0.75),
+    final_rows: int = FINAL_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
+) -> DataFrame:
     """Rows of ``column, n, prob, value`` with linear interpolation between neighbouring ranks; nulls ignored.
 
-    The built-in exact percentile gathers all distinct values of a column in one buffer. Here a mergeable sketch
-    first brackets every rank within a few millionths of the rows. The second pass counts rows, by value inside
-    the brackets and in bulk between them, so only the brackets' values are ever put in order.
+    The built-in exact percentile gathers all distinct values of a column in one buffer. Here the range of values
+    around each wanted rank is narrowed first: a sample proposes a range, a count of all rows confirms that it
+    holds the rank, until few rows are left in it. Only those are put in order. Small inputs need no narrowing.
     """
-    brackets = _brackets(df, columns, probs)
-    counts = _bracket_counts(df, brackets)
-    upto = Window.partitionBy("column").orderBy("part", F.col("value").asc_nulls_first())
-    whole = Window.partitionBy("column")
-    ranked = counts.withColumns({"last": F.sum("rows").over(upto), "n": F.sum("rows").over(whole)})
-    wanted = ranked.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    rank = F.col("prob") * (F.col("n") - 1)
-    first = F.col("last") - F.col("rows")
-    picked = {}
-    for name, position in (("low", F.floor(rank)), ("high", F.ceil(rank))):
-        holds = (first <= position) & (position < F.col("last"))
-        picked[name] = F.max(F.when(holds, F.col("value")))
-    per_prob = wanted.groupBy("column", "n", "prob").agg(*[e.alias(k) for k, e in picked.items()])
-    share = F.col("prob") * (F.col("n") - 1) - F.floor(F.col("prob") * (F.col("n") - 1))
-    value = F.col("low") + (F.col("high") - F.col("low")) * share
-    return per_prob.select("column", "n", "prob", value.alias("value"))
-
-
-def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[tuple[float, float]]]:
-    """Disjoint rising value ranges that are sure to hold the wanted ranks and the ranks next to them."""
-    row = df.agg(
-        *[F.count(c).alias(f"{c}_n") for c in columns], *[F.min(c).alias(f"{c}_min") for c in columns],
-        *[F.max(c).alias(f"{c}_max") for c in columns],
-    ).first()
-    margins = {c: 4.0 / ACCURACY + 2.0 / max(row[f"{c}_n"], 1) for c in columns}
-    edges = {
-        c: [e for p in probs for e in (max(p - margins[c], 0.0), min(p + margins[c], 1.0))] for c in columns
+    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    ranks = {
+        (c, p): (math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1)))
+        for c in columns for p in probs if counts[c]
     }
-    sketch = df.agg(
-        *[F.percentile_approx(c, [float(e) for e in edges[c]], ACCURACY).alias(c) for c in columns]
-    ).first()
-    result = {}
-    for c in columns:
-        ranges: list[tuple[float, float]] = []
-        for i, p in enumerate(probs):
-            low, high = (sketch[c] or [0.0] * 2 * len(probs))[2 * i : 2 * i + 2]
-            low = row[f"{c}_min"] if edges[c][2 * i] == 0.0 else low
-            high = row[f"{c}_max"] if edges[c][2 * i + 1] == 1.0 else high
-            ranges.append((low, high))
-        merged: list[tuple[float, float]] = []
-        for low, high in sorted(r for r in ranges if r[0] is not None):
-            if merged and low <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-            else:
-                merged.append((low, high))
-        result[c] = merged
+    targets = [_Target(c, k, inside=counts[c]) for c, k in sorted({(c, k) for (c, _), ks in ranks.items() for k in ks})]
+    for _ in range(MAX_ROUNDS):
+        if all(t.settled(final_rows) for t in targets):
+            break
+        targets = _narrow(df, targets, final_rows, sample_rows)
+    rows = [(c, counts[c], float(p), k1, k2, p * (counts[c] - 1) - k1) for (c, p), (k1, k2) in ranks.items()]
+    asked = df.sparkSession.createDataFrame(rows, "column string, n long, prob double, k1 long, k2 long, share double")
+    per_rank = _pick(df, targets).groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    low, high = F.col("at")[F.col("k1")], F.col("at")[F.col("k2")]
+    return asked.join(per_rank, "column").select("column", "n", "prob", (low + (high - low) * F.col("share")).alias("value"))
+
+
+def _narrow(df: DataFrame, targets: list[_Target], final_rows: int, sample_rows: int) -> list[_Target]:
+    """One round: propose a smaller range for every open target from a sample, keep it if a count confirms it."""
+    result = list(targets)
+    still_open = {i: t for i, t in enumerate(targets) if not t.settled(final_rows)}
+    samples = []
+    for i, t in still_open.items():
+        drawn = F.when(t.holds() & (F.rand(i) < min(1.0, sample_rows / t.inside)), t.value())
+        cuts = [max(t.spot() - t.margin, 0.0), min(t.spot() + t.margin, 1.0)]
+        samples.append(F.percentile_approx(drawn, cuts, 100_000).alias(f"t{i}"))
+    proposed = df.agg(*samples).first()
+    moved = {}
+    for i, t in still_open.items():
+        low, high = proposed[f"t{i}"] or (t.low, t.high)
+        # the outermost cuts of a sample need not reach the ends of the range
+        moved[i] = replace(t, low=low if t.spot() > t.margin else t.low, high=high if t.spot() < 1 - t.margin else t.high)
+    checks = []
+    for i, t in moved.items():
+        checks += [F.count_if(t.value() < t.low).alias(f"b{i}"), F.count_if(t.holds()).alias(f"i{i}")]
+    seen = df.agg(*checks).first()
+    for i, t in moved.items():
+        below, inside = seen[f"b{i}"], seen[f"i{i}"]
+        if below <= t.rank < below + inside:
+            result[i] = replace(t, below=below, inside=inside)
+        else:
+            result[i] = replace(targets[i], margin=t.margin * 4)
     return result
 
 
-def _bracket_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
-    """Row counts by column, part and value. Odd parts are brackets; even parts lie between and keep no value."""
-    cells = []
-    for name, ranges in brackets.items():
-        v = F.col(name).cast("double")
-        part, kept = F.lit(0), F.lit(None).cast("double")
-        for i, (low, high) in enumerate(ranges):
-            part = F.when(v >= low, F.lit(2 * i + 1)).otherwise(part)
-            part = F.when(v > high, F.lit(2 * i + 2)).otherwise(part)
-            kept = F.when(v.between(low, high), v).otherwise(kept)
-        cells.append(F.struct(F.lit(name).alias("column"), part.alias("part"), kept.alias("value"), v.isNotNull().alias("known")))
-    rows = df.select(F.inline(F.array(*cells))).filter("known")
-    return rows.groupBy("column", "part", "value").agg(F.count(F.lit(1)).alias("rows"))
+def _pick(df: DataFrame, targets: list[_Target]) -> DataFrame:
+    """Rows of ``column, rank, value``: order the values left in each range and take the one at the rank."""
+    ranges: dict[_Target, list[int]] = {}
+    for t in targets:
+        ranges.setdefault(replace(t, rank=0, margin=0.0), []).append(t.rank)
+    cells = [
+        F.struct(
+            F.lit(i).alias("range"), F.lit(t.column).alias("column"), F.lit(t.below).cast("bigint").alias("below"),
+            F.array(*[F.lit(k).cast("bigint") for k in ranks]).alias("ranks"), F.when(t.holds(), t.value()).alias("value"),
+        )
+        for i, (t, ranks) in enumerate(ranges.items())
+    ]
+    kept = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    counted = kept.groupBy("range", "column", "below", "ranks", "value").agg(F.count(F.lit(1)).alias("rows"))
+    upto = Window.partitionBy("range").orderBy("value")
+    last = counted.withColumn("last", F.col("below") + F.sum("rows").over(upto))
+    placed = last.withColumn("rank", F.explode("ranks"))
+    here = (F.col("last") - F.col("rows") <= F.col("rank")) & (F.col("rank") < F.col("last"))
+    return placed.filter(here).select("column", "rank", "value")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

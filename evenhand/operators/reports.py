@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.operators import disparity, fairness, impact, stats
+from evenhand.session import written
 
 
 def _side_by_side(parts: Mapping[str, DataFrame]) -> DataFrame:
@@ -53,7 +54,7 @@ def bias_report(df: DataFrame, models: Mapping[str, str], group: str = "income_c
 
 def fairness_report(df: DataFrame, models: Mapping[str, str], keys: Sequence[str], **pairing) -> DataFrame:
     """The three scores of every model with their details, and the improvement between the models."""
-    groups = fairness.group_scores(df, models)
+    groups = written(fairness.group_scores(df, models), "groups")  # a few rows that two metrics read
     pairs = fairness.partner_pairs(df, models, keys, **pairing)
     tables = {
         "demographic_parity": fairness.demographic_parity(groups),
