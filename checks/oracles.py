@@ -494,6 +494,9 @@ ORACLES: dict[str, str] = {
     "stream_latest20": f"""{WITH_PLACED} SELECT tpep_pickup_datetime AS pickup, fare_amount AS fare, trip_distance AS distance,
         passenger_count AS passengers, coalesce(found, 'Unknown') AS borough, h FROM placed
       ORDER BY pickup DESC, h DESC, fare DESC NULLS LAST, distance DESC LIMIT 20""",
+    "stream_snapshot": f"""{WITH_PLACED} SELECT count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum,
+        {sr('sum(trip_distance)', 2)} AS distance_sum, count(*) FILTER (found = 'Queens') AS queens,
+        CAST(5 AS INTEGER) AS shown, max(tpep_pickup_datetime) AS last_pickup FROM placed""",
     "stream_rate_per_second": """SELECT date_trunc('second', ts) AS window_start, count(*) AS messages,
         CAST(count(*) AS DOUBLE) AS messages_per_sec FROM events GROUP BY 1""",
     **dict.fromkeys(

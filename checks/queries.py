@@ -656,6 +656,24 @@ def stream_latest20(spark, sf):
     return live.published(spark, f"{path}/out")
 
 
+@query
+def stream_snapshot(spark, sf):
+    path = shared_path(spark, "snapshot")
+    trips = _line_stream(spark, sf)
+    tables = {"totals": live.totals(trips), "boroughs": live.borough_counts(trips)}
+    for name, table in tables.items():
+        live.drain(live.publish(table, f"{path}/{name}", f"{path}/{name}-check"))
+    shown = live.recent_view(trips, "h")
+    live.drain(live.keep_latest(shown, ["pickup", "h", "fare", "distance"], f"{path}/latest", f"{path}/latest-check"))
+    row = live.snapshot(spark, f"{path}/totals", f"{path}/boroughs", f"{path}/latest")
+    return row.select(
+        "messages_consumed", "fare_sum", "distance_sum",
+        F.col("borough_counts")["Queens"].alias("queens"),
+        F.size("recent_trips").alias("shown"),
+        F.col("recent_trips")[0]["pickup"].alias("last_pickup"),
+    )
+
+
 @query
 def stream_rate_per_second(spark, sf):
     path = shared_path(spark, "rate")

@@ -130,6 +130,28 @@ def recent_view(trips: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def snapshot(
+    spark: SparkSession, totals_path: str, boroughs_path: str, latest_path: str, rate_path: str | None = None, shown: int = 5
+) -> DataFrame:
+    """One row of all live numbers: totals, rate of the last full window, count per borough and latest trips."""
+    parts = published(spark, totals_path).select("messages_consumed", "fare_sum", "distance_sum")
+    counts = published(spark, boroughs_path).agg(
+        F.map_from_entries(F.collect_list(F.struct("borough", "trips"))).alias("borough_counts")
+    )
+    latest = published(spark, latest_path).drop("ingestion_timestamp")
+    order = F.sort_array(F.collect_list(F.struct(*latest.columns)), asc=False)
+    feed = latest.agg(F.slice(order, 1, shown).alias("recent_trips"))
+    if rate_path is None:
+        rates = spark.range(1).select(F.lit(0.0).alias("messages_per_sec"))
+    else:
+        windows = updated(spark, rate_path, ["window_start"])
+        rates = windows.agg(F.max_by("messages_per_sec", "window_start").alias("messages_per_sec"))
+    row = parts
+    for part in (counts, feed, rates):  # one row each
+        row = row.withColumn("_k", F.lit(1)).join(part.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return row
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait for a query that stops by itself, and raise its error if it failed."""
     query.awaitTermination()
