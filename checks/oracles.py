@@ -48,7 +48,7 @@ trips AS (
     pickup AS tpep_pickup_datetime,
     pickup + to_seconds(h * 13 % 7200) AS tpep_dropoff_datetime,
     CAST(h % 11 AS INTEGER) AS passenger_count,
-    CASE WHEN h % 50 = 0 THEN {dbl(0.0)} ELSE {r('l_quantity / 4', 2)} END AS trip_distance,
+    CASE WHEN h % 50 = 0 THEN {dbl(0.0)} ELSE l_quantity / 4 END AS trip_distance,
     CASE WHEN h % 89 = 0 THEN {dbl(0.0)} ELSE {dbl(-74.05)} + CAST(h * 5 % 230 AS DOUBLE) / 1000 END AS pickup_longitude,
     CASE WHEN h % 89 = 0 THEN {dbl(0.0)} ELSE {dbl(40.56)} + CAST(h * 3 % 350 AS DOUBLE) / 1000 END AS pickup_latitude,
     CAST(h % 6 + 1 AS INTEGER) AS RatecodeID,

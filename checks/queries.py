@@ -616,9 +616,9 @@ def _line_stream(spark, sf) -> DataFrame:
     return fx.trips_from_lines(lines)
 
 
-def _message_stream(spark, sf) -> DataFrame:
+def _message_stream(spark, sf, *fields: str) -> DataFrame:
     """Trips that went through message encoding and typed decoding."""
-    return messages.decode(messages.encode(_line_stream(spark, sf)))
+    return messages.decode(messages.encode(_line_stream(spark, sf)), fields)
 
 
 def _summed(trips: DataFrame) -> DataFrame:
@@ -636,14 +636,15 @@ def _summed(trips: DataFrame) -> DataFrame:
 @query
 def stream_totals(spark, sf):
     path = shared_path(spark, "totals")
-    live.drain(live.publish(live.totals(_message_stream(spark, sf)), f"{path}/out", f"{path}/check"))
+    live.drain(live.publish(live.totals(_message_stream(spark, sf, "fare_amount", "trip_distance")), f"{path}/out", f"{path}/check"))
     return live.published(spark, f"{path}/out")
 
 
 @query
 def stream_borough_counts(spark, sf):
     path = shared_path(spark, "boroughs")
-    live.drain(live.publish(live.borough_counts(_message_stream(spark, sf)), f"{path}/out", f"{path}/check"))
+    places = _message_stream(spark, sf, "pickup_latitude", "pickup_longitude")
+    live.drain(live.publish(live.borough_counts(places), f"{path}/out", f"{path}/check"))
     return live.published(spark, f"{path}/out")
 
 

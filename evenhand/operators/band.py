@@ -83,8 +83,9 @@ def _splits(left: DataFrame, right: DataFrame, on: str, rows_per_chunk: int) ->
     chunks = min(MAX_CHUNKS, -(-total // rows_per_chunk))
     if chunks <= 1:
         return []
-    sample = F.when(F.rand(0) < CUT_SAMPLE / total, F.col(on).cast("double"))
-    cuts = both.agg(F.percentile_approx(sample, [i / chunks for i in range(1, chunks)], 10 * chunks)).first()[0]
+    sample = both.sample(min(1.0, CUT_SAMPLE / total), seed=0)
+    probs = [i / chunks for i in range(1, chunks)]
+    cuts = sample.agg(F.percentile_approx(F.col(on).cast("double"), probs, 10 * chunks)).first()[0]
     return sorted(set(cuts or []))
 
 

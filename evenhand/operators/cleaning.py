@@ -38,17 +38,18 @@ def plausible(limits: TripLimits = TripLimits()) -> Column:
     distance, minutes = F.col("trip_distance"), trip_minutes()
     ends = ("pickup", "dropoff") if limits.check_dropoff else ("pickup",)
     rules = [F.col("fare_amount").between(*limits.fare), distance > 0, distance <= limits.max_distance]
+    for end in ends:
+        rules.append(F.col(f"{end}_latitude").between(*limits.lat))
+        rules.append(F.col(f"{end}_longitude").between(*limits.lon))
+    if limits.max_passengers is not None:
+        rules.append(F.col("passenger_count").between(1, limits.max_passengers))
+    # rules that compute something come last: they run only on rows that passed the others
     if limits.max_minutes is not None:
         rules += [minutes > 0, minutes <= limits.max_minutes]
     if limits.max_mph is not None:
         moving = limits.max_minutes is not None  # then zero minutes are out already
         mph = F.round(F.try_divide(distance, minutes / 60.0), 2) if moving else C.miles_per_hour(distance, minutes)
         rules.append(mph <= limits.max_mph)
-    if limits.max_passengers is not None:
-        rules.append(F.col("passenger_count").between(1, limits.max_passengers))
-    for end in ends:
-        rules.append(F.col(f"{end}_latitude").between(*limits.lat))
-        rules.append(F.col(f"{end}_longitude").between(*limits.lon))
     return all_of(rules)
 
 

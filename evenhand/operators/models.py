@@ -116,6 +116,9 @@ def train(
     carried = [c for c in trips.columns if c in {*names, LABEL, *split_keys, *keep}]
     # read by two scalers and two splits: written once instead of derived four times
     usable = written(numeric(ml_ready(trips, names), names).select(*carried, *[f"x_{n}" for n in names]), "features")
+    cores = usable.sparkSession.sparkContext.defaultParallelism
+    if usable.rdd.getNumPartitions() < cores:
+        usable = usable.repartition(cores)  # few rows, read again for every level of every tree
     pipeline = Pipeline(stages=feature_stages(feature_sets)).fit(usable)
     parts = hash_split(pipeline.transform(usable), split_keys, train_part)
     fit_rows, held_back = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in parts]

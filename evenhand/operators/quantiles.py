@@ -77,10 +77,10 @@ def _narrow(df: DataFrame, targets: list[_Target], final_rows: int, sample_rows:
     still_open = {i: t for i, t in enumerate(targets) if not t.settled(final_rows)}
     samples = []
     for i, t in still_open.items():
-        drawn = F.when(t.holds() & (F.rand(i) < min(1.0, sample_rows / t.inside)), t.value())
+        drawn = F.when(t.holds() & (F.col("_draw") < min(1.0, sample_rows / t.inside)), t.value())
         cuts = [max(t.spot() - t.margin, 0.0), min(t.spot() + t.margin, 1.0)]
         samples.append(F.percentile_approx(drawn, cuts, 100_000).alias(f"t{i}"))
-    proposed = df.agg(*samples).first()
+    proposed = df.withColumn("_draw", F.rand(0)).agg(*samples).first()
     moved = {}
     for i, t in still_open.items():
         low, high = proposed[f"t{i}"] or (t.low, t.high)

@@ -37,18 +37,16 @@ def hash_split(df: DataFrame, keys: Sequence[str], train: float = 0.8) -> list[D
 def fixed_size(df: DataFrame, keys: Sequence[str], size: int = 5000) -> DataFrame:
     """The ``size`` rows whose keys hash lowest: a uniform draw that repeats everywhere.
 
-    A plain top-n would send up to ``size`` rows of every partition to one task. Rows above a hash value that
-    at least ``size`` rows stay below cannot be drawn, so they are filtered first. That value is estimated from
-    the row count and confirmed by counting.
+    A plain top-n would send up to ``size`` rows of every partition to one task. Lower hashes have more leading
+    zeros, so a count by the number of zeros tells how many are needed for ``size`` rows; all others are filtered
+    before the sort.
     """
     digest = F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), 256)
-    total, ceiling = df.count(), 16**12
-    share = (size + 6 * size**0.5 + 10) / max(total, 1)
-    kept = df
-    while share < 1.0:
-        bound = F.lit(format(int(share * ceiling), "012x"))
-        kept = df.filter(F.substring(digest, 1, 12) < bound)
-        if kept.count() >= size:
+    digits = F.length(F.ltrim(digest, F.lit("0")))
+    seen, bound = 0, None
+    for row in df.groupBy(digits.alias("digits")).count().orderBy("digits").collect():  # at most 65 rows
+        seen, bound = seen + row["count"], row["digits"]
+        if seen >= size:
             break
-        kept, share = df, share * 4
+    kept = df if bound is None else df.filter(digits <= bound)
     return kept.orderBy(digest, *df.columns).limit(size)

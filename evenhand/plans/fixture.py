@@ -24,7 +24,7 @@ def line_number() -> Column:
 
 def trips_from_lines(lines: DataFrame) -> DataFrame:
     """The raw trip fields, and ``h``, from order lines. Works on a stream of lines as well."""
-    pickup = F.expr("timestampadd(SECOND, h % 86400, l_shipdate)")
+    pickup = F.expr("l_shipdate + (h % 86400) * INTERVAL '1' SECOND")
     numbered = lines.withColumn("h", line_number()).withColumn("tpep_pickup_datetime", pickup)
     h = F.col("h")
     fare = F.when(h % 101 != 0, F.round(F.col("l_extendedprice") / 2000.0, 2))
@@ -36,9 +36,9 @@ def trips_from_lines(lines: DataFrame) -> DataFrame:
     return numbered.select(
         (F.col("l_linenumber") % 2 + 1).alias("VendorID"),
         "tpep_pickup_datetime",
-        F.expr("timestampadd(SECOND, h * 13 % 7200, tpep_pickup_datetime)").alias("tpep_dropoff_datetime"),
+        F.expr("tpep_pickup_datetime + (h * 13 % 7200) * INTERVAL '1' SECOND").alias("tpep_dropoff_datetime"),
         (h % 11).cast("int").alias("passenger_count"),
-        F.when(h % 50 == 0, 0.0).otherwise(F.round(F.col("l_quantity") / 4.0, 2)).alias("trip_distance"),
+        F.when(h % 50 == 0, 0.0).otherwise(F.col("l_quantity") / 4.0).alias("trip_distance"),
         F.when(lost, 0.0).otherwise(place(5, 230, -74.05)).alias("pickup_longitude"),
         F.when(lost, 0.0).otherwise(place(3, 350, 40.56)).alias("pickup_latitude"),
         (h % 6 + 1).cast("int").alias("RatecodeID"),
