@@ -48,18 +48,17 @@ def nearest_in_band(
 
     by_value = Window.partitionBy(on).orderBy(*order)
     first_k = right.select(*fields).withColumn("_rn", F.row_number().over(by_value)).filter(F.col("_rn") <= k)
-    # at most k rows per value are gathered
-    right_values = first_k.groupBy(on).agg(F.collect_list(F.struct(*fields)).alias("_rows"))
-    left_values = left.select(F.col(on).alias("_v")).distinct()
-    values = left_values.join(right_values.withColumnRenamed(on, "_w"), F.col("_v") == F.col("_w"), "full")
-    values = values.select(
-        F.coalesce("_v", "_w").alias("_value"), F.col("_v").isNotNull().alias("_is_left"), "_rows"
+    kept_rows = first_k.select(F.col(on).alias("_value"), F.lit(False).alias("_is_left"), F.struct(*fields).alias("_row"))
+    asked = left.select(F.col(on).alias("_value"), F.lit(True).alias("_is_left"))
+    # one row per value; the list holds at most k rows, and left rows add nothing to it
+    values = kept_rows.unionByName(asked, allowMissingColumns=True).groupBy("_value").agg(
+        F.max("_is_left").alias("_is_left"), F.collect_list("_row").alias("_rows")
     )
     numbered = _number(values, _splits(left, right, on, rows_per_chunk))
 
     places = numbered.filter("_is_left").select(F.col("_value").alias("_v"), F.col("_number").alias("_place"))
     steps = F.explode(F.sequence(F.col("_place") - (k - 1), F.col("_place") + k))
-    near = numbered.filter(F.col("_rows").isNotNull()).select("_number", "_rows")
+    near = numbered.filter(F.size("_rows") > 0).select("_number", "_rows")
     candidates = places.select("_v", steps.alias("_number")).join(near, "_number").select("_v", F.inline("_rows"))
     gap = F.abs(F.col(on) - F.col("_v"))
     rank = F.row_number().over(Window.partitionBy("_v").orderBy(gap, on, *order))
@@ -91,7 +90,7 @@ def _splits(left: DataFrame, right: DataFrame, on: str, rows_per_chunk: int) ->
 
 def _number(values: DataFrame, splits: list[float]) -> DataFrame:
     """Add to every value how many right values are not above it: its own number for a right value."""
-    present = F.col("_rows").isNotNull().cast("bigint")
+    present = (F.size("_rows") > 0).cast("bigint")
     if splits:
         edges = [float("-inf"), *splits, float("inf")]
         values = Bucketizer(splits=edges, inputCol="_value", outputCol="_chunk").transform(values)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evenhand.fixed_values import DEFAULT_INCOME
 from evenhand.functions import columns as C
-from evenhand.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from evenhand.operators.joins import MAX_BROADCAST_ROWS, fits, lookup_join
 from evenhand.operators.lookup import first_match
 
 ZONE_FIELDS = ["pickup_zip", "borough", "neighborhood", "median_income"]
@@ -67,14 +67,13 @@ def zones_with_income(zones: DataFrame, census: DataFrame, default: float = DEFA
     """Zone table with the income of each zone.
 
     Only codes of zones are kept before the census is aggregated, so the aggregate has at most as many rows as
-    the zone table, which is what allows its broadcast.
+    the zone table. Both are broadcast when the zone table is counted small enough.
     """
-    codes = F.broadcast(zones.select("zip").distinct())
+    hint = F.broadcast if fits(zones, MAX_BROADCAST_ROWS) else (lambda table: table)
     rows = census_incomes(census, **{"zip_col": "ZIP", "income_col": "income_text", **census_columns})
-    incomes = (
-        rows.join(codes, "zip", "left_semi").groupBy("zip").agg(C.steady_round(F.avg("income"), 0).alias("known_income"))
-    )
-    joined = zones.join(F.broadcast(incomes), "zip", "left")
+    of_zones = rows.join(hint(zones.select("zip").distinct()), "zip", "left_semi")
+    incomes = of_zones.groupBy("zip").agg(C.steady_round(F.avg("income"), 0).alias("known_income"))
+    joined = zones.join(hint(incomes), "zip", "left")
     return joined.withColumn("median_income", F.coalesce("known_income", F.lit(default))).drop("known_income")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+def one_row(*parts: DataFrame) -> DataFrame:
+    """One-row tables with different columns put side by side, without a join."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
+
+
 def salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
     """Shuffle join that cuts every key of ``fact`` into ``salts`` parts.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -111,7 +112,8 @@ def _pick(df: DataFrame, targets: list[_Target]) -> DataFrame:
         )
         for i, (t, ranks) in enumerate(ranges.items())
     ]
-    kept = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    wanted = reduce(Column.__or__, [t.holds() for t in ranges], F.lit(False))
+    kept = df.filter(wanted).select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
     counted = kept.groupBy("range", "column", "below", "ranks", "value").agg(F.count(F.lit(1)).alias("rows"))
     upto = Window.partitionBy("range").orderBy("value")
     last = counted.withColumn("last", F.col("below") + F.sum("rows").over(upto))

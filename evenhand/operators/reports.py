@@ -8,20 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.operators import disparity, fairness, impact, stats
+from evenhand.operators.joins import one_row
 from evenhand.session import written
 
 
-def _side_by_side(parts: Mapping[str, DataFrame]) -> DataFrame:
-    """One-row tables of one column ``v`` put next to each other."""
-    tagged = [part.select(F.lit(name).alias("part"), F.to_json(F.struct("v")).alias("body")) for name, part in parts.items()]
-    rows = tagged[0]
-    for more in tagged[1:]:
-        rows = rows.unionByName(more)
-    schemas = {name: part.schema for name, part in parts.items()}
-    wide = rows.agg(*[F.max(F.when(F.col("part") == n, F.col("body"))).alias(n) for n in parts])
-    return wide.select(*[F.from_json(n, schemas[n])["v"].alias(n) for n in parts])
-
-
 def bias_report(df: DataFrame, models: Mapping[str, str], group: str = "income_category") -> DataFrame:
     """Overcharge of low and high groups, tests of the baseline errors and yearly impact."""
     table = disparity.rounded_means_table(df, group, models)
@@ -36,20 +26,19 @@ def bias_report(df: DataFrame, models: Mapping[str, str], group: str = "income_c
             high.alias("baseline_high_overcharge_pct"),
             pct("fair", "low").alias("fair_low_overcharge_pct"),
             F.round(low - high, 9).alias("bias_magnitude_pp"),
-        ).alias("v")
+        ).alias("summary")
     )
     tests = stats.with_p_value(stats.with_effect(stats.compare_means(df, "baseline_error", group)))
     body = F.struct("t_stat", "p_value", "significant", "cohens_d", "effect_size")
-    by_test = tests.agg(F.map_from_entries(F.collect_list(F.struct("test", body))).alias("v"))
+    by_test = tests.agg(F.map_from_entries(F.collect_list(F.struct("test", body))).alias("statistical_tests"))
     money = impact.total(df, group=group).select(
         F.struct(
             F.col("avg_overcharge").alias("avg_overcharge_per_trip"),
             F.col("annual_trips").alias("affected_trips_annually"),
             F.col("annual_impact_usd").alias("total_annual_impact_usd"),
-        ).alias("v")
+        ).alias("financial_impact")
     )
-    parts = {"summary": summary, "statistical_tests": by_test, "financial_impact": money}
-    return _side_by_side(parts).withColumn("date", F.current_timestamp())
+    return one_row(summary, by_test, money).withColumn("date", F.current_timestamp())
 
 
 def fairness_report(df: DataFrame, models: Mapping[str, str], keys: Sequence[str], **pairing) -> DataFrame:
@@ -61,11 +50,11 @@ def fairness_report(df: DataFrame, models: Mapping[str, str], keys: Sequence[str
         "equalized_odds": fairness.equalized_odds(groups),
         "individual_fairness": fairness.individual_fairness(pairs, models),
     }
-    per_model = {}
+    per_model = []
     for metric, table in tables.items():
         body = F.struct(*[c for c in table.columns if c != "model"])
-        per_model[metric] = table.agg(F.map_from_entries(F.collect_list(F.struct("model", body))).alias("v"))
-    return _side_by_side(per_model).withColumn("date", F.current_timestamp())
+        per_model.append(table.agg(F.map_from_entries(F.collect_list(F.struct("model", body))).alias(metric)))
+    return one_row(*per_model).withColumn("date", F.current_timestamp())
 
 
 def with_comparison(report: DataFrame, before: str = "baseline", after: str = "fair") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from evenhand.operators.joins import one_row
 from evenhand.operators.lookup import borough_of
 
 
@@ -146,10 +147,7 @@ def snapshot(
     else:
         windows = updated(spark, rate_path, ["window_start"])
         rates = windows.agg(F.max_by("messages_per_sec", "window_start").alias("messages_per_sec"))
-    row = parts
-    for part in (counts, feed, rates):  # one row each
-        row = row.withColumn("_k", F.lit(1)).join(part.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return row
+    return one_row(parts, rates, counts, feed)
 
 
 def drain(query: StreamingQuery) -> None:
