@@ -444,6 +444,18 @@ ORACLES: dict[str, str] = {
     # statistics and fairness
     "welch_t": _tests(False),
     "student_t": _tests(True),
+    "welch_p_value": f"""{WITH_PREDICTED}, m AS (
+        SELECT income_category AS g, count(*) AS n, avg(fair_error) AS m, var_samp(fair_error) AS v FROM predicted GROUP BY 1),
+      w AS (SELECT a.g || '_vs_' || b.g AS test, (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) AS t,
+          power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)) AS f
+        FROM m a JOIN m b ON a.g = 'low' AND b.g IN ('high', 'medium') WHERE a.n > 30 AND b.n > 30),
+      -- Simpson's rule over the density from 0 to |t|
+      s AS (SELECT test, t, f, sum((CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+          * power(1 + power(abs(t) * i / 4000, 2) / f, -(f + 1) / 2)) * abs(t) / 12000 AS area
+        FROM w, range(4001) AS steps(i) GROUP BY test, t, f),
+      p AS (SELECT test, t, 1 - 2 * area * exp(lgamma((f + 1) / 2) - lgamma(f / 2)) / sqrt(f * pi()) AS p FROM s)
+      SELECT test, {sr('t', 6)} AS t_stat, {sr('p', 6)} AS p_value, p < 0.05 AS significant, p < 0.001 AS highly_significant
+      FROM p""",
     "cohens_d": f"""WITH x AS ({_tests(False)}) SELECT test, cohens_d, CASE WHEN abs(cohens_d) > 0.8 THEN 'large'
         WHEN abs(cohens_d) > 0.5 THEN 'medium' ELSE 'small' END AS effect_size FROM x""",
     "demographic_parity": f"""{WITH_PREDICTED}, {SCORES} SELECT model, {sr('stddev_pop(mean_prediction)', 6)} AS score_pop,

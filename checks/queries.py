@@ -414,8 +414,8 @@ def bias_reduction(spark, sf):
 # statistics and fairness
 
 
-def _tests(spark, sf, equal_var: bool) -> DataFrame:
-    return stats.compare_means(fx.predicted_trips(spark, sf), "baseline_error", INCOME, equal_var=equal_var)
+def _tests(spark, sf, equal_var: bool, error: str = "baseline_error") -> DataFrame:
+    return stats.compare_means(fx.predicted_trips(spark, sf), error, INCOME, equal_var=equal_var)
 
 
 def _shown_tests(tests: DataFrame) -> DataFrame:
@@ -439,7 +439,9 @@ def cohens_d(spark, sf):
 
 @query
 def welch_p_value(spark, sf):
-    return stats.with_p_value(_tests(spark, sf, False))
+    tests = stats.with_p_value(_tests(spark, sf, False, "fair_error"))
+    shown = rounded(tests, 6, "t_stat", "p_value")
+    return shown.select("test", "t_stat", "p_value", "significant", "highly_significant")
 
 
 def _groups(spark, sf) -> DataFrame:
@@ -636,7 +638,7 @@ def _summed(trips: DataFrame) -> DataFrame:
 @query
 def stream_totals(spark, sf):
     path = shared_path(spark, "totals")
-    live.drain(live.publish(live.totals(_message_stream(spark, sf, "fare_amount", "trip_distance")), f"{path}/out", f"{path}/check"))
+    live.drain(live.publish(live.totals(_line_stream(spark, sf)), f"{path}/out", f"{path}/check"))
     return live.published(spark, f"{path}/out")
 
 
@@ -742,7 +744,7 @@ def catalog_tables(spark, sf):
     files.write_trips_csv(fx.raw_trips(spark, sf).drop("h"), f"{path}/raw")
     before = spark.catalog.currentDatabase()
     catalog.create_tables(spark, {"taxi_trips_raw": f"{path}/raw"})
-    table = spark.table("taxi_fairness.taxi_trips_raw")
+    table = spark.table("fare_audit.taxi_trips_raw")
     spark.catalog.setCurrentDatabase(before)
     return _summed(table)
 

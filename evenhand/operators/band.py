@@ -49,7 +49,7 @@ def nearest_in_band(
     by_value = Window.partitionBy(on).orderBy(*order)
     first_k = right.select(*fields).withColumn("_rn", F.row_number().over(by_value)).filter(F.col("_rn") <= k)
     kept_rows = first_k.select(F.col(on).alias("_value"), F.lit(False).alias("_is_left"), F.struct(*fields).alias("_row"))
-    asked = left.select(F.col(on).alias("_value"), F.lit(True).alias("_is_left"))
+    asked = left.select(F.col(on).alias("_value")).distinct().withColumn("_is_left", F.lit(True))
     # one row per value; the list holds at most k rows, and left rows add nothing to it
     values = kept_rows.unionByName(asked, allowMissingColumns=True).groupBy("_value").agg(
         F.max("_is_left").alias("_is_left"), F.collect_list("_row").alias("_rows")

@@ -106,18 +106,23 @@ def _pick(df: DataFrame, targets: list[_Target]) -> DataFrame:
     for t in targets:
         ranges.setdefault(replace(t, rank=0, margin=0.0), []).append(t.rank)
     cells = [
-        F.struct(
-            F.lit(i).alias("range"), F.lit(t.column).alias("column"), F.lit(t.below).cast("bigint").alias("below"),
-            F.array(*[F.lit(k).cast("bigint") for k in ranks]).alias("ranks"), F.when(t.holds(), t.value()).alias("value"),
-        )
-        for i, (t, ranks) in enumerate(ranges.items())
+        F.struct(F.lit(i).alias("range"), F.when(t.holds(), t.value()).alias("value")) for i, t in enumerate(ranges)
     ]
-    wanted = reduce(Column.__or__, [t.holds() for t in ranges], F.lit(False))
-    kept = df.filter(wanted).select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-    counted = kept.groupBy("range", "column", "below", "ranks", "value").agg(F.count(F.lit(1)).alias("rows"))
+    inside = reduce(Column.__or__, [t.holds() for t in ranges], F.lit(False))
+    kept = df.filter(inside).select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    counted = kept.groupBy("range", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+    def of_range(values: list) -> Column:
+        return F.get(F.array(*values), F.col("range"))
+
+    known = counted.select(
+        "range", "value", "rows",
+        of_range([F.lit(t.column) for t in ranges]).alias("column"),
+        of_range([F.lit(t.below).cast("bigint") for t in ranges]).alias("below"),
+        of_range([F.array(*[F.lit(k).cast("bigint") for k in ranks]) for ranks in ranges.values()]).alias("ranks"),
+    )
     upto = Window.partitionBy("range").orderBy("value")
-    last = counted.withColumn("last", F.col("below") + F.sum("rows").over(upto))
-    placed = last.withColumn("rank", F.explode("ranks"))
+    placed = known.withColumn("last", F.col("below") + F.sum("rows").over(upto)).withColumn("rank", F.explode("ranks"))
     here = (F.col("last") - F.col("rows") <= F.col("rank")) & (F.col("rank") < F.col("last"))
     return placed.filter(here).select("column", "rank", "value")
 

@@ -1,6 +1,6 @@
 """The whole audit, stage by stage, from files to files.
 
-    spark-submit -m evenhand.plans.audit --raw 'data/trips_*.csv' --census data/income.csv --out output
+    python -m evenhand.plans.audit --raw 'data/trips_*.csv' --census data/income.csv --out output
 
 Every stage reads what the one before wrote, so each can be repeated alone.
 """

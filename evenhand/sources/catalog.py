@@ -24,7 +24,7 @@ TABLES: dict[str, tuple[StructType, str, dict[str, str]]] = {
 }
 
 
-def use_database(spark: SparkSession, name: str = "taxi_fairness") -> None:
+def use_database(spark: SparkSession, name: str = "fare_audit") -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
     spark.sql(f"USE {name}")
 
@@ -38,7 +38,7 @@ def create_table(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"CREATE TABLE {name} ({columns}) USING {kind} OPTIONS ({listed}) LOCATION '{path}'")
 
 
-def create_tables(spark: SparkSession, paths: dict[str, str], database: str = "taxi_fairness") -> None:
+def create_tables(spark: SparkSession, paths: dict[str, str], database: str = "fare_audit") -> None:
     use_database(spark, database)
     for name, path in paths.items():
         create_table(spark, name, path)
