@@ -569,9 +569,7 @@ def rf_baseline_vs_fair(spark, sf):
 
 @query
 def rf_feature_importance(spark, sf):
-    trained = _trained(spark, sf)
-    trained.release()
-    return trained.importances(spark)
+    return _trained(spark, sf).importances(spark)
 
 
 @query

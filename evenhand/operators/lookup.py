@@ -112,6 +112,23 @@ def _cell_rows(boxes: DataFrame, attrs: Sequence[str], cell: float) -> DataFrame
     return by_lat.withColumn("_cx", _cells_of("lon_from", "lon_to", cell))
 
 
+def _reachable(cell_rows: DataFrame, cell: float, salts: int) -> DataFrame:
+    """Cell rows without the boxes that cannot win: those behind a box that covers the whole cell.
+
+    Covering is tested with a small margin, so a box is only dropped when it surely lies behind.
+    """
+    margin = cell * 1e-6
+
+    def spans(low: str, high: str, index: str) -> Column:
+        start = F.col(index) * F.lit(cell)
+        return (F.col(low) <= start - margin) & (F.col(high) >= start + cell + margin)
+
+    covering = cell_rows.filter(spans("lat_from", "lat_to", "_cy") & spans("lon_from", "lon_to", "_cx"))
+    first = covering.groupBy("_cy", "_cx").agg(F.min("priority").alias("_first"))
+    known = salted_join(cell_rows, first, ["_cy", "_cx"], "left", salts)
+    return known.filter(F.col("_first").isNull() | (F.col("priority") <= F.col("_first"))).drop("_first")
+
+
 def first_match(
     points: DataFrame,
     boxes: DataFrame,
@@ -165,7 +182,8 @@ def _first_match_shuffled(points, boxes, attrs, lat, lon, closed, keep_unmatched
     spots = points.select(F.col(lat).alias("_y"), F.col(lon).alias("_x")).filter((y != 0.0) & (x != 0.0)).distinct()
     spots = spots.withColumns({"_cy": _cell_of(y, cell), "_cx": _cell_of(x, cell)})
     # unlike the points, the cell rows can be the larger side; salting spots keeps a crowded cell in many tasks
-    pairs = salted_join(spots, _cell_rows(boxes, attrs, cell), ["_cy", "_cx"], "inner", salts)
+    candidates = _reachable(_cell_rows(boxes, attrs, cell), cell, salts)
+    pairs = salted_join(spots, candidates, ["_cy", "_cx"], "inner", salts)
     box = {e: F.col(e) for e in EDGES}
     answers = pairs.filter(_inside(box, y, x, closed)).groupBy("_y", "_x").agg(
         F.min_by("zone", "priority").alias("_zone")

@@ -90,6 +90,10 @@ class TrainedModels:
         for name, forest in self.forests.items():
             forest.write().overwrite().save(f"{folder}/{name}_model")
 
+    def hold(self) -> None:
+        """Keep the held-back rows cached, for callers that score them more than once."""
+        self.test.persist(StorageLevel.MEMORY_AND_DISK)
+
     def release(self) -> None:
         self.test.unpersist()
 
@@ -109,8 +113,8 @@ def train(
     """Fit one forest per feature set on the same rows.
 
     Scalers see all rows, the held-back ones included. The split goes by row content, so it does not change
-    with the partitioning. Training rows are cached, on disk where memory is short, while the forests grow, test
-    rows until ``release``. Of the columns that no model needs only those in ``keep`` are carried along.
+    with the partitioning. Training rows are cached, on disk where memory is short, while the forests grow. Of
+    the columns that no model needs only those in ``keep`` are carried along.
     """
     names = sorted({f for features in feature_sets.values() for f in features})
     carried = [c for c in trips.columns if c in {*names, LABEL, *split_keys, *keep}]
@@ -120,8 +124,8 @@ def train(
     if usable.rdd.getNumPartitions() < cores:
         usable = usable.repartition(cores)  # few rows, read again for every level of every tree
     pipeline = Pipeline(stages=feature_stages(feature_sets)).fit(usable)
-    parts = hash_split(pipeline.transform(usable), split_keys, train_part)
-    fit_rows, held_back = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in parts]
+    fit_rows, held_back = hash_split(pipeline.transform(usable), split_keys, train_part)
+    fit_rows.persist(StorageLevel.MEMORY_AND_DISK)
     forests = {}
     for model in feature_sets:
         regressor = RandomForestRegressor(

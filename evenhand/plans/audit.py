@@ -84,11 +84,14 @@ def add_income(spark: SparkSession, paths: Paths, out_files: int | None = None)
     return disparity.profile(files.read_parquet(spark, paths.enriched), [INCOME], measures).orderBy(INCOME)
 
 
-def train(spark: SparkSession, paths: Paths, fraction: float = 0.05, seed: int = 42) -> DataFrame:
+def train(
+    spark: SparkSession, paths: Paths, fraction: float = 0.05, seed: int = 42, out_files: int | None = None
+) -> DataFrame:
     """Enriched trips to models, predictions and group summaries; returns the models' errors."""
     trips = files.read_parquet(spark, paths.enriched)
     drawn = sampling.bernoulli(trips, fraction, seed) if fraction < 1.0 else trips
     trained = models.train(drawn, ["trip_id"])
+    trained.hold()
     trained.save(paths.models)
     files.write_parquet(trained.score().select(*schemas.PREDICTIONS.fieldNames()), paths.predictions)
     trained.release()
@@ -97,7 +100,7 @@ def train(spark: SparkSession, paths: Paths, fraction: float = 0.05, seed: int =
     predicted = files.read_parquet(spark, paths.predictions)
     files.write_small_csv(disparity.summary_by_income(predicted, MODELS), f"{paths.bias}/bias_summary_csv")
     files.write_small_csv(disparity.summary_by_place(predicted, MODELS), f"{paths.bias}/borough_bias_csv")
-    files.write_rows_csv(predicted.select(*schemas.COMPARISON_COLUMNS), paths.comparison)
+    files.write_rows_csv(predicted.select(*schemas.COMPARISON_COLUMNS), paths.comparison, out_files)
     return models.regression_metrics(predicted, MODELS)
 
 

@@ -19,10 +19,22 @@ RUNTIME_SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+TASKS_PER_CORE = 4
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings this package relies on to a session that somebody else built."""
+    """Apply the settings this package relies on to a session that somebody else built.
+
+    On a cluster shuffles also start with several parts per core, unless their number was chosen: adaptive
+    execution merges small parts but cannot split the few large ones that the default of 200 would give.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    parts = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None and parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        if not spark.sparkContext.master.startswith("local"):
+            spark.conf.set(INITIAL_PARTITIONS, str(parts))
     return spark
 
 
@@ -31,10 +43,9 @@ def build_session(app: str = "evenhand", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**RUNTIME_SETTINGS, **conf}
-    for key, value in settings.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_path(spark: SparkSession, label: str) -> str:

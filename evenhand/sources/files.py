@@ -78,9 +78,10 @@ def write_small_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_rows_csv(df: DataFrame, path: str, files: int = 10) -> None:
-    """Row-level delimited output in few files."""
-    df.coalesce(files).write.mode("overwrite").option("header", True).csv(path)
+def write_rows_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Row-level delimited output. ``files`` merges parts; that many tasks then do all the writing."""
+    out = df.coalesce(files) if files else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_trips_csv(df: DataFrame, path: str) -> None:

@@ -76,6 +76,22 @@ def test_copies_of_a_box_fall_to_the_first(spark):
         assert [r["name"] for r in found] == [None, "z0", "wide"]
 
 
+def test_nested_boxes_keep_their_order_when_covered_ones_are_dropped(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(120):
+        y, x, size = rng.uniform(0, 1), rng.uniform(0, 1), rng.choice([0.02, 0.3, 2.0])
+        rows.append((i, y - size, y + size, x - size, x + size, f"z{i}"))
+    rng.shuffle(rows)
+    boxes = spark.createDataFrame(rows, "priority int, lat_from double, lat_to double, lon_from double, lon_to double, name string")
+    points = points_around(rows, extra=400)
+    spots = spark.createDataFrame(points, "lat double, lon double")
+    expected = sorted((str(p), first(sorted(rows), *p, False) or "") for p in points)
+    for how in ({}, {"max_cells": 1}):
+        found = lookup.first_match(spots, boxes, ["name"], "lat", "lon", cell=0.1, **how).collect()
+        assert sorted((str((r["lat"], r["lon"])), r["name"] or "") for r in found) == expected
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
