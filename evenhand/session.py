@@ -19,22 +19,28 @@ RUNTIME_SETTINGS = {
 }
 
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+DEFAULT_PARTITIONS = "200"
 TASKS_PER_CORE = 4
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings this package relies on to a session that somebody else built.
 
-    On a cluster shuffles also start with several parts per core, unless their number was chosen: adaptive
-    execution merges small parts but cannot split the few large ones that the default of 200 would give.
+    Where the number of shuffle parts was left at Spark's default it is fitted to the cores. On a cluster
+    shuffles start with several parts per core: adaptive execution merges small parts but cannot split the few
+    large ones that the default would give. A local session gets one per core, which streaming state needs most:
+    its parts are never merged.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    parts = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
-    if spark.conf.get(INITIAL_PARTITIONS, None) is None and parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        if not spark.sparkContext.master.startswith("local"):
-            spark.conf.set(INITIAL_PARTITIONS, str(parts))
+    cores = spark.sparkContext.defaultParallelism
+    if spark.conf.get(SHUFFLE_PARTITIONS) == DEFAULT_PARTITIONS:
+        if spark.sparkContext.master.startswith("local"):
+            spark.conf.set(SHUFFLE_PARTITIONS, str(cores))
+        elif spark.conf.get(INITIAL_PARTITIONS, None) is None and TASKS_PER_CORE * cores > int(DEFAULT_PARTITIONS):
+            spark.conf.set(INITIAL_PARTITIONS, str(TASKS_PER_CORE * cores))
     return spark
 
 

@@ -76,11 +76,17 @@ def _store(table: DataFrame, path: str, number: int, slots: int | None) -> None:
     table.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/slot={folder}")
 
 
-def publish(table: DataFrame, path: str, checkpoint: str, mode: str = "complete", every: str | None = None) -> StreamingQuery:
-    """Write a live table after each batch: all of it in complete mode, the changed rows in update mode."""
-    slots = SLOTS if mode == "complete" else None
+def publish(
+    table: DataFrame, path: str, checkpoint: str, mode: str = "complete", every: str | None = None, slots: int | None = None
+) -> StreamingQuery:
+    """Write a live table after each batch: all of it in complete mode, the changed rows in update mode.
+
+    Complete tables reuse a fixed number of slots. Changed rows are all kept, unless ``slots`` says how many
+    batches back readers look.
+    """
+    kept = slots or (SLOTS if mode == "complete" else None)
     writer = table.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return _schedule(writer.foreachBatch(lambda batch, number: _store(batch, path, number, slots)), every).start()
+    return _schedule(writer.foreachBatch(lambda batch, number: _store(batch, path, number, kept)), every).start()
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:

@@ -157,6 +157,15 @@ def test_rate_counts_every_message_per_window(spark, message_files, tmp_path):
     assert same(found.select("window_start", "messages"), expected)
 
 
+def test_changed_rows_can_be_kept_for_the_last_batches_only(spark, message_files, tmp_path):
+    counts = live.borough_counts(stream(spark, message_files))
+    live.drain(live.publish(counts, f"{tmp_path}/few", f"{tmp_path}/few-c", "update", slots=2))
+    assert len(list((tmp_path / "few").glob("slot=*"))) == 2
+    found = live.updated(spark, f"{tmp_path}/few", ["borough"])
+    batch = live.borough_counts(spark.read.schema(schemas.MESSAGE).json(message_files))
+    assert {r["borough"]: r["trips"] for r in found.collect()}.items() <= {r["borough"]: r["trips"] for r in batch.collect()}.items()
+
+
 def test_text_is_typed_on_a_stream(spark, tmp_path):
     text = ", ".join(f"{n} string" for n in schemas.RAW_TRIPS.fieldNames())
     write(tmp_path / "in" / "a.csv", GOOD, GOOD.replace("20.0", "x"))
@@ -186,6 +195,23 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
         session.shared_path(Session(None, "spark://host:7077"), "a")
 
 
+def test_shuffle_parts_are_fitted_only_where_nobody_chose_them():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    def tuned(master, cores, **chosen):
+        conf = Conf({session.SHUFFLE_PARTITIONS: "200", **chosen})
+        context = type("Context", (), {"master": master, "defaultParallelism": cores})()
+        return session.tune(type("Session", (), {"conf": conf, "sparkContext": context})()).conf
+
+    assert tuned("local[8]", 8)[session.SHUFFLE_PARTITIONS] == "8"
+    assert tuned("local[8]", 8, **{session.SHUFFLE_PARTITIONS: "5"})[session.SHUFFLE_PARTITIONS] == "5"
+    assert tuned("yarn", 4000)[session.INITIAL_PARTITIONS] == "16000"
+    assert tuned("yarn", 4000, **{session.INITIAL_PARTITIONS: "9"})[session.INITIAL_PARTITIONS] == "9"
+    assert session.INITIAL_PARTITIONS not in tuned("yarn", 10)
+
+
 def test_audit_from_files_to_reports(spark, sf, tmp_path):
     raw, census = f"{tmp_path}/raw", f"{tmp_path}/census"
     files.write_trips_csv(fx.raw_trips(spark, sf).drop("h"), raw)
