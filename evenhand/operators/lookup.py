@@ -10,7 +10,6 @@ decides, so the result is exact at every edge and for any cell size.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenhand.fixed_values import zone_rows
-from evenhand.functions import columns as C
 from evenhand.operators import cleaning, enrich, lookup
 from evenhand.operators.disparity import with_errors
 

@@ -12,7 +12,9 @@ from evenhand.operators.joins import one_row
 from evenhand.operators.lookup import borough_of
 
 
-def stream_files(spark: SparkSession, folder: str, schema, kind: str = "json", pattern: str | None = None, per_batch: int | None = None) -> DataFrame:
+def stream_files(
+    spark: SparkSession, folder: str, schema, kind: str = "json", pattern: str | None = None, per_batch: int | None = None
+) -> DataFrame:
     """New files of a folder as a stream; a glob may name several folders or a single file."""
     reader = spark.readStream.format(kind).schema(schema)
     if pattern:

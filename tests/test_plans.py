@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
 from evenhand.operators import cleaning, disparity, enrich, fairness, lookup
