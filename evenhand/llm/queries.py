@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import licenses, mixing
+from evenhand.llm import bpe, language, licenses, mixing
 from evenhand.llm.common import documents
 from evenhand.llm.statements import LICENSES_SQL, MIXING_SQL
 
 
+def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.predict(docs, language.fit(docs))
+
+
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -18,6 +29,8 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_prefix_bpe": op2_prefix_bpe,
+    "op3_language": op3_language,
     "op7_pareto_mix": op7_pareto_mix,
     "op10_license_digests": op10_license_digests,
 }
