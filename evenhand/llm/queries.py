@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import bpe, language, licenses, mixing
+from evenhand.llm import bpe, language, licenses, mixing, quality, token_files
 from evenhand.llm.common import documents
 from evenhand.llm.statements import LICENSES_SQL, MIXING_SQL
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -24,14 +28,20 @@ def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op2_prefix_bpe": op2_prefix_bpe,
     "op3_language": op3_language,
     "op7_pareto_mix": op7_pareto_mix,
+    "op9_fertility": op9_fertility,
     "op10_license_digests": op10_license_digests,
 }
 
