@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from evenhand.llm.common import only, ship, written
 from evenhand.llm.components import components
+from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, range_bits, split_ranges
 from evenhand.llm.shingles import mixed, shingle_set
 
 FREQUENT = 16  # a token in more prefixes than this is frequent
@@ -45,7 +46,6 @@ SHORT_LIST = 16  # up to this length a list gives all its pairs
 PIVOTS = 4
 CLASS_TOKENS = 4  # frequent tokens of a document per class, at least about
 BITMAP_BITS = 26
-LOOKUP_BITS = 24
 DOCS_AT_ONCE = 4096
 SIZE_STEPS = 2048  # sizes are compared on this many steps per doubling before sets are
 SIZE_REACH = int(np.ceil(np.log2(4 / 3) * SIZE_STEPS)) + 1
@@ -87,21 +87,6 @@ def _key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _packed(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Range (the highest bits) and the next 32 bits of each hash."""
-    return (values >> np.uint64(64 - bits)).astype(np.int64), (values >> np.uint64(32 - bits)).astype(np.uint32)
-
-
-def _ranges(values: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(range, places of its values, their 32 bits) for each range that occurs."""
-    where, low = _packed(values, bits)
-    order = np.argsort(where, kind="stable")
-    edges = np.flatnonzero(np.diff(where[order], prepend=-1))
-    for start, end in zip(edges, [*edges[1:], len(order)]):
-        places = order[start:end]
-        yield int(where[places[0]]), places, low[places]
-
-
 def _count_rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -115,32 +100,13 @@ def _count_rows(bits: int):
                         seen.add(key)
                         parts.append(tokens[: differences(len(tokens)) + 1])
                 if parts:
-                    rows = [(r, low.tobytes()) for r, _, low in _ranges(np.concatenate(parts), bits)]
-                    yield pa.record_batch([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["range", "tokens"])
+                    yield packed_rows(np.concatenate(parts), bits)
                 if len(seen) > 500_000:
                     seen.clear()
 
     return run
 
 
-def frequent_bitmap(texts: DataFrame, bits: int) -> np.ndarray:
-    """One bit per range of 2^(64 - BITMAP_BITS) hashes: whether a token in it begins more than FREQUENT documents."""
-    width = 1 << (BITMAP_BITS - bits)
-
-    def mark(table: pa.Table) -> pa.Table:
-        low = np.sort(np.frombuffer(b"".join(table.column("tokens").to_pylist()), dtype=np.uint32))
-        often = low[FREQUENT:][low[FREQUENT:] == low[: len(low) - FREQUENT]] if len(low) > FREQUENT else low[:0]
-        marks = np.zeros(width, dtype=bool)
-        marks[often >> np.uint32(32 - (BITMAP_BITS - bits))] = True
-        return pa.table({"range": pa.array([table.column("range")[0].as_py()], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()], pa.binary())})
-
-    rows = texts.mapInArrow(_count_rows(bits), "range int, tokens binary").groupBy("range").applyInArrow(mark, "range int, marks binary")
-    out = np.zeros((1 << bits, width // 8), dtype=np.uint8)
-    for row in rows.collect():  # 2^BITMAP_BITS bits in all, whatever the input
-        out[row["range"]] = np.frombuffer(row["marks"], dtype=np.uint8)
-    return out.reshape(-1)
-
-
 SIGNATURES = "kind int, doc_id long, node long, n int, key binary, range int, low binary, place binary, size binary"
 
 
@@ -149,7 +115,6 @@ def _signature_rows(bitmap, bits: int):
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(bitmap.value).view(bool)
         seen: set[bytes] = set()
         number = TaskContext.get().partitionId() << 38
         for batch in batches:
@@ -163,13 +128,13 @@ def _signature_rows(bitmap, bits: int):
                     rows.append((0, ids[place], number + place, len(tokens), key, None, None, None, None))
                     if len(tokens) and key not in seen:
                         seen.add(key)
-                        own = signatures(tokens, marks[(tokens >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
+                        own = signatures(tokens, marked(bitmap.value, tokens >> np.uint64(64 - BITMAP_BITS)))
                         found.append(own)
                         places.append(np.full(len(own), place, dtype=np.uint16))
                         sizes.append(np.full(len(own), round(np.log2(len(tokens)) * SIZE_STEPS), dtype=np.uint16))
                 if found:
                     all_places, all_sizes = np.concatenate(places), np.concatenate(sizes)
-                    for where, at, low in _ranges(np.concatenate(found), bits):
+                    for where, at, low in split_ranges(np.concatenate(found), bits):
                         rows.append((1, None, number, None, None, where, low.tobytes(), all_places[at].tobytes(), all_sizes[at].tobytes()))
                 yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
                 number += 1 << 16
@@ -217,31 +182,13 @@ def _meet(table: pa.Table) -> pa.Table:
     })
 
 
-def _lookup_bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over hashes of the ids, made in parts by Spark."""
-    half = LOOKUP_BITS // 2
-
-    def mark(table: pa.Table) -> pa.Table:
-        marks = np.zeros(1 << half, dtype=bool)
-        marks[table.column("low").to_numpy()] = True
-        return pa.table({"high": pa.array([table.column("high")[0].as_py()], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()], pa.binary())})
-
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << LOOKUP_BITS))
-    parts = ids.select(F.shiftright(place, half).cast("int").alias("high"), place.bitwiseAND((1 << half) - 1).cast("int").alias("low")).distinct()
-    out = np.zeros((1 << half, (1 << half) // 8), dtype=np.uint8)
-    for row in parts.groupBy("high").applyInArrow(mark, "high int, marks binary").collect():
-        out[row["high"]] = np.frombuffer(row["marks"], dtype=np.uint8)
-    return out.reshape(-1)
-
-
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, tokens) of the wanted representatives (doc_id, key, node): only texts whose id may be wanted are read."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(_lookup_bitmap(wanted))
+    bitmap = rows.sparkSession.sparkContext.broadcast(lookup_bitmap(wanted, "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(bitmap.value).view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(marks[batch.column("place").to_numpy()]))
+            batch = batch.filter(pa.array(marked(bitmap.value, batch.column("place").to_numpy())))
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
                 sets = [shingle_set(text) for text in part.column("text").to_pylist()]
@@ -250,7 +197,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["doc_id", "key", "tokens"],
                 )
 
-    placed = rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << LOOKUP_BITS)).cast("int"))
+    placed = rows.withColumn("place", lookup_place("doc_id"))
     found = placed.mapInArrow(run, "doc_id long, key binary, tokens binary").alias("s")
     same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.key") == F.col("w.key"))
     return found.join(wanted.alias("w"), same).groupBy("node").agg(F.first("tokens").alias("tokens"))
@@ -286,8 +233,9 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     ship(spark)
     rows = only(docs, doc_id="doc_id", text="text").select(F.col("doc_id").cast("long"), "text")
-    bits = int(min(16, max(8, np.ceil(np.log2(max(1, rows.select("doc_id").count()) / 400)))))
-    bitmap = spark.sparkContext.broadcast(frequent_bitmap(rows.select("text"), bits))
+    bits = range_bits(rows.select("doc_id").count())
+    prefixes = rows.select("text").mapInArrow(_count_rows(bits), "range int, values binary")
+    bitmap = spark.sparkContext.broadcast(frequency_bitmap(prefixes, bits, BITMAP_BITS, FREQUENT))
     table = written(rows.mapInArrow(_signature_rows(bitmap, bits), SIGNATURES), "jaccard-signatures")
 
     nodes = table.filter("kind = 0").select("node", "doc_id", "n", "key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import bpe, jaccard, language, licenses, mixing, quality, token_files
+from evenhand.llm import bpe, jaccard, language, licenses, mixing, quality, suffixes, token_files
 from evenhand.llm.common import documents
 from evenhand.llm.statements import LICENSES_SQL, MIXING_SQL
 
@@ -28,6 +28,10 @@ def op5_token_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(documents(spark, sf_dir))
+
+
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op2_prefix_bpe": op2_prefix_bpe,
     "op3_language": op3_language,
     "op5_token_combinations": op5_token_combinations,
+    "op6_repeated_passages": op6_repeated_passages,
     "op7_pareto_mix": op7_pareto_mix,
     "op9_fertility": op9_fertility,
     "op10_license_digests": op10_license_digests,

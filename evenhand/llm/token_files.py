@@ -42,9 +42,9 @@ from evenhand.llm.common import only, ship
 from evenhand.session import shared_path
 
 MAGIC = b"EHTOK1\0\0"
-HEADER = struct.Struct("<8sB32s")
+HEADER = "<8sB32s"
 RECORD = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("tokens", "<u8")])
-FOOTER = struct.Struct("<QQ8s")
+FOOTER = "<QQ8s"
 NO_ID = -(2**63)
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 112_640
@@ -178,8 +178,8 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 1, sa
                 if out is None:
                     file = f"shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.tok"
                     out = own_store.open_output_stream(f"{own_top}/{file}")
-                    out.write(HEADER.pack(MAGIC, width, name))
-                    offset = HEADER.size
+                    out.write(struct.pack(HEADER, MAGIC, width, name))
+                    offset = struct.calcsize(HEADER)
                 ids = words.encode(text) + end
                 frame = compressor.compress(ids)
                 out.write(frame)
@@ -188,7 +188,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 1, sa
         if out is not None:
             records = np.array(index, dtype=RECORD)
             out.write(records.tobytes())
-            out.write(FOOTER.pack(offset, len(records), MAGIC))
+            out.write(struct.pack(FOOTER, offset, len(records), MAGIC))
             out.close()
             yield pa.record_batch(
                 [
@@ -210,8 +210,8 @@ class TokenFile:
     def __init__(self, store: pafs.FileSystem, path: str, dictionary: bytes):
         self.source = store.open_input_file(path)
         size = self.source.size()
-        start, n, magic = FOOTER.unpack(self.source.read_at(FOOTER.size, size - FOOTER.size))
-        first, self.width, name = HEADER.unpack(self.source.read_at(HEADER.size, 0))
+        start, n, magic = struct.unpack(FOOTER, self.source.read_at(struct.calcsize(FOOTER), size - struct.calcsize(FOOTER)))
+        first, self.width, name = struct.unpack(HEADER, self.source.read_at(struct.calcsize(HEADER), 0))
         if magic != MAGIC or first != MAGIC or name != hashlib.sha256(dictionary).digest():
             raise ValueError(f"{path} is no token file of this dictionary")
         self.index = np.frombuffer(self.source.read_at(n * RECORD.itemsize, start), dtype=RECORD)
@@ -228,7 +228,7 @@ def read_dictionary(folder: str, file: str) -> bytes:
     """The dictionary that a file of the folder names in its header."""
     store, top = _filesystem(folder)
     with store.open_input_file(f"{top}/{file}") as source:
-        name = HEADER.unpack(source.read_at(HEADER.size, 0))[2]
+        name = struct.unpack(HEADER, source.read_at(struct.calcsize(HEADER), 0))[2]
     with store.open_input_file(f"{top}/dictionary-{name.hex()}.zdict") as source:
         return source.read()
 
