@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import bpe, jaccard, language, licenses, mixing, quality, suffixes, token_files
+from evenhand.llm import bpe, jaccard, language, licenses, mixing, nearvectors, quality, shards, suffixes, token_files
 from evenhand.llm.common import documents
 from evenhand.llm.statements import LICENSES_SQL, MIXING_SQL
 
@@ -24,6 +24,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op4_pigeonhole_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearvectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_token_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
@@ -36,6 +40,10 @@ def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(documents(spark, sf_dir))
+
+
 def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -48,9 +56,11 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_prefix_bpe": op2_prefix_bpe,
     "op3_language": op3_language,
+    "op4_pigeonhole_blocks": op4_pigeonhole_blocks,
     "op5_token_combinations": op5_token_combinations,
     "op6_repeated_passages": op6_repeated_passages,
     "op7_pareto_mix": op7_pareto_mix,
+    "op8_kd_shards": op8_kd_shards,
     "op9_fertility": op9_fertility,
     "op10_license_digests": op10_license_digests,
 }
