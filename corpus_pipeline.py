@@ -1,25 +1,57 @@
-"""The corpus pipeline: each stage reads the Parquet table that the stage before it wrote."""
+"""The corpus pipeline: each stage reads the Parquet table that the stage before it wrote.
+
+Documents whose language is recognised, one of each group of near copies, without passages that an earlier document
+has, as often as the mix of sources takes them, as token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import mixing
+from evenhand.llm import bpe, jaccard, language, mixing, suffixes
 from evenhand.llm.common import documents, written
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language; the model is fitted on labelled documents of this stage's input."""
+    return language.keep_known(docs, language.fit(docs))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that 5-word shingles link at a similarity of 0.75 or more."""
+    return jaccard.one_of_each(docs)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 bytes and more that a document with a smaller doc_id has too."""
+    return suffixes.cleaned(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed(docs)
 
 
-STAGES = [("mix", mix)]
-#: No stage of this pipeline but the mix can be said in SQL; tests hold it against brute force.
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with the digests of ids and of the bytes decoded from them."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+
+
+STAGES = [
+    ("language", known_language),
+    ("near_copies", one_of_near_copies),
+    ("repeated_passages", without_repeated_passages),
+    ("mix", mixed_sources),
+    ("token_ids", token_ids),
+]
+
+#: SQL cannot say these stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -238,14 +238,16 @@ def _over_texts(docs: DataFrame, ranks_file: str, pattern: str, make, columns: s
     spark = docs.sparkSession
     ship(spark)
     ranks = spark.sparkContext.broadcast(Path(ranks_file).read_bytes())
+    arrow = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
+    kinds = {name: arrow[kind] for name, kind in (column.split() for column in columns.split(", "))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(ranks.value, pattern)
         for batch in batches:
             made = [make(own, text) for text in batch.column("text").to_pylist()]
-            names = list(made[0]) if made else []
-            if made:
-                yield pa.record_batch([batch.column("doc_id"), *[pa.array([m[n] for m in made]) for n in names]], names=["doc_id", *names])
+            yield pa.record_batch(
+                [batch.column("doc_id"), *[pa.array([m[n] for m in made], kind) for n, kind in kinds.items()]], names=["doc_id", *kinds]
+            )
 
     rows = only(docs, doc_id="doc_id", text="text")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -263,9 +265,12 @@ def _digests(own: Encoder, text: str | None) -> dict:
         "n_tokens": len(ids) // 4,
         "ids_sha256": hashlib.sha256(ids).hexdigest(),
         "decoded_sha256": hashlib.sha256(own.decode(ids)).hexdigest(),
+        "ids": ids,
     }
 
 
-def round_trip(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the bytes decoded from them."""
-    return _over_texts(docs, ranks_file, pattern, _digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+def round_trip(docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the bytes decoded from them; if asked for, the ids too."""
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else "")
+    return _over_texts(docs, ranks_file, pattern, _digests, columns)

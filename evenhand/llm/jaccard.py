@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from evenhand.llm.common import only, ship, written
 from evenhand.llm.components import components
@@ -107,12 +108,12 @@ def _count_rows(bits: int):
     return run
 
 
-SIGNATURES = "kind int, doc_id long, node long, n int, key binary, range int, low binary, place binary, size binary"
+SIGNATURES = "kind int, doc_id long, tie long, node long, n int, key binary, range int, low binary, place binary, size binary"
 
 
 def _signature_rows(bitmap, bits: int):
     names = [c.split()[0] for c in SIGNATURES.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -121,11 +122,11 @@ def _signature_rows(bitmap, bits: int):
             for first in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(first, DOCS_AT_ONCE)
                 rows, found, places, sizes = [], [], [], []
-                ids = part.column("doc_id").to_pylist()
+                ids, ties = part.column("doc_id").to_pylist(), part.column("tie").to_pylist()
                 for place, text in enumerate(part.column("text").to_pylist()):
                     tokens = shingle_set(text)
                     key = _key(tokens)
-                    rows.append((0, ids[place], number + place, len(tokens), key, None, None, None, None))
+                    rows.append((0, ids[place], ties[place], number + place, len(tokens), key, None, None, None, None))
                     if len(tokens) and key not in seen:
                         seen.add(key)
                         own = signatures(tokens, marked(bitmap.value, tokens >> np.uint64(64 - BITMAP_BITS)))
@@ -135,7 +136,7 @@ def _signature_rows(bitmap, bits: int):
                 if found:
                     all_places, all_sizes = np.concatenate(places), np.concatenate(sizes)
                     for where, at, low in split_ranges(np.concatenate(found), bits):
-                        rows.append((1, None, number, None, None, where, low.tobytes(), all_places[at].tobytes(), all_sizes[at].tobytes()))
+                        rows.append((1, None, None, number, None, None, where, low.tobytes(), all_places[at].tobytes(), all_sizes[at].tobytes()))
                 yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
                 number += 1 << 16
                 if len(seen) > 500_000:
@@ -229,16 +230,16 @@ def _near(left: str, right: str):
 
 
 def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All rows as (node, doc_id, n, rep) and the labels (node, root) of representatives that have links."""
+    """All rows as (node, doc_id, tie, n, rep), tie a hash of the text, and the labels (node, root) of representatives that have links."""
     spark = docs.sparkSession
     ship(spark)
-    rows = only(docs, doc_id="doc_id", text="text").select(F.col("doc_id").cast("long"), "text")
+    rows = only(docs, doc_id="doc_id", text="text").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     bits = range_bits(rows.select("doc_id").count())
     prefixes = rows.select("text").mapInArrow(_count_rows(bits), "range int, values binary")
     bitmap = spark.sparkContext.broadcast(frequency_bitmap(prefixes, bits, BITMAP_BITS, FREQUENT))
     table = written(rows.mapInArrow(_signature_rows(bitmap, bits), SIGNATURES), "jaccard-signatures")
 
-    nodes = table.filter("kind = 0").select("node", "doc_id", "n", "key")
+    nodes = table.filter("kind = 0").select("node", "doc_id", "tie", "n", "key")
     reps = nodes.filter("n > 0").groupBy("key", "n").agg(F.min("node").alias("rep"))
     nodes = written(nodes.join(reps, ["key", "n"], "left").withColumn("rep", F.coalesce("rep", "node")), "jaccard-nodes")
     met = table.filter("kind = 1").select("range", "node", "low", "place", "size").groupBy("range").applyInArrow(_meet, "a long, b long, members binary")
@@ -284,18 +285,36 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("list"), pa.array(arrays, pa.list_(pa.int64()))], names=["list", "nodes"])
 
 
+def _rooted(docs: DataFrame) -> DataFrame:
+    nodes, labels = classes_and_links(docs)
+    labels = labels.select(F.col("node").alias("rep"), "root")
+    return nodes.join(labels, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
+
 def join(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
-    nodes, labels = classes_and_links(docs)
-    rooted = nodes.join(labels.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    rooted = _rooted(docs)
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(names, "root").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their component, with all their columns.
+    """One document of each component, that with the smallest doc_id, with all its columns.
 
-    Rows that share this doc_id are copies of one document's row; one of those that are equal in all columns stays.
+    Rows that share id and text are told apart by nothing else, so one of them stays.
     """
-    first = join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi").dropDuplicates()
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
+    kept = written(_rooted(docs).groupBy("root").agg(F.min(first).alias("first")), "jaccard-kept")
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.tie").alias("kept_tie")).distinct()
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    tie = F.xxhash64("row.text")
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (tie == F.col("kept_tie"))
+    chosen = packed.join(kept, same)
+    # Ids that occur once need no second look; their rows are the bulk and are not sorted.
+    often = written(only(docs, repeated="doc_id").groupBy(F.col("repeated").cast("long").alias("repeated")).count().filter("count > 1"), "jaccard-repeated")
+    again = F.col("kept_id").eqNullSafe(F.col("repeated"))
+    single = chosen.join(often, again, "left_anti").select("row.*")
+    if often.isEmpty():
+        return single
+    place = F.row_number().over(Window.partitionBy("kept_id", "kept_tie").orderBy(F.xxhash64("row")))
+    return single.union(chosen.join(often, again, "left_semi").withColumn("place", place).filter("place = 1").select("row.*"))

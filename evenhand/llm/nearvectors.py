@@ -205,4 +205,4 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"),
     )
-    return named.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return named.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -368,19 +368,19 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row, spans = batch.column("row"), batch.column("spans").to_pylist()
+            fields = [row.field(i) for i in range(row.type.num_fields)]
+            names = [f.name for f in row.type]
             texts = [
                 None if text is None else kept_bytes(text.encode(), own)[0].decode(errors="ignore") if own else text
-                for text, own in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())
+                for text, own in zip(fields[names.index("text")].to_pylist(), spans)
             ]
-            row = batch.column("row")
-            fields = [row.field(i) for i in range(row.type.num_fields)]
-            names = [f.name for f in row.type]
-            changed = pa.array([bool(own) for own in batch.column("spans").to_pylist()], pa.bool_())
+            changed = pa.array([bool(own) for own in spans], pa.bool_())
             fields[names.index("text")] = pa.array(texts, pa.string())
             if "n_chars" in names:
                 counted = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(row.type.field("n_chars").type)
                 fields[names.index("n_chars")] = pa.compute.if_else(changed, counted, fields[names.index("n_chars")])
-            gone = pa.array([bool(own) and not t for t, own in zip(texts, batch.column("spans").to_pylist())], pa.bool_())
+            gone = pa.array([bool(own) and not t for t, own in zip(texts, spans)], pa.bool_())
             yield pa.record_batch(fields, names=names).filter(pa.compute.invert(gone))
 
-    return none.select("row.*").union(some.select("row", "text", "spans").mapInArrow(cut, docs.schema))
+    return none.select("row.*").union(some.select("row", "spans").mapInArrow(cut, docs.schema))
