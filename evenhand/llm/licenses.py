@@ -26,15 +26,15 @@ from evenhand.llm.license_texts import NOTICES, TEXTS
 COPYRIGHT_LINE = r"(?m)^[ \t/*#;-]*((copyright|©|\(c\))[^\n]*([0-9]{4}|\(c\)|©)[^\n]*|all rights reserved\.?[ \t]*)$"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‐-―‘-‟«»©®™]+"
 
-#: Equivalent spellings, in canonical (lower case, single-spaced) text.
+#: Equivalent spellings, in canonical (lower case, single-spaced) text. Words end at a space or at the end.
 SPELLINGS = [
     (r"licenc", "licens"),
-    (r"([a-z]{3})is(e|ed|es|ing|ation|ations|er|ers)\b", r"$1iz$2"),
-    (r"([a-z]{2})our(s|ed|ing|able|ite)?\b", r"$1or$2"),
+    (r"([a-z]{3})is(e|ed|es|ing|ation|ations|er|ers)( |$)", r"$1iz$2$3"),
+    (r"([a-z]{2})our(s|ed|ing|able|ite|)( |$)", r"$1or$2$3"),
     (r"acknowledgement", "acknowledgment"),
-    (r"([a-z]{2}[aeiou])ll(ed|ing|er)\b", r"$1l$2"),
-    (r"\bnon commercial", "noncommercial"),
-    (r"\bsub licens", "sublicens"),
+    (r"([a-z]{2}[aeiou])ll(ed|ing|er)( |$)", r"$1l$2$3"),
+    (r"(^| )non commercial", r"$1noncommercial"),
+    (r"(^| )sub licens", r"$1sublicens"),
     (r"https", "http"),
 ]
 NOTICE_MARK = "licen"

@@ -46,12 +46,12 @@ BANDS_BY_SCRIPT = {
     "Greek": ((0.7, 5.0), 0.40, 2.0),
     "Arabic": ((0.7, 5.0), 0.40, 2.0),
     "Hebrew": ((0.7, 5.0), 0.40, 2.0),
-    "Devanagari": ((0.4, 4.0), 0.90, 2.0),
-    "Han": ((0.3, 3.0), 0.90, 2.0),
-    "Hiragana": ((0.3, 3.0), 0.90, 2.0),
-    "Hangul": ((0.3, 3.0), 0.90, 2.0),
+    "Devanagari": ((0.2, 4.0), 0.90, 2.0),
+    "Han": ((0.2, 3.0), 0.90, 2.0),
+    "Hiragana": ((0.2, 3.0), 0.90, 2.0),
+    "Hangul": ((0.2, 3.0), 0.90, 2.0),
 }
-OTHER_BAND = ((0.25, 8.0), 1.0, 2.0)
+OTHER_BAND = ((0.2, 8.0), 1.0, 2.0)
 LEAST_TOKENS = 30
 LEAST_TOKENS_ENTROPY = 100
 SCRIPTS = {name: regex.compile(rf"\p{{Script={name}}}") for name in BANDS_BY_SCRIPT}
