@@ -11,10 +11,12 @@ passage in many documents) are thus never made; rare tokens have short lists.
    frequent or not (a bitmap of fixed size; a wrong "frequent" costs work and no link).
 2. A second pass writes signatures, packed per hash range, and one row per document with its size and set digest.
    Equal sets are one class with one representative.
-3. Within a hash range equal signatures meet. Short lists give all pairs, long ones pairs with PIVOTS members, and
-   are kept. Pairs of classes are verified on whole sets and linked; links give components.
-4. Members of a kept list that lie in different components are paired with all others outside theirs, verified and
-   linked. After that every pair that shares a signature is verified or connected, so components are exact.
+3. Within a hash range equal signatures meet. Short lists give all pairs; in long ones, which are kept, each member is
+   paired with the first and with a random other. Pairs of classes are dropped if counts of their tokens by hash
+   bucket bound the overlap too low, else verified on whole sets and linked; links give components.
+4. A kept list that is not within one component is gone through once more: whoever is outside its largest part is
+   compared with all others in the list, in blocks. After that every pair that shares a signature is verified or
+   connected, so components are exact.
 
 Every range, list and pair is a row or a small group; copies of one text are dropped early in the task that reads them
 and once more as classes, so a group that holds a third of all rows costs as many rows, not pairs.
@@ -44,7 +46,8 @@ from evenhand.llm.shingles import mixed, shingle_set
 
 FREQUENT = 16  # a token in more prefixes than this is frequent
 SHORT_LIST = 16  # up to this length a list gives all its pairs
-PIVOTS = 4
+COUNTED = 1.5  # prefixes are counted so much further, as rare tokens are taken from there too
+BLOCK = 2048  # members of a list that are compared at once
 CLASS_TOKENS = 4  # frequent tokens of a document per class, at least about
 BITMAP_BITS = 26
 DOCS_AT_ONCE = 4096
@@ -84,6 +87,22 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def bucket_counts(tokens: np.ndarray) -> np.ndarray:
+    """Tokens per hash bucket, about one or two each; 255 stands for that many and more."""
+    bits = min(12, max(4, len(tokens).bit_length() - 1))
+    return np.minimum(np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def may_be_similar(left: np.ndarray, right: np.ndarray, sizes: int) -> bool:
+    """Whether the overlap that bucket counts allow reaches the threshold for sets of together so many tokens."""
+    if left.max() == 255 or right.max() == 255:
+        return True
+    if len(left) < len(right):
+        left, right = right, left
+    left = left.reshape(len(right), -1).sum(axis=1)
+    return 7 * int(np.minimum(left, right).sum()) >= 3 * sizes
+
+
 def _key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
@@ -99,7 +118,7 @@ def _count_rows(bits: int):
                     key = _key(tokens)
                     if len(tokens) and key not in seen:
                         seen.add(key)
-                        parts.append(tokens[: differences(len(tokens)) + 1])
+                        parts.append(tokens[: int(COUNTED * (differences(len(tokens)) + 1))])
                 if parts:
                     yield packed_rows(np.concatenate(parts), bits)
                 if len(seen) > 500_000:
@@ -108,12 +127,12 @@ def _count_rows(bits: int):
     return run
 
 
-SIGNATURES = "kind int, doc_id long, tie long, node long, n int, key binary, range int, low binary, place binary, size binary"
+SIGNATURES = "kind int, doc_id long, tie long, node long, n int, key binary, counts binary, range int, low binary, place binary, size binary"
 
 
 def _signature_rows(bitmap, bits: int):
     names = [c.split()[0] for c in SIGNATURES.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -126,7 +145,7 @@ def _signature_rows(bitmap, bits: int):
                 for place, text in enumerate(part.column("text").to_pylist()):
                     tokens = shingle_set(text)
                     key = _key(tokens)
-                    rows.append((0, ids[place], ties[place], number + place, len(tokens), key, None, None, None, None))
+                    rows.append((0, ids[place], ties[place], number + place, len(tokens), key, bucket_counts(tokens).tobytes(), None, None, None, None))
                     if len(tokens) and key not in seen:
                         seen.add(key)
                         own = signatures(tokens, marked(bitmap.value, tokens >> np.uint64(64 - BITMAP_BITS)))
@@ -136,7 +155,7 @@ def _signature_rows(bitmap, bits: int):
                 if found:
                     all_places, all_sizes = np.concatenate(places), np.concatenate(sizes)
                     for where, at, low in split_ranges(np.concatenate(found), bits):
-                        rows.append((1, None, None, number, None, None, where, low.tobytes(), all_places[at].tobytes(), all_sizes[at].tobytes()))
+                        rows.append((1, None, None, number, None, None, None, where, low.tobytes(), all_places[at].tobytes(), all_sizes[at].tobytes()))
                 yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
                 number += 1 << 16
                 if len(seen) > 500_000:
@@ -168,9 +187,11 @@ def _meet(table: pa.Table) -> pa.Table:
     for step in range(1, min(SHORT_LIST, int(length.max(initial=0)))):
         left = np.flatnonzero((many <= SHORT_LIST) & (place - start + step < many))
         add(left, left + step)
-    for pivot in range(PIVOTS):
-        right = np.flatnonzero((many > SHORT_LIST) & (place - start > pivot))
-        add(start[right] + pivot, right)
+    if (length > SHORT_LIST).any():
+        add(start[(many > SHORT_LIST) & (place > start)], np.flatnonzero((many > SHORT_LIST) & (place > start)))
+        shuffled = np.lexsort((mixed(node.astype(np.uint64) * PAIR[0] ^ low.astype(np.uint64) * PAIR[1]), low))
+        left = np.flatnonzero((many > SHORT_LIST) & (place > start))
+        add(shuffled[left - 1], shuffled[left])
     found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
     lists = {}
     for at, n in zip(first[length > SHORT_LIST], length[length > SHORT_LIST]):
@@ -201,7 +222,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     placed = rows.withColumn("place", lookup_place("doc_id"))
     found = placed.mapInArrow(run, "doc_id long, key binary, tokens binary").alias("s")
     same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("s.key") == F.col("w.key"))
-    return found.join(wanted.alias("w"), same).groupBy("node").agg(F.first("tokens").alias("tokens"))
+    return found.join(wanted.alias("w"), same).select("node", "tokens").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -229,6 +250,68 @@ def _near(left: str, right: str):
     return F.greatest(left, right) * 3 <= F.least(left, right) * 4
 
 
+def _bounded(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that bucket counts do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("left", "right", "sizes"))
+            keep = [may_be_similar(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), n) for x, y, n in zip(*columns)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = counts.select(F.col("node").alias("a"), F.col("counts").alias("left"), F.col("n").alias("n_a"))
+    right = counts.select(F.col("node").alias("b"), F.col("counts").alias("right"), F.col("n").alias("n_b"))
+    both = pairs.join(left, "a").join(right, "b").filter(_near("n_a", "n_b"))
+    return both.select("a", "b", "left", "right", (F.col("n_a") + F.col("n_b")).alias("sizes")).mapInArrow(run, "a long, b long")
+
+
+def _list_links(table: pa.Table) -> pa.Table:
+    """Links of a block of a list: its minor members against all members that are here, each in another component."""
+    nodes, roots = table.column("node").to_numpy(), table.column("root").to_numpy()
+    minor = table.column("minor").to_numpy(zero_copy_only=False)
+    sets = [np.frombuffer(b, dtype=np.uint64) for b in table.column("tokens").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    flat, number = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    a, b = [], []
+    for at in np.flatnonzero(minor):
+        here = np.zeros(len(flat), dtype=np.int64)
+        here[number[starts[at] : starts[at] + sizes[at]]] = 1
+        shared = np.add.reduceat(here[number], starts)
+        found = np.flatnonzero((roots != roots[at]) & (100 * shared >= 75 * (sizes + sizes[at] - shared)))
+        a += np.minimum(nodes[found], nodes[at]).tolist()
+        b += np.maximum(nodes[found], nodes[at]).tolist()
+        # Links within this block are joined at once, so that one of many between two components is enough.
+        for other in np.unique(roots[found]):
+            roots = np.where(roots == other, roots[at], roots)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _open_links(rows: DataFrame, nodes: DataFrame, lists: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Links that lists not within one component still hold; None if all lists are."""
+    labelled = lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = labelled.groupBy("list", "root").agg(F.count("*").alias("members"))
+    mixed_lists = parts.groupBy("list").agg(
+        F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts"), F.sum("members").alias("members"),
+        (F.sum("members") - F.max("members")).alias("minors"),
+    )
+    mixed_lists = written(mixed_lists.filter("parts > 1"), "jaccard-open")
+    if mixed_lists.isEmpty():
+        return None
+    inside = written(labelled.join(mixed_lists, "list"), "jaccard-inside")
+    wanted = nodes.filter("node = rep").select("node", "doc_id", "key").join(inside.select("node").distinct(), "node", "left_semi")
+    sets = _sets(rows, written(wanted, "jaccard-wanted"))
+    # Blocks of a list: each of its members in one, each of its minor members in all, those in groups of a block's size.
+    blocks, groups = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("members", "minors"))
+    is_minor = F.col("root") != F.col("main")
+    own, group = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.pmod(F.xxhash64("node", F.lit("group")), groups).cast("int")
+    numbers = lambda n: F.sequence(F.lit(0), n - 1)
+    as_member = inside.select("list", "node", "root", F.lit(False).alias("minor"), own.alias("block"), F.explode(numbers(groups)).alias("group"))
+    as_minor = inside.filter(is_minor).select("list", "node", "root", F.lit(True).alias("minor"), F.explode(numbers(blocks)).alias("block"), group.alias("group"))
+    members = as_member.union(as_minor).groupBy("list", "block", "group", "node", "root").agg(F.max("minor").alias("minor"))
+    return members.join(sets, "node").groupBy("list", "block", "group").applyInArrow(_list_links, "a long, b long").distinct()
+
+
 def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows as (node, doc_id, tie, n, rep), tie a hash of the text, and the labels (node, root) of representatives that have links."""
     spark = docs.sparkSession
@@ -246,36 +329,25 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = written(met, "jaccard-candidates")
 
     rep_of = nodes.select("node", "rep", "n")
-    left, right = (rep_of.select(F.col("node").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    pairs = met.filter("b IS NOT NULL").select("a", "b").distinct().join(left, "a").join(right, "b").filter((F.col("rep_a") != F.col("rep_b")) & _near("n_a", "n_b"))
-    pairs = written(pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct(), "jaccard-pairs")
+    left, right = (rep_of.select(F.col("node").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
+    pairs = met.filter("b IS NOT NULL").select("a", "b").distinct().join(left, "a").join(right, "b").filter("rep_a != rep_b")
+    pairs = pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+    counts = table.filter("kind = 0 AND n > 0").select("node", "n", "counts")
+    pairs = written(_bounded(pairs, counts), "jaccard-pairs")
 
     member = F.explode(F.col("nodes")).alias("node")
     lists = met.filter("b IS NULL").select(F.col("a").alias("list"), "members").dropDuplicates(["list"]).mapInArrow(_unpack, "list long, nodes array<long>")
-    lists = lists.select("list", member).join(rep_of, "node").select("list", F.col("rep").alias("node"), "n").distinct()
+    lists = lists.select("list", member).join(rep_of, "node").select("list", F.col("rep").alias("node")).distinct()
     lists = written(lists, "jaccard-lists")
 
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(lists.select("node")).distinct()
+    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = nodes.filter("node = rep").select("node", "doc_id", "key").join(named, "node", "left_semi")
     sets = written(_sets(rows, written(wanted, "jaccard-wanted")), "jaccard-sets")
     links = written(_verified(pairs, sets), "jaccard-links")
     labels = written(components(links), "jaccard-labels")
-
-    # Lists that are not yet within one component: whoever is outside a list's largest part meets all others in it.
-    labelled = lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = labelled.groupBy("list", "root").agg(F.count("*").alias("members"))
-    open_lists = written(
-        parts.groupBy("list").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts")).filter("parts > 1"),
-        "jaccard-open",
-    )
-    if not open_lists.isEmpty():
-        inside = written(labelled.join(open_lists, "list"), "jaccard-inside")
-        minor = inside.filter("root != main").select("list", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x"))
-        others = inside.select("list", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("root_y"))
-        more = minor.join(others, "list").filter((F.col("root_x") != F.col("root_y")) & _near("n_x", "n_y"))
-        more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        links = written(links.union(_verified(more, sets)), "jaccard-links")
-        labels = components(links)
+    more = _open_links(rows, nodes, lists, labels)
+    if more is not None:
+        labels = written(components(links.union(written(more, "jaccard-links"))), "jaccard-labels")
     return nodes, labels
 
 
