@@ -43,6 +43,7 @@ COLUMNS = 2 * LENGTH - ANCHOR  # of a stretch, from LENGTH - ANCHOR before its a
 LEFT = LENGTH - ANCHOR
 BITMAP_BITS = 27
 SLICE = 1 << 19
+AT_ONCE = 4 << 20  # bytes of text whose rows are made at once
 IN_MEMORY = 256 << 20
 POSITION = np.uint64(0xFFFFFF)
 
@@ -119,6 +120,19 @@ def _long_safe(texts: list[bytes]) -> Iterator[tuple[int, int, Stretches]]:
             yield first, 0, Stretches(run)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about AT_ONCE bytes of text, at least a row each, and few enough rows for short numbers."""
+    sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(batch.column("text")).to_pylist()], dtype=np.int64)
+    start, size = 0, 0
+    for at, n in enumerate(sizes):
+        if at > start and (size + n > AT_ONCE or at - start >= 1 << 16):
+            yield batch.slice(start, at - start)
+            start, size = at, 0
+        size += n
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
 def _bytes(column: pa.Array) -> list[bytes]:
     return [b"" if text is None else text.encode() for text in column.to_pylist()]
 
@@ -126,9 +140,9 @@ def _bytes(column: pa.Array) -> list[bytes]:
 def _anchor_rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
+            for part in _parts(batch):
                 found, docs = [], []
-                for first, _, stretches in _long_safe(_bytes(batch.column("text").slice(start, 4096))):
+                for first, _, stretches in _long_safe(_bytes(part.column("text"))):
                     found.append(stretches.hash)
                     docs.append(stretches.doc + first)
                 if not found:
@@ -175,8 +189,7 @@ def _spans_by_document(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> I
 def _stretch_rows(bitmap, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
+            for part in _parts(batch):
                 rows = _batch_stretches(part, bitmap.value, bits)
                 if rows:
                     yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), KINDS)], names=NAMES)
