@@ -174,7 +174,9 @@ def _rounded(where: str, pick: str) -> str:
     return f"""{WITH_PREDICTED}, means AS (
       SELECT income_category, count(*) AS trips, {sb('avg(trip_distance)', 2)} AS avg_dist,
         {sb('avg(fare_amount)', 2)} AS actual, {sb('avg(predicted_fare_baseline)', 2)} AS baseline,
-        {sb('avg(predicted_fare_fair)', 2)} AS fair
+        {sb('avg(predicted_fare_fair)', 2)} AS fair,
+        {sb('avg(predicted_fare_baseline - fare_amount)', 2)} AS baseline_avg_error,
+        {sb('avg(predicted_fare_fair - fare_amount)', 2)} AS fair_avg_error
       FROM predicted WHERE {where} GROUP BY 1),
     rounded AS (SELECT *, {pct('baseline')} AS baseline_oc_pct, {pct('fair')} AS fair_oc_pct FROM means)
     {pick}"""
@@ -191,7 +193,7 @@ def _tests(equal_var: bool) -> str:
       SELECT income_category AS g, count(baseline_error) AS n, avg(baseline_error) AS m, var_samp(baseline_error) AS v
       FROM predicted GROUP BY 1)
     SELECT a.g || '_vs_' || b.g AS test, a.n AS n_a, b.n AS n_b, {sr(f'(a.m - b.m) / {error}', 4)} AS t_stat,
-      {sr(freedom, 2)} AS df, {sr('(a.m - b.m) / sqrt((a.v + b.v) / 2)', 4)} AS cohens_d
+      {sr(freedom, 2)} AS df, {sr('(a.m - b.m) / sqrt((a.v + b.v) / 2)', 4)} AS cohens_d, TRUE AS enough_rows
     FROM m a JOIN m b ON a.g = 'low' AND b.g IN ('high', 'medium') WHERE a.n > 30 AND b.n > 30"""
 
 
@@ -232,7 +234,7 @@ def _individual(sample: int | None, tol: float) -> str:
     return f"{WITH_PREDICTED}, {_pairs(sample, tol)} {one('baseline', 'db')} UNION ALL {one('fair', 'df')}"
 
 
-COMPARED = f"""{WITH_PREDICTED}, {SCORES}, {_pairs(5000, 0.1)},
+COMPARED = f"""{WITH_PREDICTED}, {SCORES}, {_pairs(None, 0.1)},
 three AS (
   SELECT 'demographic_parity' AS metric, model, stddev_samp(mean_prediction) AS score FROM scores GROUP BY model
   UNION ALL SELECT 'equalized_odds', model, stddev_pop(rmse) FROM scores GROUP BY model
@@ -291,16 +293,37 @@ def _improvement() -> str:
         CAST(CASE WHEN abs(b) > 0.1 THEN {gain} ELSE 0 END AS BIGINT) AS improvement_pct FROM p"""
 
 
+def _p_values(error: str) -> str:
+    """Welch's t and its two-sided p: Simpson's rule over the density from 0 to |t|."""
+    return f"""m AS (
+        SELECT income_category AS g, count(*) AS n, avg({error}) AS m, var_samp({error}) AS v FROM predicted GROUP BY 1),
+      w AS (SELECT a.g || '_vs_' || b.g AS test, (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) AS t, (a.m - b.m) / sqrt((a.v + b.v) / 2) AS d,
+          power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)) AS f
+        FROM m a JOIN m b ON a.g = 'low' AND b.g IN ('high', 'medium') WHERE a.n > 30 AND b.n > 30),
+      s AS (SELECT test, t, d, f, sum((CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+          * power(1 + power(abs(t) * i / 4000, 2) / f, -(f + 1) / 2)) * abs(t) / 12000 AS area
+        FROM w, range(4001) AS steps(i) GROUP BY test, t, d, f),
+      p AS (SELECT test, t, d, greatest(0, 1 - 2 * area * exp(lgamma((f + 1) / 2) - lgamma(f / 2)) / sqrt(f * pi())) AS p FROM s)"""
+
+
 def _reports() -> dict[str, str]:
     low = "income_category = 'low'"
     high = "income_category = 'high'"
-    pick = f"""SELECT max(baseline_oc_pct) FILTER ({low}) AS low_pct, max(baseline_oc_pct) FILTER ({high}) AS high_pct,
+    shown = []
+    for test in ("low_vs_high", "low_vs_medium"):
+        values = {
+            "t_stat": sr("t", 4), "p_value": sr("p", 6), "cohens_d": sr("d", 4), "significant": "p < 0.05", "enough_rows": "TRUE",
+            "effect_size": "CASE WHEN abs(d) > 0.8 THEN 'large' WHEN abs(d) > 0.5 THEN 'medium' ELSE 'small' END",
+        }
+        shown += [f"(SELECT {sql} FROM p WHERE test = '{test}') AS {test}_{name}" for name, sql in values.items()]
+    pick = f""", {_p_values('baseline_error')} SELECT max(baseline_oc_pct) FILTER ({low}) AS low_pct, max(baseline_oc_pct) FILTER ({high}) AS high_pct,
       max(fair_oc_pct) FILTER ({low}) AS fair_low_pct,
       {r(f'max(baseline_oc_pct) FILTER ({low}) - max(baseline_oc_pct) FILTER ({high})', 9)} AS bias_pp,
       (SELECT {sr(f'avg(baseline_error) FILTER ({low})', 4)} FROM predicted) AS overcharge_per_trip,
-      (SELECT {sr(f'(avg(baseline_error) FILTER ({low}) - avg(baseline_error) FILTER ({high}))'
-                  f' / sqrt((var_samp(baseline_error) FILTER ({low}) + var_samp(baseline_error) FILTER ({high})) / 2)', 4)}
-       FROM predicted) AS low_vs_high_d FROM rounded"""
+      (SELECT {sr(f"count(*) FILTER ({low}) * ({ANNUAL} / count(*))", 0)} FROM predicted) AS annual_trips,
+      (SELECT {sr(f"count(*) FILTER ({low}) * ({ANNUAL} / count(*)) * avg(baseline_error) FILTER ({low})", 0)} FROM predicted) AS annual_usd,
+      {', '.join(shown)}
+      FROM rounded"""
     return {"bias_report": _rounded("TRUE", pick)}
 
 
@@ -315,8 +338,9 @@ ORACLES: dict[str, str] = {
     "clean_variant_wide_box": f"""{RAW} SELECT h, fare_amount, trip_distance, pickup_latitude, pickup_longitude FROM priced
       WHERE fare_amount >= 2.5 AND fare_amount <= 500 AND trip_distance > 0 AND trip_distance <= 100
       AND pickup_longitude BETWEEN -74.5 AND -73.5 AND pickup_latitude BETWEEN {dbl(40.4)} AND 41""",
-    "typed_normalise": f"""{RAW} SELECT h, CAST(CASE WHEN h % 13 <> 0 AND h % 17 <> 0 THEN passenger_count END AS INTEGER)
-        AS passenger_count, CASE WHEN h % 19 <> 0 THEN {r('fare_amount', 6)} END AS fare_amount,
+    "typed_normalise": f"""{RAW} SELECT h, CAST(CASE WHEN h % 13 <> 0 AND h % 17 <> 0 AND h % 23 <> 0
+          THEN passenger_count END AS INTEGER) AS passenger_count,
+        CASE WHEN h % 19 = 0 OR h % 29 = 0 THEN NULL WHEN h % 31 = 0 THEN 25 ELSE {r('fare_amount', 6)} END AS fare_amount,
         {r('pickup_latitude', 6)} AS pickup_latitude,
         CASE WHEN h % 7 <> 0 THEN store_and_fwd_flag END AS store_and_fwd_flag FROM priced""",
     "trip_features": f"""{WITH_FEATURES} SELECT h, trip_duration_minutes, speed_mph, hour_of_day, day_of_week,
@@ -391,7 +415,7 @@ ORACLES: dict[str, str] = {
     "top10_neighborhood_overcharge": f"""{WITH_PREDICTED} SELECT neighborhood, borough, count(*) AS trips,
         {mean('predicted_fare_baseline - fare_amount')} AS avg_overcharge FROM predicted GROUP BY 1, 2
       ORDER BY avg_overcharge DESC, neighborhood, borough LIMIT 10""",
-    "expensive_trip_count": f"{WITH_CLEAN} SELECT count(*) AS trips FROM clean WHERE fare_amount > 50",
+    "expensive_trip_count": f"{WITH_CLEAN} SELECT count(*) AS trips FROM clean WHERE fare_amount > 100",
     "sample_rows": f"""{WITH_ENRICHED} SELECT trip_id, fare_amount, trip_distance, borough, neighborhood, median_income,
         income_category FROM enriched
       ORDER BY trip_id, fare_amount, trip_distance, neighborhood LIMIT 10""",
@@ -418,7 +442,7 @@ ORACLES: dict[str, str] = {
         {sr(OC['fair'], 1)} AS fair_overcharge_pct FROM predicted GROUP BY 1""",
     "bias_round_first": _rounded("TRUE", "SELECT * FROM rounded"),
     "controlled_round_first": _rounded(
-        "trip_distance >= 4.5 AND trip_distance <= 5.5", "SELECT * FROM rounded WHERE (SELECT sum(trips) FROM rounded) >= 100"),
+        "trip_distance >= 4.5 AND trip_distance <= 5.5", "SELECT *, (SELECT sum(trips) FROM rounded) >= 100 AS enough_rows FROM rounded"),
     "low_high_gap": _rounded(
         "trip_distance >= 4.5 AND trip_distance <= 5.5",
         f""", sides AS (SELECT max(baseline) FILTER (income_category = 'low') AS low_value,
@@ -444,29 +468,21 @@ ORACLES: dict[str, str] = {
     # statistics and fairness
     "welch_t": _tests(False),
     "student_t": _tests(True),
-    "welch_p_value": f"""{WITH_PREDICTED}, m AS (
-        SELECT income_category AS g, count(*) AS n, avg(fair_error) AS m, var_samp(fair_error) AS v FROM predicted GROUP BY 1),
-      w AS (SELECT a.g || '_vs_' || b.g AS test, (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) AS t,
-          power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)) AS f
-        FROM m a JOIN m b ON a.g = 'low' AND b.g IN ('high', 'medium') WHERE a.n > 30 AND b.n > 30),
-      -- Simpson's rule over the density from 0 to |t|
-      s AS (SELECT test, t, f, sum((CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
-          * power(1 + power(abs(t) * i / 4000, 2) / f, -(f + 1) / 2)) * abs(t) / 12000 AS area
-        FROM w, range(4001) AS steps(i) GROUP BY test, t, f),
-      p AS (SELECT test, t, 1 - 2 * area * exp(lgamma((f + 1) / 2) - lgamma(f / 2)) / sqrt(f * pi()) AS p FROM s)
+    "welch_p_value": f"""{WITH_PREDICTED}, {_p_values('fair_error')}
       SELECT test, {sr('t', 6)} AS t_stat, {sr('p', 6)} AS p_value, p < 0.05 AS significant, p < 0.001 AS highly_significant
       FROM p""",
     "cohens_d": f"""WITH x AS ({_tests(False)}) SELECT test, cohens_d, CASE WHEN abs(cohens_d) > 0.8 THEN 'large'
         WHEN abs(cohens_d) > 0.5 THEN 'medium' ELSE 'small' END AS effect_size FROM x""",
     "demographic_parity": f"""{WITH_PREDICTED}, {SCORES} SELECT model, {sr('stddev_pop(mean_prediction)', 6)} AS score_pop,
         {sr('stddev_samp(mean_prediction)', 6)} AS score, {_grade('stddev_samp(mean_prediction)', 0.5, 1.5)} AS interpretation,
-        {sr("max(mean_prediction) FILTER (g = 'low')", 6)} AS low_mean FROM scores GROUP BY 1""",
+        {', '.join(sr(f"max(mean_prediction) FILTER (g = '{g}')", 6) + f" AS {g}_mean" for g in ("low", "medium", "high"))} FROM scores GROUP BY 1""",
     "dp_pairwise_ratio": f"""{WITH_PREDICTED}, {SCORES} SELECT a.model, a.g AS group_a, b.g AS group_b,
         {sr('a.mean_prediction / b.mean_prediction', 6)} AS ratio FROM scores a JOIN scores b ON a.model = b.model AND a.g < b.g""",
     "equalized_odds": f"""{WITH_PREDICTED}, {SCORES} SELECT model, {sr('stddev_pop(rmse)', 6)} AS score,
         {sr('max(rmse) / min(rmse)', 6)} AS disparity_ratio, {_grade('stddev_pop(rmse)', 0.3, 1.0)} AS interpretation,
-        {sr("max(rmse) FILTER (g = 'low')", 6)} AS low_rmse FROM scores GROUP BY 1""",
-    "individual_fairness": _individual(5000, 0.1),
+        {', '.join(sr(f"max(rmse) FILTER (g = '{g}')", 6) + f" AS {g}_rmse" for g in ("low", "medium", "high"))} FROM scores GROUP BY 1""",
+    "individual_fairness": _individual(None, 0.1),
+    "individual_fairness_sampled": _individual(5000, 0.1),
     "individual_fairness_full": _individual(None, 0.1),
     "individual_fairness_wide_band": _individual(None, 0.6),
     "violation_examples": f"""{WITH_PREDICTED}, {_pairs(None, 0.1)} SELECT trip_id, distance, {sr('pb', 6)} AS low_pred,
@@ -503,12 +519,26 @@ ORACLES: dict[str, str] = {
         {sr('sum(trip_distance)', 2)} AS distance_sum FROM priced""",
     "stream_borough_counts": f"""{WITH_PLACED} SELECT coalesce(found, 'Unknown') AS borough, count(*) AS trips
       FROM placed GROUP BY 1""",
+    "stream_totals_batches": f"""{RAW} SELECT count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum,
+        {sr('sum(trip_distance)', 2)} AS distance_sum FROM priced""",
+    "stream_borough_batches": f"""{WITH_PLACED} SELECT coalesce(found, 'Unknown') AS borough, count(*) AS trips
+      FROM placed GROUP BY 1""",
     "stream_latest20": f"""{WITH_PLACED} SELECT tpep_pickup_datetime AS pickup, fare_amount AS fare, trip_distance AS distance,
         passenger_count AS passengers, coalesce(found, 'Unknown') AS borough, h FROM placed
       ORDER BY pickup DESC, h DESC, fare DESC NULLS LAST, distance DESC LIMIT 20""",
-    "stream_snapshot": f"""{WITH_PLACED} SELECT count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum,
-        {sr('sum(trip_distance)', 2)} AS distance_sum, count(*) FILTER (found = 'Queens') AS queens,
+    "stream_snapshot": f"""{WITH_PLACED}, b AS (SELECT coalesce(found, 'Unknown') AS borough, count(*) AS n FROM placed GROUP BY 1)
+      SELECT count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum,
+        {sr('sum(trip_distance)', 2)} AS distance_sum, (SELECT '{{' || string_agg('"' || borough || '":' || n, ',' ORDER BY borough) || '}}' FROM b) AS boroughs,
+        (SELECT CAST(count(*) AS DOUBLE) FROM placed GROUP BY tpep_pickup_datetime ORDER BY tpep_pickup_datetime DESC LIMIT 1 OFFSET 1)
+          AS messages_per_sec,
         CAST(5 AS INTEGER) AS shown, max(tpep_pickup_datetime) AS last_pickup FROM placed""",
+    "stream_reset": f"""{RAW}, t AS (SELECT 'before' AS step, * FROM priced UNION ALL SELECT 'after', * FROM priced WHERE passenger_count > 5)
+      SELECT step, count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum, {sr('sum(trip_distance)', 2)} AS distance_sum
+      FROM t GROUP BY step UNION ALL SELECT 'reset', 0, NULL, NULL""",
+    "enriched_with_predictions": f"""{WITH_PREDICTED}, i AS (SELECT trip_id, avg(predicted_fare_baseline) AS b, avg(predicted_fare_fair) AS f
+        FROM predicted GROUP BY 1)
+      SELECT e.trip_id, e.fare_amount, e.income_category, {sr('b', 6)} AS predicted_fare_baseline, {sr('f', 6)} AS predicted_fare_fair
+      FROM enriched e LEFT JOIN i USING (trip_id)""",
     "stream_rate_per_second": """SELECT date_trunc('second', ts) AS window_start, count(*) AS messages,
         CAST(count(*) AS DOUBLE) AS messages_per_sec FROM events GROUP BY 1""",
     **dict.fromkeys(

@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 INCOME = "income_category"
+INCOMES = ("low", "medium", "high")
 KEYS = ["trip_id"]
 NUMBERS = ["fare_amount", "trip_distance", "trip_duration_minutes", "speed_mph"]
 
@@ -71,12 +72,14 @@ def typed_normalise(spark, sf):
     h = F.col("h")
     text = fx.raw_trips(spark, sf).select(
         h.cast("string").alias("h"),
-        F.when(h % 13 == 0, "  ").when(h % 17 == 0, "n/a").otherwise(
-            F.concat(F.lit(" "), F.col("passenger_count").cast("double").cast("string"))
+        F.when(h % 13 == 0, " \t ").when(h % 17 == 0, "n/a").when(h % 23 == 0, "12d").otherwise(
+            F.concat(F.lit("\t "), F.col("passenger_count").cast("double").cast("string"), F.lit("\n"))
         ).alias("passenger_count"),
-        F.when(h % 19 == 0, "-").otherwise(F.col("fare_amount").cast("string")).alias("fare_amount"),
+        F.when(h % 19 == 0, "-").when(h % 29 == 0, "1.5f").when(h % 31 == 0, " +2.5e1\u00a0").otherwise(
+            F.col("fare_amount").cast("string")
+        ).alias("fare_amount"),
         F.col("pickup_latitude").cast("string").alias("pickup_latitude"),
-        F.when(h % 7 == 0, "").otherwise(F.concat(F.lit(" "), "store_and_fwd_flag", F.lit(" "))).alias("store_and_fwd_flag"),
+        F.when(h % 7 == 0, "\t").otherwise(F.concat(F.lit("\t"), "store_and_fwd_flag", F.lit(" \u00a0"))).alias("store_and_fwd_flag"),
     )
     return cleaning.type_fields(text).withColumn("h", F.col("h").cast("bigint"))
 
@@ -308,7 +311,7 @@ def top10_neighborhood_overcharge(spark, sf):
 
 @query
 def expensive_trip_count(spark, sf):
-    return fx.valid_trips(spark, sf).filter(F.col("fare_amount") > 50).agg(F.count(F.lit(1)).alias("trips"))
+    return fx.valid_trips(spark, sf).filter(F.col("fare_amount") > 100).agg(F.count(F.lit(1)).alias("trips"))
 
 
 @query
@@ -451,8 +454,8 @@ def _groups(spark, sf) -> DataFrame:
 @query
 def demographic_parity(spark, sf):
     table = fairness.demographic_parity(_groups(spark, sf))
-    table = table.withColumn("low_mean", F.col("group_means")["low"]).drop("group_means")
-    return rounded(table, 6, "score_pop", "score", "low_mean")
+    means = {f"{g}_mean": F.col("group_means")[g] for g in INCOMES}
+    return rounded(table.withColumns(means).drop("group_means"), 6, "score_pop", "score", *means)
 
 
 @query
@@ -463,8 +466,8 @@ def dp_pairwise_ratio(spark, sf):
 @query
 def equalized_odds(spark, sf):
     table = fairness.equalized_odds(_groups(spark, sf))
-    table = table.withColumn("low_rmse", F.col("group_rmse")["low"]).drop("group_rmse")
-    return rounded(table, 6, "score", "disparity_ratio", "low_rmse")
+    errors = {f"{g}_rmse": F.col("group_rmse")[g] for g in INCOMES}
+    return rounded(table.withColumns(errors).drop("group_rmse"), 6, "score", "disparity_ratio", *errors)
 
 
 def _individual(spark, sf, **choices) -> DataFrame:
@@ -478,19 +481,24 @@ def individual_fairness(spark, sf):
     return _individual(spark, sf)
 
 
+@query
+def individual_fairness_sampled(spark, sf):
+    return _individual(spark, sf, sample=5000)
+
+
 @query
 def individual_fairness_full(spark, sf):
-    return _individual(spark, sf, sample=None)
+    return _individual(spark, sf)
 
 
 @query
 def individual_fairness_wide_band(spark, sf):
-    return _individual(spark, sf, sample=None, tol=0.6)
+    return _individual(spark, sf, tol=0.6)
 
 
 @query
 def violation_examples(spark, sf):
-    pairs = fairness.partner_pairs(fx.predicted_trips(spark, sf), MODELS, KEYS, sample=None)
+    pairs = fairness.partner_pairs(fx.predicted_trips(spark, sf), MODELS, KEYS)
     return rounded(fairness.violation_examples(pairs, MODELS["baseline"], KEYS), 6, "low_pred", "high_pred", "diff")
 
 
@@ -520,10 +528,20 @@ def bias_report(spark, sf):
         summary["fair_low_overcharge_pct"].alias("fair_low_pct"),
         summary["bias_magnitude_pp"].alias("bias_pp"),
         C.steady_round(F.col("financial_impact")["avg_overcharge_per_trip"], 4).alias("overcharge_per_trip"),
-        C.steady_round(F.col("statistical_tests")["low_vs_high"]["cohens_d"], 4).alias("low_vs_high_d"),
+        C.steady_round(F.col("financial_impact")["affected_trips_annually"], 0).alias("annual_trips"),
+        C.steady_round(F.col("financial_impact")["total_annual_impact_usd"], 0).alias("annual_usd"),
+        *[shown for test in ("low_vs_high", "low_vs_medium") for shown in _shown_test(test)],
     )
 
 
+def _shown_test(test: str):
+    values = F.col("statistical_tests")[test]
+    for name, digits in (("t_stat", 4), ("p_value", 6), ("cohens_d", 4)):
+        yield C.steady_round(values[name], digits).alias(f"{test}_{name}")
+    for name in ("significant", "effect_size", "enough_rows"):
+        yield values[name].alias(f"{test}_{name}")
+
+
 # impact
 
 
@@ -578,6 +596,13 @@ def rf_simple_model(spark, sf):
     return models.regression_metrics(trained.score(), trained.predictions)
 
 
+@query
+def enriched_with_predictions(spark, sf):
+    trips = fx.enriched_trips(spark, sf).select("trip_id", "fare_amount", INCOME)
+    joined = enrich.with_predictions(trips, fx.predicted_trips(spark, sf), list(MODELS.values()))
+    return rounded(joined, 6, *MODELS.values())
+
+
 @query
 def hash_split_counts(spark, sf):
     train, test = sampling.hash_split(fx.raw_trips(spark, sf), ["h"])
@@ -643,11 +668,52 @@ def stream_totals(spark, sf):
 @query
 def stream_borough_counts(spark, sf):
     path = shared_path(spark, "boroughs")
-    places = _message_stream(spark, sf, "pickup_latitude", "pickup_longitude")
-    live.drain(live.publish(live.borough_counts(places), f"{path}/out", f"{path}/check"))
+    live.drain(live.publish(live.borough_counts(_line_stream(spark, sf)), f"{path}/out", f"{path}/check"))
     return live.published(spark, f"{path}/out")
 
 
+def _line_files(spark, sf, path: str) -> str:
+    """The lines as several files, for streams of several batches."""
+    fx.read_table(spark, sf, "lineitem").repartition(4).write.parquet(f"{path}/lines")
+    return f"{path}/lines"
+
+
+def _batches(spark, sf, path: str) -> DataFrame:
+    folder = _line_files(spark, sf, path)
+    return fx.trips_from_lines(live.stream_files(spark, folder, spark.read.parquet(folder).schema, "parquet", per_batch=1))
+
+
+@query
+def stream_totals_batches(spark, sf):
+    path = shared_path(spark, "totals")
+    live.drain(live.publish(live.totals(_batches(spark, sf, path)), f"{path}/out", f"{path}/check"))
+    return live.published(spark, f"{path}/out")
+
+
+@query
+def stream_borough_batches(spark, sf):
+    path = shared_path(spark, "boroughs")
+    counts = live.borough_counts(_batches(spark, sf, path))
+    live.drain(live.publish(counts, f"{path}/out", f"{path}/check", "update", keys=["borough"]))
+    return live.updated(spark, f"{path}/out", ["borough"])
+
+
+@query
+def stream_reset(spark, sf):
+    """Totals of a run of several batches, nothing after a reset, and the totals of the run that starts over."""
+    path = shared_path(spark, "reset")
+    trips = _batches(spark, sf, path)
+    live.drain(live.publish(live.totals(trips), f"{path}/out", f"{path}/check"))
+    first = written(live.published(spark, f"{path}/out").withColumn("step", F.lit("before")), "step")
+    checkpoint = live.reset(spark, f"{path}/out")
+    empty = live.published(spark, f"{path}/out").agg(F.count(F.lit(1)).alias("messages_consumed"))
+    empty = written(empty.withColumn("step", F.lit("reset")), "step")
+    late = trips.filter(F.col("passenger_count") > 5)
+    live.drain(live.publish(live.totals(late), f"{path}/out", checkpoint))
+    after = live.published(spark, f"{path}/out").withColumn("step", F.lit("after"))
+    return first.unionByName(empty, allowMissingColumns=True).unionByName(after)
+
+
 @query
 def stream_latest20(spark, sf):
     path = shared_path(spark, "latest")
@@ -666,10 +732,14 @@ def stream_snapshot(spark, sf):
         live.drain(live.publish(table, f"{path}/{name}", f"{path}/{name}-check"))
     shown = live.recent_view(trips, "h")
     live.drain(live.keep_latest(shown, ["pickup", "h", "fare", "distance"], f"{path}/latest", f"{path}/latest-check"))
-    row = live.snapshot(spark, f"{path}/totals", f"{path}/boroughs", f"{path}/latest")
+    timed = trips.withColumn("t", F.col("tpep_pickup_datetime").cast("timestamp"))
+    # ship dates span years and come in any order, so nothing may count as late
+    rates = live.rate(timed, "t", delay="20000 days")
+    live.drain(live.publish(rates, f"{path}/rate", f"{path}/rate-check", "update", keys=["window_start"]))
+    row = live.snapshot(spark, f"{path}/totals", f"{path}/boroughs", f"{path}/latest", f"{path}/rate")
     return row.select(
-        "messages_consumed", "fare_sum", "distance_sum",
-        F.col("borough_counts")["Queens"].alias("queens"),
+        "messages_consumed", "fare_sum", "distance_sum", "messages_per_sec",
+        F.to_json(F.map_from_entries(F.array_sort(F.map_entries("borough_counts")))).alias("boroughs"),
         F.size("recent_trips").alias("shown"),
         F.col("recent_trips")[0]["pickup"].alias("last_pickup"),
     )
@@ -682,7 +752,7 @@ def stream_rate_per_second(spark, sf):
     taken = live.stream_files(spark, f"{sf}/events.parque[t]", schema, "parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     # files come in any order, so the delay spans the whole month
     rates = live.rate(taken, "ts", delay="60 days")
-    live.drain(live.publish(rates, f"{path}/out", f"{path}/check", "update"))
+    live.drain(live.publish(rates, f"{path}/out", f"{path}/check", "update", keys=["window_start"]))
     table = live.updated(spark, f"{path}/out", ["window_start"])
     return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

@@ -97,15 +97,26 @@ def relative_gain(before: Column, after: Column) -> Column:
     return F.when(before > 0, F.try_divide(before - after, before) * 100.0).otherwise(F.lit(0.0))
 
 
+#: All white space that text tools strip, beyond the blank that SQL trims.
+BLANKS = r"[\s\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def text_value(raw: Column) -> Column:
-    """Trimmed text, null when blank."""
-    return F.nullif(F.trim(raw), F.lit(""))
+    """Text without white space around it, null when blank."""
+    return F.nullif(F.regexp_replace(raw, rf"^{BLANKS}|{BLANKS}$", ""), F.lit(""))
+
+
+def _number(raw: Column) -> Column:
+    """A decimal number; type suffixes, which a cast would read, make it no number."""
+    text = text_value(raw)
+    return F.when(text.rlike(NUMBER), text).try_cast("double")
 
 
 def text_to_int(raw: Column) -> Column:
     """Whole number read through a double, so "3.0" gives 3; null when it is none."""
-    return text_value(raw).try_cast("double").try_cast("int")
+    return _number(raw).try_cast("int")
 
 
 def text_to_double(raw: Column, digits: int = 6) -> Column:
-    return F.round(text_value(raw).try_cast("double"), digits)
+    return F.round(_number(raw), digits)

@@ -121,24 +121,35 @@ def model_frames(summary: DataFrame, models: Sequence[str] = ("baseline", "fair"
 def rounded_means_table(df: DataFrame, by: str, models: Mapping[str, str], extra: bool = True) -> DataFrame:
     """Overcharge computed from means already rounded to cents, ties to even.
 
-    This is what tabular reports print: the percentages can be checked by hand against the shown means.
+    This is what tabular reports print: the percentages can be checked by hand against the shown means. The mean
+    error stands beside them. Without ``extra`` the mean distance is left out.
     """
     means = {"avg_dist": F.avg(DISTANCE), "actual": F.avg(LABEL)}
     means |= {n: F.avg(p) for n, p in models.items()}
-    table = profile(df, [by], {n: C.steady_bround(m, 2) for n, m in means.items()}, "trips")
-    for name in models:
-        pct = C.overcharge_pct(F.col(name), F.col("actual"))
-        table = table.withColumn(f"{name}_oc_pct", C.steady_bround(pct, 1))
+    errors = {f"{n}_avg_error": C.steady_bround(F.avg(F.col(p) - F.col(LABEL)), 2) for n, p in models.items()}
+    table = with_rounded_overcharge(profile(df, [by], means | errors, "trips"), models)
+    table = table.withColumn("avg_dist", C.steady_bround(F.col("avg_dist"), 2))
     return table if extra else table.drop("avg_dist")
 
 
+def with_rounded_overcharge(groups: DataFrame, models: Mapping[str, str]) -> DataFrame:
+    """Round the group means ``actual`` and those of the models to cents and add the overcharge computed from them."""
+    groups = groups.withColumns({c: C.steady_bround(F.col(c), 2) for c in ("actual", *models)})
+    pct = {f"{n}_oc_pct": C.steady_bround(C.overcharge_pct(F.col(n), F.col("actual")), 1) for n in models}
+    return groups.withColumns(pct)
+
+
 def controlled_rounded(
     df: DataFrame, by: str, models: Mapping[str, str], target=5.0, tolerance=0.5, min_rows: int = 100
 ) -> DataFrame:
-    """Rounded-means table of comparable trips; empty when there are fewer than ``min_rows`` of them."""
+    """Rounded-means table of comparable trips; ``enough_rows`` says whether they are ``min_rows`` or more.
+
+    With fewer the means stay and the percentages are null.
+    """
     table = rounded_means_table(near_distance(df, target, tolerance), by, models)
     everything = Window.partitionBy(F.lit(0))  # over group rows only
-    return table.withColumn("_n", F.sum("trips").over(everything)).filter(F.col("_n") >= min_rows).drop("_n")
+    table = table.withColumn("enough_rows", F.sum("trips").over(everything) >= min_rows)
+    return table.withColumns({f"{n}_oc_pct": F.when(F.col("enough_rows"), F.col(f"{n}_oc_pct")) for n in models})
 
 
 def low_high_gap(table: DataFrame, by: str, column: str, low: str = "low", high: str = "high") -> DataFrame:

@@ -94,3 +94,13 @@ def mapped_share(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("trips"), F.count("zip").alias("mapped")).withColumn(
         "mapped_pct", F.round(F.try_divide(F.col("mapped"), F.col("trips")) * 100.0, 1)
     )
+
+
+def with_predictions(trips: DataFrame, predicted: DataFrame, predictions: list[str], key: str = "trip_id") -> DataFrame:
+    """Trips with their predictions, by equal ids; trips without one keep nulls.
+
+    Ids repeat where trips have the same content. Such trips have equal features, so their predictions are equal up
+    to rounding: each id's mean stands for all of them, and no trip is doubled.
+    """
+    per_id = predicted.groupBy(key).agg(*[F.avg(p).alias(p) for p in predictions])
+    return trips.join(per_id, key, "left")

@@ -76,15 +76,15 @@ def partner_pairs(
     distance: str = "trip_distance",
     tol: float = 0.1,
     max_pairs: int = 5,
-    sample: int | None = 5000,
+    sample: int | None = None,
     low: str = "low",
     high: str = "high",
     **band,
 ) -> DataFrame:
     """Low-group rows with up to ``max_pairs`` high-group rows of nearly the same distance, a row per pair.
 
-    ``sample`` draws that many rows first; None compares all. ``keys`` order rows and break ties. Values of
-    the partner carry the prefix ``high_``.
+    All rows are compared unless ``sample`` asks for a draw of that many first. ``keys`` order rows and break
+    ties. Values of the partner carry the prefix ``high_``.
     """
     columns = list(dict.fromkeys([*keys, group, distance, *models.values()]))
     rows = df.select(*columns)

@@ -31,6 +31,11 @@ def total(
         F.count_if(in_group).alias("group_rows"),
         F.avg(F.when(in_group, F.col(error))).alias("avg_overcharge"),
     )
+    return projected(sums, annual, sample_part)
+
+
+def projected(sums: DataFrame, annual: float = ANNUAL_TRIPS, sample_part: float = 1.0) -> DataFrame:
+    """Yearly figures from ``rows``, ``group_rows`` and ``avg_overcharge``."""
     trips = F.col("group_rows") * _scale(annual, sample_part)
     impact = trips * F.col("avg_overcharge")
     return sums.select(

@@ -2,129 +2,44 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FINAL_ROWS = 2_000_000
-SAMPLE_ROWS = 500_000
-MARGIN = 0.005
-MAX_ROUNDS = 12
+from evenhand.session import written
 
 
-@dataclass(frozen=True)
-class _Target:
-    """A wanted rank of one column and the closed value range known to hold it."""
-
-    column: str
-    rank: int
-    low: float = -math.inf
-    high: float = math.inf
-    below: int = 0
-    inside: int = 0
-    margin: float = MARGIN
-
-    def value(self) -> Column:
-        return F.col(self.column).cast("double")
-
-    def holds(self) -> Column:
-        return self.value().between(self.low, self.high)
-
-    def settled(self, final_rows: int) -> bool:
-        return self.low == self.high or self.inside <= final_rows
-
-    def spot(self) -> float:
-        """Where the rank lies among the rows in the range, from 0 to 1."""
-        return (self.rank - self.below) / max(self.inside - 1, 1)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float] = (0.25, 0.5, 0.75),
-    final_rows: int = FINAL_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Rows of ``column, n, prob, value`` with linear interpolation between neighbouring ranks; nulls ignored.
 
-    The built-in exact percentile gathers all distinct values of a column in one buffer. Here the range of values
-    around each wanted rank is narrowed first: a sample proposes a range, a count of all rows confirms that it
-    holds the rank, until few rows are left in it. Only those are put in order. Small inputs need no narrowing.
+    The input is read once, to count the rows of every distinct value. The counts are range-partitioned by column and
+    value; sums of the parts before and a running sum inside each part give every value its ranks. No part depends on
+    how many rows a value has, and no window sees more than a part.
     """
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    ranks = {
-        (c, p): (math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1)))
-        for c in columns for p in probs if counts[c]
-    }
-    targets = [_Target(c, k, inside=counts[c]) for c, k in sorted({(c, k) for (c, _), ks in ranks.items() for k in ks})]
-    for _ in range(MAX_ROUNDS):
-        if all(t.settled(final_rows) for t in targets):
-            break
-        targets = _narrow(df, targets, final_rows, sample_rows)
-    rows = [(c, counts[c], float(p), k1, k2, p * (counts[c] - 1) - k1) for (c, p), (k1, k2) in ranks.items()]
-    asked = df.sparkSession.createDataFrame(rows, "column string, n long, prob double, k1 long, k2 long, share double")
-    per_rank = _pick(df, targets).groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
-    low, high = F.col("at")[F.col("k1")], F.col("at")[F.col("k2")]
-    return asked.join(per_rank, "column").select("column", "n", "prob", (low + (high - low) * F.col("share")).alias("value"))
-
-
-def _narrow(df: DataFrame, targets: list[_Target], final_rows: int, sample_rows: int) -> list[_Target]:
-    """One round: propose a smaller range for every open target from a sample, keep it if a count confirms it."""
-    result = list(targets)
-    still_open = {i: t for i, t in enumerate(targets) if not t.settled(final_rows)}
-    samples = []
-    for i, t in still_open.items():
-        drawn = F.when(t.holds() & (F.col("_draw") < min(1.0, sample_rows / t.inside)), t.value())
-        cuts = [max(t.spot() - t.margin, 0.0), min(t.spot() + t.margin, 1.0)]
-        samples.append(F.percentile_approx(drawn, cuts, 100_000).alias(f"t{i}"))
-    proposed = df.withColumn("_draw", F.rand(0)).agg(*samples).first()
-    moved = {}
-    for i, t in still_open.items():
-        low, high = proposed[f"t{i}"] or (t.low, t.high)
-        # the outermost cuts of a sample need not reach the ends of the range
-        moved[i] = replace(t, low=low if t.spot() > t.margin else t.low, high=high if t.spot() < 1 - t.margin else t.high)
-    checks = []
-    for i, t in moved.items():
-        checks += [F.count_if(t.value() < t.low).alias(f"b{i}"), F.count_if(t.holds()).alias(f"i{i}")]
-    seen = df.agg(*checks).first()
-    for i, t in moved.items():
-        below, inside = seen[f"b{i}"], seen[f"i{i}"]
-        if below <= t.rank < below + inside:
-            result[i] = replace(t, below=below, inside=inside)
-        else:
-            result[i] = replace(targets[i], margin=t.margin * 4)
-    return result
-
-
-def _pick(df: DataFrame, targets: list[_Target]) -> DataFrame:
-    """Rows of ``column, rank, value``: order the values left in each range and take the one at the rank."""
-    ranges: dict[_Target, list[int]] = {}
-    for t in targets:
-        ranges.setdefault(replace(t, rank=0, margin=0.0), []).append(t.rank)
-    cells = [
-        F.struct(F.lit(i).alias("range"), F.when(t.holds(), t.value()).alias("value")) for i, t in enumerate(ranges)
-    ]
-    inside = reduce(Column.__or__, [t.holds() for t in ranges], F.lit(False))
-    kept = df.filter(inside).select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-    counted = kept.groupBy("range", "value").agg(F.count(F.lit(1)).alias("rows"))
-
-    def of_range(values: list) -> Column:
-        return F.get(F.array(*values), F.col("range"))
-
-    known = counted.select(
-        "range", "value", "rows",
-        of_range([F.lit(t.column) for t in ranges]).alias("column"),
-        of_range([F.lit(t.below).cast("bigint") for t in ranges]).alias("below"),
-        of_range([F.array(*[F.lit(k).cast("bigint") for k in ranks]) for ranks in ranges.values()]).alias("ranks"),
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+    counted = df.select(cells).filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    parted = counted.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id())
+    parted = written(parted, "value-counts")  # a part number holds only once it is written
+
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy("column")  # one row per column and part
+    parts = parted.groupBy("column", "part").agg(F.sum("rows").alias("in_part")).select(
+        "column", "part", F.coalesce(F.sum("in_part").over(before), F.lit(0)).alias("before"), F.sum("in_part").over(everything).alias("n")
+    )
+    inside = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = parted.withColumn("last", F.sum("rows").over(inside)).join(parts, ["column", "part"])
+    first, last = F.col("before") + F.col("last") - F.col("rows"), F.col("before") + F.col("last")
+
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
+    place = F.col("prob") * (F.col("n") - 1)
+    hit = ranked.select("column", "n", "value", first.alias("first"), last.alias("last"), wanted)
+    low, high = F.floor(place), F.ceil(place)
+    holds_low, holds_high = ((F.col("first") <= k) & (k < F.col("last")) for k in (low, high))
+    ends = hit.filter(holds_low | holds_high).groupBy("column", "n", "prob").agg(
+        F.max(F.when(holds_low, F.col("value"))).alias("low"), F.max(F.when(holds_high, F.col("value"))).alias("high")
     )
-    upto = Window.partitionBy("range").orderBy("value")
-    placed = known.withColumn("last", F.col("below") + F.sum("rows").over(upto)).withColumn("rank", F.explode("ranks"))
-    here = (F.col("last") - F.col("rows") <= F.col("rank")) & (F.col("rank") < F.col("last"))
-    return placed.filter(here).select("column", "rank", "value")
+    return ends.select("column", "n", "prob", (F.col("low") + (F.col("high") - F.col("low")) * (place - low)).alias("value"))
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

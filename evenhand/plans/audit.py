@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evenhand import schemas
 from evenhand.fixed_values import TripLimits
-from evenhand.operators import cleaning, disparity, enrich, fairness, lookup, models, reports, sampling
+from evenhand.operators import cleaning, disparity, enrich, lookup, models, reports
 from evenhand.session import build_session
 from evenhand.sources import files
 
 MODELS = {"baseline": "predicted_fare_baseline", "fair": "predicted_fare_fair"}
 INCOME = "income_category"
+FIT_PART = 0.8  # of the drawn trips
 
 
 @dataclass(frozen=True)
@@ -84,16 +85,17 @@ def add_income(spark: SparkSession, paths: Paths, out_files: int | None = None)
 
 
 def train(
-    spark: SparkSession, paths: Paths, fraction: float = 0.05, seed: int = 42, out_files: int | None = None
+    spark: SparkSession, paths: Paths, fraction: float = 0.05, out_files: int | None = None
 ) -> DataFrame:
-    """Enriched trips to models, predictions and group summaries; returns the models' errors."""
+    """Enriched trips to models, predictions and group summaries; returns the models' errors.
+
+    The forests grow on four fifths of a ``fraction`` of the trips, drawn by their ids. Predictions cover every
+    trip that they did not see, so later reports stand on all trips but those few.
+    """
     trips = files.read_parquet(spark, paths.enriched)
-    drawn = sampling.bernoulli(trips, fraction, seed) if fraction < 1.0 else trips
-    trained = models.train(drawn, ["trip_id"])
-    trained.hold()
+    trained = models.train(trips, ["trip_id"], train_part=FIT_PART * fraction)
     trained.save(paths.models)
     files.write_parquet(trained.score().select(*schemas.PREDICTIONS.fieldNames()), paths.predictions)
-    trained.release()
     files.write_small_csv(trained.importances(spark), f"{paths.models}/importances")
 
     predicted = files.read_parquet(spark, paths.predictions)
@@ -112,12 +114,12 @@ def detect_bias(spark: SparkSession, paths: Paths) -> DataFrame:
     return table
 
 
-def measure_fairness(spark: SparkSession, paths: Paths, sample: int | None = 5000) -> DataFrame:
-    """Predictions to the fairness report; returns the improvement per metric."""
+def measure_fairness(spark: SparkSession, paths: Paths, sample: int | None = None) -> DataFrame:
+    """Predictions to the fairness report; returns the improvement per metric, read from the written report."""
     predicted = files.read_parquet(spark, paths.predictions)
     report = reports.with_comparison(reports.fairness_report(predicted, MODELS, ["trip_id"], sample=sample))
     files.write_report_json(report, f"{paths.fairness}/report")
-    return fairness.compare_models(fairness.all_scores(predicted, MODELS, ["trip_id"], sample=sample))
+    return reports.comparison_rows(spark.read.json(f"{paths.fairness}/report"))
 
 
 STAGES = {

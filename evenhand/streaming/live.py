@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,40 +73,101 @@ def rate(trips: DataFrame, time: str, width: str = "1 second", delay: str = "10
 
 
 SLOTS = 16
+COMPACT = 64
+POINTER = "run string, started double, batch long, base long"
 
 
-def _store(table: DataFrame, path: str, number: int, slots: int | None) -> None:
-    """Write a batch's rows with its number. A repeated batch replaces itself; slots are used in turn."""
-    folder = number % slots if slots else number
-    table.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/slot={folder}")
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Small rows about a live table, or none where nothing was written yet."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def _run(spark: SparkSession, path: str, checkpoint: str) -> tuple[str, float]:
+    """The run that a checkpoint belongs to. A restart goes on with its run; a new checkpoint starts a new one."""
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    started = _table(spark, f"{path}/runs", "run string, started double").filter(F.col("run") == name).agg(F.max("started")).first()[0]
+    if started is None:
+        started = time.time()
+        spark.createDataFrame([(name, started)], "run string, started double").coalesce(1).write.mode("append").parquet(f"{path}/runs")
+    return name, started
+
+
+def reset(spark: SparkSession, path: str) -> str:
+    """Start the counters of a live table over: readers see no rows until a query publishes with the new checkpoint.
+
+    Returns that checkpoint's path. A stream read with it begins where its source says; old runs stay where they are.
+    """
+    checkpoint = f"{path}/checkpoints/{uuid.uuid4().hex}"
+    _run(spark, path, checkpoint)
+    return checkpoint
+
+
+def _point(spark: SparkSession, path: str, run: tuple[str, float], batch: int, base: int) -> None:
+    """Tell readers about a batch that is wholly written. Pointers take turns in a fixed number of places."""
+    row = spark.createDataFrame([(*run, batch, base)], POINTER).coalesce(1)
+    row.write.mode("overwrite").parquet(f"{path}/pointers/{run[0]}/place={batch % SLOTS}")
+
+
+def _pointer(spark: SparkSession, path: str):
+    """The newest run, with its newest batch if it has one."""
+    run = _table(spark, f"{path}/runs", "run string, started double").orderBy(F.desc("started")).first()
+    if run is None:
+        return None, None
+    places = _table(spark, f"{path}/pointers/{run['run']}", POINTER)
+    return run["run"], places.orderBy(F.desc("batch")).first()
 
 
 def publish(
-    table: DataFrame, path: str, checkpoint: str, mode: str = "complete", every: str | None = None, slots: int | None = None
+    table: DataFrame, path: str, checkpoint: str, mode: str = "complete", every: str | None = None, keys: Sequence[str] = ()
 ) -> StreamingQuery:
     """Write a live table after each batch: all of it in complete mode, the changed rows in update mode.
 
-    Complete tables reuse a fixed number of slots. Changed rows are all kept, unless ``slots`` says how many
-    batches back readers look.
+    Readers follow a pointer that is written after its batch, within the newest run. Complete tables take turns in a
+    fixed number of folders. Changed rows are all kept; with ``keys`` they are merged from time to time, so that
+    readers open at most COMPACT folders.
     """
-    kept = slots or (SLOTS if mode == "complete" else None)
+    spark = table.sparkSession
+    run = _run(spark, path, checkpoint)
+    folder = f"{path}/data/{run[0]}"
+
+    def store(batch: DataFrame, number: int) -> None:
+        place, base = (number % SLOTS if mode == "complete" else number), 0
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/batch={place}")
+        if mode != "complete" and keys:
+            base = number - number % COMPACT
+            if number and number == base:
+                _merged(spark, folder, keys, number - COMPACT, number).write.mode("overwrite").parquet(f"{folder}/merged={number}")
+        _point(spark, path, run, number, base)
+
     writer = table.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return _schedule(writer.foreachBatch(lambda batch, number: _store(batch, path, number, kept)), every).start()
+    return _schedule(writer.foreachBatch(store), every).start()
+
+
+def _merged(spark: SparkSession, folder: str, keys: Sequence[str], base: int, last: int) -> DataFrame:
+    """Per key the row of its latest batch: what was merged up to ``base`` and the batches after it."""
+    paths = [f"{folder}/batch={n}" for n in range(base + 1 if base else 0, last + 1)]
+    batches = spark.read.parquet(*paths, *([f"{folder}/merged={base}"] if base else []))
+    values = [c for c in batches.columns if c not in (*keys, "batch")]
+    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values, "batch"), "batch").alias("row"))
+    return newest.select(*keys, "row.*")
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
-    """The latest complete state: all rows of the highest batch."""
-    batches = spark.read.parquet(path).drop("slot")
-    last = batches.agg(F.max("batch").alias("batch"))
-    return batches.join(F.broadcast(last), "batch", "left_semi").drop("batch")
+    """The latest complete state of the newest run; no rows while that run has no batch."""
+    run, pointer = _pointer(spark, path)
+    if pointer is None:
+        return spark.read.parquet(f"{path}/data/*/batch=*").drop("batch").limit(0)
+    return spark.read.parquet(f"{path}/data/{run}/batch={pointer['batch'] % SLOTS}").drop("batch")
 
 
 def updated(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """State written in update mode: per key the row of its latest batch."""
-    batches = spark.read.parquet(path).drop("slot")
-    values = [c for c in batches.columns if c not in (*keys, "batch")]
-    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
-    return newest.select(*keys, "row.*")
+    """State of the newest run written in update mode: per key the row of its latest batch."""
+    run, pointer = _pointer(spark, path)
+    if pointer is None:
+        return spark.read.parquet(f"{path}/data/*/batch=*").drop("batch").limit(0)
+    return _merged(spark, f"{path}/data/{run}", keys, pointer["base"], pointer["batch"]).drop("batch")
 
 
 def keep_latest(
@@ -112,16 +176,20 @@ def keep_latest(
     """The ``n`` latest rows by ``order``, kept across batches.
 
     A batch is cut to its own top ``n`` in every partition, then merged with the ``n`` rows of the batch before,
-    which has its own slot: a repeated batch starts from the same predecessor.
+    which has its own folder: a repeated batch starts from the same predecessor.
     """
     latest = [F.desc(c) for c in order]
+    spark = trips.sparkSession
+    run = _run(spark, path, checkpoint)
+    folder = f"{path}/data/{run[0]}"
 
     def merge(batch: DataFrame, number: int) -> None:
         rows = batch.orderBy(*latest).limit(n)
         if number > 0:
-            before = batch.sparkSession.read.parquet(f"{path}/slot={(number - 1) % SLOTS}").drop("batch")
+            before = spark.read.parquet(f"{folder}/batch={(number - 1) % SLOTS}").drop("batch")
             rows = rows.unionByName(before).orderBy(*latest).limit(n)
-        _store(rows, path, number, SLOTS)
+        rows.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/batch={number % SLOTS}")
+        _point(spark, path, run, number, 0)
 
     writer = trips.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _schedule(writer, every).start()
@@ -142,7 +210,10 @@ def recent_view(trips: DataFrame, *more: str) -> DataFrame:
 def snapshot(
     spark: SparkSession, totals_path: str, boroughs_path: str, latest_path: str, rate_path: str | None = None, shown: int = 5
 ) -> DataFrame:
-    """One row of all live numbers: totals, rate of the last full window, count per borough and latest trips."""
+    """One row of all live numbers: totals, rate of the last full window, count per borough and latest trips.
+
+    The newest window may still fill, so the one before it is shown. Without a rate table the rate is null.
+    """
     parts = published(spark, totals_path).select("messages_consumed", "fare_sum", "distance_sum")
     counts = published(spark, boroughs_path).agg(
         F.map_from_entries(F.collect_list(F.struct("borough", "trips"))).alias("borough_counts")
@@ -151,10 +222,11 @@ def snapshot(
     order = F.sort_array(F.collect_list(F.struct(*latest.columns)), asc=False)
     feed = latest.agg(F.slice(order, 1, shown).alias("recent_trips"))
     if rate_path is None:
-        rates = spark.range(1).select(F.lit(0.0).alias("messages_per_sec"))
+        rates = spark.range(1).select(F.lit(None).cast("double").alias("messages_per_sec"))
     else:
-        windows = updated(spark, rate_path, ["window_start"])
-        rates = windows.agg(F.max_by("messages_per_sec", "window_start").alias("messages_per_sec"))
+        newest = updated(spark, rate_path, ["window_start"]).orderBy(F.desc("window_start")).limit(2)
+        oldest = F.min(F.struct("window_start", "messages_per_sec"))
+        rates = newest.agg(F.when(F.count(F.lit(1)) > 1, oldest["messages_per_sec"]).alias("messages_per_sec"))
     return one_row(parts, rates, counts, feed)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,9 +68,18 @@ def test_content_id_skips_nulls_and_repeats(spark):
 @pytest.mark.parametrize(
     "t, df, p", [(2.228139, 10, 0.05), (12.7062, 1, 0.05), (1.959964, 1e7, 0.05), (3.29, 1e6, 0.001002), (0.0, 5, 1.0), (4.587, 10, 0.001)]
 )
-def test_tail_probability_matches_printed_tables(t, df, p):
-    assert two_sided(t, df) == pytest.approx(p, rel=2e-3)
-    assert two_sided(-t, df) == two_sided(t, df)
+def test_tail_probability_matches_printed_tables(spark, t, df, p):
+    rows = [(float(t), float(df)), (-float(t), float(df))]
+    found = values(spark, two_sided(F.col("x"), F.col("y")), rows, "x double, y double")
+    assert found == pytest.approx([p, p], rel=2e-3)
+
+
+def test_tail_probability_over_many_degrees_of_freedom(spark):
+    """Against the closed form for 2 degrees of freedom and the normal tail for many."""
+    rows = [(t, df) for t in (0.5, 2.0, 6.0, 12.0) for df in (2.0, 1e9, 1e11)] + [(float("nan"), 3.0), (float("inf"), 3.0), (None, 3.0)]
+    found = values(spark, two_sided(F.col("x"), F.col("y")), rows, "x double, y double")
+    expected = [1 - t / math.sqrt(2 + t * t) if df == 2 else math.erfc(t / math.sqrt(2)) for t, df in rows[:12]]
+    assert found == [*[pytest.approx(p, rel=1e-6) for p in expected], None, 0.0, None]
 
 
 def test_zone_list_is_whole():

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenhand import schemas, session
-from evenhand.operators import cleaning
+from evenhand.operators import cleaning, models, sampling
 from evenhand.plans import audit
 from evenhand.plans import fixture as fx
 from evenhand.sources import catalog, files, messages
@@ -157,13 +157,37 @@ def test_rate_counts_every_message_per_window(spark, message_files, tmp_path):
     assert same(found.select("window_start", "messages"), expected)
 
 
-def test_changed_rows_can_be_kept_for_the_last_batches_only(spark, message_files, tmp_path):
-    counts = live.borough_counts(stream(spark, message_files))
-    live.drain(live.publish(counts, f"{tmp_path}/few", f"{tmp_path}/few-c", "update", slots=2))
-    assert len(list((tmp_path / "few").glob("slot=*"))) == 2
+def test_changed_rows_are_merged_and_none_is_lost(spark, message_files, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "COMPACT", 2)
+    folder = f"{tmp_path}/many"
+    spark.read.schema(schemas.MESSAGE).json(message_files).repartition(7).write.json(folder)
+    trips = live.stream_files(spark, folder, schemas.MESSAGE, per_batch=1)
+    live.drain(live.publish(live.borough_counts(trips), f"{tmp_path}/few", f"{tmp_path}/few-c", "update", keys=["borough"]))
+    assert list((tmp_path / "few").glob("data/*/merged=*"))
     found = live.updated(spark, f"{tmp_path}/few", ["borough"])
-    batch = live.borough_counts(spark.read.schema(schemas.MESSAGE).json(message_files))
-    assert {r["borough"]: r["trips"] for r in found.collect()}.items() <= {r["borough"]: r["trips"] for r in batch.collect()}.items()
+    assert same(found, live.borough_counts(spark.read.schema(schemas.MESSAGE).json(message_files)).select(found.columns))
+
+
+def test_a_new_checkpoint_on_the_same_path_starts_a_new_run(spark, message_files, tmp_path):
+    out, n = f"{tmp_path}/out", spark.read.schema(schemas.MESSAGE).json(message_files).count()
+    folder = f"{tmp_path}/many"
+    spark.read.schema(schemas.MESSAGE).json(message_files).repartition(3).write.json(folder)
+    several = live.totals(live.stream_files(spark, folder, schemas.MESSAGE, per_batch=1))
+    live.drain(live.publish(several, out, f"{tmp_path}/first"))
+    assert live.published(spark, out).first()["messages_consumed"] == n
+    few = live.totals(stream(spark, message_files).filter(F.col("passenger_count") > 5))
+    live.drain(live.publish(few, out, f"{tmp_path}/second"))
+    assert 0 < live.published(spark, out).first()["messages_consumed"] < n
+
+
+def test_reset_empties_a_live_table(spark, message_files, tmp_path):
+    out = f"{tmp_path}/out"
+    live.drain(live.publish(live.totals(stream(spark, message_files)), out, f"{tmp_path}/first"))
+    before = live.published(spark, out).first()
+    checkpoint = live.reset(spark, out)
+    assert live.published(spark, out).count() == 0
+    live.drain(live.publish(live.totals(stream(spark, message_files)), out, checkpoint))
+    assert live.published(spark, out).first() == before
 
 
 def test_text_is_typed_on_a_stream(spark, tmp_path):
@@ -222,7 +246,7 @@ def test_audit_from_files_to_reports(spark, sf, tmp_path):
     assert (funnel["initial_rows"], funnel["after_outliers"]) == (6000, 4378)
     profile = {r["income_category"]: r["trip_count"] for r in audit.add_income(spark, paths, 2).collect()}
     assert profile == {"high": 491, "medium": 379, "low": 246}
-    metrics = audit.train(spark, paths, fraction=1.0).collect()
+    metrics = audit.train(spark, paths, fraction=0.5).collect()
     assert {r["model"] for r in metrics} == {"baseline", "fair"}
     assert files.read_result_csv(spark, f"{paths.bias}/bias_summary_csv", schemas.BIAS_SUMMARY).count() == 3
     assert files.read_result_csv(spark, f"{paths.bias}/borough_bias_csv", schemas.BOROUGH_BIAS).count() == 4
@@ -230,6 +254,9 @@ def test_audit_from_files_to_reports(spark, sf, tmp_path):
     assert audit.detect_bias(spark, paths).count() == 3
     report = spark.read.json(f"{paths.bias}/bias_report").first()
     assert report["financial_impact"]["affected_trips_annually"] > 0
+    enriched = files.read_parquet(spark, paths.enriched)
+    usable = models.ml_ready(enriched, sorted({*models.FEATURE_SETS["baseline"], *models.FEATURE_SETS["fair"]}))
+    assert files.read_parquet(spark, paths.predictions).count() == sampling.hash_split(usable, ["trip_id"], 0.4)[1].count()
     gains = {r["metric"] for r in audit.measure_fairness(spark, paths).collect()}
     assert gains == {"demographic_parity", "equalized_odds", "individual_fairness", "overall"}
     fairness = spark.read.json(f"{paths.fairness}/report").first()
