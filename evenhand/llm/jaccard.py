@@ -265,30 +265,73 @@ def _bounded(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right", (F.col("n_a") + F.col("n_b")).alias("sizes")).mapInArrow(run, "a long, b long")
 
 
-def _list_links(table: pa.Table) -> pa.Table:
-    """Links of a block of a list: its minor members against all members that are here, each in another component."""
+def _possible(table: pa.Table) -> pa.Table:
+    """The members of a block of a list that have a partner in another component which bucket counts do not rule out."""
+    roots, sizes = table.column("root").to_numpy(), table.column("n").to_numpy().astype(np.int64)
+    counts = [np.frombuffer(b, dtype=np.uint8) for b in table.column("counts").to_pylist()]
+    width = np.array([len(c) for c in counts])
+    full = np.array([c.max() == 255 for c in counts])
+    keep = np.zeros(len(counts), dtype=bool)
+    folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by width: members that have at least so many buckets, folded
+
+    def at_width(w: int) -> tuple[np.ndarray, np.ndarray]:
+        if w not in folded:
+            places = np.flatnonzero(width >= w)
+            folded[w] = places, np.stack([counts[p].reshape(w, -1).sum(axis=1, dtype=np.uint16) for p in places])
+        return folded[w]
+
+    for at in np.flatnonzero(table.column("minor").to_numpy(zero_copy_only=False)):
+        near = (roots != roots[at]) & (3 * np.maximum(sizes, sizes[at]) <= 4 * np.minimum(sizes, sizes[at]))
+        maybe = near & (full | full[at])
+        for w in np.unique(width[near]):
+            w = min(int(w), int(width[at]))
+            places, rows = at_width(w)
+            here = near[places]
+            overlap = np.minimum(rows[here], counts[at].reshape(w, -1).sum(axis=1, dtype=np.uint16)).sum(axis=1, dtype=np.int64)
+            # A bound at fewer buckets than both have is looser, so a partner is kept only if each of its bounds allows it.
+            wide = np.minimum(width[places[here]], width[at]) == w
+            places = places[here][wide & (7 * overlap >= 3 * (sizes[places[here]] + sizes[at]))]
+            maybe[places] = True
+        if maybe.any():
+            keep |= maybe
+            keep[at] = True
+    return table.filter(pa.array(keep)).select(["list", "block", "group", "node", "root", "minor"])
+
+
+def _shortened(sets: DataFrame) -> DataFrame:
+    """(node, tokens) with 16 bits of each token, as sorted numbers: equal tokens stay equal, so overlaps only grow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [(np.frombuffer(b, dtype=np.uint64) >> np.uint64(48)).astype(np.uint16).tobytes() for b in batch.column("tokens").to_pylist()]
+            yield pa.record_batch([batch.column("node"), pa.array(short, pa.binary())], names=["node", "tokens"])
+
+    return sets.select("node", "tokens").mapInArrow(run, "node long, tokens binary")
+
+
+def _list_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of a block of a list, a minor member and one in another component, that shortened tokens do not rule out."""
     nodes, roots = table.column("node").to_numpy(), table.column("root").to_numpy()
-    minor = table.column("minor").to_numpy(zero_copy_only=False)
-    sets = [np.frombuffer(b, dtype=np.uint64) for b in table.column("tokens").to_pylist()]
-    sizes = np.array([len(x) for x in sets])
-    flat, number = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
+    sets = [np.unique(np.frombuffer(b, dtype=np.uint16), return_counts=True) for b in table.column("tokens").to_pylist()]
+    sizes = np.array([int(n.sum()) for _, n in sets])
+    values, times = np.concatenate([v for v, _ in sets]), np.concatenate([n for _, n in sets])
+    starts = np.cumsum([0, *[len(v) for v, _ in sets[:-1]]])
     a, b = [], []
-    for at in np.flatnonzero(minor):
-        here = np.zeros(len(flat), dtype=np.int64)
-        here[number[starts[at] : starts[at] + sizes[at]]] = 1
-        shared = np.add.reduceat(here[number], starts)
+    for at in np.flatnonzero(table.column("minor").to_numpy(zero_copy_only=False)):
+        own = np.zeros(1 << 16, dtype=times.dtype)
+        own[sets[at][0]] = sets[at][1]
+        shared = np.add.reduceat(np.minimum(own[values], times), starts)
         found = np.flatnonzero((roots != roots[at]) & (100 * shared >= 75 * (sizes + sizes[at] - shared)))
         a += np.minimum(nodes[found], nodes[at]).tolist()
         b += np.maximum(nodes[found], nodes[at]).tolist()
-        # Links within this block are joined at once, so that one of many between two components is enough.
-        for other in np.unique(roots[found]):
-            roots = np.where(roots == other, roots[at], roots)
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _open_links(rows: DataFrame, nodes: DataFrame, lists: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Links that lists not within one component still hold; None if all lists are."""
+def _open_links(rows: DataFrame, nodes: DataFrame, counts: DataFrame, lists: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Links that lists not within one component still hold; None if all lists are.
+
+    Bucket counts go first, then 16 bits of each token: whole sets are sent only for pairs that these leave.
+    """
     labelled = lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = labelled.groupBy("list", "root").agg(F.count("*").alias("members"))
     mixed_lists = parts.groupBy("list").agg(
@@ -299,8 +342,6 @@ def _open_links(rows: DataFrame, nodes: DataFrame, lists: DataFrame, labels: Dat
     if mixed_lists.isEmpty():
         return None
     inside = written(labelled.join(mixed_lists, "list"), "jaccard-inside")
-    wanted = nodes.filter("node = rep").select("node", "doc_id", "key").join(inside.select("node").distinct(), "node", "left_semi")
-    sets = _sets(rows, written(wanted, "jaccard-wanted"))
     # Blocks of a list: each of its members in one, each of its minor members in all, those in groups of a block's size.
     blocks, groups = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("members", "minors"))
     is_minor = F.col("root") != F.col("main")
@@ -309,7 +350,13 @@ def _open_links(rows: DataFrame, nodes: DataFrame, lists: DataFrame, labels: Dat
     as_member = inside.select("list", "node", "root", F.lit(False).alias("minor"), own.alias("block"), F.explode(numbers(groups)).alias("group"))
     as_minor = inside.filter(is_minor).select("list", "node", "root", F.lit(True).alias("minor"), F.explode(numbers(blocks)).alias("block"), group.alias("group"))
     members = as_member.union(as_minor).groupBy("list", "block", "group", "node", "root").agg(F.max("minor").alias("minor"))
-    return members.join(sets, "node").groupBy("list", "block", "group").applyInArrow(_list_links, "a long, b long").distinct()
+    key = ["list", "block", "group"]
+    possible = members.join(counts, "node").groupBy(*key).applyInArrow(_possible, "list long, block int, group int, node long, root long, minor boolean")
+    possible = written(possible, "jaccard-possible")
+    wanted = nodes.filter("node = rep").select("node", "doc_id", "key").join(possible.select("node").distinct(), "node", "left_semi")
+    sets = written(_sets(rows, written(wanted, "jaccard-wanted")), "jaccard-sets")
+    pairs = possible.join(_shortened(sets), "node").groupBy(*key).applyInArrow(_list_pairs, "a long, b long").distinct()
+    return _verified(pairs, sets)
 
 
 def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -345,7 +392,7 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = written(_sets(rows, written(wanted, "jaccard-wanted")), "jaccard-sets")
     links = written(_verified(pairs, sets), "jaccard-links")
     labels = written(components(links), "jaccard-labels")
-    more = _open_links(rows, nodes, lists, labels)
+    more = _open_links(rows, nodes, counts, lists, labels)
     if more is not None:
         labels = written(components(links.union(written(more, "jaccard-links"))), "jaccard-labels")
     return nodes, labels
