@@ -5,8 +5,8 @@ split in two at the point where half (or, for a number of shards that is no powe
 lies on either side, in the order of its widest dimension; points with equal values are ordered by their digest, so
 ties are cut as finely as anything else. Levels are split until there are as many leaves as shards.
 
-Medians are found by counting: bytes per node and slice of the order, a window over the few slices, then the slice that
-holds the median is cut again. No node's points come together in one task. Values are sent to [0, 1] by fixed rules per
+Medians are found by counting: bytes per node and slice of the order, summed over the few slices, then the slice that
+holds the median is cut again. No node's points come together in one task; the driver sees sums per slice alone. Values are sent to [0, 1] by fixed rules per
 dimension (numbers on a logarithmic or linear scale between the extremes, strings by their first bytes).
 
 Law: ``bytes``. Slots number the rows of a shard from 0 without gaps; they are given out per part of a shard whose
@@ -25,7 +25,7 @@ from pyspark.sql import Window
 
 from evenhand.llm.common import only, written
 
-SLICES = 1 << 16
+SLICES = 1 << 12
 PARTS = 64  # of a shard, for slots
 ORDER_BITS = 48
 
@@ -61,43 +61,50 @@ def _scaled(points: DataFrame) -> DataFrame:
     return points
 
 
+def _by_node(values: dict[int, float], kind: str) -> Column:
+    """A value per node, of which there are as many as shards; null for other nodes."""
+    pairs = [part for node, value in values.items() for part in (F.lit(node), F.lit(value).cast(kind))]
+    return F.try_element_at(F.create_map(*pairs), F.col("node"))
+
+
 def _split(points: DataFrame, leaves: dict[int, int]) -> DataFrame:
-    """Points with ``node`` after one level; ``leaves`` says how many shards each node will hold (1: it is a leaf)."""
-    spark = points.sparkSession
-    shares = spark.createDataFrame(sorted(leaves.items()), "node int, leaves int")
+    """Points with ``node`` after one level; ``leaves`` says how many shards each node will hold (1: it is a leaf).
+
+    What comes to the driver is a row per node and, in each round, one per node and slice.
+    """
     wide = points.groupBy("node").agg(F.sum("bytes").alias("total"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS])
-    widest = F.greatest(*[F.struct(F.col(d).alias("width"), F.lit(-i).alias("place")) for i, d in enumerate(DIMENSIONS)])
-    nodes = wide.select("node", "total", (-widest["place"]).alias("dimension")).join(F.broadcast(shares), "node").filter("leaves > 1")
+    nodes = {r["node"]: r for r in wide.collect() if leaves[r["node"]] > 1}
+    if not nodes:
+        return points.withColumn("node", F.col("node") * 2)
+    widest = {node: max(range(len(DIMENSIONS)), key=lambda i: (r[DIMENSIONS[i]], -i)) for node, r in nodes.items()}
+    goal = {node: r["total"] * (leaves[node] // 2) / leaves[node] for node, r in nodes.items()}
     # One long orders the points of a node: the value in its highest bits, the digest below.
-    nodes = written(nodes.withColumn("goal", F.col("total") * F.floor(F.col("leaves") / 2) / F.col("leaves")), "shard-nodes")
-    chosen = F.element_at(F.array(*DIMENSIONS), F.col("dimension") + 1)
-    tie = F.conv(F.substring("group", 1, 5), 16, 10).cast("long")
-    order = F.floor(chosen * float((1 << (ORDER_BITS - 20)) - 1)) * (1 << 20) + F.coalesce(tie, F.lit(0))
-    placed = points.join(F.broadcast(nodes), "node", "left").withColumn("order", F.when(F.col("goal").isNotNull(), order))
-    placed = written(placed.drop("total", "dimension", "leaves"), "shard-points")
-
-    # The slice that holds the goal, cut finer and finer: (node, low, width, before).
-    cuts = nodes.select("node", "goal", F.lit(0).cast("long").alias("low"), F.lit(0.0).alias("before"))
+    chosen = F.element_at(F.array(*DIMENSIONS), _by_node(widest, "int") + 1)
+    tie = F.coalesce(F.conv(F.substring("group", 1, 5), 16, 10).cast("long"), F.lit(0).cast("long"))
+    placed = points.withColumn("order", F.floor(chosen * float((1 << (ORDER_BITS - 20)) - 1)) * (1 << 20) + tie)
+
+    # The slice that holds the goal, cut finer and finer.
+    low, before, inside = dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0)
     width = 1 << ORDER_BITS
     while width > 1:
         step = max(1, width // SLICES)
-        inside = placed.select("node", "order", "bytes").filter("order IS NOT NULL").join(F.broadcast(cuts), "node")
-        inside = inside.filter((F.col("order") >= F.col("low")) & (F.col("order") < F.col("low") + width))
-        summed = inside.groupBy("node", "goal", "low", "before", F.floor((F.col("order") - F.col("low")) / step).alias("slice")).agg(F.sum("bytes").alias("bytes"))
-        running = Window.partitionBy("node").orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        until = summed.withColumn("until", F.sum("bytes").over(running) + F.col("before"))
-        found = until.filter(F.col("until") > F.col("goal")).groupBy("node", "goal", "low").agg(
-            F.min(F.struct("slice", (F.col("until") - F.col("bytes")).cast("double").alias("before"), F.col("bytes"))).alias("at")
-        )
-        cuts = written(found.select("node", "goal", (F.col("low") + F.col("at.slice") * step).alias("low"), F.col("at.before").alias("before"), F.col("at.bytes").alias("bytes")), "shard-cuts")
+        start = _by_node(low, "long")
+        held = placed.filter((F.col("order") >= start) & (F.col("order") < start + width))
+        summed = held.groupBy("node", F.floor((F.col("order") - start) / step).alias("slice")).agg(F.sum("bytes").alias("bytes"))
+        by_node: dict[int, list] = {}
+        for r in summed.collect():
+            by_node.setdefault(r["node"], []).append((r["slice"], r["bytes"]))
+        for node, slices in by_node.items():
+            for place, size in sorted(slices):
+                if before[node] + size > goal[node]:
+                    low[node], inside[node] = low[node] + place * step, size
+                    break
+                before[node] += size
         width = step
-        if width > 1:
-            cuts = cuts.drop("bytes")
     # The order value at the cut goes to the side that comes nearer to the goal.
-    up = F.when(F.col("goal") - F.col("before") >= F.col("bytes") / 2, F.col("low") + 1).otherwise(F.col("low"))
-    cuts = cuts.select("node", up.alias("cut"))
-    side = F.when(F.col("order").isNull(), F.col("node") * 2).otherwise(F.col("node") * 2 + (F.col("order") >= F.col("cut")).cast("int"))
-    return placed.join(F.broadcast(cuts), "node", "left").select("group", "bytes", *DIMENSIONS, side.cast("int").alias("node"))
+    cut = {node: low[node] + (goal[node] - before[node] >= inside[node] / 2) for node in nodes}
+    right = F.coalesce(F.col("order") >= _by_node(cut, "long"), F.lit(False)).cast("int")
+    return written(placed.select("group", "bytes", *DIMENSIONS, (F.col("node") * 2 + right).alias("node")), "shard-points")
 
 
 def kd_shards(points: DataFrame, shards: int) -> DataFrame:
@@ -105,10 +112,10 @@ def kd_shards(points: DataFrame, shards: int) -> DataFrame:
     leaves, level = {0: shards}, points.withColumn("node", F.lit(0))
     while any(n > 1 for n in leaves.values()):
         level = _split(level, leaves)
-        leaves = {child: n for node, held in leaves.items() for child, n in ((node * 2, held // 2 or 1), (node * 2 + 1, held - held // 2 if held > 1 else 0)) if n}
+        halves = {node: (n // 2, n - n // 2) if n > 1 else (n, 0) for node, n in leaves.items()}
+        leaves = {2 * node + side: n for node, held in halves.items() for side, n in enumerate(held) if n}
     number = {node: place for place, node in enumerate(sorted(leaves))}
-    names = points.sparkSession.createDataFrame(list(number.items()), "node int, shard int")
-    return level.join(F.broadcast(names), "node").select("group", "shard")
+    return level.select("group", _by_node(number, "int").alias("shard"))
 
 
 def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
