@@ -32,6 +32,7 @@ from evenhand.llm.components import components
 BLOCKS = 8
 CHUNK = 2048
 PER_CELL = 500
+MAX_BROADCAST_CELLS = 100_000  # rows of six numbers
 SLACK = 1e-9
 #: A grid step is twice the range, so that a range touches at most two cells in each coordinate.
 STEPS = 2.0
@@ -183,7 +184,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     )
     large = written(counts.filter("home_chunks > 1 OR probe_chunks > 1"), "vector-cells")
     chunk = F.pmod(F.xxhash64("node"), F.when(F.col("home"), F.col("home_chunks")).otherwise(F.col("probe_chunks")))
-    chunked = cells.join(large, key, "left").fillna(1, ["home_chunks", "probe_chunks"]).withColumn("own", chunk)
+    few = large.count() <= MAX_BROADCAST_CELLS
+    chunked = cells.join(F.broadcast(large) if few else large, key, "left").fillna(1, ["home_chunks", "probe_chunks"]).withColumn("own", chunk)
     others = F.when(F.col("home"), F.col("probe_chunks")).otherwise(F.col("home_chunks"))
     chunked = chunked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(others, F.lit(1)) - 1)))
     met = (
