@@ -26,6 +26,7 @@ from evenhand.llm.common import only, word_count, written
 
 SLICES = 4096
 NO_ID = -(2**63)
+MAX_BROADCAST_SOURCES = 100_000  # rows of a name and six numbers
 
 
 def uniform(doc_id: Column, seed: str) -> Column:
@@ -57,6 +58,11 @@ def targets(sizes: DataFrame, weights: Sequence[int], total_share: float, max_re
     )
 
 
+def _small(per_source: DataFrame) -> DataFrame:
+    """A written table with a row per source, sent to all executors if it is counted to be small."""
+    return F.broadcast(per_source) if per_source.count() <= MAX_BROADCAST_SOURCES else per_source
+
+
 def plan(
     docs: DataFrame,
     weights: Sequence[int] = (5, 2, 1),
@@ -80,7 +86,7 @@ def plan(
     wanted = wanted.withColumn("whole", F.floor(ratio)).withColumn(
         "quota", F.col("target") - F.col("whole") * F.col("source_size")
     ).withColumn("p", ratio - F.col("whole"))
-    wanted = written(wanted, "mix-targets")
+    wanted = _small(written(wanted, "mix-targets"))
 
     same = per_slice.alias("s").join(wanted.alias("w"), F.col("s.source").eqNullSafe(F.col("w.source")))
     running = Window.partitionBy("s.source").orderBy("s.slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -107,7 +113,7 @@ def plan(
     planned = wanted.join(crossed, F.col("source").eqNullSafe(F.col("cut_source")), "left").select(
         "source", "source_size", "target", "whole", "quota", "cut_u", "cut_id", "cut_open", F.col("cut_u").isNull().alias("no_cut")
     )
-    return sized, planned
+    return sized, _small(written(planned, "mix-plan"))
 
 
 def _extra() -> Column:
