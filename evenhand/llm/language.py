@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import only, ship
+from evenhand.llm.common import only, ship, written
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -137,6 +137,7 @@ def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int = 60_000, max_gra
         .groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
         .groupBy("size", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
     )
+    counted = written(counted, "language-counts")  # read twice
     top = [
         counted.filter(kind).orderBy(F.desc("n"), "size", "gram").limit(most)
         for kind, most in ((F.col("size") == 0, max_words), (F.col("size") > 0, max_grams))
