@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenhand.fixed_values import borough_rows, zone_rows
+from evenhand.fixed_values import BASELINE_FEATURES, FAIR_FEATURES, borough_rows, zone_rows
 
 
 def r(x: str, n: int) -> str:
@@ -324,9 +324,14 @@ def _reports() -> dict[str, str]:
       (SELECT {sr(f"count(*) FILTER ({low}) * ({ANNUAL} / count(*)) * avg(baseline_error) FILTER ({low})", 0)} FROM predicted) AS annual_usd,
       {', '.join(shown)}
       FROM rounded"""
-    return {"bias_report": _rounded("TRUE", pick)}
+    kept = _rounded("TRUE", pick)
+    return {"bias_report": kept, "report_json_roundtrip": f"SELECT bias_pp, overcharge_per_trip FROM ({kept})"}
 
 
+# What forests are scored on: rows held back by their hash, of those that can be learned from.
+HELD_BACK = "CAST(('0x' || substr(sha256(CAST(h AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 >= 8000"
+USABLE = "fare_amount > 0 AND trip_distance > 0 AND trip_duration_minutes > 0"
+
 ORACLES: dict[str, str] = {
     # cleaning and features
     "null_critical_drop": f"{RAW} SELECT h, fare_amount, trip_distance FROM priced WHERE {COMPLETE}",
@@ -514,7 +519,33 @@ ORACLES: dict[str, str] = {
       WHERE CAST(('0x' || substr(sha256(CAST(h AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 500""",
     "fixed_size_sample": f"""{RAW} SELECT h, fare_amount, trip_distance FROM priced
       ORDER BY sha256(CAST(h AS VARCHAR)), h, fare_amount, trip_distance LIMIT 5000""",
+    **{
+        name: f"""{source} SELECT model, n, TRUE AS rmse_not_below_mae, TRUE AS has_error, TRUE AS r2_at_most_one FROM (
+          SELECT count(*) AS n FROM {table} WHERE {HELD_BACK} AND {USABLE}) CROSS JOIN (VALUES {models}) AS m(model)"""
+        for name, source, table, models in (
+            ("rf_baseline_vs_fair", WITH_ENRICHED, "enriched", "('baseline'), ('fair')"), ("rf_simple_model", WITH_CLEAN, "clean", "('simple')"))
+    },
+    "rf_feature_importance": f"""SELECT * FROM (VALUES ('baseline', {len(BASELINE_FEATURES)}::BIGINT, 1.0::DOUBLE, 1::BIGINT, TRUE),
+      ('fair', {len(FAIR_FEATURES)}::BIGINT, 1.0::DOUBLE, 0::BIGINT, TRUE)) AS t(model, features, total, income_features, none_negative)""",
+    "model_roundtrip": f"{WITH_ENRICHED} SELECT count(*) AS n, 0.0::DOUBLE AS largest_change FROM enriched WHERE {HELD_BACK} AND {USABLE}",
+    "bernoulli_sample": f"{RAW} SELECT count(*)::INTEGER AS rows, TRUE AS size_as_expected FROM priced",
+    "random_split_counts": f"{RAW} SELECT count(*) AS rows, TRUE AS size_as_expected FROM priced",
+    "stratified_sample": f"""{WITH_ENRICHED} SELECT income_category, count(*) AS rows, TRUE AS size_as_expected
+      FROM enriched GROUP BY 1""",
     # streams, sources and sinks
+    "catalog_all_tables": f"""{WITH_PREDICTED}, s AS ({SUMMARY}),
+      b AS (SELECT borough, {mean('fare_amount')} AS avg_actual_fare FROM predicted GROUP BY 1)
+      SELECT 'taxi_trips_raw' AS "table", count(*) AS n, {sr('sum(fare_amount)', 2)} AS fare_sum FROM priced
+      UNION ALL SELECT 'census_income', count(*), NULL FROM customer
+      UNION ALL SELECT 'taxi_trips_cleaned', count(*), {sr('sum(fare_amount)', 2)} FROM clean
+      UNION ALL SELECT 'taxi_trips_enriched', count(*), {sr('sum(fare_amount)', 2)} FROM enriched
+      UNION ALL SELECT 'ml_predictions', count(*), {sr('sum(fare_amount)', 2)} FROM predicted
+      UNION ALL SELECT 'bias_summary', count(*), {sr('sum(avg_actual_fare)', 2)} FROM s
+      UNION ALL SELECT 'borough_bias', count(*), {sr('sum(avg_actual_fare)', 2)} FROM b""",
+    "inferred_csv": "SELECT count(*) AS n, 'int' AS code_type, 'string' AS income_type FROM customer",
+    "file_heads": "SELECT 300::BIGINT AS n, 300::BIGINT AS vendors",
+    "stream_typed": f"""{RAW} SELECT count(*) AS n, {sr('sum(fare_amount)', 2)} AS fare_sum, count(passenger_count) AS passengers,
+      TRUE AS stamped FROM priced""",
     "stream_totals": f"""{RAW} SELECT count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum,
         {sr('sum(trip_distance)', 2)} AS distance_sum FROM priced""",
     "stream_borough_counts": f"""{WITH_PLACED} SELECT coalesce(found, 'Unknown') AS borough, count(*) AS trips

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -579,21 +581,33 @@ def _trained(spark, sf, sets=models.FEATURE_SETS) -> models.TrainedModels:
     return models.train(fx.enriched_trips(spark, sf), ["h"], sets)
 
 
+def _sound(metrics: DataFrame) -> DataFrame:
+    """What holds for the errors of any forest, beside the number of rows they stand on."""
+    return metrics.select(
+        "model", "n", (F.col("rmse") >= F.col("mae")).alias("rmse_not_below_mae"), (F.col("mae") > 0).alias("has_error"),
+        (F.col("r2") <= 1.0).alias("r2_at_most_one"),
+    )
+
+
 @query
 def rf_baseline_vs_fair(spark, sf):
     trained = _trained(spark, sf)
-    return models.regression_metrics(trained.score(), trained.predictions)
+    return _sound(models.regression_metrics(trained.score(), trained.predictions))
 
 
 @query
 def rf_feature_importance(spark, sf):
-    return _trained(spark, sf).importances(spark)
+    weights = _trained(spark, sf).importances(spark)
+    return weights.groupBy("model").agg(
+        F.count(F.lit(1)).alias("features"), C.steady_round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("feature") == "median_income").alias("income_features"), (F.min("importance") >= 0).alias("none_negative"),
+    )
 
 
 @query
 def rf_simple_model(spark, sf):
     trained = models.train(fx.valid_trips(spark, sf), ["h"], {"simple": SIMPLE_FEATURES})
-    return models.regression_metrics(trained.score(), trained.predictions)
+    return _sound(models.regression_metrics(trained.score(), trained.predictions))
 
 
 @query
@@ -622,13 +636,33 @@ def fixed_size_sample(spark, sf):
 
 @query
 def bernoulli_sample(spark, sf):
-    return sampling.bernoulli(fx.raw_trips(spark, sf), 0.05).agg(F.count(F.lit(1)).alias("n"))
+    rows = fx.raw_trips(spark, sf).count()
+    return sampling.bernoulli(fx.raw_trips(spark, sf), 0.05).agg(F.lit(rows).alias("rows"), _within(F.count(F.lit(1)), rows, 0.05))
+
+
+def _within(drawn, rows, part: float):
+    """Whether a draw has its expected size, up to six standard deviations."""
+    rows = F.lit(rows) if isinstance(rows, int) else rows
+    return (F.abs(drawn - rows * part) <= 6 * F.sqrt(rows * part * (1 - part)) + 1).alias("size_as_expected")
 
 
 @query
 def stratified_sample(spark, sf):
-    drawn = sampling.stratified(fx.enriched_trips(spark, sf), INCOME, {"low": 0.2, "medium": 0.1, "high": 0.05})
-    return drawn.groupBy(INCOME).agg(F.count(F.lit(1)).alias("n"))
+    parts = {"low": 0.2, "medium": 0.1, "high": 0.05}
+    trips = fx.enriched_trips(spark, sf)
+    drawn = sampling.stratified(trips, INCOME, parts).groupBy(INCOME).agg(F.count(F.lit(1)).alias("n"))
+    both = trips.groupBy(INCOME).agg(F.count(F.lit(1)).alias("rows")).join(drawn, INCOME, "left").fillna(0, ["n"])
+    part = F.element_at(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]), F.col(INCOME))
+    return both.select(INCOME, "rows", _within(F.col("n"), F.col("rows"), part))
+
+
+@query
+def random_split_counts(spark, sf):
+    rows = fx.raw_trips(spark, sf).count()
+    train, test = sampling.random_split(fx.raw_trips(spark, sf))
+    parts = train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part")))
+    counts = parts.groupBy().pivot("part", ["train", "test"]).count()
+    return counts.select((F.col("train") + F.col("test")).alias("rows"), _within(F.col("train"), rows, 0.8))
 
 
 # streams, sources and sinks
@@ -806,15 +840,106 @@ def census_csv_roundtrip(spark, sf):
     return enrich.income_by_zip(files.read_census_csv(spark, path))
 
 
+def _in_database(spark, build) -> DataFrame:
+    """What ``build`` makes in a database of its own, written out before the database is dropped again."""
+    before, name = spark.catalog.currentDatabase(), f"fare_audit_{uuid.uuid4().hex[:12]}"
+    try:
+        return written(build(name), "catalog")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 @query
 def catalog_tables(spark, sf):
     path = shared_path(spark, "tables")
     files.write_trips_csv(fx.raw_trips(spark, sf).drop("h"), f"{path}/raw")
-    before = spark.catalog.currentDatabase()
-    catalog.create_tables(spark, {"taxi_trips_raw": f"{path}/raw"})
-    table = spark.table("fare_audit.taxi_trips_raw")
-    spark.catalog.setCurrentDatabase(before)
-    return _summed(table)
+
+    def build(name: str) -> DataFrame:
+        catalog.create_tables(spark, {"taxi_trips_raw": f"{path}/raw"}, name)
+        return _summed(spark.table(f"{name}.taxi_trips_raw"))
+
+    return _in_database(spark, build)
+
+
+@query
+def catalog_all_tables(spark, sf):
+    """Rows and fares of all seven external tables, over files that the engine's own sinks wrote."""
+    path = shared_path(spark, "tables")
+    places = {name: f"{path}/{name}" for name in catalog.TABLES}
+    predicted = fx.predicted_trips(spark, sf)
+    files.write_trips_csv(fx.raw_trips(spark, sf).drop("h"), places["taxi_trips_raw"])
+    census = fx.census_text(spark, sf)
+    columns = [F.col(c).alias(f.name) for c, f in zip(census.columns, schemas.CENSUS)]
+    files.write_rows_csv(census.select(*columns), places["census_income"])
+    files.write_parquet(fx.valid_trips(spark, sf).select(*schemas.CLEAN_TRIPS.fieldNames()), places["taxi_trips_cleaned"])
+    files.write_parquet(fx.enriched_trips(spark, sf).select(*schemas.ENRICHED_TRIPS.fieldNames()), places["taxi_trips_enriched"])
+    files.write_parquet(predicted.select(*schemas.PREDICTIONS.fieldNames()), places["ml_predictions"])
+    files.write_small_csv(disparity.summary_by_income(predicted, MODELS), places["bias_summary"])
+    files.write_small_csv(disparity.summary_by_place(predicted, MODELS), places["borough_bias"])
+    fares = {"taxi_trips_raw": "fare_amount", "taxi_trips_cleaned": "fare_amount", "taxi_trips_enriched": "fare_amount", "ml_predictions": "fare_amount"}
+    fares |= {"bias_summary": "avg_actual_fare", "borough_bias": "avg_actual_fare"}
+
+    def build(name: str) -> DataFrame:
+        catalog.create_tables(spark, places, name)
+        listed = [t["tableName"] for t in catalog.list_tables(spark).filter("NOT isTemporary").collect()]
+        rows = [
+            spark.table(f"{name}.{t}").agg(
+                F.lit(t).alias("table"), F.count(F.lit(1)).alias("n"),
+                (C.steady_round(F.sum(fares[t]), 2) if t in fares else F.lit(None).cast("double")).alias("fare_sum"),
+            )
+            for t in sorted(listed)
+        ]
+        return reduce(DataFrame.unionByName, rows)
+
+    return _in_database(spark, build)
+
+
+@query
+def inferred_csv(spark, sf):
+    path = shared_path(spark, "inferred")
+    files.write_rows_csv(fx.census_text(spark, sf), path)
+    table = files.read_inferred_csv(spark, path)
+    kinds = {name: kind for name, kind in table.dtypes}
+    return table.agg(F.count(F.lit(1)).alias("n"), F.lit(kinds["ZIP"]).alias("code_type"), F.lit(kinds["income_text"]).alias("income_type"))
+
+
+@query
+def file_heads(spark, sf):
+    path = shared_path(spark, "heads")
+    trips = fx.raw_trips(spark, sf)
+    parts = [f"{path}/{i}" for i in range(3)]
+    for i, part in enumerate(parts):
+        files.write_trips_csv(trips.filter(F.col("h") % 3 == i).drop("h").coalesce(1), part)
+    return files.read_heads(spark, parts, 100).agg(F.count(F.lit(1)).alias("n"), F.count("VendorID").alias("vendors"))
+
+
+@query
+def report_json_roundtrip(spark, sf):
+    path = shared_path(spark, "report")
+    files.write_report_json(reports.bias_report(fx.predicted_trips(spark, sf), MODELS), path)
+    report = spark.read.json(path)
+    return report.select(
+        F.col("summary")["bias_magnitude_pp"].alias("bias_pp"),
+        C.steady_round(F.col("financial_impact")["avg_overcharge_per_trip"], 4).alias("overcharge_per_trip"),
+    )
+
+
+@query
+def stream_typed(spark, sf):
+    """Raw text typed and stamped on a stream."""
+    path = shared_path(spark, "typed")
+    text = _line_stream(spark, sf)
+    text = text.select(*[F.concat(F.lit("\t"), F.col(c).cast("string"), F.lit(" ")).alias(c) for c in text.columns if c != "h"])
+    stamped = cleaning.stamp_ingestion(cleaning.type_fields(text))
+    live.drain(live.write_json_lines(stamped, f"{path}/out", f"{path}/check"))
+    rows = spark.read.schema(schemas.MESSAGE).json(f"{path}/out")
+    stamp = F.to_timestamp(F.substring("ingestion_timestamp", 1, 19), "yyyy-MM-dd'T'HH:mm:ss")
+    fresh = F.abs(F.unix_timestamp(stamp) - F.unix_timestamp(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))) < 3600
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), C.steady_round(F.sum("fare_amount"), 2).alias("fare_sum"), F.count("passenger_count").alias("passengers"),
+        F.bool_and(F.col("ingestion_timestamp").endswith("+00:00") & fresh).alias("stamped"),
+    )
 
 
 @query
@@ -822,5 +947,10 @@ def model_roundtrip(spark, sf):
     path = shared_path(spark, "models")
     trained = models.train(fx.enriched_trips(spark, sf), ["h"], {"fair": FAIR_FEATURES})
     trained.save(path)
-    scored = models.load_forest(f"{path}/fair_model").transform(trained.test)
-    return models.regression_metrics(scored, trained.predictions)
+    scored = models.load_forest(f"{path}/fair_model").transform(trained.test).select("h", "predicted_fare_fair")
+    kept = trained.forests["fair"].transform(trained.test).select("h", F.col("predicted_fare_fair").alias("kept"))
+    change = F.abs(F.col("predicted_fare_fair") - F.col("kept"))
+    pairs = scored.groupBy("h").agg(F.avg("predicted_fare_fair").alias("predicted_fare_fair"), F.count(F.lit(1)).alias("rows")).join(
+        kept.groupBy("h").agg(F.avg("kept").alias("kept")), "h"
+    )
+    return pairs.agg(F.sum("rows").alias("n"), C.steady_round(F.max(change), 6).alias("largest_change"))

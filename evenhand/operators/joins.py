@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
 SALTS = 16
+SAMPLE_ROWS = 200_000
+HOT_SHARE = 0.01  # of the sampled rows
+MAX_HOT = 50
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -22,16 +25,49 @@ def one_row(*parts: DataFrame) -> DataFrame:
     return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Shuffle join that cuts every key of ``fact`` into ``salts`` parts.
+def hot_keys(fact: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[tuple]:
+    """The few keys that hold more than a share of the rows: at most 1 / ``share`` can, MAX_HOT are kept.
 
-    A key that holds a third of the rows is then spread over ``salts`` tasks. The salt comes from the row and
-    its input partition, so a recomputed task repeats it and equal rows of different partitions part.
-    ``dim`` is repeated ``salts`` times and must be the smaller side. ``how`` is "left" or "inner".
+    They come from a sample of bounded size. A key that is missed is joined like any other, so the sample decides
+    how work is spread and never what comes out.
     """
+    total = fact.count()
+    if not total:
+        return []
+    sample = fact.select(*keys).sample(min(1.0, SAMPLE_ROWS / total), seed=0).na.drop()
+    counts = sample.groupBy(*keys).count()
+    drawn = min(total, SAMPLE_ROWS)
+    most = counts.filter(F.col("count") > max(share * drawn, 1)).orderBy(F.desc("count"), *keys).limit(MAX_HOT).collect()
+    return [tuple(row[k] for k in keys) for row in most]
+
+
+def _is_hot(keys: list[str], hot: list[tuple]) -> Column:
+    tests = [reduce(Column.__and__, [F.col(k) == F.lit(v) for k, v in zip(keys, values)]) for values in hot]
+    return F.coalesce(reduce(Column.__or__, tests, F.lit(False)), F.lit(False))
+
+
+def spread(dim: DataFrame, keys: list[str], hot: list[tuple], salts: int) -> DataFrame:
+    """The dimension with a salt: rows of hot keys once per salt, all others with salt 0."""
+    first = F.lit(0).cast("bigint")
+    numbers = F.when(_is_hot(keys, hot), F.sequence(first, F.lit(salts - 1).cast("bigint"))).otherwise(F.array(first))
+    return dim.withColumn("_salt", F.explode(numbers))
+
+
+def salted_join(
+    fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "left", salts: int = SALTS, share: float = HOT_SHARE
+) -> DataFrame:
+    """Shuffle join that cuts the hot keys of ``fact``, and no others, into ``salts`` parts.
+
+    A key that holds a third of the rows is then spread over ``salts`` tasks, and only its rows of ``dim`` are
+    repeated. The salt comes from the row and its input partition, so a recomputed task repeats it and equal rows
+    of different partitions part. ``how`` is "left" or "inner".
+    """
+    hot = hot_keys(fact, keys, share)
+    if not hot:
+        return fact.join(dim, keys, how)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns], F.spark_partition_id()), F.lit(salts))
-    spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return fact.withColumn("_salt", salt).join(spread, [*keys, "_salt"], how).drop("_salt")
+    salted = fact.withColumn("_salt", F.when(_is_hot(keys, hot), salt).otherwise(F.lit(0).cast("bigint")))
+    return salted.join(spread(dim, keys, hot, salts), [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup_join(

@@ -119,6 +119,17 @@ def test_salted_join_equals_a_plain_join_under_skew(spark):
         assert sorted(map(str, salted)) == plain
 
 
+def test_only_hot_keys_are_repeated(spark):
+    fact = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), "id")
+    assert joins.hot_keys(fact, ["k"]) == [(7,)]
+    dim = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    joined = joins.salted_join(fact, dim, ["k"], "inner", salts=5)
+    assert joined.count() == fact.count()
+    assert joins.hot_keys(fact.filter("k != 7"), ["k"]) == [] and joins.hot_keys(fact.limit(0), ["k"]) == []
+    spread = joins.spread(dim, ["k"], [(7,)], 5)
+    assert spread.count() == 5000 + 4
+
+
 def test_equal_rows_are_spread_over_salts(spark):
     copies = spark.range(800, numPartitions=8).select(F.lit(1).alias("k"))
     dim = spark.createDataFrame([(1, "v")], "k int, v string")
