@@ -394,7 +394,10 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labels = written(components(links), "jaccard-labels")
     more = _open_links(rows, nodes, counts, lists, labels)
     if more is not None:
-        labels = written(components(links.union(written(more, "jaccard-links"))), "jaccard-labels")
+        more = written(more, "jaccard-links")
+        if not more.isEmpty():  # labels are links too, and already stars
+            known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            labels = written(components(known.union(more)), "jaccard-labels")
     return nodes, labels
 
 
