@@ -49,7 +49,7 @@ def frequency_bitmap(rows: DataFrame, bits: int, bitmap_bits: int, more_than: in
         return pa.table({"range": pa.array([table.column("range")[0].as_py()], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()], pa.binary())})
 
     out = np.zeros((1 << bits, (1 << inner) // 8), dtype=np.uint8)
-    for row in rows.groupBy("range").applyInArrow(mark, "range int, marks binary").toLocalIterator():
+    for row in rows.groupBy("range").applyInArrow(mark, "range int, marks binary").collect():
         out[row["range"]] = np.frombuffer(row["marks"], dtype=np.uint8)
     return out.reshape(-1)
 

@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 
 #: Bytes that are hashed at once. Longer texts are cut at white space; hashes of words do not depend on the cut.
-SLICE = 1 << 20
+SLICE = 1 << 18
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 WINDOW = 5

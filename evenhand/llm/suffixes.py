@@ -41,8 +41,8 @@ LENGTH = 50
 ANCHOR = 16
 COLUMNS = 2 * LENGTH - ANCHOR  # of a stretch, from LENGTH - ANCHOR before its anchor
 LEFT = LENGTH - ANCHOR
-BITMAP_BITS = 27
-SLICE = 1 << 19
+BITMAP_BITS = 26
+SLICE = 1 << 18
 AT_ONCE = 4 << 20  # bytes of text whose rows are made at once
 IN_MEMORY = 256 << 20
 POSITION = np.uint64(0xFFFFFF)
@@ -157,6 +157,7 @@ def _anchor_rows(bits: int):
                 np.logical_or.at(many, group[1:], ~new[1:] & (docs[1:] != docs[:-1]))
                 distinct = hashes[new]
                 yield packed_rows(np.concatenate([distinct, distinct[many]]), bits)
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -193,6 +194,7 @@ def _stretch_rows(bitmap, bits: int):
                 rows = _batch_stretches(part, bitmap.value, bits)
                 if rows:
                     yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), KINDS)], names=NAMES)
+            pa.default_memory_pool().release_unused()
 
     return run
 
