@@ -25,8 +25,7 @@ PLACES = _fixed("place", 16) | np.uint64(1)
 # A little longer than a slice, for callers whose slices overlap.
 POWERS = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(SLICE + 1024, BASE, dtype=np.uint64))])
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-INVERSE_# A little longer than a slice, for callers whose slices overlap.
-POWERS = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(SLICE + 1024, INVERSE, dtype=np.uint64))])
+INVERSE_POWERS = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(SLICE + 1024, INVERSE, dtype=np.uint64))])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
