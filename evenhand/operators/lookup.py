@@ -3,14 +3,16 @@
 A box is a row of ``priority, lat_from, lat_to, lon_from, lon_to`` and attributes; of all boxes that hold a point
 the one with the lowest priority number wins. Boxes are half-open, ``[from, to)``, unless ``closed``.
 
-A range condition alone would plan a nested-loop join. Here space is cut into square cells, each cell keeps the
-few boxes that touch it, and points find their cell by an equality join. The test against the original bounds
+A range condition alone would plan a nested-loop join. Here space is cut into square cells, in a few grids by width
+of the boxes, each cell keeps the few boxes that touch it, and points find their cells by equality joins. The test against the original bounds
 decides, so the result is exact at every edge and for any cell size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ ZONE_ATTRS = ["zip", "borough", "neighborhood"]
 EDGES = ("lat_from", "lat_to", "lon_from", "lon_to")
 MAX_CELLS = 250_000
 SMALL_TABLE = 10_000
+RATIO = 4  # of cell widths from level to level
+LOWEST, HIGHEST = -6, 9
 
 
 def _sql_literal(value) -> str:
@@ -74,23 +78,16 @@ def borough_of(lat: str, lon: str) -> Column:
     return F.coalesce(found["borough"], F.lit("Unknown"))
 
 
-def _box_profile(boxes: DataFrame) -> tuple[int, float, float]:
-    """Count, summed half perimeter and summed area of the boxes: what bounds the number of cells they touch."""
-    height, width = F.col("lat_to") - F.col("lat_from"), F.col("lon_to") - F.col("lon_from")
-    row = boxes.agg(F.count(F.lit(1)), F.sum(height + width), F.sum(height * width)).first()
-    return row[0], row[1] or 0.0, row[2] or 0.0
+def _leveled(boxes: DataFrame, cell: float) -> DataFrame:
+    """Boxes with the level whose cells are as wide as they are, or up to RATIO times wider."""
+    widest = F.greatest(F.col("lat_to") - F.col("lat_from"), F.col("lon_to") - F.col("lon_from"))
+    level = F.ceil(F.ln(F.nullif(widest, F.lit(0.0)) / F.lit(cell)) / F.lit(math.log(RATIO)))
+    kept = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.coalesce(level, F.lit(LOWEST))))
+    return boxes.withColumn("_level", kept.cast("int"))
 
 
-def _cell_size(cell: float, count: int, sides: float, area: float, max_cells: int) -> float | None:
-    """Smallest doubling of ``cell`` whose cell rows provably stay below ``max_cells``; None if none does.
-
-    A box of h by w touches at most (h/c + 2)(w/c + 2) cells.
-    """
-    if 4 * count >= max_cells:
-        return None
-    while area / cell**2 + 2 * sides / cell + 4 * count > max_cells:
-        cell *= 2
-    return cell
+def _size(cell: float, level: int) -> float:
+    return cell * RATIO**level
 
 
 def _cells_of(low: str, high: str, cell: float) -> Column:
@@ -102,30 +99,13 @@ def _cell_of(value: Column, cell: float) -> Column:
     return F.floor(value / F.lit(cell)).try_cast("int")
 
 
-def _cell_rows(boxes: DataFrame, attrs: Sequence[str], cell: float) -> DataFrame:
-    """One row per cell and distinct box. Of boxes with equal edges only the first can ever win."""
-    distinct = boxes.groupBy(*EDGES).agg(
+def _cell_rows(boxes: DataFrame, attrs: Sequence[str], cell: float, level: int) -> DataFrame:
+    """One row per cell and distinct box of a level. Of boxes with equal edges only the first can ever win."""
+    distinct = boxes.filter(F.col("_level") == level).groupBy(*EDGES).agg(
         F.min("priority").alias("priority"), F.min_by(F.struct(*attrs), "priority").alias("zone")
     )
-    by_lat = distinct.withColumn("_cy", _cells_of("lat_from", "lat_to", cell))
-    return by_lat.withColumn("_cx", _cells_of("lon_from", "lon_to", cell))
-
-
-def _reachable(cell_rows: DataFrame, cell: float, salts: int) -> DataFrame:
-    """Cell rows without the boxes that cannot win: those behind a box that covers the whole cell.
-
-    Covering is tested with a small margin, so a box is only dropped when it surely lies behind.
-    """
-    margin = cell * 1e-6
-
-    def spans(low: str, high: str, index: str) -> Column:
-        start = F.col(index) * F.lit(cell)
-        return (F.col(low) <= start - margin) & (F.col(high) >= start + cell + margin)
-
-    covering = cell_rows.filter(spans("lat_from", "lat_to", "_cy") & spans("lon_from", "lon_to", "_cx"))
-    first = covering.groupBy("_cy", "_cx").agg(F.min("priority").alias("_first"))
-    known = salted_join(cell_rows, first, ["_cy", "_cx"], "left", salts)
-    return known.filter(F.col("_first").isNull() | (F.col("priority") <= F.col("_first"))).drop("_first")
+    by_lat = distinct.withColumn("_cy", _cells_of("lat_from", "lat_to", _size(cell, level)))
+    return by_lat.withColumn("_cx", _cells_of("lon_from", "lon_to", _size(cell, level)))
 
 
 def first_match(
@@ -144,45 +124,59 @@ def first_match(
 ) -> DataFrame:
     """Add the attributes of the first matching box to every point.
 
-    Up to ``max_cells`` cell rows the cells are broadcast and the points are not shuffled at all. Larger box
-    tables are joined by a salted shuffle on the cell, over distinct positions only. ``sized_by`` is a table of
-    the same boxes that is cheaper to measure.
+    Boxes are filed under cells of about their own width, a grid per level of widths, so a box touches few cells
+    and one wide box does not crowd the small ones. A point looks up one cell in each grid that has boxes. Up to
+    ``max_cells`` cell rows the cells are broadcast and the points are not shuffled at all. Larger box tables are
+    joined by a shuffle on the cell, over distinct positions only. ``sized_by`` is a table of the same boxes that
+    is cheaper to measure.
     """
-    count, sides, area = _box_profile(boxes if sized_by is None else sized_by)
-    size = _cell_size(cell, count, sides, area, max_cells)
+    measured = _leveled(boxes if sized_by is None else sized_by, cell).groupBy("_level").count().collect()  # a row per level
+    levels, count = sorted(row["_level"] for row in measured), sum(row["count"] for row in measured)
     if count <= SMALL_TABLE:
         boxes = boxes.coalesce(1)  # a bounded table in one task needs no exchange
-    if size is None:
-        return _first_match_shuffled(points, boxes, list(attrs), lat, lon, closed, keep_unmatched, cell, salts)
+    boxes = _leveled(boxes, cell)
+    # the highest level also holds boxes wider than its cells
+    if 4 * count > max_cells or HIGHEST in levels:
+        return _first_match_shuffled(points, boxes, levels, list(attrs), lat, lon, closed, keep_unmatched, cell, salts)
 
-    cells = _cell_rows(boxes, attrs, size).groupBy("_cy", "_cx").agg(
-        F.array_sort(F.collect_list(F.struct("priority", *EDGES, "zone"))).alias("_boxes")
-    )
     y, x = F.col(lat), F.col(lon)
     here = (y != 0.0) & (x != 0.0)
-    placed = points.withColumns(
-        {"_cy": F.when(here, _cell_of(y, size)), "_cx": F.when(here, _cell_of(x, size))}
-    )
-    joined = placed.join(F.broadcast(cells), ["_cy", "_cx"], "left" if keep_unmatched else "inner")
-    hit = F.get(F.filter("_boxes", lambda b: _inside(b, y, x, closed)), F.lit(0))
-    found = joined.withColumn("_zone", hit["zone"])
+    joined, hits = points, []
+    for level in levels:
+        size, place = _size(cell, level), f"{level - LOWEST}"
+        cells = _cell_rows(boxes, attrs, cell, level).groupBy(F.col("_cy").alias(f"_cy{place}"), F.col("_cx").alias(f"_cx{place}")).agg(
+            F.array_sort(F.collect_list(F.struct("priority", *EDGES, "zone"))).alias(f"_boxes{place}")
+        )
+        joined = joined.withColumns({f"_cy{place}": F.when(here, _cell_of(y, size)), f"_cx{place}": F.when(here, _cell_of(x, size))})
+        joined = joined.join(F.broadcast(cells), [f"_cy{place}", f"_cx{place}"], "left")
+        hit = F.get(F.filter(f"_boxes{place}", lambda b: _inside(b, y, x, closed)), F.lit(0))
+        hits.append(F.when(hit.isNotNull(), F.struct(hit["priority"].alias("priority"), hit["zone"].alias("zone"))))
+    best = F.least(*hits)["zone"] if len(hits) > 1 else hits[0]["zone"] if hits else F.lit(None)
+    if not hits:
+        empty = boxes.select(F.struct(*attrs).alias("zone")).schema["zone"].dataType
+        best = F.lit(None).cast(empty)
+    found = joined.withColumn("_zone", best)
     if not keep_unmatched:
         found = found.filter(F.col("_zone").isNotNull())
     return found.select(*points.columns, *[F.col("_zone")[a].alias(a) for a in attrs])
 
 
-def _first_match_shuffled(points, boxes, attrs, lat, lon, closed, keep_unmatched, cell, salts) -> DataFrame:
+def _first_match_shuffled(points, boxes, levels, attrs, lat, lon, closed, keep_unmatched, cell, salts) -> DataFrame:
     """The way for box tables too large to broadcast.
 
     Rows at one position share their answer, so positions are made distinct before the cell join, candidates
-    fall to one per position by a combining ``min_by``, and the answers go back by a salted join.
+    fall to one per position by a combining ``min_by``, and the answers go back by a join. Crowded cells and
+    positions are salted.
     """
     y, x = F.col("_y"), F.col("_x")
     spots = points.select(F.col(lat).alias("_y"), F.col(lon).alias("_x")).filter((y != 0.0) & (x != 0.0)).distinct()
-    spots = spots.withColumns({"_cy": _cell_of(y, cell), "_cx": _cell_of(x, cell)})
-    # unlike the points, the cell rows can be the larger side; salting spots keeps a crowded cell in many tasks
-    candidates = _reachable(_cell_rows(boxes, attrs, cell), cell, salts)
-    pairs = salted_join(spots, candidates, ["_cy", "_cx"], "inner", salts)
+    places = [
+        F.struct(F.lit(n).alias("_level"), _cell_of(y, _size(cell, n)).alias("_cy"), _cell_of(x, _size(cell, n)).alias("_cx"))
+        for n in levels or [LOWEST]
+    ]
+    spots = spots.select("_y", "_x", F.inline(F.array(*places)))
+    rows = [_cell_rows(boxes, attrs, cell, n).withColumn("_level", F.lit(n)) for n in levels or [LOWEST]]
+    pairs = salted_join(spots, reduce(DataFrame.unionByName, rows), ["_level", "_cy", "_cx"], "inner", salts)
     box = {e: F.col(e) for e in EDGES}
     answers = pairs.filter(_inside(box, y, x, closed)).groupBy("_y", "_x").agg(
         F.min_by("zone", "priority").alias("_zone")

@@ -193,3 +193,22 @@ def test_result_does_not_depend_on_partitioning(spark, sf):
         lookup.first_match(trips.repartition(n), zones, ["zip"]).groupBy("zip").count().orderBy("zip").collect() for n in (1, 16)
     ]
     assert tables[0] == tables[1]
+
+
+def test_one_wide_box_does_not_crowd_the_small_ones(spark):
+    rng = random.Random(12)
+    rows = [(i, y, y + 0.01, x, x + 0.01, f"z{i}") for i in range(3000) for y, x in [(rng.uniform(40, 41), rng.uniform(-75, -74))]]
+    rows.append((3000, -90.0, 90.0, -180.0, 180.0, "world"))
+    boxes = spark.createDataFrame(rows, "priority int, lat_from double, lat_to double, lon_from double, lon_to double, name string")
+    points = points_around(rows[::300], extra=200)
+    spots = spark.createDataFrame(points, "lat double, lon double")
+    expected = sorted((str(p), first(rows, *p, False) or "") for p in points)
+    for how in ({}, {"max_cells": 1}):
+        found = lookup.first_match(spots, boxes, ["name"], "lat", "lon", **how).collect()
+        assert sorted((str((r["lat"], r["lon"])), r["name"] or "") for r in found) == expected
+    levels = lookup._leveled(boxes, 0.02).groupBy("_level").count().collect()
+    crowd = max(
+        lookup._cell_rows(lookup._leveled(boxes, 0.02), ["name"], 0.02, r["_level"]).groupBy("_cy", "_cx").count().agg(F.max("count")).first()[0]
+        for r in levels
+    )
+    assert crowd < 20
