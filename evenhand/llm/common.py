@@ -14,7 +14,7 @@ from evenhand.session import written
 #: Words of the corpus contracts: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "documents", "only", "ship", "word_count", "written"]
+__all__ = ["WORD", "discard", "documents", "only", "ship", "word_count", "written"]
 
 
 #: Rows per batch, with Spark's defaults and what suits texts better.
@@ -42,6 +42,16 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``written`` made and that nothing will read again."""
+    spark = table.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    for folder in folders:
+        if folder.rsplit("/", 1)[1].startswith("evenhand-"):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

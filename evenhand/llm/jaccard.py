@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from evenhand.llm.common import only, ship, written
+from evenhand.llm.common import discard, only, ship, written
 from evenhand.llm.components import components
 from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, range_bits, split_ranges
 from evenhand.llm.shingles import mixed, shingle_set
@@ -356,7 +356,7 @@ def _open_links(rows: DataFrame, nodes: DataFrame, counts: DataFrame, lists: Dat
     wanted = nodes.filter("node = rep").select("node", "doc_id", "key").join(possible.select("node").distinct(), "node", "left_semi")
     sets = written(_sets(rows, written(wanted, "jaccard-wanted")), "jaccard-sets")
     pairs = possible.join(_shortened(sets), "node").groupBy(*key).applyInArrow(_list_pairs, "a long, b long").distinct()
-    return _verified(pairs, sets)
+    return _verified(written(pairs, "jaccard-pairs"), sets)
 
 
 def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -379,18 +379,24 @@ def classes_and_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     left, right = (rep_of.select(F.col("node").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
     pairs = met.filter("b IS NOT NULL").select("a", "b").distinct().join(left, "a").join(right, "b").filter("rep_a != rep_b")
     pairs = pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
-    counts = table.filter("kind = 0 AND n > 0").select("node", "n", "counts")
-    pairs = written(_bounded(pairs, counts), "jaccard-pairs")
+    met_pairs = written(pairs, "jaccard-pairs")
 
     member = F.explode(F.col("nodes")).alias("node")
     lists = met.filter("b IS NULL").select(F.col("a").alias("list"), "members").dropDuplicates(["list"]).mapInArrow(_unpack, "list long, nodes array<long>")
     lists = lists.select("list", member).join(rep_of, "node").select("list", F.col("rep").alias("node")).distinct()
     lists = written(lists, "jaccard-lists")
+    # The signatures are the largest table; what later steps need of it is kept apart.
+    named = met_pairs.select(F.col("a").alias("node")).union(met_pairs.select("b")).union(lists.select("node")).distinct()
+    counts = written(table.filter("kind = 0").select("node", "n", "counts").join(named, "node", "left_semi"), "jaccard-counts")
+    discard(table)
+    discard(met)
+    pairs = written(_bounded(met_pairs, counts), "jaccard-pairs")
 
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = nodes.filter("node = rep").select("node", "doc_id", "key").join(named, "node", "left_semi")
     sets = written(_sets(rows, written(wanted, "jaccard-wanted")), "jaccard-sets")
     links = written(_verified(pairs, sets), "jaccard-links")
+    discard(sets)
     labels = written(components(links), "jaccard-labels")
     more = _open_links(rows, nodes, counts, lists, labels)
     if more is not None:

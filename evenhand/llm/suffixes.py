@@ -33,7 +33,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import only, ship, written
+from evenhand.llm.common import discard, only, ship, written
 from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, range_bits, split_ranges
 from evenhand.llm.shingles import BYTE_VALUES, INVERSE_POWERS, PLACES, POWERS, mixed
 
@@ -321,7 +321,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(frequency_bitmap(anchors, bits, BITMAP_BITS, 1))
     stretches = written(rows.mapInArrow(_stretch_rows(bitmap, bits), STRETCHES), "suffix-stretches")
     apart = stretches.filter("kind = 1").drop("kind", "doc_id", "tie", "spans").groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary")
-    return written(stretches.filter("kind = 0").select("doc_id", "tie", "spans").union(apart), "suffix-spans")
+    spans = written(stretches.filter("kind = 0").select("doc_id", "tie", "spans").union(apart), "suffix-spans")
+    discard(stretches)
+    return spans
 
 
 def kept_bytes(data: bytes, spans: list[bytes]) -> tuple[bytes, np.ndarray]:
