@@ -38,10 +38,10 @@ from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, m
 from evenhand.llm.shingles import BYTE_VALUES, INVERSE_POWERS, PLACES, POWERS, mixed
 
 LENGTH = 50
-ANCHOR = 16
+ANCHOR = 24
 COLUMNS = 2 * LENGTH - ANCHOR  # of a stretch, from LENGTH - ANCHOR before its anchor
 LEFT = LENGTH - ANCHOR
-BITMAP_BITS = 26
+BITMAP_BITS = 27
 SLICE = 1 << 18
 AT_ONCE = 4 << 20  # bytes of text whose rows are made at once
 IN_MEMORY = 256 << 20
