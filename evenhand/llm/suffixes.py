@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import discard, only, ship, written
+from evenhand.llm.common import only, ship, written
 from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, range_bits, split_ranges
 from evenhand.llm.shingles import BYTE_VALUES, INVERSE_POWERS, PLACES, POWERS, mixed
 
@@ -122,7 +123,7 @@ def _long_safe(texts: list[bytes]) -> Iterator[tuple[int, int, Stretches]]:
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about AT_ONCE bytes of text, at least a row each, and few enough rows for short numbers."""
-    sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(batch.column("text")).to_pylist()], dtype=np.int64)
+    sizes = np.array([0 if n is None else n for n in pc.binary_length(batch.column("text")).to_pylist()], dtype=np.int64)
     start, size = 0, 0
     for at, n in enumerate(sizes):
         if at > start and (size + n > AT_ONCE or at - start >= 1 << 16):
@@ -220,7 +221,8 @@ def _batch_stretches(part: pa.RecordBatch, bitmap: np.ndarray, bits: int) -> lis
     rows = []
     beaten = own > smallest
     for at, spans in _spans_by_document(doc[beaten], begin[beaten], end[beaten]):
-        rows.append((0, None, int(ids[at]), int(ties[at]), spans, *[None] * 9))
+        # Marks that are settled pass through a range like any other row; which one does not matter.
+        rows.append((0, int(ids[at]) % (1 << bits), int(ids[at]), int(ties[at]), spans, *[None] * 9))
     # What is left: per stretch and document one entry with all its positions.
     hashes, same, doc, begin, end, before, new = (x[~beaten] for x in (hashes, same, doc, begin, end, before, new))
     entry = new | np.concatenate([[True], doc[1:] != doc[:-1]])
@@ -228,6 +230,7 @@ def _batch_stretches(part: pa.RecordBatch, bitmap: np.ndarray, bits: int) -> lis
     positions = np.diff(np.append(heads, len(entry)))
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     letters = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    packer = zstandard.ZstdCompressor(level=3)
     size = (end - begin)[heads]
     at = (offsets[doc] + begin)[heads]
     for where, places, low in split_ranges(hashes[heads], bits):
@@ -238,7 +241,7 @@ def _batch_stretches(part: pa.RecordBatch, bitmap: np.ndarray, bits: int) -> lis
         rows.append((
             1, where, None, None, None, ids[docs].astype("<i8").tobytes(), ties[docs].astype("<i8").tobytes(), local.astype("<u2").tobytes(),
             low.tobytes(), sizes.astype("<u1").tobytes(), before[heads][places].astype("<u1").tobytes(), n.astype("<u4").tobytes(),
-            begin[each].astype("<u4").tobytes(), letters[flat].tobytes(),
+            begin[each].astype("<u4").tobytes(), packer.compress(letters[flat].tobytes()),
         ))
     return rows
 
@@ -271,14 +274,21 @@ def build_columns(letters: np.ndarray, size: np.ndarray, before: np.ndarray) ->
 
 
 def _build(table: pa.Table) -> pa.Table:
-    """Marks of one range, merged per document."""
+    """Marks of one range, merged per document, and those that were settled before."""
+    settled = table.filter(pc.equal(table.column("kind"), 0)).select(["doc_id", "tie", "spans"])
+    table = table.filter(pc.equal(table.column("kind"), 1))
+    if table.num_rows == 0:
+        return settled
+    unpacker = zstandard.ZstdDecompressor()
     join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
     docs, ties = join("docs", "<i8"), join("ties", "<i8")
     n_docs = np.array([len(b) // 8 for b in table.column("docs").to_pylist()])
     n_rows = np.array([len(b) // 2 for b in table.column("doc").to_pylist()])
     doc = join("doc", "<u2").astype(np.int64) + np.repeat(np.cumsum(n_docs) - n_docs, n_rows)
     low, size, before = join("low", "<u4"), join("size", "<u1").astype(np.int64), join("before", "<u1").astype(np.int64)
-    positions, begins, letters = join("positions", "<u4").astype(np.int64), join("begins", "<u4").astype(np.int64), join("letters", "u1")
+    positions, begins, letters = join("positions", "<u4").astype(np.int64), join("begins", "<u4").astype(np.int64), np.frombuffer(
+        b"".join(unpacker.decompress(b) for b in table.column("letters").to_pylist()), dtype="u1"
+    )
     # Anchors that are in one document after all are left out.
     order = np.argsort(low, kind="stable")
     head = np.flatnonzero(np.concatenate([[True], low[order][1:] != low[order][:-1]]))
@@ -306,9 +316,10 @@ def _build(table: pa.Table) -> pa.Table:
     if found_doc:
         all_docs, begin = np.concatenate(found_doc), np.concatenate(found_begin)
         out = [(int(docs[d]), int(ties[d]), spans) for d, spans in _spans_by_document(all_docs, begin, begin + LENGTH)]
-    return pa.table({
+    marks = pa.table({
         "doc_id": pa.array([r[0] for r in out], pa.int64()), "tie": pa.array([r[1] for r in out], pa.int64()), "spans": pa.array([r[2] for r in out], pa.binary()),
     })
+    return pa.concat_tables([settled, marks])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -319,11 +330,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     bits = range_bits(only(docs, doc_id="doc_id").count())
     anchors = rows.select("text").mapInArrow(_anchor_rows(bits), "range int, values binary")
     bitmap = docs.sparkSession.sparkContext.broadcast(frequency_bitmap(anchors, bits, BITMAP_BITS, 1))
-    stretches = written(rows.mapInArrow(_stretch_rows(bitmap, bits), STRETCHES), "suffix-stretches")
-    apart = stretches.filter("kind = 1").drop("kind", "doc_id", "tie", "spans").groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary")
-    spans = written(stretches.filter("kind = 0").select("doc_id", "tie", "spans").union(apart), "suffix-spans")
-    discard(stretches)
-    return spans
+    stretches = rows.mapInArrow(_stretch_rows(bitmap, bits), STRETCHES)
+    return written(stretches.groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary"), "suffix-spans")
 
 
 def kept_bytes(data: bytes, spans: list[bytes]) -> tuple[bytes, np.ndarray]:
@@ -396,8 +404,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
             fields[names.index("text")] = pa.array(texts, pa.string())
             if "n_chars" in names:
                 counted = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(row.type.field("n_chars").type)
-                fields[names.index("n_chars")] = pa.compute.if_else(changed, counted, fields[names.index("n_chars")])
+                fields[names.index("n_chars")] = pc.if_else(changed, counted, fields[names.index("n_chars")])
             gone = pa.array([bool(own) and not t for t, own in zip(texts, spans)], pa.bool_())
-            yield pa.record_batch(fields, names=names).filter(pa.compute.invert(gone))
+            yield pa.record_batch(fields, names=names).filter(pc.invert(gone))
 
     return none.select("row.*").union(some.select("row", "spans").mapInArrow(cut, docs.schema))
