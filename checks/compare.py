@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import math
+import tempfile
 import time
 from pathlib import Path
 
@@ -59,7 +60,10 @@ def main() -> None:
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default=DEFAULT_SF)
     args = parser.parse_args()
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    folder = Path(tempfile.mkdtemp(prefix="evenhand-compare-")).as_uri()
+    spark = build_session(
+        master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.checkpoint.dir": folder}
+    )
     spark.sparkContext.setLogLevel("ERROR")
     connection = duck(args.sf)
     failed = 0

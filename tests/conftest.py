@@ -14,9 +14,11 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+        "tests", "local[8]",
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+           "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri()},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
