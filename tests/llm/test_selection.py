@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import random
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -165,6 +169,46 @@ def test_clean_documents_are_kept(documents):
     assert sum(r.kept for r in rows) >= 0.99 * sum(not r.base_failed for r in rows)
 
 
+def invented_junk() -> dict[str, str]:
+    rnd = random.Random(7)
+    made = lambda letters: " ".join("".join(rnd.choices(letters, k=rnd.randint(3, 9))) for _ in range(150))
+    return {
+        "hex": "\n".join(hashlib.sha256(rnd.randbytes(9)).hexdigest() for _ in range(15)),
+        "base64": "\n".join(base64.b64encode(rnd.randbytes(45)).decode() for _ in range(15)),
+        "letters": made(string.ascii_lowercase), "consonants": made("bcdfghjklmnpqrstvwxz"),
+        "single letters": " ".join(rnd.choices(string.ascii_lowercase, k=150)),
+        "numbers": " ".join(str(rnd.randrange(10**9)) for _ in range(60)),
+    }
+
+
+@pytest.mark.parametrize("with_corpus", [False, True])
+def test_junk_is_rejected(spark, documents, with_corpus):
+    langs = ["en", "de", "es", "fr"]
+    rows = [(10**6 + i, text, lang) for i, (text, lang) in enumerate((t, lang) for t in invented_junk().values() for lang in langs)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    if with_corpus:
+        docs = docs.union(documents.select("doc_id", "text", "lang"))
+    found = {r.doc_id: r for r in quality.judge(docs, MODEL).collect()}
+    assert [(t, lang) for d, t, lang in rows if found[d].base_failed or found[d].kept] == []
+
+
+def test_shouted_text_is_rejected_and_prose_stays(documents):
+    prose = documents.select("doc_id", "text", "lang").join(
+        quality.judge(documents, MODEL).filter("NOT base_failed AND n_tokens >= 100").select("doc_id"), "doc_id"
+    )
+    loud = prose.filter("doc_id % 10 = 0").selectExpr("doc_id + 1000000 AS doc_id", "regexp_replace(upper(text), '([^ \\n]+)', '$1!!') AS text", "lang")
+    rows = quality.judge(prose.union(loud), MODEL).filter("NOT base_failed").collect()
+    shouted = [r for r in rows if r.doc_id >= 10**6]
+    calm = [r for r in rows if r.doc_id < 10**6]
+    assert len(shouted) >= 50 and sum(r.kept for r in shouted) <= 0.02 * len(shouted)
+    assert sum(r.kept for r in calm) >= 0.99 * len(calm)
+
+
+def test_bands_do_not_depend_on_parts(documents):
+    some = documents.filter("doc_id % 2 = 0")
+    assert brute.ordered(quality.judge(some.repartition(7), MODEL).collect()) == brute.ordered(quality.judge(some.coalesce(1), MODEL).collect())
+
+
 def test_licences(spark, odd, odd_rows, nothing):
     texts = [
         (1, "Copyright (c) 2020 Some One\n\n" + MIT), (2, MIT.upper().replace("\n", "  \r\n ")), (3, "// (C) 1999 X\nISC Licence\n\n" + ISC),
