@@ -34,10 +34,11 @@ def packed_rows(values: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["range", "values"])
 
 
-def frequency_bitmap(rows: DataFrame, bits: int, bitmap_bits: int, more_than: int) -> np.ndarray:
+def frequency_bitmap(rows: DataFrame, bits: int, bitmap_bits: int, more_than: int, heavy: int | None = None):
     """A packed bitmap over the highest ``bitmap_bits`` of hashes: whether one in it occurs more than so many times.
 
-    The counts are exact over all rows (range, values). What comes to the driver is the bitmap, 2^bitmap_bits bits.
+    The counts are exact over all rows (range, values). What comes to the driver is the bitmap, 2^bitmap_bits bits. With
+    ``heavy`` the result has a second part: the sorted prefixes (see ``prefixes``) that occur more than so many times.
     """
     inner = bitmap_bits - bits
 
@@ -46,12 +47,23 @@ def frequency_bitmap(rows: DataFrame, bits: int, bitmap_bits: int, more_than: in
         often = low[more_than:][low[more_than:] == low[: max(0, len(low) - more_than)]]
         marks = np.zeros(1 << inner, dtype=bool)
         marks[often >> np.uint32(32 - inner)] = True
-        return pa.table({"range": pa.array([table.column("range")[0].as_py()], pa.int32()), "marks": pa.array([np.packbits(marks).tobytes()], pa.binary())})
+        most = low[:0] if heavy is None else np.unique(low[heavy:][low[heavy:] == low[: max(0, len(low) - heavy)]])
+        return pa.table({
+            "range": pa.array([table.column("range")[0].as_py()], pa.int32()),
+            "marks": pa.array([np.packbits(marks).tobytes()], pa.binary()), "heavy": pa.array([most.tobytes()], pa.binary()),
+        })
 
     out = np.zeros((1 << bits, (1 << inner) // 8), dtype=np.uint8)
-    for row in rows.groupBy("range").applyInArrow(mark, "range int, marks binary").collect():
+    found = [np.zeros(0, dtype=np.uint64)]
+    for row in rows.groupBy("range").applyInArrow(mark, "range int, marks binary, heavy binary").collect():
         out[row["range"]] = np.frombuffer(row["marks"], dtype=np.uint8)
-    return out.reshape(-1)
+        found.append(np.frombuffer(row["heavy"], dtype=np.uint32).astype(np.uint64) | np.uint64(row["range"] << 32))
+    return out.reshape(-1) if heavy is None else (out.reshape(-1), np.sort(np.concatenate(found)))
+
+
+def prefixes(values: np.ndarray, bits: int) -> np.ndarray:
+    """What rows (range, values) keep of hashes: the range and the next 32 bits."""
+    return values >> np.uint64(32 - bits)
 
 
 def marked(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:

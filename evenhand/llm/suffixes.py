@@ -12,8 +12,12 @@ smallest doc_id's are marked.
 2. A second pass sends stretches around repeated anchors to their range. Stretches that are equal within a batch are
    settled there: all but the smallest doc_id's are marked at once, so a text that a third of all documents share
    costs one stretch per batch.
-3. Each range is built on its own. Its columns lie in a file that rounds read in sequence where they outgrow memory.
-4. Marks are gathered per document; only texts that may have some are shuffled to them.
+3. Anchors around which very many different stretches stand, such as a phrase shorter than LENGTH in a third of all
+   documents, are no group: a third pass files each window of theirs apart under its own LENGTH bytes, takes the
+   smallest doc_id by partial aggregation and joins it back. Windows equal within a batch are settled there, too.
+4. Each range of the other stretches is built on its own. Its columns lie in a file that rounds read in sequence where
+   they outgrow memory.
+5. Marks are gathered per document; only texts that may have some are shuffled to them.
 
 Defined results: null and empty texts and those shorter than LENGTH lose nothing; a null doc_id is neither smaller nor
 larger than others, so its row loses nothing and takes nothing away; rows with equal doc_id take nothing from each
@@ -34,8 +38,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import only, ship, written
-from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, range_bits, split_ranges
+from evenhand.llm.common import discard, only, ship, written
+from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, prefixes, range_bits, split_ranges
 from evenhand.llm.shingles import BYTE_VALUES, INVERSE_POWERS, PLACES, POWERS, mixed
 
 LENGTH = 50
@@ -46,6 +50,9 @@ BITMAP_BITS = 27
 SLICE = 1 << 18
 AT_ONCE = 4 << 20  # bytes of text whose rows are made at once
 IN_MEMORY = 256 << 20
+STEP = 16  # different stretches around an anchor in a batch that count as one more occurrence of it
+HEAVY = 4096  # occurrences above which an anchor is no group; at most STEP times as many stretches are one
+WINDOWS_AT_ONCE = 1 << 18
 POSITION = np.uint64(0xFFFFFF)
 
 
@@ -142,22 +149,26 @@ def _anchor_rows(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch):
-                found, docs = [], []
+                found, alike, docs = [], [], []
                 for first, _, stretches in _long_safe(_bytes(part.column("text"))):
                     found.append(stretches.hash)
+                    alike.append(stretches.same)
                     docs.append(stretches.doc + first)
                 if not found:
                     continue
-                hashes, docs = np.concatenate(found), np.concatenate(docs)
-                order = np.lexsort((docs, hashes))
-                hashes, docs = hashes[order], docs[order]
+                hashes, same, docs = np.concatenate(found), np.concatenate(alike), np.concatenate(docs)
+                order = np.lexsort((docs, same, hashes))
+                hashes, same, docs = hashes[order], same[order], docs[order]
                 new = np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)]
-                # One entry per hash, and a second one where the batch alone has it in two documents.
+                # One entry per hash, a second one where the batch alone has it in two documents, and more where it
+                # has many different stretches.
                 group = np.cumsum(new) - 1
                 many = np.zeros(int(new.sum()), dtype=bool)
                 np.logical_or.at(many, group[1:], ~new[1:] & (docs[1:] != docs[:-1]))
-                distinct = hashes[new]
-                yield packed_rows(np.concatenate([distinct, distinct[many]]), bits)
+                other = new.copy()
+                other[1:] |= same[1:] != same[:-1]
+                copies = 1 + many + np.bincount(group[other], minlength=len(many)) // STEP
+                yield packed_rows(np.repeat(hashes[new], copies), bits)
             pa.default_memory_pool().release_unused()
 
     return run
@@ -188,11 +199,19 @@ def _spans_by_document(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> I
         yield int(doc[own[0]]), merged_spans(begin[own], end[own]).astype("<i8").tobytes()
 
 
-def _stretch_rows(bitmap, bits: int):
+def _among(hashes: np.ndarray, heavy: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the hashes' prefixes are in the sorted ones."""
+    if not len(heavy):
+        return np.zeros(len(hashes), dtype=bool)
+    own = prefixes(hashes, bits)
+    return heavy[np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)] == own
+
+
+def _stretch_rows(bitmap, heavy, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch):
-                rows = _batch_stretches(part, bitmap.value, bits)
+                rows = _batch_stretches(part, bitmap.value, heavy.value, bits)
                 if rows:
                     yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), KINDS)], names=NAMES)
             pa.default_memory_pool().release_unused()
@@ -200,13 +219,13 @@ def _stretch_rows(bitmap, bits: int):
     return run
 
 
-def _batch_stretches(part: pa.RecordBatch, bitmap: np.ndarray, bits: int) -> list[tuple]:
+def _batch_stretches(part: pa.RecordBatch, bitmap: np.ndarray, heavy: np.ndarray, bits: int) -> list[tuple]:
     ids = part.column("doc_id").to_numpy()
     ties = part.column("tie").to_numpy()
     texts = _bytes(part.column("text"))
     found = []
     for first, base, s in _long_safe(texts):
-        keep = marked(bitmap, s.hash >> np.uint64(64 - BITMAP_BITS))
+        keep = marked(bitmap, s.hash >> np.uint64(64 - BITMAP_BITS)) & ~_among(s.hash, heavy, bits)
         found.append((s.hash[keep], s.same[keep], s.doc[keep] + first, s.begin[keep] + s.base[keep] + base, s.end[keep] + s.base[keep] + base, s.anchor[keep] - s.begin[keep]))
     if not found:
         return []
@@ -246,6 +265,70 @@ def _batch_stretches(part: pa.RecordBatch, bitmap: np.ndarray, bits: int) -> lis
     return rows
 
 
+WINDOWS = pa.schema([("window", pa.binary()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("spans", pa.binary())])
+
+
+def _window_rows(heavy, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch):
+                yield from _part_windows(part, heavy.value, bits)
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _part_windows(part: pa.RecordBatch, heavy: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Windows around heavy anchors: one row per window and document, and rows without a window for what is settled."""
+    ids, ties = part.column("doc_id").to_numpy(), part.column("tie").to_numpy()
+    texts = _bytes(part.column("text"))
+    found = []
+    for first, base, s in _long_safe(texts):
+        use = _among(s.hash, heavy, bits)
+        found.append((s.doc[use] + first, (s.begin + s.base + base)[use], (s.end - s.begin)[use] - LENGTH + 1))
+    if not found:
+        return
+    doc, begin, n = (np.concatenate(x) for x in zip(*found))
+    doc, begin = np.repeat(doc, n), np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    letters = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    for start in range(0, len(doc), WINDOWS_AT_ONCE):
+        docs, begins = doc[start : start + WINDOWS_AT_ONCE], begin[start : start + WINDOWS_AT_ONCE]
+        symbols = letters[(offsets[docs] + begins)[:, None] + np.arange(LENGTH)]
+        group = np.unique(symbols.view(np.dtype((np.void, LENGTH)))[:, 0], return_inverse=True)[1]
+        order = np.lexsort((begins, docs, ids[docs], group))
+        docs, begins, group, symbols = docs[order], begins[order], group[order], symbols[order]
+        own = ids[docs]
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        beaten = own > own[np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))]
+        settled = list(_spans_by_document(docs[beaten], begins[beaten], begins[beaten] + LENGTH))
+        if settled:
+            at = np.array([d for d, _ in settled])
+            spans = pa.array([b for _, b in settled], pa.binary())
+            yield pa.record_batch([pa.nulls(len(at), pa.binary()), pa.array(ids[at]), pa.array(ties[at]), spans], schema=WINDOWS)
+        docs, begins, new, symbols = docs[~beaten], begins[~beaten], new[~beaten], symbols[~beaten]
+        head = np.flatnonzero(new | np.concatenate([[True], docs[1:] != docs[:-1]]))
+        spans = np.stack([begins, begins + LENGTH], axis=1).astype("<i8")
+        yield pa.record_batch(
+            [
+                _binary(np.arange(len(head) + 1) * LENGTH, symbols[head]), pa.array(ids[docs[head]]), pa.array(ties[docs[head]]),
+                _binary(np.append(head, len(docs)) * 16, spans),
+            ],
+            schema=WINDOWS,
+        )
+
+
+def _binary(edges: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype("<i4").tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def heavy_spans(windows: DataFrame) -> DataFrame:
+    """(doc_id, tie, spans) of windows that a smaller doc_id has too, and what was settled before."""
+    least = windows.filter("window IS NOT NULL").groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    beaten = windows.join(least.filter("least < most").select("window", "least"), "window").filter("doc_id > least")
+    return windows.filter("window IS NULL").union(beaten.select(windows.columns)).select("doc_id", "tie", "spans")
+
+
 def build_columns(letters: np.ndarray, size: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(column, order, common) after each round: stretches sorted by what follows from the column on, and the symbols
     that each shares with the one before it. Columns count from the anchor's first byte; those right of it come first.
@@ -328,10 +411,25 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = only(docs, doc_id="doc_id", text="text").filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     rows = rows.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
     bits = range_bits(only(docs, doc_id="doc_id").count())
+    stretches, windows = filed(rows, bits)
+    spans = stretches.groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary")
+    if windows is None:
+        return written(spans, "suffix-spans")
+    windows = written(windows, "suffix-windows")
+    spans = written(spans.union(heavy_spans(windows)), "suffix-spans")
+    discard(windows)
+    return spans
+
+
+def filed(rows: DataFrame, bits: int) -> tuple[DataFrame, DataFrame | None]:
+    """Stretches by range, and the windows around heavy anchors, if there are any."""
+    share = rows.sparkSession.sparkContext.broadcast
     anchors = rows.select("text").mapInArrow(_anchor_rows(bits), "range int, values binary")
-    bitmap = docs.sparkSession.sparkContext.broadcast(frequency_bitmap(anchors, bits, BITMAP_BITS, 1))
-    stretches = rows.mapInArrow(_stretch_rows(bitmap, bits), STRETCHES)
-    return written(stretches.groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary"), "suffix-spans")
+    bitmap, heavy = frequency_bitmap(anchors, bits, BITMAP_BITS, 1, HEAVY)
+    shared = share(heavy)
+    stretches = rows.mapInArrow(_stretch_rows(share(bitmap), shared, bits), STRETCHES)
+    windows = rows.mapInArrow(_window_rows(shared, bits), "window binary, doc_id long, tie long, spans binary") if len(heavy) else None
+    return stretches, windows
 
 
 def kept_bytes(data: bytes, spans: list[bytes]) -> tuple[bytes, np.ndarray]:

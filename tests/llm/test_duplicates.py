@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,27 @@ def test_passages_of_random_texts(spark):
     assert brute.ordered(suffixes.removed(docs).collect()) == brute.ordered(brute.passages(rows))
 
 
+def test_a_phrase_in_many_surroundings_is_no_group(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HEAVY", 20)
+    rnd = random.Random(8)
+    own = lambda: "".join(rnd.choice("abcdefgh ") for _ in range(60))
+    rows = [(i, own() + "one phrase with forty-nine characters, not fifty." + own()) for i in range(1500)]
+    rows += [(2000 + i, rows[rnd.randrange(1500)][1][rnd.randrange(40) :]) for i in range(100)] + [(None, rows[3][1]), (7, rows[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    table = docs.filter("doc_id IS NOT NULL").selectExpr("doc_id", "xxhash64(text) AS tie", "text")
+    stretches, windows = suffixes.filed(table, 8)
+    counts = Counter()
+    for r in stretches.filter("kind = 1").select("range", "low").collect():
+        counts.update((r.range, int(low)) for low in np.frombuffer(r.low, dtype=np.uint32))
+    assert max(counts.values()) <= suffixes.STEP * 20 < 1000 < windows.select("doc_id").distinct().count()
+    assert brute.ordered(suffixes.removed(docs).collect()) == brute.ordered(brute.passages(rows))
+
+
+def test_passages_by_windows_alone(odd, odd_rows, monkeypatch):
+    monkeypatch.setattr(suffixes, "HEAVY", 1)
+    assert brute.ordered(suffixes.removed(odd).collect()) == brute.ordered(brute.passages([r[:2] for r in odd_rows]))
+
+
 def test_slices_of_long_texts_find_the_same_windows(monkeypatch):
     text = "".join(random.Random(7).choice("ab ") for _ in range(5000)).encode()
     whole = [(s.doc + first, s.begin + s.base + base, s.end + s.base + base) for first, base, s in suffixes._long_safe([text, b"", text[:300]])]
