@@ -1,4 +1,12 @@
-"""Public licence texts and one-line notices, each under its SPDX name."""
+"""Public licence texts and one-line notices, each under its SPDX name.
+
+Long texts are the files in ``known_licences``, named by licence; they are read by the driver.
+"""
+
+from __future__ import annotations
+
+import re
+from importlib import resources
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
@@ -99,6 +107,42 @@ WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
 
 For more information, please refer to <https://unlicense.org>"""
 
+FILES = {
+    file.name.removesuffix(".txt"): file.read_text(encoding="utf-8")
+    for file in sorted((resources.files("evenhand.llm") / "known_licences").iterdir(), key=lambda f: f.name) if file.name.endswith(".txt")
+}
+END = "END OF TERMS AND CONDITIONS"
+ADDRESS = re.compile(r"51 Franklin St(?:reet)?, Fifth Floor, Boston,? MA\s+02110-1301,?\s+USA")
+OLD_ADDRESSES = ["59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA", "675 Mass Ave, Cambridge, MA 02139, USA"]
+
+#: The header for source files that stands in the text of a licence, and the licence that it grants.
+HEADERS = {
+    "Apache-2.0": (r"Licensed under the Apache License.*limitations under the License\.", ""),
+    "GPL-1.0": (r"This program is free software;.*?USA", "-or-later"), "GPL-2.0": (r"This program is free software;.*?USA", "-or-later"),
+    "GPL-3.0": (r"This program is free software:.*?licenses/>\.", "-or-later"),
+    "LGPL-2.0": (r"This library is free software;.*?USA", "-or-later"), "LGPL-2.1": (r"This library is free software;.*?USA", "-or-later"),
+    "MPL-2.0": (r"This Source Code Form is subject to.*?MPL/2\.0/\.", ""),
+}
+
+
+def forms(name: str, text: str) -> list[tuple[str, str]]:
+    """(licence, text) of a whole text, without what follows its terms, without what goes before them, and its header;
+    each with the addresses that older copies carry."""
+    out = [(name, text)]
+    if END in text:
+        terms = text[: text.index(END)]
+        out += [(name, terms), (name, terms + END)]
+    if name == "CC0-1.0":
+        body = text[text.index("Statement of Purpose") :]
+        out += [(name, body), (name, "CC0 1.0 Universal\n\n" + body)]
+    if name == "MPL-2.0":
+        out.append((name, text[: text.index("Exhibit A - ")]))
+    if name in HEADERS:
+        pattern, suffix = HEADERS[name]
+        out.append((name + suffix, re.search(pattern, text, re.DOTALL).group()))
+    return out + [(licence, ADDRESS.sub(old, form)) for licence, form in out if ADDRESS.search(form) for old in OLD_ADDRESSES]
+
+
 #: Whole licence texts, with and without the title line that many copies carry.
 TEXTS = [
     ("MIT", MIT), ("MIT", "MIT License\n\n" + MIT), ("MIT", "The MIT License (MIT)\n\n" + MIT),
@@ -106,8 +150,30 @@ TEXTS = [
     ("BSD-2-Clause", BSD_2), ("BSD-2-Clause", "BSD 2-Clause License\n\n" + BSD_2),
     ("BSD-3-Clause", BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + BSD_3),
     ("Zlib", ZLIB), ("Zlib", "zlib License\n\n" + ZLIB), ("Unlicense", UNLICENSE),
+    *[form for name, text in FILES.items() for form in forms(name, text)],
 ]
 
+#: Names in running text.
+NAMES = {
+    "MIT": ["MIT License"], "ISC": ["ISC License"], "Zlib": ["zlib License"], "Unlicense": ["Unlicense"],
+    "BSD-2-Clause": ["BSD 2-Clause License"], "BSD-3-Clause": ["BSD 3-Clause License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1"], "MPL-2.0": ["Mozilla Public License, v. 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License 2.0"],
+    **{
+        f"{short}-{number}": [f"GNU {long} Public License, version {shown}", f"GNU {long} Public License v{shown}", f"GNU {short} v{shown} License"]
+        for short, long, number, shown in [
+            ("GPL", "General", "1.0", "1"), ("GPL", "General", "2.0", "2"), ("GPL", "General", "3.0", "3"),
+            ("LGPL", "Library General", "2.0", "2"), ("LGPL", "Lesser General", "2.1", "2.1"), ("LGPL", "Lesser General", "3.0", "3"),
+        ]
+    },
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International License"],
+}
+OPENINGS = ["Licensed under the", "Released under the", "Distributed under the", "This work is licensed under the", "This work is licensed under a", "This project is licensed under the"]
+SPDX = [*NAMES, "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "Artistic-1.0-Perl"]
+SPDX += [name + end for name in SPDX if name.startswith(("GPL", "LGPL", "GFDL")) for end in ("-only", "-or-later")]
+
 #: Notices that stand on one line. Each contains the letters "licen".
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -121,4 +187,6 @@ NOTICES = [
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    *[(name, f"SPDX-License-Identifier: {name}") for name in SPDX if name not in ("MIT", "Apache-2.0")],
+    *[(name, f"{opening} {title}.") for name, titles in NAMES.items() for title in titles for opening in OPENINGS],
 ]

@@ -221,3 +221,27 @@ def test_licences(spark, odd, odd_rows, nothing):
         (7, None, 0, None), (8, None, 0, None), (8, None, 0, None), (9, None, 0, None),
     ])
     assert len(licenses.scan(odd).collect()) == len(odd_rows) and licenses.scan(nothing).collect() == []
+
+
+def test_long_licences_and_their_statement(spark):
+    from evenhand.llm import license_texts
+
+    whole = license_texts.FILES
+    apache, gpl = whole["Apache-2.0"], whole["GPL-2.0"]
+    rows = [(i, text, name) for i, (name, text) in enumerate(whole.items())]
+    rows += [
+        (100, apache[: apache.index("APPENDIX")].strip().upper(), "Apache-2.0"), (101, gpl[: gpl.index("How to Apply")].replace("\n", " \r\n"), "GPL-2.0"),
+        (102, gpl.replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"), "GPL-2.0"),
+        (103, whole["GPL-3.0"].replace("https://", "http://"), "GPL-3.0"), (104, apache + " and more", None), (105, gpl[:9000], None),
+        (106, "# Copyright 2020 Some One\n#\n" + "".join(f"# {line.strip()}\n" for line in apache[apache.index("Licensed under the Apache") :].splitlines()), "Apache-2.0"),
+        (107, "// SPDX-License-Identifier: GPL-3.0-or-later\nwords\nReleased under the Mozilla Public Licence, version 2.0.", None),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert {d: found[d].licence for d, *_ in rows} == {d: name for d, _, name in rows}
+    assert (found[107].n_notices, found[107].notices) == (2, "GPL-3.0-or-later,MPL-2.0")
+    con = duck("/root/testdata/sf0.001")
+    con.execute("CREATE OR REPLACE TEMP TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    stated = {r[0]: (r[1], r[2]) for r in con.execute(LICENSES_SQL).fetchall()}
+    assert stated == {d: (r.digest, r.licence) for d, r in found.items()}
