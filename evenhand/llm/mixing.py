@@ -3,7 +3,8 @@
 A source's target is its share of the mix by weight, stopped at ``max_repeats`` times its size; what is stopped is
 shared again among the others. Every document gets the whole copies of target / size for certain. The rest is a
 Pareto order sample: a document has odds u / (1 - u) for its uniform number u and inclusion odds p / (1 - p); the
-smallest quotients are taken until their words are nearest to what the target still needs.
+smallest quotients are taken until their words are nearest to what the target still needs. As p is one number for all
+documents of a source, the quotient rises with u: within a source the sample is order by u, with equal probabilities.
 
 The order is cut in two steps, so that no source has to fit into one task: words are summed per source and slice of
 u, and only the slice in which the cut falls is ordered. A cut is a (u, doc_id) pair per source, so taking a document
