@@ -1,8 +1,9 @@
 """Language of whole texts: known words by log frequency, unseen words by ever shorter character n-grams.
 
-The model is fitted on a bounded, documented sample of labelled rows (``max_docs`` documents by a hash of their id)
-and itself bounded: the ``max_words`` most frequent words and ``max_grams`` n-grams with one log frequency per
-language. It is small, so it is broadcast; prediction is one pass without a shuffle.
+The model is fitted on a bounded, documented sample of labelled rows (``max_docs`` documents by a hash of their id: all
+of a language that has few, as many as of any other of one that has more) and itself bounded: ``max_words`` words and
+``max_grams`` n-grams, the most frequent of each language in turn, with one log frequency per language. So a rare
+language keeps its documents and its share of the words, however large the corpus is. The model is small, so it is broadcast; prediction is one pass without a shuffle.
 
 A known word scores its log frequency in each language. An unseen word scores the mean over its longest n-grams of
 which at least one is known, n from 4 down to 1; a word without any known n-gram scores the same in all languages.
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from evenhand.llm.common import only, ship, written
 
@@ -123,23 +125,44 @@ class Reader(dict):
         return self.model.languages[best], round(float(share), 6)
 
 
+def sample_level(sizes: list[int], most: int) -> float:
+    """The number of documents a language at which all of them together give ``most``, or all they have."""
+    left = float(most)
+    for place, n in enumerate(sorted(sizes)):
+        fair = left / (len(sizes) - place)
+        if n > fair:
+            return fair
+        left -= n
+    return float(max(sizes, default=0))
+
+
 def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int = 60_000, max_grams: int = 120_000) -> Model:
-    """Fit on at most about ``max_docs`` labelled documents that are not held out; word counts are summed by Spark."""
+    """Fit on at most about ``max_docs`` labelled documents that are not held out; word counts are summed by Spark.
+
+    Shares are sent as a table of languages, so that their number is not limited by the plan.
+    """
     ship(docs.sparkSession)
     rows = only(docs, doc_id="doc_id", text="text", lang="lang").filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    share = max_docs / max(max_docs, rows.select("doc_id").count())
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < share * 1_000_000)
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    level = sample_level(list(sizes.values()), max_docs)
+    shares = docs.sparkSession.createDataFrame([(k, min(1.0, level / n)) for k, n in sizes.items()], "lang string, share double")
+    rows = rows.join(F.broadcast(shares), "lang")
+    rows = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < F.col("share") * 1_000_000)
     counted = (
         rows.select("lang", "text")
         .mapInArrow(_count, "size int, gram string, lang string, n long")
         .groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
-        .groupBy("size", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
+    )
+    in_turn = Window.partitionBy(F.col("size") == 0, "lang").orderBy(F.desc("n"), "size", "gram")
+    counted = (
+        counted.withColumn("turn", F.row_number().over(in_turn)).groupBy("size", "gram")
+        .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"), F.min("turn").alias("turn"))
     )
     counted = written(counted, "language-counts")  # read twice
     top = [
-        counted.filter(kind).orderBy(F.desc("n"), "size", "gram").limit(most)
+        counted.filter(kind).orderBy("turn", F.desc("n"), "size", "gram").limit(most)
         for kind, most in ((F.col("size") == 0, max_words), (F.col("size") > 0, max_grams))
     ]
     learned = [(r.size, r.gram, r.by) for r in top[0].union(top[1]).select("size", "gram", "by").toLocalIterator()]

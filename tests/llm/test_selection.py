@@ -169,6 +169,20 @@ def test_clean_documents_are_kept(documents):
     assert sum(r.kept for r in rows) >= 0.99 * sum(not r.base_failed for r in rows)
 
 
+def test_a_rare_language_is_learned(spark, documents):
+    rnd = random.Random(5)
+    rare = ["".join(rnd.choice("kwzxqj") + rnd.choice("aiou") for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    rows = [(10**6 + i, " ".join(rnd.choices(rare, k=60)), "rare") for i in range(12)]
+    docs = documents.select("doc_id", "text", "lang").union(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    model = language.fit(docs, max_docs=60, max_words=300, max_grams=600)
+    found = language.predict(docs, model).collect()
+    assert model.languages == ["de", "en", "es", "fr", "rare"]
+    assert all(r.lang_pred == "rare" for r in found if r.doc_id >= 10**6)
+    assert sum(len(t) for t in model.tables) <= 900 and len([w for w in rare if w in model.tables[0]]) >= 55
+    assert sum(r.lang_pred == "rare" for r in found if r.doc_id < 10**6) == 0
+    assert language.sample_level([5, 100, 1000], 300) == 195 and language.sample_level([3, 4], 10) == 4 and language.sample_level([], 9) == 0
+
+
 def invented_junk() -> dict[str, str]:
     rnd = random.Random(7)
     made = lambda letters: " ".join("".join(rnd.choices(letters, k=rnd.randint(3, 9))) for _ in range(150))
