@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import bpe, jaccard, language, licenses, mixing, nearvectors, quality, shards, suffixes, token_files
+from evenhand.llm import (
+    bpe, filter_audit, jaccard, language, licenses, mixing, nearvectors, quality, shards, suffixes, token_files, tree_bpe, whitening,
+)
 from evenhand.llm.common import documents
-from evenhand.llm.statements import LICENSES_SQL, MIXING_SQL
+from evenhand.llm.statements import FILTERS_SQL, LICENSES_SQL, MIXING_SQL
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +54,18 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op11_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_filter_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_prefix_bpe": op2_prefix_bpe,
@@ -63,9 +77,13 @@ QUERIES = {
     "op8_kd_shards": op8_kd_shards,
     "op9_fertility": op9_fertility,
     "op10_license_digests": op10_license_digests,
+    "op11_tree_bpe": op11_tree_bpe,
+    "op12_filter_diagrams": op12_filter_diagrams,
+    "op13_incremental_whitening": op13_incremental_whitening,
 }
 
 ORACLES = {
     "op7_pareto_mix": MIXING_SQL,
     "op10_license_digests": LICENSES_SQL,
+    "op12_filter_diagrams": FILTERS_SQL,
 }

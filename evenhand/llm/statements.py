@@ -69,3 +69,51 @@ SELECT d.doc_id, d.digest, t.licence, coalesce(f.n_notices, 0)::BIGINT AS n_noti
 FROM (SELECT doc_id, sha256({_canonical('text')}) AS digest FROM documents) d
 LEFT JOIN texts t ON t.digest = d.digest LEFT JOIN found f ON f.doc_id = d.doc_id
 """
+
+FILTERS_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), firsts AS (
+    SELECT text, min(doc_id) AS least FROM texts GROUP BY text
+), flags AS (
+    SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failing AS (
+    SELECT t.part, coalesce(g.good, false) AS good, coalesce(g.bad, false) AS bad, [
+        len(words) < 50,
+        100 * len(list_distinct(words)) < 65 * len(words),
+        100 * (length(t.text) - length(regexp_replace(t.text, '[A-Z]', '', 'g'))) > 5 * length(t.text),
+        regexp_matches(t.text, '[#$%&*|]'),
+        coalesce(t.doc_id > f.least, false)] AS fails
+    FROM texts t JOIN firsts f ON t.text = f.text LEFT JOIN flags g ON t.doc_id = g.doc_id
+), masks AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM failing GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+), steps AS (
+    SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders
+), placed AS (
+    SELECT filter_order, step, ascii(filter_order[step]) - 64 AS own,
+        list_transform(range(1, step), lambda i: ascii(filter_order[i]) - 64) AS before
+    FROM steps
+), counted AS (
+    SELECT m.part, p.filter_order, p.step, p.own,
+        sum(CASE WHEN NOT came AND NOT fails[own] THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN NOT came AND fails[own] THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN came AND fails[own] THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN fails[own] AND len(list_filter(fails, lambda f: f)) = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN NOT came AND fails[own] THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN NOT came AND fails[own] THEN bad ELSE 0 END)::BIGINT AS toxic_lost
+    FROM masks m, placed p, LATERAL (SELECT coalesce(list_bool_or(list_transform(p.before, lambda i: m.fails[i])), false) AS came)
+    GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
