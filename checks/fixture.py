@@ -68,16 +68,15 @@ def valid_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def census_text(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
     """Census rows as text: some incomes are "-", some codes have lost their leading zero.
 
-    ``sparse`` leaves out every seventh zone, so that the default income is used.
+    ``sparse`` gives every seventh zone a code that no zone has, so that the default income is used.
     """
     codes = F.expr("array(" + ", ".join(f"'{row[5]}'" for row in zone_rows()[:70]) + ")")
     i = F.col("i")
     income = F.expr("cast(25000 + (i * 1237) % 80000 + floor(c_acctbal / 10) as string)")
     rows = read_table(spark, sf_dir, "customer").withColumn("i", F.col("c_custkey") % 80)
-    if sparse:
-        rows = rows.filter(i % 7 != 0)
+    code = F.when(i < 70, F.get(codes, i.cast("int"))).otherwise((i + 1000).cast("string"))
     return rows.select(
-        F.when(i < 70, F.get(codes, i.cast("int"))).otherwise((i + 1000).cast("string")).alias("ZIP"),
+        (F.when(i % 7 == 0, (i + 20_000).cast("string")).otherwise(code) if sparse else code).alias("ZIP"),
         F.when(F.col("c_custkey") % 37 == 0, "-").otherwise(income).alias("income_text"),
     )
 

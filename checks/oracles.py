@@ -97,11 +97,11 @@ CLEAN_COLUMNS = """trip_id, tpep_pickup_datetime, tpep_dropoff_datetime, passeng
   hour_of_day, day_of_week, is_rush_hour, is_weekend, is_night, fare_per_mile, pickup_zone"""
 
 
-def census(keep: str = "TRUE") -> str:
+def census(missing: str = "FALSE") -> str:
     return f"""
-coded AS (SELECT c_custkey % 80 AS i, * FROM customer WHERE {keep}),
+coded AS (SELECT c_custkey % 80 AS i, * FROM customer),
 census AS (
-  SELECT CASE WHEN i < 70 THEN z.zip ELSE CAST(1000 + i AS VARCHAR) END AS ZIP,
+  SELECT CASE WHEN {missing} THEN CAST(20000 + i AS VARCHAR) WHEN i < 70 THEN z.zip ELSE CAST(1000 + i AS VARCHAR) END AS ZIP,
     CASE WHEN c_custkey % 37 = 0 THEN '-'
       ELSE CAST(25000 + (i * 1237) % 80000 + CAST(floor(c_acctbal / 10) AS BIGINT) AS VARCHAR) END AS income_text
   FROM coded LEFT JOIN zones z ON z.priority = i AND i < 70)"""
@@ -146,6 +146,9 @@ predicted AS (
 RAW = f"WITH {TRIPS}"
 WITH_FEATURES = f"WITH {TRIPS}, {FEATURES}"
 WITH_CLEAN = f"{WITH_FEATURES}, {CLEAN}"
+PLANTED = """planted AS (SELECT * REPLACE (CASE WHEN h % 41 <> 0 THEN fare_amount END AS fare_amount,
+  CASE WHEN h % 43 <> 0 THEN passenger_count END AS passenger_count) FROM priced)"""
+WITH_PLANTED_FEATURES = f"WITH {TRIPS}, {PLANTED}, {FEATURES.replace('FROM priced', 'FROM planted')}"
 WITH_MATCHED = f"{WITH_CLEAN}, {ZONES}, {MATCHED}"
 WITH_ENRICHED = f"{WITH_MATCHED}, {census()}, {incomes()}, {ENRICHED}"
 WITH_PREDICTED = f"{WITH_ENRICHED}, {PREDICTED}"
@@ -340,6 +343,13 @@ ORACLES: dict[str, str] = {
         count(*) FILTER ({COMPLETE}) AS after_nulls, count(*) FILTER ({COMPLETE} AND {LOCATED}) AS after_zero_gps,
         count(*) FILTER ({COMPLETE} AND {LOCATED} AND {PLAUSIBLE}) AS after_outliers FROM featured)
       SELECT *, {r('CAST(initial_rows - after_outliers AS DOUBLE) / initial_rows * 100', 1)} AS removed_pct FROM steps""",
+    "audit_clean_once": f"""{WITH_PLANTED_FEATURES}, steps AS (SELECT count(*) AS initial_rows,
+        count(*) FILTER ({COMPLETE}) AS after_nulls, count(*) FILTER ({COMPLETE} AND {LOCATED}) AS after_zero_gps,
+        count(*) FILTER ({COMPLETE} AND {LOCATED} AND {PLAUSIBLE}) AS after_outliers,
+        count(*) FILTER (h % 41 = 0 OR h % 43 = 0) AS faulty_rows, count(*) FILTER (h % 41 = 0) AS lost_fares,
+        count(*) FILTER (h % 43 = 0) AS lost_passengers FROM featured)
+      SELECT *, {r('CAST(initial_rows - after_outliers AS DOUBLE) / initial_rows * 100', 1)} AS removed_pct,
+        after_outliers AS cleaned_rows, faulty_rows AS faulty_lines FROM steps""",
     "clean_variant_wide_box": f"""{RAW} SELECT h, fare_amount, trip_distance, pickup_latitude, pickup_longitude FROM priced
       WHERE fare_amount >= 2.5 AND fare_amount <= 500 AND trip_distance > 0 AND trip_distance <= 100
       AND pickup_longitude BETWEEN -74.5 AND -73.5 AND pickup_latitude BETWEEN {dbl(40.4)} AND 41""",
@@ -376,7 +386,7 @@ ORACLES: dict[str, str] = {
         {mean('median_income', 0)} AS avg_income, max(median_income) AS max_income FROM incomes""",
     **dict.fromkeys(
         ("enrich_income", "enrich_income_salted"),
-        f"""{WITH_MATCHED}, {census('(c_custkey % 80) % 7 <> 0')}, {incomes()}, {ENRICHED}
+        f"""{WITH_MATCHED}, {census('i % 7 = 0')}, {incomes()}, {ENRICHED}
         SELECT h, pickup_zip, median_income, income_category FROM enriched"""),
     "enriched_trips": f"""{WITH_ENRICHED} SELECT {CLEAN_COLUMNS}, pickup_zip, borough, neighborhood, median_income,
         income_category FROM enriched""",

@@ -9,14 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import fixture as fx
+from checks.fixture import MODELS
 from evenhand import schemas
 from evenhand.fixed_values import FAIR_FEATURES, INCOME_CLIP, SIMPLE_FEATURES
 from evenhand.functions import columns as C
 from evenhand.operators import (
     cleaning, disparity, enrich, fairness, impact, joins, lookup, models, quantiles, ranking, reports, sampling, stats,
 )
-from evenhand.plans import fixture as fx
-from evenhand.plans.fixture import MODELS
+from evenhand.plans import audit
 from evenhand.session import shared_path, tune, written
 from evenhand.sources import catalog, files, messages
 from evenhand.streaming import live
@@ -63,6 +64,27 @@ def clean_funnel(spark, sf):
     return cleaning.funnel(fx.raw_trips(spark, sf))
 
 
+@query
+def audit_clean_once(spark, sf):
+    """Counts taken while the cleaned trips and the faulty lines are written from one read of the raw files."""
+    path = shared_path(spark, "audit")
+    h = F.col("h")
+    text = fx.raw_trips(spark, sf).withColumns({
+        "fare_amount": F.when(h % 41 == 0, "n/a").otherwise(F.col("fare_amount").cast("string")),
+        "passenger_count": F.when(h % 43 == 0, "two").otherwise(F.col("passenger_count").cast("string")),
+    })
+    files.write_trips_csv(text.drop("h"), f"{path}/raw")
+    paths = audit.Paths(f"{path}/raw", "", f"{path}/out")
+    counts = audit.clean(spark, paths)
+    cleaned = audit.cleaned_trips(spark, paths).agg(F.count(F.lit(1)).alias("cleaned_rows"))
+    lost = F.col("lost_fields")
+    faulty = audit.faulty_lines(spark, paths).agg(
+        F.count("faulty_line").alias("faulty_lines"), F.count_if(F.array_contains(lost, "fare_amount")).alias("lost_fares"),
+        F.count_if(F.array_contains(lost, "passenger_count")).alias("lost_passengers"),
+    )
+    return joins.one_row(counts, cleaned, faulty)
+
+
 @query
 def clean_variant_wide_box(spark, sf):
     kept = cleaning.keep_valid_wide(fx.raw_trips(spark, sf))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from evenhand import schemas
 from evenhand.fixed_values import WIDE_BOX_LIMITS, TripLimits
 from evenhand.functions import columns as C
+from evenhand.sources.files import FAULTY_LINE, fault_fields
 
 COORDINATES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
 CRITICAL = ("tpep_pickup_datetime", "tpep_dropoff_datetime", *COORDINATES, "trip_distance", "fare_amount")
@@ -94,15 +95,38 @@ def clean_trips(trips: DataFrame, limits: TripLimits = TripLimits()) -> DataFram
     return with_features(keep_valid(trips, limits)).select(*schemas.CLEAN_TRIPS.fieldNames())
 
 
-def funnel(trips: DataFrame, limits: TripLimits = TripLimits()) -> DataFrame:
-    """Rows left after each cleaning step, from one pass over the input."""
+def step_counts(limits: TripLimits = TripLimits()) -> list[Column]:
+    """Aggregates that count the rows left after each cleaning step."""
     steps = {"after_nulls": complete(), "after_zero_gps": located(), "after_outliers": plausible(limits)}
     passed, counts = F.lit(True), [F.count(F.lit(1)).alias("initial_rows")]
     for name, rule in steps.items():
         passed = passed & rule
         counts.append(F.count_if(passed).alias(name))
+    return counts
+
+
+def with_removed_share(counts: DataFrame) -> DataFrame:
     removed = F.try_divide(F.col("initial_rows") - F.col("after_outliers"), F.col("initial_rows")) * 100.0
-    return trips.agg(*counts).withColumn("removed_pct", F.round(removed, 1))
+    return counts.withColumn("removed_pct", F.round(removed, 1))
+
+
+def funnel(trips: DataFrame, limits: TripLimits = TripLimits()) -> DataFrame:
+    """Rows left after each cleaning step, from one pass over the input."""
+    return with_removed_share(trips.agg(*step_counts(limits)))
+
+
+def cleaned_and_faulty(trips: DataFrame, limits: TripLimits = TripLimits()) -> DataFrame:
+    """Rows to write from one pass over trips with a ``faulty_line``, by ``kind``.
+
+    ``cleaned`` are the valid trips with features; ``faulty`` are lines of which something was lost, with the fields
+    it was lost from. A faulty line whose lost cells do not matter for cleaning is of both kinds.
+    """
+    line = F.col(FAULTY_LINE)
+    kinds = F.array_compact(F.array(F.when(complete() & located() & plausible(limits), "cleaned"), F.when(line.isNotNull(), "faulty")))
+    rows = with_features(trips.withColumn("lost_fields", fault_fields()).withColumn("kind", F.explode(kinds)))
+    is_faulty = F.col("kind") == "faulty"
+    faults = [F.when(is_faulty, F.col(c)).alias(c) for c in (FAULTY_LINE, "lost_fields")]
+    return rows.select(*[F.when(~is_faulty, F.col(c)).alias(c) for c in schemas.CLEAN_TRIPS.fieldNames()], *faults, "kind")
 
 
 def type_fields(records: DataFrame, ints=schemas.INT_FIELDS, doubles=schemas.DOUBLE_FIELDS) -> DataFrame:

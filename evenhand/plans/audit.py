@@ -11,7 +11,8 @@ import argparse
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from evenhand import schemas
 from evenhand.fixed_values import TripLimits
@@ -32,9 +33,14 @@ class Paths:
     census: str
     out: str
 
+    @property
+    def trips(self) -> str:
+        return f"{self.out}/processed/trips"
+
     @property
     def cleaned(self) -> str:
-        return f"{self.out}/processed/cleaned"
+        """Where a table of the cleaned trips alone finds them."""
+        return f"{self.trips}/kind=cleaned"
 
     @property
     def enriched(self) -> str:
@@ -62,10 +68,26 @@ class Paths:
 
 
 def clean(spark: SparkSession, paths: Paths, limits: TripLimits = TripLimits()) -> DataFrame:
-    """Raw files to cleaned trips; returns the rows left after each step."""
-    raw = files.read_trips_csv(spark, paths.raw)
-    files.write_parquet(cleaning.clean_trips(raw, limits), paths.cleaned)
-    return cleaning.funnel(raw, limits)
+    """Raw files to cleaned trips and faulty lines; returns the rows left after each step and the faulty ones.
+
+    The raw files are read once: the counts are taken from the rows on their way to the output.
+    """
+    raw = files.read_trips_checked(spark, paths.raw)
+    seen = Observation("funnel")
+    counted = raw.observe(seen, *cleaning.step_counts(limits), F.count(files.FAULTY_LINE).alias("faulty_rows"))
+    files.write_kinds(cleaning.cleaned_and_faulty(counted, limits), paths.trips)
+    names = ["initial_rows", "after_nulls", "after_zero_gps", "after_outliers", "faulty_rows"]
+    row = [seen.get.get(name, 0) for name in names]
+    return cleaning.with_removed_share(spark.createDataFrame([row], ", ".join(f"{name} bigint" for name in names)))
+
+
+def cleaned_trips(spark: SparkSession, paths: Paths) -> DataFrame:
+    return files.read_kind(spark, paths.trips, schemas.CLEAN_TRIPS, "cleaned")
+
+
+def faulty_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Lines of the raw files of which something was lost, with the names of the fields."""
+    return files.read_kind(spark, paths.trips, schemas.FAULTY_LINES, "faulty")
 
 
 def add_income(spark: SparkSession, paths: Paths, out_files: int | None = None) -> DataFrame:
@@ -73,7 +95,7 @@ def add_income(spark: SparkSession, paths: Paths, out_files: int | None = None)
 
     ``out_files`` merges the output into that many files, for inputs small enough to be written by as many tasks.
     """
-    trips = files.read_parquet(spark, paths.cleaned)
+    trips = cleaned_trips(spark, paths)
     enriched = enrich.enrich_trips(trips, lookup.zone_table(spark), files.read_census_csv(spark, paths.census))
     files.write_parquet(enriched.select(*schemas.ENRICHED_TRIPS.fieldNames()), paths.enriched, out_files)
     measures = {

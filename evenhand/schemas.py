@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DoubleType,
     IntegerType,
@@ -58,6 +59,8 @@ ENRICHED_TRIPS = StructType(
     ).fields
 )
 
+FAULTY_LINES = StructType([StructField("faulty_line", StringType()), StructField("lost_fields", ArrayType(StringType()))])
+
 PREDICTIONS = _schema(
     "trip_id string, fare_amount double, predicted_fare_baseline double, predicted_fare_fair double, "
     "baseline_error double, fair_error double, baseline_abs_error double, fair_abs_error double, "

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from evenhand import schemas
 
@@ -22,6 +22,44 @@ def read_trips_csv(spark: SparkSession, path: str | Sequence[str], schema: Struc
     return reader.option("enforceSchema", True).option("nullValue", "").csv(path)
 
 
+FAULTY_LINE = "faulty_line"
+
+
+def read_trips_checked(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType = schemas.RAW_TRIPS, check_header: bool = True
+) -> DataFrame:
+    """Trips as ``read_trips_csv`` gives them and, from the same scan, ``faulty_line``.
+
+    It holds the whole line where a cell does not fit its type or where cells are missing or left over, and null for
+    all other rows. A header with other names, or in another order, raises an error that names the file; lines bind by
+    position, so such a file would be read wrongly throughout. All cells are parsed, whichever are asked for later.
+    """
+    checked = StructType([*schema.fields, StructField(FAULTY_LINE, StringType())])
+    reader = spark.read.schema(checked).option("header", True).option("timestampFormat", TIME_FORMAT).option("nullValue", "")
+    table = reader.option("columnNameOfCorruptRecord", FAULTY_LINE).option("enforceSchema", not check_header).csv(path)
+    # the reader converts, and so finds faults in, only cells that somebody asks for: the lost fields ask for all
+    return table.withColumn(FAULTY_LINE, F.when(F.size(fault_fields(schema)) >= 0, F.col(FAULTY_LINE)))
+
+
+def fault_fields(schema: StructType = schemas.RAW_TRIPS, line: str = FAULTY_LINE) -> Column:
+    """Names of the fields whose text was lost, null without a fault; empty where the number of cells is the fault."""
+    texts = ", ".join(f"`{name}` string" for name in schema.fieldNames())
+    cells = F.from_csv(F.col(line), F.lit(texts), {"nullValue": ""})
+    lost = [F.when(cells[name].isNotNull() & F.col(name).isNull(), name) for name in schema.fieldNames()]
+    return F.when(F.col(line).isNotNull(), F.array_compact(F.array(*lost)))
+
+
+def write_kinds(rows: DataFrame, path: str, kind: str = "kind") -> None:
+    """Rows of several kinds from one pass, a folder for each kind."""
+    rows.write.mode("overwrite").option("compression", "snappy").partitionBy(kind).parquet(path)
+
+
+def read_kind(spark: SparkSession, path: str, schema: StructType, value: str, kind: str = "kind") -> DataFrame:
+    """Rows of one kind; none where nothing of that kind was written."""
+    whole = StructType([*schema.fields, StructField(kind, StringType())])
+    return spark.read.schema(whole).parquet(path).filter(F.col(kind) == value).drop(kind)
+
+
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """Delimited file with a header and every cell as text, to be typed by the reader's own rules.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from evenhand import schemas, session
 from evenhand.operators import cleaning, models, sampling
 from evenhand.plans import audit
-from evenhand.plans import fixture as fx
+from checks import fixture as fx
 from evenhand.sources import catalog, files, messages
 from evenhand.streaming import live
 
@@ -35,6 +35,47 @@ def test_csv_cells_that_do_not_fit_become_null(spark, tmp_path):
     assert third["store_and_fwd_flag"] is None
 
 
+def test_faulty_lines_are_told_from_empty_cells(spark, tmp_path):
+    rows = [GOOD, GOOD.replace("20.0", "n/a").replace("2016-01-04 08:30:00", "later"), GOOD.replace(",N,", ",,"), GOOD + ",9", GOOD[:-5]]
+    path = write(tmp_path / "a.csv", *rows)
+    table = files.read_trips_checked(spark, path).withColumn("lost", files.fault_fields())
+    found = [(r["faulty_line"], r["lost"], r["VendorID"]) for r in table.collect()]
+    assert found == [
+        (None, None, 1), (rows[1], ["tpep_dropoff_datetime", "fare_amount"], 1), (None, None, 1), (rows[3], [], 1), (rows[4], [], 1),
+    ]
+    plain = files.read_trips_csv(spark, path)
+    assert table.select(plain.columns).collect() == plain.collect()
+    # asked for one good column alone, the fault shows as well
+    assert [r[1] is None for r in files.read_trips_checked(spark, path).select("VendorID", "faulty_line").collect()] == [True, False, True, False, False]
+
+
+def test_a_header_in_another_order_is_an_error(spark, tmp_path):
+    path = tmp_path / "b.csv"
+    path.write_text("\n".join([HEADER.replace("VendorID,tpep_pickup_datetime", "tpep_pickup_datetime,VendorID"), GOOD]) + "\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        files.read_trips_checked(spark, str(path)).collect()
+    assert files.read_trips_checked(spark, str(path), check_header=False).count() == 1
+
+
+def test_audit_reads_the_raw_files_once(spark, tmp_path):
+    write(tmp_path / "raw" / "a.csv", GOOD, GOOD.replace("20.0", "n/a"), GOOD.replace(",0.5,0.5,", ",x,0.5,"), GOOD.replace("-74.0,", "0.0,"))
+    paths = audit.Paths(f"{tmp_path}/raw", "", f"{tmp_path}/out")
+    scans = []
+    before = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    funnel = audit.clean(spark, paths).first().asDict()
+    store = spark._jsparkSession.sharedState().statusStore()
+    for at in range(before, store.executionsList().size()):
+        scans.append(store.executionsList().apply(at).physicalPlanDescription().count("Scan csv"))
+    assert sum(scans) <= 2  # the tree and its details name the one scan
+    assert funnel == {"initial_rows": 4, "after_nulls": 3, "after_zero_gps": 2, "after_outliers": 2, "faulty_rows": 2, "removed_pct": 50.0}
+    assert audit.cleaned_trips(spark, paths).count() == 2
+    faults = {r["faulty_line"]: r["lost_fields"] for r in audit.faulty_lines(spark, paths).collect()}
+    assert sorted(map(tuple, faults.values())) == [("extra",), ("fare_amount",)]
+    write(tmp_path / "raw2" / "a.csv", GOOD)
+    paths = audit.Paths(f"{tmp_path}/raw2", "", f"{tmp_path}/out2")
+    assert audit.clean(spark, paths).first()["faulty_rows"] == 0 and audit.faulty_lines(spark, paths).count() == 0
+
+
 def test_several_files_by_glob_and_by_head(spark, tmp_path):
     paths = [write(tmp_path / f"t_{i}.csv", *[GOOD] * 5) for i in range(3)]
     assert files.read_trips_csv(spark, str(tmp_path / "t_*.csv")).count() == 15

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from evenhand.fixed_values import borough_rows, zone_rows
 from evenhand.operators import enrich, joins, lookup
 from evenhand.operators.band import nearest_in_band
-from evenhand.plans import fixture as fx
+from checks import fixture as fx
 
 
 def first(rows, lat, lon, closed):
@@ -121,12 +122,13 @@ def test_salted_join_equals_a_plain_join_under_skew(spark):
 
 def test_only_hot_keys_are_repeated(spark):
     fact = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), "id")
-    assert joins.hot_keys(fact, ["k"]) == [(7,)]
+    hot = joins.hot_keys(fact, ["k"])
+    assert hot == [spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]]
     dim = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     joined = joins.salted_join(fact, dim, ["k"], "inner", salts=5)
     assert joined.count() == fact.count()
     assert joins.hot_keys(fact.filter("k != 7"), ["k"]) == [] and joins.hot_keys(fact.limit(0), ["k"]) == []
-    spread = joins.spread(dim, ["k"], [(7,)], 5)
+    spread = joins.spread(dim, joins.is_hot([F.col("k")], hot), 5)
     assert spread.count() == 5000 + 4
 
 
@@ -206,9 +208,65 @@ def test_one_wide_box_does_not_crowd_the_small_ones(spark):
     for how in ({}, {"max_cells": 1}):
         found = lookup.first_match(spots, boxes, ["name"], "lat", "lon", **how).collect()
         assert sorted((str((r["lat"], r["lon"])), r["name"] or "") for r in found) == expected
-    levels = lookup._leveled(boxes, 0.02).groupBy("_level").count().collect()
-    crowd = max(
-        lookup._cell_rows(lookup._leveled(boxes, 0.02), ["name"], 0.02, r["_level"]).groupBy("_cy", "_cx").count().agg(F.max("count")).first()[0]
-        for r in levels
-    )
-    assert crowd < 20
+    assert most_in_a_cell(rows) < 20
+
+
+def most_in_a_cell(rows, cell=0.02):
+    table = lookup._cells_in_driver(np.array([r[:5] for r in rows]), cell)
+    return max(map(len, table.column("boxes").to_pylist()))
+
+
+def crowd(n, span, seed=13):
+    rng = random.Random(seed)
+    corners = [(40 + rng.uniform(0, span), -74 + rng.uniform(0, span)) for _ in range(n)]
+    order = rng.sample(range(n), n)
+    return [(order[i], y, y + 0.01, x, x + 0.01, f"z{i}") for i, (y, x) in enumerate(corners)]
+
+
+BOXES = "priority int, lat_from double, lat_to double, lon_from double, lon_to double, name string"
+
+
+@pytest.mark.parametrize("how", [{}, {"max_cells": 1}, {"by_tables": True}])
+def test_crowded_boxes_are_split_into_finer_cells(spark, monkeypatch, how):
+    rows = crowd(1500, 0.009)
+    how = dict(how)
+    if how.pop("by_tables", False):
+        monkeypatch.setattr(lookup, "MAX_LOCAL", 10)
+    points = points_around(rows[::100], extra=300)
+    spots = spark.createDataFrame(points, "lat double, lon double").repartition(4)
+    expected = sorted((str(p), first(sorted(rows), *p, False) or "") for p in points)
+    found = lookup.first_match(spots, spark.createDataFrame(rows, BOXES), ["name"], "lat", "lon", **how).collect()
+    assert sorted((str((r["lat"], r["lon"])), r["name"] or "") for r in found) == expected
+
+
+def test_20000_crowded_boxes_cost_as_much_as_spread_ones():
+    assert most_in_a_cell(crowd(20_000, 0.009)) <= lookup.CROWD
+    assert most_in_a_cell(crowd(20_000, 40.0)) <= lookup.CROWD
+    equal = lookup._cells_in_driver(np.array([r[:5] for r in crowd(20_000, 1e-7)]), 0.02)  # but for their last digits
+    assert len(equal.column("boxes").combine_chunks().flatten()) < 40 * 20_000  # splitting stops where it does not help
+
+
+def test_hot_keys_are_found_however_many_there_are(spark):
+    # 99 keys of a hundredth each, and single rows for the rest
+    fact = spark.range(100_000, numPartitions=7).select(F.when(F.col("id") % 100 < 99, F.col("id") % 100).otherwise(F.col("id") + 1000).alias("k"))
+    keys = {r["k"]: r["h"] for r in fact.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    hot = joins.hot_keys(fact, ["k"])
+    assert {keys[k] for k in range(99)} <= set(hot) and len(hot) == 99
+    with pytest.raises(ValueError):
+        joins.hot_keys(fact, ["k"], 0.001)
+
+
+def test_null_and_differently_typed_keys(spark):
+    fact = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 2).cast("int").alias("k"), "id")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (5_000_000_000, "c"), (None, "d")], "k bigint, v string")
+    assert len(joins.hot_keys(fact, ["k"])) == 3  # null among them
+    for how in ("left", "inner"):
+        plain = sorted(map(str, fact.join(dim, ["k"], how).select("k", "id", "v").collect()))
+        assert sorted(map(str, joins.salted_join(fact, dim, ["k"], how, salts=5).select("k", "id", "v").collect())) == plain
+
+
+def test_broadcast_goes_by_bytes_too(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    rows, size = joins.measured(wide)
+    assert rows == 100 and 100_000 < size < 130_000
+    assert joins.fits(wide) and not joins.fits(wide, max_bytes=50_000) and not joins.fits(wide, max_rows=99)

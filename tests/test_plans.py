@@ -8,7 +8,7 @@ import pytest
 
 from checks.queries import QUERIES
 from evenhand.operators import cleaning, disparity, enrich, fairness, lookup
-from evenhand.plans import fixture as fx
+from checks import fixture as fx
 from evenhand.sources import files
 
 MODELS = fx.MODELS

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenhand.operators import disparity, fairness, impact, models, quantiles, ranking, sampling, stats
-from evenhand.plans import fixture as fx
+from checks import fixture as fx
 
 MODELS = {"baseline": "pb", "fair": "pf"}
 
