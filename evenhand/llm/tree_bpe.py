@@ -25,6 +25,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from evenhand.llm.common import only, ship
+from evenhand.llm.token_files import PLAIN, _byte_alphabet
 
 #: Symbols of a leaf within a task, of a slice between tasks, and characters from which a text is sliced.
 LEAF = 16
@@ -41,10 +43,26 @@ SLICE = 16_384
 LONG_TEXT = 65_536
 #: From so many symbols a window is merged by arrays.
 BY_ARRAYS = 96
-CACHED_WORDS = 500_000
-CACHED_PIECES = 300_000
+NO_MERGE = 1 << 40
+CACHED_WORDS = 600_000
+CACHED_PIECES = 400_000
 CACHED_SYMBOLS = 64
 
+#: The normalizer and the split that plain words take without the library: NFC and lower case change nothing else in
+#: them, and the split is by this pattern.
+PLAIN_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PLAIN_SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
 #: White space on which no normalizer, split or added token of the supported files reaches over.
 SPLIT = re.compile(r"[^ \n\t\r]+")
 
@@ -98,21 +116,19 @@ class Merges:
         """BPE by its definition: the neighbours whose merge ranks lowest are merged, from the left."""
         if len(symbols) > BY_ARRAYS:
             return self._merged_by_arrays(symbols)
-        rank, made, ids = self.rank, self.made, symbols
-        while len(ids) > 1:
-            ranks = [rank.get(pair, 1 << 40) for pair in zip(ids, ids[1:])]
+        rank, made, ids = self.rank, self.made, list(symbols)
+        ranks = list(map(rank.get, zip(ids, ids[1:]), repeat(NO_MERGE)))
+        while ranks:
             least = min(ranks)
-            if least == 1 << 40:
+            if least == NO_MERGE:
                 break
-            out, place, last = [], 0, len(ids) - 1
-            while place <= last:
-                if place < last and ranks[place] == least:
-                    out.append(made[least])
-                    place += 2
-                else:
-                    out.append(ids[place])
-                    place += 1
-            ids = out
+            at = ranks.index(least)
+            token = ids[at] = made[least]
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank.get((ids[at - 1], token), NO_MERGE)
+            if at < len(ranks):
+                ranks[at] = rank.get((token, ids[at + 1]), NO_MERGE)
         return ids
 
     def _merged_by_arrays(self, symbols: list[int]) -> list[int]:
@@ -176,6 +192,8 @@ class Words(dict):
         if data.get("post_processor") or data.get("decoder"):
             raise ValueError("only files without post-processor and decoder are supported")
         self.known_pieces: dict[str, list[int]] = {}
+        self.plain = data["normalizer"] == PLAIN_NORMALIZER and data["pre_tokenizer"] == PLAIN_SPLIT
+        self.spelling = _byte_alphabet()
         longest_first = sorted(self.added, key=len, reverse=True)
         self.literal = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         spelled = {i: t for t, i in (self.merges.vocabulary | self.added).items()}
@@ -183,6 +201,10 @@ class Words(dict):
 
     def pieces(self, text: str) -> Iterator[str]:
         """Spelled pieces; an added token is a piece of its own, which no other piece can be spelled like."""
+        if self.plain and PLAIN.fullmatch(text) and not (self.literal and self.literal.search(text)):
+            for piece in PLAIN_PIECE.findall(text.lower()):
+                yield piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.spelling)
+            return
         for part in self.literal.split(text) if self.literal else [text]:
             if part in self.added:
                 yield part
