@@ -564,9 +564,9 @@ ORACLES: dict[str, str] = {
         {sr('sum(trip_distance)', 2)} AS distance_sum FROM priced""",
     "stream_borough_batches": f"""{WITH_PLACED} SELECT coalesce(found, 'Unknown') AS borough, count(*) AS trips
       FROM placed GROUP BY 1""",
-    "stream_latest20": f"""{WITH_PLACED} SELECT tpep_pickup_datetime AS pickup, fare_amount AS fare, trip_distance AS distance,
+    **dict.fromkeys(("stream_latest20", "stream_latest_restarted"), f"""{WITH_PLACED} SELECT tpep_pickup_datetime AS pickup, fare_amount AS fare, trip_distance AS distance,
         passenger_count AS passengers, coalesce(found, 'Unknown') AS borough, h FROM placed
-      ORDER BY pickup DESC, h DESC, fare DESC NULLS LAST, distance DESC LIMIT 20""",
+      ORDER BY pickup DESC, h DESC, fare DESC NULLS LAST, distance DESC LIMIT 20"""),
     "stream_snapshot": f"""{WITH_PLACED}, b AS (SELECT coalesce(found, 'Unknown') AS borough, count(*) AS n FROM placed GROUP BY 1)
       SELECT count(*) AS messages_consumed, {sr('sum(fare_amount)', 2)} AS fare_sum,
         {sr('sum(trip_distance)', 2)} AS distance_sum, (SELECT '{{' || string_agg('"' || borough || '":' || n, ',' ORDER BY borough) || '}}' FROM b) AS boroughs,
@@ -582,6 +582,16 @@ ORACLES: dict[str, str] = {
       FROM enriched e LEFT JOIN i USING (trip_id)""",
     "stream_rate_per_second": """SELECT date_trunc('second', ts) AS window_start, count(*) AS messages,
         CAST(count(*) AS DOUBLE) AS messages_per_sec FROM events GROUP BY 1""",
+    "stream_rate_closed": """WITH due AS (SELECT *, least((day(ts) - 1) // 8, 3) AS due FROM events),
+      arrived AS (SELECT *, CASE WHEN event_id % 20 = 0 THEN least(due + 1, 3) ELSE due END AS run FROM due),
+      runs AS (SELECT run, max(ts) - INTERVAL 1 HOUR AS seen FROM arrived GROUP BY 1),
+      marks AS (SELECT run, max(seen) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS closed_before FROM runs),
+      counted AS (SELECT date_trunc('minute', ts) AS window_start, count(*) AS messages FROM arrived JOIN marks USING (run)
+        WHERE closed_before IS NULL OR date_trunc('minute', ts) + INTERVAL 1 MINUTE > closed_before GROUP BY 1)
+      SELECT window_start, messages, round(CAST(messages AS DOUBLE) / 60, 1) AS messages_per_sec FROM counted
+      WHERE window_start + INTERVAL 1 MINUTE <= (SELECT max(seen) FROM runs)""",
+    "stream_restart": f"""{RAW}, s AS (SELECT count(*) AS n, {sr('sum(fare_amount)', 2)} AS fare_sum, {sr('sum(trip_distance)', 2)} AS distance_sum
+        FROM priced) SELECT *, n AS messages_consumed, fare_sum AS live_fare_sum, distance_sum AS live_distance_sum FROM s""",
     **dict.fromkeys(
         ("stream_jsonl_roundtrip", "csv_roundtrip", "parquet_roundtrip", "message_roundtrip", "catalog_tables", "union_parts"),
         f"{RAW} SELECT {ROUND_TRIP_SUMS} FROM priced"),

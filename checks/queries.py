@@ -770,13 +770,28 @@ def stream_reset(spark, sf):
     return first.unionByName(empty, allowMissingColumns=True).unionByName(after)
 
 
+RECENT = ["pickup", "h", "fare", "distance"]
+
+
 @query
 def stream_latest20(spark, sf):
     path = shared_path(spark, "latest")
-    trips = _line_stream(spark, sf)
-    shown = live.recent_view(trips, "h")
-    live.drain(live.keep_latest(shown, ["pickup", "h", "fare", "distance"], f"{path}/out", f"{path}/check"))
-    return live.published(spark, f"{path}/out")
+    live.drain(live.keep_latest(live.recent_view(_line_stream(spark, sf), "h"), RECENT, f"{path}/check"))
+    return live.latest(spark, f"{path}/check", RECENT)
+
+
+@query
+def stream_latest_restarted(spark, sf):
+    """Four batches with a stop in the middle; the rows that are kept come through in the state."""
+    path = shared_path(spark, "latest")
+    parts = F.col("l_orderkey") % 4
+    lines = fx.read_table(spark, sf, "lineitem")
+    for part in range(4):
+        lines.filter(parts == part).write.mode("append").parquet(f"{path}/lines")
+        if part % 2:
+            trips = fx.trips_from_lines(live.stream_files(spark, f"{path}/lines", lines.schema, "parquet", per_batch=1))
+            live.drain(live.keep_latest(live.recent_view(trips, "h"), RECENT, f"{path}/check"))
+    return live.latest(spark, f"{path}/check", RECENT)
 
 
 @query
@@ -787,12 +802,13 @@ def stream_snapshot(spark, sf):
     for name, table in tables.items():
         live.drain(live.publish(table, f"{path}/{name}", f"{path}/{name}-check"))
     shown = live.recent_view(trips, "h")
-    live.drain(live.keep_latest(shown, ["pickup", "h", "fare", "distance"], f"{path}/latest", f"{path}/latest-check"))
+    live.drain(live.keep_latest(shown, RECENT, f"{path}/latest-check"))
     timed = trips.withColumn("t", F.col("tpep_pickup_datetime").cast("timestamp"))
     # ship dates span years and come in any order, so nothing may count as late
     rates = live.rate(timed, "t", delay="20000 days")
     live.drain(live.publish(rates, f"{path}/rate", f"{path}/rate-check", "update", keys=["window_start"]))
-    row = live.snapshot(spark, f"{path}/totals", f"{path}/boroughs", f"{path}/latest", f"{path}/rate")
+    recent = live.latest(spark, f"{path}/latest-check", RECENT)
+    row = live.snapshot(spark, f"{path}/totals", f"{path}/boroughs", recent, f"{path}/rate")
     return row.select(
         "messages_consumed", "fare_sum", "distance_sum", "messages_per_sec",
         F.to_json(F.map_from_entries(F.array_sort(F.map_entries("borough_counts")))).alias("boroughs"),
@@ -813,6 +829,49 @@ def stream_rate_per_second(spark, sf):
     return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query
+def stream_rate_closed(spark, sf):
+    """Four runs of a stream that closes windows; a part of the events arrives a run later than it should."""
+    path = shared_path(spark, "rate")
+    events = fx.read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    due = F.least(F.floor((F.day("ts") - 1) / 8), F.lit(3))
+    arrives = F.when(F.col("event_id") % 20 == 0, F.least(due + 1, F.lit(3))).otherwise(due)
+    for run in range(4):
+        events.filter(arrives == run).write.mode("append").parquet(f"{path}/in")
+        taken = live.stream_files(spark, f"{path}/in", events.schema, "parquet")
+        live.drain(live.append_rows(live.rate(taken, "ts", "1 minute", "1 hour"), f"{path}/out", f"{path}/check"))
+    table = spark.read.parquet(f"{path}/out")
+    return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _undo(spark, *paths: str) -> None:
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in system.globStatus(place) or []:
+            system.delete(found.getPath(), True)
+
+
+@query
+def stream_restart(spark, sf):
+    """Intake and totals that stop after a batch was written but not yet marked as done, and then go on."""
+    path = shared_path(spark, "restart")
+    lines = fx.read_table(spark, sf, "lineitem")
+    for part in range(3):
+        lines.filter(F.col("l_orderkey") % 3 == part).write.mode("append").parquet(f"{path}/lines")
+        trips = fx.trips_from_lines(live.stream_files(spark, f"{path}/lines", lines.schema, "parquet"))
+        live.drain(live.write_json_lines(cleaning.stamp_ingestion(trips.drop("h")), f"{path}/out", f"{path}/out-check"))
+        live.drain(live.publish(live.totals(trips), f"{path}/totals", f"{path}/totals-check"))
+        if part < 2:
+            # batch by batch: its files are there, its mark and the pointer to it are not
+            marks = [f"{path}/{name}-check/commits/{mark}{part}{crc}" for name in ("out", "totals") for mark, crc in (("", ""), (".", ".crc"))]
+            _undo(spark, *marks, f"{path}/totals/pointers/*/place={part}")
+    intake = _summed(spark.read.schema(schemas.MESSAGE).json(f"{path}/out"))
+    totals = live.published(spark, f"{path}/totals")
+    return joins.one_row(intake.select("n", "fare_sum", "distance_sum"), totals.select(
+        "messages_consumed", F.col("fare_sum").alias("live_fare_sum"), F.col("distance_sum").alias("live_distance_sum")))
+
+
 @query
 def stream_jsonl_roundtrip(spark, sf):
     path = shared_path(spark, "jsonl")

@@ -7,9 +7,9 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from evenhand.operators.joins import one_row
 from evenhand.operators.lookup import borough_of
@@ -62,7 +62,12 @@ def borough_counts(trips: DataFrame) -> DataFrame:
 
 
 def rate(trips: DataFrame, time: str, width: str = "1 second", delay: str = "10 seconds") -> DataFrame:
-    """Messages per window of intake time; the watermark bounds the windows kept in state."""
+    """Messages per window of intake time.
+
+    A window that ends ``delay`` before the newest time of an earlier batch is closed: its row is final, its state goes,
+    and later messages for it are dropped. In append mode a window is written when it closes, in update mode whenever
+    it changes.
+    """
     counted = trips.withWatermark(time, delay).groupBy(F.window(time, width)).agg(F.count(F.lit(1)).alias("messages"))
     seconds = F.unix_timestamp("window.end") - F.unix_timestamp("window.start")
     return counted.select(
@@ -170,28 +175,75 @@ def updated(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return _merged(spark, f"{path}/data/{run}", keys, pointer["base"], pointer["batch"]).drop("batch")
 
 
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+BUCKETS = 16
+
+
 def keep_latest(
-    trips: DataFrame, order: Sequence[str], path: str, checkpoint: str, n: int = 20, every: str | None = None
+    trips: DataFrame, order: Sequence[str], checkpoint: str, n: int = 20, buckets: int = BUCKETS, every: str | None = None
 ) -> StreamingQuery:
-    """The ``n`` latest rows by ``order``, kept across batches.
+    """Keep the ``n`` latest rows by ``order`` in the query's own state, where ``latest`` reads them.
 
-    A batch is cut to its own top ``n`` in every partition, then merged with the ``n`` rows of the batch before,
-    which has its own folder: a repeated batch starts from the same predecessor.
+    Every task cuts its rows to their own latest ``n`` before they are sent, and a bucket by row hash keeps at most
+    ``n`` rows, so neither what is sent nor the state grows with the messages. Restarts go by Spark's checkpoint.
+    A null comes before all values, a NaN after them.
     """
-    latest = [F.desc(c) for c in order]
-    spark = trips.sparkSession
-    run = _run(spark, path, checkpoint)
-    folder = f"{path}/data/{run[0]}"
+    schema, names = trips.schema, trips.columns
+
+    # Nested, so that executors need no copy of this package.
+    def rank(values: Sequence) -> tuple:
+        return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in values)
 
-    def merge(batch: DataFrame, number: int) -> None:
-        rows = batch.orderBy(*latest).limit(n)
-        if number > 0:
-            before = spark.read.parquet(f"{folder}/batch={(number - 1) % SLOTS}").drop("batch")
-            rows = rows.unionByName(before).orderBy(*latest).limit(n)
-        rows.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/batch={number % SLOTS}")
-        _point(spark, path, run, number, 0)
+    def cut(batches):
+        import heapq
 
-    writer = trips.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+        import pyarrow as pa
+
+        best = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if best is None else [*best.to_batches(), batch])
+            ranks = [rank(row) for row in zip(*[table.column(c).to_pylist() for c in order])]
+            best = table.take(pa.array(heapq.nlargest(n, range(len(ranks)), key=ranks.__getitem__), pa.int64())).combine_chunks()
+        if best is not None:
+            yield from best.to_batches()
+
+    places = [names.index(c) for c in order]
+
+    class Latest(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.rows = handle.getListState("latest", schema)
+
+        def handleInputRows(self, key, rows, timerValues):
+            kept = [tuple(row) for row in self.rows.get()] if self.rows.exists() else []
+            kept += [tuple(row[name] for name in names) for row in rows]
+            kept = sorted(kept, key=lambda row: rank([row[at] for at in places]), reverse=True)[:n]
+            self.rows.put(kept)
+            yield Row(bucket=key[0], kept=len(kept))
+
+        def close(self) -> None:
+            pass
+
+    spark = trips.sparkSession
+    few = trips.mapInArrow(cut, schema).withColumn("bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int"))
+    kept = few.groupBy("bucket").transformWithState(Latest(), "bucket int, kept int", "Update", "None")
+    before = spark.conf.get(STATE_STORE[0])
+    spark.conf.set(*STATE_STORE)  # a query takes its settings along when it starts
+    try:
+        writer = kept.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+        return _schedule(writer, every).start()
+    finally:
+        spark.conf.set(STATE_STORE[0], before)
+
+
+def latest(spark: SparkSession, checkpoint: str, order: Sequence[str], n: int = 20) -> DataFrame:
+    """The ``n`` latest rows of the last complete batch of ``keep_latest``, latest first."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "latest").load()
+    return state.select("list_element.*").orderBy(*[F.desc(c) for c in order]).limit(n)
+
+
+def append_rows(table: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Final rows, as those of windows that have closed, to Parquet files; each row is written once, restarts included."""
+    writer = table.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
     return _schedule(writer, every).start()
 
 
@@ -208,7 +260,7 @@ def recent_view(trips: DataFrame, *more: str) -> DataFrame:
 
 
 def snapshot(
-    spark: SparkSession, totals_path: str, boroughs_path: str, latest_path: str, rate_path: str | None = None, shown: int = 5
+    spark: SparkSession, totals_path: str, boroughs_path: str, latest_trips: DataFrame, rate_path: str | None = None, shown: int = 5
 ) -> DataFrame:
     """One row of all live numbers: totals, rate of the last full window, count per borough and latest trips.
 
@@ -218,9 +270,9 @@ def snapshot(
     counts = published(spark, boroughs_path).agg(
         F.map_from_entries(F.collect_list(F.struct("borough", "trips"))).alias("borough_counts")
     )
-    latest = published(spark, latest_path).drop("ingestion_timestamp")
-    order = F.sort_array(F.collect_list(F.struct(*latest.columns)), asc=False)
-    feed = latest.agg(F.slice(order, 1, shown).alias("recent_trips"))
+    trips = latest_trips.drop("ingestion_timestamp")
+    order = F.sort_array(F.collect_list(F.struct(*trips.columns)), asc=False)
+    feed = trips.agg(F.slice(order, 1, shown).alias("recent_trips"))
     if rate_path is None:
         rates = spark.range(1).select(F.lit(None).cast("double").alias("messages_per_sec"))
     else:

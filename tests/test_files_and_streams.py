@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -157,10 +158,11 @@ def test_live_tables_equal_batch_tables_over_several_batches(spark, message_file
         published = live.published(spark, f"{tmp_path}/{name}")
         assert same(published.select(sorted(published.columns)), table(batch).select(sorted(published.columns)))
     order = ["pickup", "fare", "distance", "passengers"]
-    live.drain(live.keep_latest(live.recent_view(stream(spark, message_files)), order, f"{tmp_path}/last", f"{tmp_path}/last-c"))
+    live.drain(live.keep_latest(live.recent_view(stream(spark, message_files)), order, f"{tmp_path}/last-c"))
     expected = live.recent_view(batch).orderBy(*[F.desc(c) for c in order]).limit(20)
-    assert same(live.published(spark, f"{tmp_path}/last").select(expected.columns), expected)
-    row = live.snapshot(spark, f"{tmp_path}/totals", f"{tmp_path}/boroughs", f"{tmp_path}/last").first()
+    latest = live.latest(spark, f"{tmp_path}/last-c", order)
+    assert same(latest.select(expected.columns), expected)
+    row = live.snapshot(spark, f"{tmp_path}/totals", f"{tmp_path}/boroughs", latest).first()
     assert row["messages_consumed"] == batch.count() == sum(row["borough_counts"].values())
     assert len(row["recent_trips"]) == 5
     assert row["recent_trips"][0]["pickup"] == batch.agg(F.max("tpep_pickup_datetime")).first()[0]
@@ -198,6 +200,67 @@ def test_rate_counts_every_message_per_window(spark, message_files, tmp_path):
     assert same(found.select("window_start", "messages"), expected)
 
 
+def test_latest_rows_outlive_a_restart_and_odd_values(spark, tmp_path):
+    def rows(*values):
+        spark.createDataFrame(values, "t timestamp, x double, name string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        trips = spark.readStream.schema("t timestamp, x double, name string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        live.drain(live.keep_latest(trips, ["x", "name"], f"{tmp_path}/check", n=4, buckets=2))
+        return [(r["x"], r["name"]) for r in live.latest(spark, f"{tmp_path}/check", ["x", "name"], 4).collect()]
+
+    rows((None, 1.0, "a"), (None, None, "b"), (None, 3.0, "c"))
+    assert run() == [(3.0, "c"), (1.0, "a"), (None, "b")]
+    rows((None, 2.0, "d"), (None, 2.0, None), (None, float("inf"), "e"))
+    rows((None, -5.0, "f"), (None, 2.0, "g"))
+    assert run() == [(float("inf"), "e"), (3.0, "c"), (2.0, "g"), (2.0, "d")]
+    rows((None, float("nan"), "h"))
+    kept = run()
+    assert str(kept[0]) == "(nan, 'h')" and kept[1:] == [(float("inf"), "e"), (3.0, "c"), (2.0, "g")]
+    assert str(run()) == str(kept)  # a run without new files changes nothing
+    state = spark.read.format("statestore").option("path", f"{tmp_path}/check").option("stateVarName", "latest").load()
+    assert state.count() <= 2 * 4
+
+
+def test_closed_windows_leave_the_state_and_late_rows_are_dropped(spark, tmp_path):
+    def batch(*minutes):
+        rows = [(f"2024-01-01 {m // 60:02}:{m % 60:02}:30",) for m in minutes]
+        spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        rates = live.rate(spark.readStream.schema("t timestamp").parquet(f"{tmp_path}/in"), "t", "1 minute", "10 minutes")
+        query = live.append_rows(rates, f"{tmp_path}/out", f"{tmp_path}/check")
+        live.drain(query)
+        states = [p["stateOperators"][0] for p in query.recentProgress]
+        return states[-1]["numRowsTotal"], sum(s["numRowsDroppedByWatermark"] for s in states)
+
+    def closed():
+        return [(r["window_start"].hour * 60 + r["window_start"].minute, r["messages"]) for r in spark.read.parquet(f"{tmp_path}/out").orderBy("window_start").collect()]
+
+    assert batch(*range(30), 29) == (11, 0)  # closed: all that end at 19:30 or before
+    assert closed() == [(m, 1) for m in range(19)]
+    open_windows, dropped = batch(5, 20, 60)  # 5 is late, 20 is not
+    assert (open_windows, dropped) == (1, 1)
+    assert closed() == [(m, 2 if m in (20, 29) else 1) for m in range(30)]
+    for start in range(61, 400, 40):
+        assert batch(*range(start, start + 40))[0] <= 12  # however long it runs
+
+
+def test_interval_trigger_takes_new_files_until_it_is_stopped(spark, message_files, tmp_path):
+    rows = spark.read.schema(schemas.MESSAGE).json(message_files)
+    query = live.publish(live.totals(stream(spark, message_files)), f"{tmp_path}/out", f"{tmp_path}/check", every="500 milliseconds")
+    try:
+        for _ in range(2):
+            expected, deadline = rows.count(), time.time() + 120
+            while time.time() < deadline and (live.published(spark, f"{tmp_path}/out").agg(F.max("messages_consumed")).first()[0] if query.lastProgress else 0) != expected:
+                time.sleep(0.5)
+            assert live.published(spark, f"{tmp_path}/out").first()["messages_consumed"] == expected
+            assert query.isActive
+            rows.limit(25).coalesce(1).write.mode("append").json(message_files)
+            rows = spark.read.schema(schemas.MESSAGE).json(message_files)
+    finally:
+        query.stop()
+    assert not query.isActive and query.exception() is None
+
+
 def test_changed_rows_are_merged_and_none_is_lost(spark, message_files, tmp_path, monkeypatch):
     monkeypatch.setattr(live, "COMPACT", 2)
     folder = f"{tmp_path}/many"
