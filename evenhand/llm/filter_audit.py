@@ -24,7 +24,7 @@ import re
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenhand.llm.common import only, ship
@@ -191,10 +191,10 @@ def mask_counts(docs: DataFrame, labels: DataFrame, of_text=of_text, copies_bit:
         *[F.sum(F.when(F.col("doc_id").isNull(), F.col(s)).otherwise(0)).alias(f"no_id_{s}") for s in sums],
         F.min(with_id).alias("first"),
     )
-    # Of a text there is now one row per part.
-    least = texts.groupBy("digest").agg(F.min("first.doc_id").alias("least"), F.count("*").alias("parts"))
-    here = texts.join(least.filter("parts > 1").select("digest", "least"), "digest", "left")
-    is_first = F.coalesce(F.col("first.doc_id") == F.coalesce("least", "first.doc_id"), F.lit(False))
+    # Of a text there is now one row per part, so a window holds no more rows than there are parts.
+    least = F.min("first.doc_id").over(Window.partitionBy("digest"))
+    here = texts.withColumn("least", least)
+    is_first = F.coalesce(F.col("first.doc_id") == F.col("least"), F.lit(False))
     passing = {s: F.col(f"no_id_{s}") + F.when(is_first, F.col(f"first.{s}")).otherwise(0) for s in sums}
     both = F.array(
         F.struct("mask", *[passing[s].alias(s) for s in sums]),
