@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenhand.fixed_values import BASELINE_FEATURES, FAIR_FEATURES, borough_rows, zone_rows
+from evenhand.fixed_values import BASELINE_FEATURES, FAIR_FEATURES, FOREST, borough_rows, zone_rows
 
 
 def r(x: str, n: int) -> str:
@@ -530,13 +530,20 @@ ORACLES: dict[str, str] = {
     "fixed_size_sample": f"""{RAW} SELECT h, fare_amount, trip_distance FROM priced
       ORDER BY sha256(CAST(h AS VARCHAR)), h, fare_amount, trip_distance LIMIT 5000""",
     **{
-        name: f"""{source} SELECT model, n, TRUE AS rmse_not_below_mae, TRUE AS has_error, TRUE AS r2_at_most_one FROM (
+        name: f"""{source} SELECT model, n, TRUE AS rmse_not_below_mae, TRUE AS has_error, TRUE AS r2_at_most_one,
+          TRUE AS r2_above_bands, 0.0::DOUBLE AS native_off_by FROM (
           SELECT count(*) AS n FROM {table} WHERE {HELD_BACK} AND {USABLE}) CROSS JOIN (VALUES {models}) AS m(model)"""
         for name, source, table, models in (
             ("rf_baseline_vs_fair", WITH_ENRICHED, "enriched", "('baseline'), ('fair')"), ("rf_simple_model", WITH_CLEAN, "clean", "('simple')"))
     },
-    "rf_feature_importance": f"""SELECT * FROM (VALUES ('baseline', {len(BASELINE_FEATURES)}::BIGINT, 1.0::DOUBLE, 1::BIGINT, TRUE),
-      ('fair', {len(FAIR_FEATURES)}::BIGINT, 1.0::DOUBLE, 0::BIGINT, TRUE)) AS t(model, features, total, income_features, none_negative)""",
+    "rf_feature_importance": f"""SELECT * FROM (VALUES
+        ('baseline', {len(BASELINE_FEATURES)}::BIGINT, 1.0::DOUBLE, 1::BIGINT, TRUE, 'trip_distance'),
+        ('fair', {len(FAIR_FEATURES)}::BIGINT, 1.0::DOUBLE, 0::BIGINT, TRUE, 'trip_distance'))
+      AS t(model, features, total, income_features, none_negative, first_feature)""",
+    "rf_node_table": f"""SELECT model, {FOREST['numTrees']}::BIGINT AS trees, {FOREST['numTrees']}::BIGINT AS roots, 1::BIGINT AS most_parents,
+      {FOREST['numTrees']}::BIGINT AS leaves_beyond_splits, model = 'baseline' AS income_splits FROM (VALUES ('baseline'), ('fair')) AS m(model)""",
+    "rf_permutation_importance": f"""SELECT * FROM (VALUES ('baseline', {len(BASELINE_FEATURES)}::BIGINT, 'trip_distance', TRUE, TRUE),
+      ('fair', {len(FAIR_FEATURES)}::BIGINT, 'trip_distance', FALSE, TRUE)) AS t(model, features, first_feature, income_matters, distance_matters)""",
     "model_roundtrip": f"{WITH_ENRICHED} SELECT count(*) AS n, 0.0::DOUBLE AS largest_change FROM enriched WHERE {HELD_BACK} AND {USABLE}",
     "bernoulli_sample": f"{RAW} SELECT count(*)::INTEGER AS rows, TRUE AS size_as_expected FROM priced",
     "random_split_counts": f"{RAW} SELECT count(*) AS rows, TRUE AS size_as_expected FROM priced",

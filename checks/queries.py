@@ -15,7 +15,7 @@ from evenhand import schemas
 from evenhand.fixed_values import FAIR_FEATURES, INCOME_CLIP, SIMPLE_FEATURES
 from evenhand.functions import columns as C
 from evenhand.operators import (
-    cleaning, disparity, enrich, fairness, impact, joins, lookup, models, quantiles, ranking, reports, sampling, stats,
+    cleaning, disparity, enrich, fairness, forest, impact, joins, lookup, models, quantiles, ranking, reports, sampling, stats,
 )
 from evenhand.plans import audit
 from evenhand.session import shared_path, tune, written
@@ -600,21 +600,35 @@ def regression_metrics(spark, sf):
 
 
 def _trained(spark, sf, sets=models.FEATURE_SETS) -> models.TrainedModels:
-    return models.train(fx.enriched_trips(spark, sf), ["h"], sets)
-
-
-def _sound(metrics: DataFrame) -> DataFrame:
-    """What holds for the errors of any forest, beside the number of rows they stand on."""
-    return metrics.select(
+    return models.train(fx.metered(fx.enriched_trips(spark, sf)), ["h"], sets)
+
+
+BAND_MILES = 2.5
+
+
+def _sound(trained: models.TrainedModels) -> DataFrame:
+    """How far the native score is from MLlib's, and what holds for the errors of a forest that has learned something."""
+    scorers = {name: forest.Scorer(nodes) for name, nodes in forest.of_models(trained.features, trained.forests, trained.feature_sets).items()}
+    band = F.floor(F.col("trip_distance") / BAND_MILES)
+    by_band = trained.train.groupBy(band.alias("band")).agg(F.avg("fare_amount").alias("by_band"))
+    native = {f"native_{name}": s.score({f: F.col(f"x_{f}") for f in trained.feature_sets[name]}) for name, s in scorers.items()}
+    scored = trained.score().withColumns(native | {"band": band}).join(F.broadcast(by_band), "band", "left")  # a row per band
+    scored = written(scored.select("fare_amount", F.coalesce("by_band", F.lit(0.0)).alias("by_band"), *native, *trained.predictions.values()), "scored")
+    table = models.regression_metrics(scored, {name: f"native_{name}" for name in scorers})
+    bands = models.regression_metrics(scored, {"bands": "by_band"}).select(F.col("r2").alias("band_r2"))
+    change = [F.max(F.abs(F.col(f"native_{n}") - F.col(p))).alias(n) for n, p in trained.predictions.items()]
+    beside = joins.one_row(bands, scored.agg(*change)).first()
+    largest = F.coalesce(*[F.when(F.col("model") == n, F.lit(beside[n])) for n in scorers])
+    return table.select(
         "model", "n", (F.col("rmse") >= F.col("mae")).alias("rmse_not_below_mae"), (F.col("mae") > 0).alias("has_error"),
-        (F.col("r2") <= 1.0).alias("r2_at_most_one"),
+        (F.col("r2") <= 1.0).alias("r2_at_most_one"), (F.col("r2") > F.greatest(F.lit(0.0), F.lit(beside["band_r2"]))).alias("r2_above_bands"),
+        C.steady_round(largest, 6).alias("native_off_by"),
     )
 
 
 @query
 def rf_baseline_vs_fair(spark, sf):
-    trained = _trained(spark, sf)
-    return _sound(models.regression_metrics(trained.score(), trained.predictions))
+    return _sound(_trained(spark, sf))
 
 
 @query
@@ -623,13 +637,45 @@ def rf_feature_importance(spark, sf):
     return weights.groupBy("model").agg(
         F.count(F.lit(1)).alias("features"), C.steady_round(F.sum("importance"), 6).alias("total"),
         F.count_if(F.col("feature") == "median_income").alias("income_features"), (F.min("importance") >= 0).alias("none_negative"),
+        F.max_by("feature", "importance").alias("first_feature"),
+    )
+
+
+@query
+def rf_node_table(spark, sf):
+    """Trees, and whether the nodes of every tree hang together: each but the root is the child of one node."""
+    trained = _trained(spark, sf)
+    tables = forest.of_models(trained.features, trained.forests, trained.feature_sets)
+    nodes = reduce(DataFrame.unionByName, [t.withColumn("model", F.lit(name)) for name, t in tables.items()])
+    nodes = written(nodes, "nodes")
+    children = nodes.filter("feature IS NOT NULL").select("model", "tree", F.explode(F.array("left", "right")).alias("node"))
+    owned = children.groupBy("model", "tree", "node").agg(F.count(F.lit(1)).alias("parents"))
+    found = nodes.join(owned, ["model", "tree", "node"], "left").groupBy("model").agg(
+        F.countDistinct("tree").alias("trees"), F.count_if(F.col("parents").isNull()).alias("roots"), F.max("parents").alias("most_parents"),
+        (F.count_if(F.col("feature").isNull()) - F.count("feature")).alias("leaves_beyond_splits"),
+        F.count_if(F.col("feature") == "median_income").alias("income_splits"),
+    )
+    return found.withColumn("income_splits", F.col("income_splits") > 0)
+
+
+@query
+def rf_permutation_importance(spark, sf):
+    trained = _trained(spark, sf)
+    rows = []
+    for name, nodes in forest.of_models(trained.features, trained.forests, trained.feature_sets).items():
+        table = forest.permutation_importance(trained.test, forest.Scorer(nodes), trained.feature_sets[name], ["h"], models.LABEL)
+        rows.append(table.withColumn("model", F.lit(name)))
+    table, income = reduce(DataFrame.unionByName, rows), F.col("feature") == "median_income"
+    return table.groupBy("model").agg(
+        F.count(F.lit(1)).alias("features"), F.max_by("feature", "importance").alias("first_feature"),
+        F.coalesce(F.max(F.when(income, F.col("importance") > 0)), F.lit(False)).alias("income_matters"),
+        F.bool_and((F.col("feature") != "trip_distance") | (F.col("importance") > 0)).alias("distance_matters"),
     )
 
 
 @query
 def rf_simple_model(spark, sf):
-    trained = models.train(fx.valid_trips(spark, sf), ["h"], {"simple": SIMPLE_FEATURES})
-    return _sound(models.regression_metrics(trained.score(), trained.predictions))
+    return _sound(models.train(fx.metered(fx.valid_trips(spark, sf)), ["h"], {"simple": SIMPLE_FEATURES}))
 
 
 @query

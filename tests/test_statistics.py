@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evenhand.operators import disparity, fairness, impact, models, quantiles, ranking, sampling, stats
 from checks import fixture as fx
+from evenhand.operators import disparity, fairness, forest, impact, models, quantiles, ranking, sampling, stats
 
 MODELS = {"baseline": "pb", "fair": "pf"}
 
@@ -227,3 +228,66 @@ def test_trained_models(spark, sf, trained, tmp_path):
     loaded = models.load_forest(f"{tmp_path}/fair_model")
     assert loaded.getNumTrees == 8
     assert trained.score(fx.enriched_trips(spark, sf)).count() == fx.enriched_trips(spark, sf).count()
+
+
+@pytest.fixture(scope="module")
+def metered_models(spark, sf):
+    return models.train(fx.metered(fx.enriched_trips(spark, sf)), ["h"], forest={"numTrees": 7, "maxDepth": 5, "seed": 1})
+
+
+SCORED_BY_SQL = """
+WITH RECURSIVE walk AS (
+    SELECT r.h, n.tree, n.node, n.feature, n.shift, n.scale, n.threshold, n."left", n."right", n.value, r.x FROM rows r, nodes n WHERE n.node = 0
+    UNION ALL
+    SELECT w.h, n.tree, n.node, n.feature, n.shift, n.scale, n.threshold, n."left", n."right", n.value, w.x FROM walk w
+    JOIN nodes n ON n.tree = w.tree AND n.node = CASE WHEN (map_extract(w.x, w.feature)[1] - w.shift) * w.scale <= w.threshold THEN w."left" ELSE w."right" END
+    WHERE w.feature IS NOT NULL
+)
+SELECT h, avg(value) AS score FROM walk WHERE feature IS NULL GROUP BY h
+"""
+
+
+@pytest.mark.parametrize("model", ["baseline", "fair"])
+def test_node_tables_are_scored_alike_by_mllib_by_expressions_and_by_sql(spark, metered_models, model):
+    features = metered_models.feature_sets[model]
+    nodes = forest.of_models(metered_models.features, metered_models.forests, metered_models.feature_sets)[model].toArrow()
+    scorer = forest.Scorer(spark.createDataFrame(nodes))
+    rows = metered_models.test.dropDuplicates(["h"])
+    native = scorer.score({f: F.col(f"x_{f}") for f in features})
+    scored = metered_models.forests[model].transform(rows).select("h", F.col(f"predicted_fare_{model}").alias("mllib"), native.alias("native"))
+    found = {r["h"]: (r["mllib"], r["native"]) for r in scored.collect()}
+    assert len({v[0] for v in found.values()}) > 20 and all(a == pytest.approx(b, abs=1e-12) for a, b in found.values())
+    con = duckdb.connect()
+    con.register("nodes", nodes)
+    con.register("rows", rows.select("h", F.map_from_arrays(F.array(*[F.lit(f) for f in features]), F.array(*[F.col(f"x_{f}") for f in features])).alias("x")).toArrow())
+    by_sql = dict(con.execute(SCORED_BY_SQL).fetchall())
+    assert by_sql.keys() == found.keys() and all(by_sql[h] == pytest.approx(found[h][0], abs=1e-9) for h in found)
+
+
+def test_importance_by_exchange_equals_its_definition(spark, metered_models):
+    features = metered_models.feature_sets["baseline"]
+    nodes = forest.of_models(metered_models.features, metered_models.forests, metered_models.feature_sets)["baseline"]
+    scorer, rows = forest.Scorer(nodes), metered_models.test
+    found = {r["feature"]: r for r in forest.permutation_importance(rows, scorer, features, ["h"], "fare_amount", donors=50).collect()}
+    assert set(found) == set(features)
+    assert found["trip_distance"]["importance"] > found["median_income"]["importance"] > 0
+    donors = sampling.fixed_size(rows.select("h", *[f"x_{f}" for f in features]), ["h"], 50).collect()
+    number = F.pmod(F.xxhash64("h", F.lit("median_income")), F.lit(len(donors))).cast("int")
+    other = F.get(F.array(*[F.lit(d["x_median_income"]) for d in donors]), number)
+    own = {f: F.col(f"x_{f}") for f in features}
+    off = [scorer.score(v) - F.col("fare_amount") for v in (own, own | {"median_income": other})]
+    mse, exchanged = rows.agg(*[F.avg(o * o) for o in off]).first()
+    assert found["median_income"]["importance"] == pytest.approx(exchanged - mse) and found["median_income"]["mse"] == pytest.approx(mse)
+    assert forest.permutation_importance(rows.limit(0), scorer, features, ["h"], "fare_amount").collect() == []
+
+
+def test_odd_node_tables(spark):
+    names = "tree int, node int, feature string, shift double, scale double, threshold double, left int, right int, value double"
+    stump = spark.createDataFrame([(0, 0, None, None, None, None, None, None, 2.5), (1, 0, "a", 1.0, 2.0, 0.0, 1, 2, 9.0),
+                                   (1, 1, None, None, None, None, None, None, 1.0), (1, 2, None, None, None, None, None, None, 4.0)], names)
+    rows = spark.createDataFrame([(1.0,), (1.1,), (-7.0,)], "a double")
+    assert [r[0] for r in rows.select(forest.Scorer(stump).score({"a": F.col("a")})).collect()] == [1.75, 3.25, 1.75]
+    leaf = forest.Scorer(stump.filter("tree = 0"))
+    assert [r[0] for r in rows.select(leaf.score({})).collect()] == [2.5] * 3
+    with pytest.raises(ValueError):
+        forest.Scorer(stump.filter("node != 1"))
