@@ -2,29 +2,28 @@
 
 For every left row: the first ``k`` right rows with ``|right - left| < tol``, nearest first, ties by ``order``.
 Joining all rows of neighbouring buckets and cutting afterwards would emit a quadratic number of pairs wherever
-values crowd. The partners depend on the value alone, so here
+values crowd. Here
 
-1. both sides are reduced to distinct values, keeping ``k`` right rows per value (no later one can be chosen),
-2. the right values get consecutive numbers in sorted order, counted chunk by chunk,
-3. a left value meets only the ``k`` numbers on either side of its place,
-4. its at most ``k`` partners are attached to all left rows of that value.
+1. right rows become one row per value with its first ``k`` rows (no later one can be chosen),
+2. both sides are range-partitioned together by value and then by a hash, so that a value that many left rows share
+   is spread over several parts,
+3. every part gets, as a halo, the ``k`` right values before its first row and the ``k`` after its last one, however
+   many parts away they are,
+4. within its part a left row looks at the ``k`` right values on either side of it.
 
-No step emits more than a constant number of rows per input row and none sorts more than a chunk in one task.
+Left rows move twice and are joined with nothing. No step emits more than a constant number of rows per input row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenhand.operators.joins import SALTS, salted_join
+from evenhand.session import written
 
-ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 10_000
-CUT_SAMPLE = 500_000
+ROWS_PER_PART = 200_000
 
 
 def nearest_in_band(
@@ -35,74 +34,55 @@ def nearest_in_band(
     payload: Sequence[str],
     tol: float = 0.1,
     k: int = 5,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    salts: int = SALTS,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Left rows with an array column ``partners`` of at most ``k`` structs of ``on`` and ``payload``.
 
     Left rows without a partner are dropped. ``order`` names right columns and should make ties unique in all
-    that is read from the partners.
+    that is read from the partners. Parts hold about ``rows_per_part`` rows, and halos of at most 2 ``k``.
     """
     left, right = left.filter(F.col(on).isNotNull()), right.filter(F.col(on).isNotNull())
     fields = [on, *order, *[p for p in payload if p not in order and p != on]]
+    first_k = right.select(*fields).withColumn("_rn", F.row_number().over(Window.partitionBy(on).orderBy(*order)))
+    values = first_k.filter(F.col("_rn") <= k).groupBy(F.col(on).alias("_value")).agg(F.collect_list(F.struct(*fields)).alias("_rows"))
+    asked = left.select(F.col(on).alias("_value"), F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_left"))
+    both = asked.unionByName(values, allowMissingColumns=True)
+
+    parts = -(-left.select(on).unionByName(right.select(on)).count() // rows_per_part)
+    if parts > 1:
+        # Equal rows of different input partitions part; a row that is computed anew has the same place again.
+        place = F.xxhash64("_left", F.spark_partition_id())
+        both = both.withColumn("_tie", place).repartitionByRange(parts, "_value", "_tie").drop("_tie")
+        both = written(both.withColumn("_part", F.spark_partition_id()), "parts")
+        both = both.unionByName(_halos(both, k), allowMissingColumns=True)
+    else:
+        both = both.withColumn("_part", F.lit(0))
+
+    near = both.withColumn("_right", F.when(F.col("_rows").isNotNull(), F.struct("_rows")))
+    window = "IGNORE NULLS OVER (PARTITION BY _part ORDER BY _value, _rows IS NULL)"
+    sides = [F.expr(f"{side}(_right, {i}) {window}")["_rows"] for side in ("lag", "lead") for i in range(1, k + 1)]
+    found = near.withColumns({f"_near{i}": rows for i, rows in enumerate(sides)}).filter(F.col("_left").isNotNull())
+    candidates = F.flatten(F.array_compact(F.array(*[F.col(f"_near{i}") for i in range(2 * k)])))
+    gaps = F.transform(candidates, lambda row: F.struct(F.abs(row[on] - F.col("_value")).alias("_gap"), row.alias("_row")))
+    kept = F.slice(F.array_sort(F.filter(gaps, lambda row: row["_gap"] < tol)), 1, k)
+    partners = F.transform(kept, lambda row: F.struct(*[row["_row"][c].alias(c) for c in [on, *[p for p in payload if p != on]]]))
+    return found.withColumn("partners", partners).filter(F.size("partners") > 0).select("_left.*", "partners")
+
 
-    by_value = Window.partitionBy(on).orderBy(*order)
-    first_k = right.select(*fields).withColumn("_rn", F.row_number().over(by_value)).filter(F.col("_rn") <= k)
-    kept_rows = first_k.select(F.col(on).alias("_value"), F.lit(False).alias("_is_left"), F.struct(*fields).alias("_row"))
-    asked = left.select(F.col(on).alias("_value")).distinct().withColumn("_is_left", F.lit(True))
-    # one row per value; the list holds at most k rows, and left rows add nothing to it
-    values = kept_rows.unionByName(asked, allowMissingColumns=True).groupBy("_value").agg(
-        F.max("_is_left").alias("_is_left"), F.collect_list("_row").alias("_rows")
-    )
-    numbered = _number(values, _splits(left, right, on, rows_per_chunk))
-
-    places = numbered.filter("_is_left").select(F.col("_value").alias("_v"), F.col("_number").alias("_place"))
-    steps = F.explode(F.sequence(F.col("_place") - (k - 1), F.col("_place") + k))
-    near = numbered.filter(F.size("_rows") > 0).select("_number", "_rows")
-    candidates = places.select("_v", steps.alias("_number")).join(near, "_number").select("_v", F.inline("_rows"))
-    gap = F.abs(F.col(on) - F.col("_v"))
-    rank = F.row_number().over(Window.partitionBy("_v").orderBy(gap, on, *order))
-    kept = candidates.filter(gap < tol).withColumn("_rn", rank).filter(F.col("_rn") <= k)
-    partners = kept.groupBy("_v").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_rn", F.struct(on, *[p for p in payload if p != on]).alias("p")))),
-            lambda x: x["p"],
-        ).alias("partners")
-    )
-    return salted_join(left.withColumn("_v", F.col(on)), partners, ["_v"], "inner", salts).drop("_v")
-
-
-def _splits(left: DataFrame, right: DataFrame, on: str, rows_per_chunk: int) -> list[float]:
-    """Rising cut points that part the rows of both sides into chunks of about ``rows_per_chunk``.
-
-    They come from a sample of bounded size. Any cuts give the same answer; even ones give even work.
+def _halos(both: DataFrame, k: int) -> DataFrame:
+    """For every part the ``k`` right values before it and the ``k`` after it, as rows of that part.
+
+    The windows over all parts have one task because they run over edges of parts, at most ``k + 1`` rows each.
     """
-    both = left.select(on).unionByName(right.select(on))
-    total = both.count()
-    chunks = min(MAX_CHUNKS, -(-total // rows_per_chunk))
-    if chunks <= 1:
-        return []
-    sample = both.sample(min(1.0, CUT_SAMPLE / total), seed=0)
-    probs = [i / chunks for i in range(1, chunks)]
-    cuts = sample.agg(F.percentile_approx(F.col(on).cast("double"), probs, 10 * chunks)).first()[0]
-    return sorted(set(cuts or []))
-
-
-def _number(values: DataFrame, splits: list[float]) -> DataFrame:
-    """Add to every value how many right values are not above it: its own number for a right value."""
-    present = (F.size("_rows") > 0).cast("bigint")
-    if splits:
-        edges = [float("-inf"), *splits, float("inf")]
-        values = Bucketizer(splits=edges, inputCol="_value", outputCol="_chunk").transform(values)
-    else:
-        values = values.withColumn("_chunk", F.lit(0.0))
-    inside = Window.partitionBy("_chunk").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = values.withColumn("_number", F.sum(present).over(inside))
-    if not splits:
-        return local.drop("_chunk")
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = values.groupBy("_chunk").agg(F.sum(present).alias("_total"))
-    before = totals.select("_chunk", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    # one row per chunk, at most MAX_CHUNKS
-    joined = local.join(F.broadcast(before), "_chunk")
-    return joined.withColumn("_number", F.col("_number") + F.col("_before")).drop("_chunk", "_before")
+    rights = both.filter(F.col("_rows").isNotNull()).select("_part", "_value", "_rows")
+    marks = both.select("_part").distinct()
+    halos = None
+    for ends, side, mark_first in ((F.desc("_value"), "lag", True), (F.asc("_value"), "lead", False)):
+        edge = rights.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(ends))).filter(F.col("_rn") <= k)
+        edge = edge.select("_part", F.lit(1 if mark_first else 0).alias("_at"), "_value", F.struct("_value", "_rows").alias("_edge"))
+        marked = edge.unionByName(marks.withColumn("_at", F.lit(0 if mark_first else 1)), allowMissingColumns=True)
+        window = "IGNORE NULLS OVER (PARTITION BY 0 ORDER BY _part, _at, _value)"
+        seen = marked.select("_part", "_edge", *[F.expr(f"{side}(_edge, {i}) {window}").alias(f"_e{i}") for i in range(1, k + 1)])
+        sent = seen.filter(F.col("_edge").isNull()).select("_part", F.inline(F.array_compact(F.array(*[f"_e{i}" for i in range(1, k + 1)]))))
+        halos = sent if halos is None else halos.unionByName(sent)
+    return halos

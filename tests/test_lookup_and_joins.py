@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenhand.fixed_values import borough_rows, zone_rows
-from evenhand.operators import enrich, joins, lookup
+from evenhand import session
+from evenhand.operators import band, enrich, joins, lookup
 from evenhand.operators.band import nearest_in_band
 from checks import fixture as fx
 
@@ -163,9 +164,9 @@ def brute_pairs(left, right, tol, k):
     return sorted(found)
 
 
-@pytest.mark.parametrize("rows_per_chunk", [10_000_000, 40])
+@pytest.mark.parametrize("rows_per_part", [10_000_000, 40, 7])
 @pytest.mark.parametrize("shape", ["continuous", "hot", "sparse", "one_sided"])
-def test_band_pairs_equal_brute_force(spark, shape, rows_per_chunk):
+def test_band_pairs_equal_brute_force(spark, shape, rows_per_part):
     rng = random.Random(7)
     draw = {
         "continuous": lambda: rng.uniform(0, 3),
@@ -177,15 +178,32 @@ def test_band_pairs_equal_brute_force(spark, shape, rows_per_chunk):
     right = [(draw() + (1.0 if shape == "one_sided" else 0.0), f"r{i:03}") for i in range(200)]
     ldf = spark.createDataFrame(left + [(None, "none")], "x double, name string").repartition(4)
     rdf = spark.createDataFrame(right, "x double, name string").repartition(3)
-    found = nearest_in_band(ldf, rdf, "x", ["name"], ["name"], tol=0.1, k=5, rows_per_chunk=rows_per_chunk).collect()
+    found = nearest_in_band(ldf, rdf, "x", ["name"], ["name"], tol=0.1, k=5, rows_per_part=rows_per_part).collect()
     mine = sorted((r["x"], r["name"], [(p["x"], p["name"]) for p in r["partners"]]) for r in found)
     assert mine == brute_pairs(left, right, 0.1, 5)
 
 
 def test_band_plan_has_no_nested_loop(spark):
     side = spark.range(1000).select((F.col("id") / 10.0).alias("x"), F.col("id").cast("string").alias("name"))
-    plan = plan_of(nearest_in_band(side, side, "x", ["name"], ["name"]))
-    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    plan = plan_of(nearest_in_band(side, side, "x", ["name"], ["name"], rows_per_part=300))
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "Join" not in plan and "Python" not in plan
+    assert plan.count("WindowGroupLimit") >= 2  # edges are cut before they are sent
+
+
+def test_band_parts_are_bounded_where_many_rows_share_a_value(spark, monkeypatch):
+    sizes = []
+
+    def watched(df, label):
+        table = session.written(df, label)
+        sizes.extend(r["count"] for r in table.groupBy("_part").count().collect())
+        return table
+
+    monkeypatch.setattr(band, "written", watched)
+    left = spark.range(40_000, numPartitions=8).select(F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id") / 1000).alias("x"), "id")
+    right = spark.range(2_000).select((F.col("id") / 50).alias("x"), F.col("id").cast("string").alias("name"))
+    pairs = nearest_in_band(left, right, "x", ["name"], ["name"], rows_per_part=2_000).select("id", F.explode("partners").alias("p"))
+    assert len(sizes) >= 15 and max(sizes) < 3 * 2_000
+    assert pairs.filter("id % 3 > 0").groupBy("id").agg(F.collect_list("p.x").alias("xs")).select("xs").distinct().collect()[0]["xs"] == [5.0, 4.98, 5.02, 4.96, 5.04]
 
 
 def test_result_does_not_depend_on_partitioning(spark, sf):

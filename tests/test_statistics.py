@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from evenhand.operators import disparity, fairness, forest, impact, models, quantiles, ranking, sampling, stats
+from evenhand.session import written
 
 MODELS = {"baseline": "pb", "fair": "pf"}
 
@@ -252,7 +253,7 @@ def test_node_tables_are_scored_alike_by_mllib_by_expressions_and_by_sql(spark,
     features = metered_models.feature_sets[model]
     nodes = forest.of_models(metered_models.features, metered_models.forests, metered_models.feature_sets)[model].toArrow()
     scorer = forest.Scorer(spark.createDataFrame(nodes))
-    rows = metered_models.test.dropDuplicates(["h"])
+    rows = written(metered_models.test.dropDuplicates(["h"]), "rows")
     native = scorer.score({f: F.col(f"x_{f}") for f in features})
     scored = metered_models.forests[model].transform(rows).select("h", F.col(f"predicted_fare_{model}").alias("mllib"), native.alias("native"))
     found = {r["h"]: (r["mllib"], r["native"]) for r in scored.collect()}
@@ -261,7 +262,8 @@ def test_node_tables_are_scored_alike_by_mllib_by_expressions_and_by_sql(spark,
     con.register("nodes", nodes)
     con.register("rows", rows.select("h", F.map_from_arrays(F.array(*[F.lit(f) for f in features]), F.array(*[F.col(f"x_{f}") for f in features])).alias("x")).toArrow())
     by_sql = dict(con.execute(SCORED_BY_SQL).fetchall())
-    assert by_sql.keys() == found.keys() and all(by_sql[h] == pytest.approx(found[h][0], abs=1e-9) for h in found)
+    assert (len(by_sql), by_sql.keys()) == (len(found), found.keys())
+    assert all(by_sql[h] == pytest.approx(found[h][0], abs=1e-9) for h in found)
 
 
 def test_importance_by_exchange_equals_its_definition(spark, metered_models):
