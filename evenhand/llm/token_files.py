@@ -4,7 +4,7 @@ A file holds the documents of one range of doc_id in ascending order:
 
     magic b"EHTOK1\\0\\0", id width (1 byte), SHA-256 of the dictionary (32 bytes)
     one zstandard frame per document, over its ids as little-endian integers of that width
-    index, one record per document: doc_id int64, offset uint64, frame length uint32, tokens uint64
+    index, one record per document: doc_id int64, offset uint64, frame length uint32, tokens uint64, whether it has an id uint8
     footer: offset of the index uint64, documents uint64, magic
 
 A document is read by its index record alone: one frame, one shared dictionary. The dictionary is trained on the
@@ -14,13 +14,18 @@ attempt, and the manifest, a Parquet table that Spark commits, lists those that
 attempt leaves at most a file that nobody reads.
 
 Defined results: a null or empty text is one document of the end id alone; a null doc_id comes first and is read back
-as null; repeated rows are repeated, ordered by a hash of their text; an empty table gives no file and no row; very long texts are encoded in pieces at
-white space and compressed as one frame; further columns are ignored.
+as null; added tokens spelled out in a text are their ids, as the library has them by default; repeated rows are
+repeated, ordered by a hash of their text; an empty table gives no file and no row; very long texts are encoded in
+pieces at white space and compressed as one frame; further columns are ignored.
+
+The pieces at white space are exact for a tokenizer file with the normalizer and split that ``PLAIN_NORMALIZER`` and
+``PLAIN_SPLIT`` state; with any other file whole texts go through the library.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import struct
 import uuid
@@ -43,9 +48,8 @@ from evenhand.session import shared_path
 
 MAGIC = b"EHTOK1\0\0"
 HEADER = "<8sB32s"
-RECORD = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("tokens", "<u8")])
+RECORD = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("tokens", "<u8"), ("has_id", "u1")])
 FOOTER = "<QQ8s"
-NO_ID = -(2**63)
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 112_640
 CACHED_WORDS = 700_000
@@ -55,6 +59,26 @@ CACHED_PARTS = 300_000
 SPLIT = re.compile(r"[^ \n\t\r]+")
 #: Words of which lower case and composed form are beyond doubt; others take the library's whole path.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: The normalizer and the split that words of a text take apart from each other.
+PLAIN_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PLAIN_SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def is_plain(tokenizer: dict) -> bool:
+    """Whether a tokenizer file has that normalizer and split, and added tokens that are literal and without white space."""
+    literal = all(
+        not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]) and SPLIT.fullmatch(t["content"]) for t in tokenizer["added_tokens"]
+    )
+    return literal and tokenizer["normalizer"] == PLAIN_NORMALIZER and tokenizer["pre_tokenizer"] == PLAIN_SPLIT
 
 
 class WordEncoder(dict):
@@ -62,13 +86,15 @@ class WordEncoder(dict):
 
     The tokenizer's normalizer turns white space into blanks and its pattern never joins across them, so a text is
     encoded word by word. For plain words the normalizer and the pattern are applied here and the library's model
-    gets each part once; all other words go through the library as they are.
+    gets each part once; all other words, and those with an added token, go through the library as they are.
     """
 
     def __init__(self, tokenizer: str, width: int):
         super().__init__()
+        data = json.loads(tokenizer)
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.plain = is_plain(data)
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in data["added_tokens"]) or "(?!)")
         self.kind = f"<u{width}"
         self.parts: dict[str, bytes] = {}
         # The pattern of this tokenizer, for plain lower-case words.
@@ -85,19 +111,26 @@ class WordEncoder(dict):
             self.parts[part] = known
         return known
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
     def __missing__(self, word: str) -> bytes:
-        if PLAIN.fullmatch(word):
+        if PLAIN.fullmatch(word) and not self.added.search(word):
             ids = b"".join(map(self._part, self.pattern.findall(word.lower())))
         else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+            ids = self._whole(word)
         if len(word) < 64:
             self[word] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if not self.plain:
+            return self._whole(text)
         if len(self) > CACHED_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, SPLIT.findall(text))) if text else b""
+        return b"".join(map(self.__getitem__, SPLIT.findall(text)))
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -183,7 +216,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 1, sa
                 ids = words.encode(text) + end
                 frame = compressor.compress(ids)
                 out.write(frame)
-                index.append((NO_ID if doc_id is None else doc_id, offset, len(frame), len(ids) // width))
+                index.append((doc_id or 0, offset, len(frame), len(ids) // width, doc_id is not None))
                 offset += len(frame)
         if out is not None:
             records = np.array(index, dtype=RECORD)
@@ -255,7 +288,7 @@ def read(manifest: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
                     n = np.array([len(ids) for ids in all_ids], dtype=np.int64)
                     doc_id = part["doc_id"].astype(np.int64)
                     made = [
-                        pa.array(doc_id, mask=doc_id == NO_ID), pa.array(start + np.cumsum(n) - n), pa.array(n),
+                        pa.array(doc_id, mask=part["has_id"] == 0), pa.array(start + np.cumsum(n) - n), pa.array(n),
                         pa.array([zlib.crc32(ids.astype("<u4").tobytes()) for ids in all_ids], pa.int64()),
                     ]
                     if with_ids:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from evenhand.llm.common import only, ship
-from evenhand.llm.token_files import PLAIN, _byte_alphabet
+from evenhand.llm.token_files import PLAIN, _byte_alphabet, is_plain
 
 #: Symbols of a leaf within a task, of a slice between tasks, and characters from which a text is sliced.
 LEAF = 16
@@ -48,19 +48,7 @@ CACHED_WORDS = 600_000
 CACHED_PIECES = 400_000
 CACHED_SYMBOLS = 64
 
-#: The normalizer and the split that plain words take without the library: NFC and lower case change nothing else in
-#: them, and the split is by this pattern.
-PLAIN_NORMALIZER = {
-    "type": "Sequence",
-    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
-}
-PLAIN_SPLIT = {
-    "type": "Sequence",
-    "pretokenizers": [
-        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
-        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
-    ],
-}
+#: The split of plain words, in lower case.
 PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 #: White space on which no normalizer, split or added token of the supported files reaches over.
@@ -192,7 +180,7 @@ class Words(dict):
         if data.get("post_processor") or data.get("decoder"):
             raise ValueError("only files without post-processor and decoder are supported")
         self.known_pieces: dict[str, list[int]] = {}
-        self.plain = data["normalizer"] == PLAIN_NORMALIZER and data["pre_tokenizer"] == PLAIN_SPLIT
+        self.plain = is_plain(data)
         self.spelling = _byte_alphabet()
         longest_first = sorted(self.added, key=len, reverse=True)
         self.literal = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None

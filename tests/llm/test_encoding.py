@@ -87,14 +87,29 @@ def test_word_encoder_is_the_library():
     with open(WORDS) as file:
         text = file.read()
     own, theirs = token_files.WordEncoder(text, 2), Tokenizer.from_str(text)
-    theirs.encode_special_tokens = True
-    for case in ["WE'LL see <|endoftext|>", *random_texts(2000, "ab'sSTÀé \n\t.,1Σİ日́ \x85\xa0ß×ªµ\x1c<|>")]:
+    assert np.frombuffer(own.encode("see <|endoftext|> here"), "<u2").tolist() == [862, 49407, 763]
+    assert np.frombuffer(own.encode("<|startoftext|>"), "<u2").tolist() == [49406]
+    for case in ["WE'LL see <|endoftext|>", "a<|endoftext|><|startoftext|>́", "<|ENDOFTEXT|>", *random_texts(2000, "ab'sSTÀé \n\t.,1Σİ日́ \x85\xa0ß×ªµ\x1c<|>")]:
         assert own.encode(case) == np.array(theirs.encode(case, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
 
+def test_other_tokenizer_files_go_through_the_library(spark):
+    multi = public_tokenizers.path("byte_bpe_50k.json")
+    with open(multi) as file:
+        own = token_files.WordEncoder(file.read(), 2)
+    theirs = Tokenizer.from_file(multi)
+    assert not own.plain
+    for case in ["Two  Words \n\nhere<|endoftext|> ", *random_texts(300)]:
+        assert own.encode(case) == np.array(theirs.encode(case, add_special_tokens=False).ids, dtype="<u2").tobytes()
+
+
+def test_the_least_id_is_no_null(spark):
+    docs = spark.createDataFrame([(-(2**63), "one"), (None, "two"), (0, None)], "doc_id long, text string")
+    assert [(r.doc_id, r.n_tokens) for r in token_files.round_trip(docs, WORDS).orderBy("start").collect()] == [(None, 2), (-(2**63), 2), (0, 1)]
+
+
 def test_token_files_read_back(spark, odd, odd_rows, nothing):
     theirs = Tokenizer.from_file(WORDS)
-    theirs.encode_special_tokens = True
     folder = shared_path(spark, "test-tokens")
     manifest = token_files.write(odd, folder, WORDS)
     rows = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32, r.ids) for r in token_files.read(manifest, folder, with_ids=True).collect())
@@ -111,8 +126,8 @@ def test_token_files_read_back(spark, odd, odd_rows, nothing):
     file = manifest.first()["file"]
     store, top = token_files._filesystem(folder)
     tokens = token_files.TokenFile(store, f"{top}/{file}", token_files.read_dictionary(folder, file))
-    doc_id = int(tokens.index[0]["doc_id"])
-    assert any(r[4] == tokens.ids(0).tolist() for r in rows if r[1] == (None if doc_id == token_files.NO_ID else doc_id))
+    doc_id = int(tokens.index[0]["doc_id"]) if tokens.index[0]["has_id"] else None
+    assert any(r[4] == tokens.ids(0).tolist() for r in rows if r[1] == doc_id)
     with pytest.raises(ValueError):
         token_files.TokenFile(store, f"{top}/{file}", b"another dictionary")
     assert token_files.round_trip(nothing, WORDS).collect() == []
