@@ -1,9 +1,13 @@
-"""Language of whole texts: known words by log frequency, unseen words by ever shorter character n-grams.
+r"""Language of whole texts: known words by log frequency, unseen words by ever shorter character n-grams.
 
 The model is fitted on a bounded, documented sample of labelled rows (``max_docs`` documents by a hash of their id: all
-of a language that has few, as many as of any other of one that has more) and itself bounded: ``max_words`` words and
-``max_grams`` n-grams, the most frequent of each language in turn, with one log frequency per language. So a rare
-language keeps its documents and its share of the words, however large the corpus is. The model is small, so it is broadcast; prediction is one pass without a shuffle.
+of a language that has few, as many as of any other of one that has more). Of those it keeps ``max_words`` words and ``max_grams``
+n-grams, the most frequent of each language in turn, with one log frequency per language; None keeps all. So a rare
+language keeps its documents and its share of the words, however large the corpus is. The sample bounds the model, so
+it is broadcast; prediction is one pass without a shuffle. Spark counts words first and cuts each distinct word into
+n-grams once, with its count as weight.
+
+Words are runs of letters (``\p{L}``), so digits of any kind, as superscripts and Roman numerals of one character, are none.
 
 A known word scores its log frequency in each language. An unseen word scores the mean over its longest n-grams of
 which at least one is known, n from 4 down to 1; a word without any known n-gram scores the same in all languages.
@@ -18,11 +22,13 @@ alike; an empty table gives an empty table; further columns are ignored by ``pre
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -33,7 +39,8 @@ UNKNOWN = "und"
 LONGEST = 4
 EVIDENCE = 8
 CACHED_WORDS = 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+ASCII_LETTERS = re.compile(r"[a-z]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -42,7 +49,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    if not text:
+        return []
+    lower = text.lower()
+    return ASCII_LETTERS.findall(lower) if lower.isascii() else LETTERS.findall(lower)
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -50,15 +60,26 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(max(1, len(marked) - n + 1))]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[tuple, int] = Counter()
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             for word, n in Counter(words_of(text)).items():
-                seen[0, word, lang] += n
-                for size in range(1, LONGEST + 1):
-                    for gram in grams_of(word, size):
-                        seen[size, gram, lang] += n
+                seen[word, lang] += n
+        if seen:
+            words, langs = zip(*seen)
+            yield pa.record_batch([pa.array(words), pa.array(langs), pa.array(list(seen.values()), pa.int64())], names=["word", "lang", "n"])
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words (size 0) and their n-grams, from words with their counts."""
+    for batch in batches:
+        seen: dict[tuple, int] = Counter()
+        for word, lang, n in zip(*[batch.column(c).to_pylist() for c in ("word", "lang", "n")]):
+            seen[0, word, lang] += n
+            for size in range(1, LONGEST + 1):
+                for gram in grams_of(word, size):
+                    seen[size, gram, lang] += n
         if seen:
             size, gram, lang = zip(*seen)
             yield pa.record_batch(
@@ -68,28 +89,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies by size (0: words) and gram, one per language."""
+    """Log frequencies by size (0: words) and gram, one per language: places of grams in a matrix per size."""
 
     def __init__(self, languages: list[str], rows: list[tuple[int, str, dict[str, int]]]):
         self.languages = languages
-        self.tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-        totals = np.zeros((LONGEST + 1, len(languages)))
-        counts = [(size, gram, np.array([by.get(lang, 0) for lang in languages], dtype=float)) for size, gram, by in rows]
-        for size, _, values in counts:
-            totals[size] += values
-        kinds = Counter(size for size, _, _ in counts)
-        for size, gram, values in counts:
-            self.tables[size][gram] = np.log((values + 0.5) / (totals[size] + 0.5 * kinds[size]))
+        self.key = uuid.uuid4().hex
+        self.tables: list[dict[str, int]] = []
+        self.logs: list[np.ndarray] = []
+        for size in range(LONGEST + 1):
+            own = [(gram, by) for s, gram, by in rows if s == size]
+            counts = np.array([[by.get(lang, 0) for lang in languages] for _, by in own], dtype=float).reshape(len(own), len(languages))
+            self.tables.append({gram: place for place, (gram, _) in enumerate(own)})
+            self.logs.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(own))) if own else counts)
 
     def vector(self, word: str) -> np.ndarray:
         known = self.tables[0].get(word)
         if known is not None:
-            return known
+            return self.logs[0][known]
         for size in range(LONGEST, 0, -1):
             table = self.tables[size]
             found = [table[gram] for gram in grams_of(word, size) if gram in table]
             if found:
-                return np.mean(found, axis=0)
+                return self.logs[size][found].mean(axis=0)
         return np.zeros(len(self.languages))
 
 
@@ -125,6 +146,17 @@ class Reader(dict):
         return self.model.languages[best], round(float(share), 6)
 
 
+#: One reader per Python worker and model: workers are reused, and so are the words they know.
+READERS: dict[str, Reader] = {}
+
+
+def reader(model: Model) -> Reader:
+    if model.key not in READERS:
+        READERS.clear()
+        READERS[model.key] = Reader(model)
+    return READERS[model.key]
+
+
 def sample_level(sizes: list[int], most: int) -> float:
     """The number of documents a language at which all of them together give ``most``, or all they have."""
     left = float(most)
@@ -136,7 +168,7 @@ def sample_level(sizes: list[int], most: int) -> float:
     return float(max(sizes, default=0))
 
 
-def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int = 60_000, max_grams: int = 120_000) -> Model:
+def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int | None = 200_000, max_grams: int | None = 200_000) -> Model:
     """Fit on at most about ``max_docs`` labelled documents that are not held out; word counts are summed by Spark.
 
     Shares are sent as a table of languages, so that their number is not limited by the plan.
@@ -150,21 +182,18 @@ def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int = 60_000, max_gra
     shares = docs.sparkSession.createDataFrame([(k, min(1.0, level / n)) for k, n in sizes.items()], "lang string, share double")
     rows = rows.join(F.broadcast(shares), "lang")
     rows = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < F.col("share") * 1_000_000)
-    counted = (
-        rows.select("lang", "text")
-        .mapInArrow(_count, "size int, gram string, lang string, n long")
-        .groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
-    )
+    words = rows.select("lang", "text").mapInArrow(_count_words, "word string, lang string, n long")
+    words = words.groupBy("word", "lang").agg(F.sum("n").alias("n"))
+    counted = words.mapInArrow(_count_grams, "size int, gram string, lang string, n long")
+    counted = counted.groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
     in_turn = Window.partitionBy(F.col("size") == 0, "lang").orderBy(F.desc("n"), "size", "gram")
     counted = (
         counted.withColumn("turn", F.row_number().over(in_turn)).groupBy("size", "gram")
         .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"), F.min("turn").alias("turn"))
     )
     counted = written(counted, "language-counts")  # read twice
-    top = [
-        counted.filter(kind).orderBy("turn", F.desc("n"), "size", "gram").limit(most)
-        for kind, most in ((F.col("size") == 0, max_words), (F.col("size") > 0, max_grams))
-    ]
+    kinds = [(counted.filter(F.col("size") == 0), max_words), (counted.filter(F.col("size") > 0), max_grams)]
+    top = [kind if most is None else kind.orderBy("turn", F.desc("n"), "size", "gram").limit(most) for kind, most in kinds]
     learned = [(r.size, r.gram, r.by) for r in top[0].union(top[1]).select("size", "gram", "by").toLocalIterator()]
     return Model(sorted({lang for _, _, by in learned for lang in by}), sorted(learned, key=lambda r: (r[0], r[1])))
 
@@ -175,9 +204,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
+        own = reader(shared.value)
         for batch in batches:
-            answers = [reader.read(text) for text in batch.column("text").to_pylist()]
+            answers = [own.read(text) for text in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([a for a, _ in answers], pa.string()), pa.array([s for _, s in answers], pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -195,9 +224,9 @@ def keep_known(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
     place = docs.columns.index("text")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
+        own = reader(shared.value)
         for batch in batches:
-            answers = [reader.read(text) for text in batch.column(place).to_pylist()]
+            answers = [own.read(text) for text in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in answers], pa.bool_()))
 
     return docs.mapInArrow(choose, docs.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import string
 import zlib
@@ -259,3 +260,78 @@ def test_long_licences_and_their_statement(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
     stated = {r[0]: (r[1], r[2]) for r in con.execute(LICENSES_SQL).fetchall()}
     assert stated == {d: (r.digest, r.licence) for d, r in found.items()}
+
+
+def test_letters_alone_make_words():
+    assert language.words_of("²  ½ ① Ⅷ 12 a1b") == ["a", "b"]
+    assert language.words_of("Été ÉTÉ日本 x²y") == ["été", "été日本", "x", "y"]
+    model = language.Model(["en", "fr"], [(0, "a", {"en": 9})])
+    assert language.Reader(model).read("²  ½") == ("und", 0.0)
+
+
+def brute_language(rows):
+    """lang_pred and score of every text, from a model that counts and averages one word at a time."""
+    learned = [(t, lang) for d, t, lang in rows if d is not None and lang is not None and zlib.crc32(str(d).encode()) % 4 != 2]
+    counts = defaultdict(lambda: defaultdict(int))
+    for text, lang in learned:
+        for word in language.words_of(text):
+            counts[0, word][lang] += 1
+            for n in range(1, 5):
+                marked = f"^{word}$"
+                for i in range(max(1, len(marked) - n + 1)):
+                    counts[n, marked[i : i + n]][lang] += 1
+    languages = sorted({lang for by in counts.values() for lang in by})
+    totals, kinds = defaultdict(lambda: defaultdict(int)), Counter(n for n, _ in counts)
+    for (n, _), by in counts.items():
+        for lang, c in by.items():
+            totals[n][lang] += c
+
+    def logs(key):
+        return [math.log((counts[key].get(x, 0) + 0.5) / (totals[key[0]][x] + 0.5 * kinds[key[0]])) for x in languages]
+
+    def of_word(word):
+        if (0, word) in counts:
+            return logs((0, word))
+        for n in (4, 3, 2, 1):
+            marked = f"^{word}$"
+            known = [(n, marked[i : i + n]) for i in range(max(1, len(marked) - n + 1)) if (n, marked[i : i + n]) in counts]
+            if known:
+                return [sum(col) / len(known) for col in zip(*map(logs, known))]
+        return [0.0] * len(languages)
+
+    out = []
+    for _, text, _ in rows:
+        words = language.words_of(text)
+        if not words or not languages:
+            out.append(("und", 0.0))
+            continue
+        mean = [sum(col) / len(words) for col in zip(*map(of_word, words))]
+        best = max(range(len(languages)), key=lambda i: (mean[i], -i))
+        out.append((languages[best], 1 / sum(math.exp((m - mean[best]) * min(len(words), 8)) for m in mean)))
+    return out
+
+
+def test_language_equals_its_definition(spark):
+    rnd = random.Random(21)
+    stock = {lang: ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 6))) for _ in range(60)] for lang, letters in
+             {"en": "thesand", "fr": "lesdéau", "de": "dießenu", "und": "xyz"}.items()}
+    rows = [(i, " ".join(rnd.choice(stock[lang] + stock["en"]) for _ in range(rnd.randint(0, 12))), lang if i % 5 else None)
+            for i in range(150) for lang in [rnd.choice(list(stock))]]
+    rows += [(500, "qqq unseen thes ²", None), (501, None, "en"), (None, "the sand", "fr"), (502, "12 ½", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for limits in ({}, {"max_words": None, "max_grams": None}):
+        found = language.predict(docs, language.fit(docs, **limits)).collect()
+        assert len(found) == len(rows)
+        expected = Counter((d, *answer) for (d, _, _), answer in zip(rows, brute_language(rows)))
+        for r in found:
+            near = [k for k in expected if k[0] == r.doc_id and k[1] == r.lang_pred and abs(k[2] - r.score) < 1e-5]
+            assert near, r
+
+
+def test_no_vocabulary_is_lost_without_limits(documents):
+    model = language.fit(documents, max_words=None, max_grams=None)
+    small = language.fit(documents, max_words=100, max_grams=100)
+    assert len(small.tables[0]) == 100 and len(model.tables[0]) > 10_000
+    truth = {r.doc_id: r.lang for r in documents.select("doc_id", "lang").collect()}
+    held = [r for r in language.predict(documents, model).collect() if r.held_out]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
