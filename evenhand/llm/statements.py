@@ -26,13 +26,33 @@ WITH sized AS (
     SELECT source, source_size, least(source_size * 2.0::DOUBLE, weight * (
         SELECT arg_min(rest / free, place) FROM filled WHERE rest / free * weight <= source_size * 2.0::DOUBLE)) AS target
     FROM filled
+), classes AS (
+    SELECT z.source, count(*) AS docs, any_value(s.source_size) AS source_size FROM sized z JOIN sources s ON z.source IS NOT DISTINCT FROM s.source
+    GROUP BY z.source
+), longs AS (
+    SELECT c.source, c.docs, coalesce(sum(z.size) FILTER (z.size >= c.source_size / c.docs), 0)::BIGINT AS long_words
+    FROM sized z JOIN classes c ON z.source IS NOT DISTINCT FROM c.source GROUP BY c.source, c.docs
 ), parts AS (
-    SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS whole FROM wanted
+    SELECT w.*, l.docs, l.long_words, w.source_size - l.long_words AS short_words,
+        floor(CASE WHEN w.source_size > 0 THEN target / w.source_size ELSE 0 END) AS whole,
+        (CASE WHEN w.source_size > 0 THEN target / w.source_size ELSE 0 END)
+            - floor(CASE WHEN w.source_size > 0 THEN target / w.source_size ELSE 0 END) AS p
+    FROM wanted w JOIN longs l ON w.source IS NOT DISTINCT FROM l.source
+), chances AS (
+    SELECT *, target - whole * source_size AS quota,
+        p + (least(p, 1.0::DOUBLE - p) * 0.5::DOUBLE) * (short_words::DOUBLE / greatest(long_words, short_words, 1)::DOUBLE) AS p_long,
+        p - (least(p, 1.0::DOUBLE - p) * 0.5::DOUBLE) * (long_words::DOUBLE / greatest(long_words, short_words, 1)::DOUBLE) AS p_short
+    FROM parts
+), drawn AS (
+    SELECT s.doc_id, s.source, s.size, s.u, c.source_size, c.target, c.whole, c.quota,
+        CASE WHEN s.size >= c.source_size / c.docs THEN c.p_long ELSE c.p_short END AS p
+    FROM sized s JOIN chances c ON s.source IS NOT DISTINCT FROM c.source
+), placed AS (
+    SELECT *, CASE WHEN p > 0 AND p < 1 THEN (u * (1.0::DOUBLE - p)) / (u * (1.0::DOUBLE - p) + p * (1.0::DOUBLE - u)) ELSE u END AS place FROM drawn
 ), ordered AS (
-    SELECT s.doc_id, s.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS quota,
-        coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.u, s.doc_id
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
-    FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
+    FROM placed
 )
 SELECT doc_id, size, source_size, target,
     (size * (whole + CASE WHEN quota > 0 AND so_far + size / 2.0::DOUBLE <= quota THEN 1 ELSE 0 END))::BIGINT AS taken

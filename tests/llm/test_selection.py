@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import duck, rows_of
 from evenhand.llm import language, licenses, mixing, quality, shards
@@ -93,6 +94,35 @@ def test_targets_by_rounds_of_resharing(spark):
     assert found == pytest.approx(expected)
 
 
+def test_inclusion_follows_the_odds(spark):
+    """Over many seeds documents are included as often as their probability says, long ones more often than short ones."""
+    rnd = random.Random(9)
+    rows = [(i, " ".join(["w"] * rnd.choice([3, 10, 40])), "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").persist()
+    _, planned = mixing.plan(docs, total_share=0.7, max_repeats=1.5)
+    plans = {r.source: r for r in planned.collect()}
+    taken, seeds = defaultdict(Counter), 8
+    for seed in range(seeds):
+        for r in mixing.mix(docs, total_share=0.7, max_repeats=1.5, seed=f"s{seed}").collect():
+            source = "ab"[r.doc_id % 2]
+            is_long = r.size >= plans[source].source_size / plans[source].docs
+            taken[source, is_long]["docs"] += 1
+            taken[source, is_long]["extra"] += r.taken // r.size - plans[source].whole
+    for (source, is_long), seen in taken.items():
+        p = plans[source].p_long if is_long else plans[source].p_short
+        assert abs(seen["extra"] / seen["docs"] - p) < 0.06, (source, is_long, seen, p)
+    assert all(p.p_long - p.p_short > 0.1 for p in plans.values() if 0.2 < p.target / p.source_size % 1 < 0.8)
+    docs.unpersist()
+
+
+def test_quotient_orders_like_odds_over_odds(spark):
+    rows = [(u / 50, p / 10) for u in range(50) for p in range(11)]
+    found = spark.createDataFrame(rows, "u double, p double").select("u", "p", mixing.quotient(F.col("u"), F.col("p")).alias("t")).collect()
+    inner = [((r.u / (1 - r.u)) / (r.p / (1 - r.p)), r.t) for r in found if 0 < r.p < 1]
+    assert all(t == pytest.approx(q / (1 + q)) for q, t in inner)
+    assert all(r.t == r.u for r in found if r.p in (0, 1))
+
+
 def test_mix_of_odd_rows(odd, odd_rows, nothing):
     rows = mixing.mix(odd).collect()
     assert len(rows) == len(odd_rows)
