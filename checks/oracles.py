@@ -605,3 +605,9 @@ ORACLES: dict[str, str] = {
     "result_csv_roundtrip": f"{WITH_PREDICTED} {SUMMARY}",
     "census_csv_roundtrip": f"WITH {ZONES}, {census()}, {incomes()} SELECT * FROM incomes",
 }
+
+ORACLES["fairness_report_details"] = f"""SELECT p.model, p.score AS parity_score, p.score_pop AS parity_score_pop, p.interpretation AS parity_grade,
+  low_mean, medium_mean, high_mean, o.score AS odds_score, disparity_ratio, o.interpretation AS odds_grade, low_rmse, medium_rmse, high_rmse,
+  i.score AS pair_score, max_difference, comparisons, violation_count, i.interpretation AS pair_grade
+  FROM ({ORACLES['demographic_parity']}) p JOIN ({ORACLES['equalized_odds']}) o USING (model) JOIN ({ORACLES['individual_fairness']}) i USING (model)"""
+ORACLES["model_evaluators"] = f"SELECT model, rmse, mae, r2 FROM ({ORACLES['regression_metrics']})"

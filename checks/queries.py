@@ -543,6 +543,23 @@ def fairness_report(spark, sf):
     return report.select(*[C.steady_round(F.col("comparison")[c], 4).alias(n) for n, c in gains.items()])
 
 
+@query
+def fairness_report_details(spark, sf):
+    """Every field of the report's three metrics, a row per model."""
+    report = reports.fairness_report(fx.predicted_trips(spark, sf), MODELS, KEYS)
+    rows = []
+    for model in MODELS:
+        parity, odds, pairs = (F.col(metric)[model] for metric in reports.METRICS)
+        values = {"parity_score": (parity["score"], 6), "parity_score_pop": (parity["score_pop"], 6), "odds_score": (odds["score"], 6)}
+        values |= {"disparity_ratio": (odds["disparity_ratio"], 6), "pair_score": (pairs["score"], 4), "max_difference": (pairs["max_difference"], 6)}
+        values |= {f"{g}_mean": (parity["group_means"][g], 6) for g in INCOMES} | {f"{g}_rmse": (odds["group_rmse"][g], 6) for g in INCOMES}
+        plain = {"parity_grade": parity["interpretation"], "odds_grade": odds["interpretation"], "pair_grade": pairs["interpretation"]}
+        plain |= {"comparisons": pairs["comparisons"], "violation_count": pairs["violation_count"]}
+        steady = {n: C.steady_round(c, digits) for n, (c, digits) in values.items()}
+        rows.append(F.struct(F.lit(model).alias("model"), *[c.alias(n) for n, c in (steady | plain).items()]))
+    return report.select(F.inline(F.array(*rows)))
+
+
 @query
 def bias_report(spark, sf):
     report = reports.bias_report(fx.predicted_trips(spark, sf), MODELS)
@@ -600,6 +617,14 @@ def regression_metrics(spark, sf):
     return rounded(rounded(table, 6, "rmse", "mae", "r2"), 4, "r2_delta_pp")
 
 
+@query
+def model_evaluators(spark, sf):
+    """The three measures by MLlib's evaluator, a model each."""
+    scored = fx.predicted_trips(spark, sf)
+    rows = [(name, *[models.evaluate(scored, column, metric) for metric in ("rmse", "mae", "r2")]) for name, column in MODELS.items()]
+    return rounded(spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double"), 6, "rmse", "mae", "r2")
+
+
 def _trained(spark, sf, sets=models.FEATURE_SETS) -> models.TrainedModels:
     return models.train(fx.metered(fx.enriched_trips(spark, sf)), ["h"], sets)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from evenhand import schemas
 from evenhand.fixed_values import TripLimits
 from evenhand.operators import cleaning, disparity, enrich, lookup, models, reports
-from evenhand.session import build_session
+from evenhand.session import build_session, fit_shuffles
 from evenhand.sources import files
 
 MODELS = {"baseline": "predicted_fare_baseline", "fair": "predicted_fare_fair"}
@@ -96,6 +96,7 @@ def add_income(spark: SparkSession, paths: Paths, out_files: int | None = None)
     ``out_files`` merges the output into that many files, for inputs small enough to be written by as many tasks.
     """
     trips = cleaned_trips(spark, paths)
+    fit_shuffles(trips)
     enriched = enrich.enrich_trips(trips, lookup.zone_table(spark), files.read_census_csv(spark, paths.census))
     files.write_parquet(enriched.select(*schemas.ENRICHED_TRIPS.fieldNames()), paths.enriched, out_files)
     measures = {
@@ -115,6 +116,7 @@ def train(
     trip that they did not see, so later reports stand on all trips but those few.
     """
     trips = files.read_parquet(spark, paths.enriched)
+    fit_shuffles(trips)
     trained = models.train(trips, ["trip_id"], train_part=FIT_PART * fraction)
     trained.save(paths.models)
     files.write_parquet(trained.score().select(*schemas.PREDICTIONS.fieldNames()), paths.predictions)
@@ -139,6 +141,7 @@ def detect_bias(spark: SparkSession, paths: Paths) -> DataFrame:
 def measure_fairness(spark: SparkSession, paths: Paths, sample: int | None = None) -> DataFrame:
     """Predictions to the fairness report; returns the improvement per metric, read from the written report."""
     predicted = files.read_parquet(spark, paths.predictions)
+    fit_shuffles(predicted)
     report = reports.with_comparison(reports.fairness_report(predicted, MODELS, ["trip_id"], sample=sample))
     files.write_report_json(report, f"{paths.fairness}/report")
     return reports.comparison_rows(spark.read.json(f"{paths.fairness}/report"))

@@ -24,6 +24,9 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 DEFAULT_PARTITIONS = "200"
 TASKS_PER_CORE = 4
+OWN_PARTITIONS = "spark.evenhand.initialPartitionNum"
+PART_BYTES = 128 << 20
+MAX_PARTS = 100_000  # a million map tasks with as many parts each would be too many blocks
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -45,6 +48,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffles(*inputs: DataFrame) -> int | None:
+    """Let shuffles start with enough parts for these inputs, PART_BYTES each by Spark's own estimate of their size.
+
+    A number of parts by cores alone makes parts grow with the data. Adaptive execution merges the small ones. Numbers
+    that somebody chose are kept; returns what was set.
+    """
+    spark = inputs[0].sparkSession
+    chosen = spark.conf.get(SHUFFLE_PARTITIONS) != DEFAULT_PARTITIONS or spark.conf.get(INITIAL_PARTITIONS, None) not in (None, _set_parts(spark))
+    if chosen or spark.sparkContext.master.startswith("local"):
+        return None
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    parts = min(MAX_PARTS, max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-size // PART_BYTES)))
+    spark.conf.set(INITIAL_PARTITIONS, str(parts))
+    spark.conf.set(OWN_PARTITIONS, str(parts))
+    return parts
+
+
+def _set_parts(spark: SparkSession) -> str | None:
+    """What this package set itself."""
+    own = spark.conf.get(OWN_PARTITIONS, None)
+    by_cores = str(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return own or (by_cores if spark.conf.get(INITIAL_PARTITIONS, None) == by_cores else None)
+
+
 def build_session(app: str = "evenhand", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; ``master`` is left to spark-submit unless given."""
     builder = SparkSession.builder.appName(app)

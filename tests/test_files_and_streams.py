@@ -340,6 +340,29 @@ def test_shuffle_parts_are_fitted_only_where_nobody_chose_them():
     assert session.INITIAL_PARTITIONS not in tuned("yarn", 10)
 
 
+def test_shuffle_parts_follow_the_bytes():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    def frame(size, conf, master="yarn"):
+        stats = type("Stats", (), {"sizeInBytes": lambda self: size})()
+        plan = type("Plan", (), {"stats": lambda self: stats})()
+        execution = type("Execution", (), {"optimizedPlan": lambda self: plan})()
+        context = type("Context", (), {"master": master, "defaultParallelism": 1000})()
+        spark = type("Session", (), {"conf": conf, "sparkContext": context})()
+        return type("Frame", (), {"sparkSession": spark, "_jdf": type("J", (), {"queryExecution": lambda self: execution})()})()
+
+    conf = Conf({session.SHUFFLE_PARTITIONS: "200"})
+    assert session.fit_shuffles(frame(1 << 30, conf)) == 4000  # by cores
+    assert session.fit_shuffles(frame(5 << 40, conf), frame(5 << 40, conf)) == 81920  # 128 MB each
+    assert session.fit_shuffles(frame(1 << 50, conf)) == session.MAX_PARTS
+    assert session.fit_shuffles(frame(1 << 30, conf)) == 4000 and conf[session.INITIAL_PARTITIONS] == "4000"
+    assert session.fit_shuffles(frame(1 << 50, Conf({session.SHUFFLE_PARTITIONS: "64"}))) is None
+    assert session.fit_shuffles(frame(1 << 50, Conf({session.SHUFFLE_PARTITIONS: "200", session.INITIAL_PARTITIONS: "9"}))) is None
+    assert session.fit_shuffles(frame(1 << 50, Conf({session.SHUFFLE_PARTITIONS: "200"}), "local[8]")) is None
+
+
 def test_audit_from_files_to_reports(spark, sf, tmp_path):
     raw, census = f"{tmp_path}/raw", f"{tmp_path}/census"
     files.write_trips_csv(fx.raw_trips(spark, sf).drop("h"), raw)
