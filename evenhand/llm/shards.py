@@ -7,7 +7,8 @@ ties are cut as finely as anything else. Levels are split until there are as man
 
 Medians are found by counting: bytes per node and slice of the order, summed over the few slices, then the slice that
 holds the median is cut again. No node's points come together in one task; the driver sees sums per slice alone. Values are sent to [0, 1] by fixed rules per
-dimension (numbers on a logarithmic or linear scale between the extremes, strings by their first bytes).
+dimension (numbers on a logarithmic or linear scale between the extremes, strings by their rank among the distinct
+values, so that no two of them are one).
 
 Law: ``bytes``. Slots number the rows of a shard from 0 without gaps; they are given out per part of a shard whose
 offsets are known from counts.
@@ -28,26 +29,33 @@ from evenhand.llm.common import only, written
 SLICES = 1 << 12
 PARTS = 64  # of a shard, for slots
 ORDER_BITS = 48
-
-
-def _string_value(column: Column) -> Column:
-    """A string's first six bytes as a number in [0, 1); null is 0."""
-    first = F.rpad(F.hex(F.substring(F.encode(F.coalesce(column, F.lit("")), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(first, 16, 10).cast("double") / float(1 << 48)
+MAX_BROADCAST_VALUES = 100_000  # rows of a short name and a number
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, group, and the dimensions) of every row."""
+    """(doc_id, size, text_crc32, group, and what the dimensions are made from) of every row."""
     data = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long") + 1
     return only(docs, doc_id="doc_id", text="text", lang="lang", source="source").select(
         F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), F.crc32(data).alias("text_crc32"),
         F.coalesce(F.sha2("text", 256), F.lit("")).alias("group"),
-        _string_value(F.col("lang").cast("string")).alias("d_lang"), _string_value(F.col("source").cast("string")).alias("d_source"),
+        F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
         F.log2(size.cast("double")).alias("d_size"), F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)).alias("d_id"),
     )
 
 
+def ranked(rows: DataFrame, name: str) -> DataFrame:
+    """``d_<name>`` in place of a string: its rank among the distinct values, 0 for null.
+
+    The window has one part because it runs over distinct values, of which languages and sources have few.
+    """
+    values = rows.select(F.col(name).alias("value")).filter("value IS NOT NULL").distinct()
+    ranks = written(values.withColumn("rank", F.row_number().over(Window.orderBy("value")).cast("double")), "shard-ranks")
+    small = F.broadcast(ranks) if ranks.count() <= MAX_BROADCAST_VALUES else ranks
+    joined = rows.join(small, F.col(name) == F.col("value"), "left")
+    return joined.withColumn(f"d_{name}", F.coalesce("rank", F.lit(0.0))).drop(name, "value", "rank")
+
+
 DIMENSIONS = ["d_lang", "d_source", "d_size", "d_id"]
 
 
@@ -121,6 +129,7 @@ def kd_shards(points: DataFrame, shards: int) -> DataFrame:
 def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     rows = written(described(docs), "shard-rows")
+    rows = ranked(ranked(rows, "lang"), "source")
     points = rows.groupBy("group").agg(F.sum("size").alias("bytes"), *[F.min_by(d, F.struct("doc_id", *DIMENSIONS)).alias(d) for d in DIMENSIONS])
     points = written(_scaled(written(points, "shard-groups")), "shard-groups")
     placed = rows.drop(*DIMENSIONS).join(kd_shards(points, shards), "group")

@@ -10,6 +10,7 @@ import string
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -365,3 +366,92 @@ def test_no_vocabulary_is_lost_without_limits(documents):
     truth = {r.doc_id: r.lang for r in documents.select("doc_id", "lang").collect()}
     held = [r for r in language.predict(documents, model).collect() if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def kd_tree(points, shards):
+    """Shard of each (weight, dimensions, digest) point: nodes are split at weighted medians, in plain Python."""
+    ends = [(min(p[1][d] for p in points), max(p[1][d] for p in points)) for d in range(4)]
+    scaled = [(w, [(x - low) / ((high - low) or 1.0) for x, (low, high) in zip(dims, ends)], digest) for w, dims, digest in points]
+    leaf = {}
+
+    def split(members, first, n):
+        if n == 1 or not members:
+            leaf.update(dict.fromkeys(members, first))
+            return
+        widths = [max(scaled[i][1][d] for i in members) - min(scaled[i][1][d] for i in members) for d in range(4)]
+        widest = widths.index(max(widths))
+
+        def order(i):
+            return math.floor(scaled[i][1][widest] * (2**28 - 1)) * 2**20 + int(scaled[i][2][:5] or "0", 16)
+
+        goal, before = sum(scaled[i][0] for i in members) * (n // 2) / n, 0
+        weights = Counter()
+        for i in members:
+            weights[order(i)] += scaled[i][0]
+        for value in sorted(weights):
+            if before + weights[value] > goal:
+                cut = value + (goal - before >= weights[value] / 2)
+                break
+            before += weights[value]
+        split([i for i in members if order(i) < cut], first, n // 2)
+        split([i for i in members if order(i) >= cut], first + n // 2, n - n // 2)
+
+    split(list(range(len(points))), 0, shards)
+    return leaf
+
+
+@pytest.mark.parametrize("n_shards", [2, 5, 8])
+def test_shards_are_those_of_a_plain_tree(spark, n_shards):
+    rnd = random.Random(31)
+    rows = []
+    for i in range(400):
+        text = " ".join(rnd.choice(["lorem", "ipsum", "dolor"]) for _ in range(rnd.choice([1, 5, 30, 200])))
+        rows.append((i * 7 % 400, text if i % 50 else None, rnd.choice(["en", "fr", None]), f"common-prefix-{rnd.randint(0, 6)}"))
+    rows += [(1000 + i, rows[3][1], "en", "common-prefix-1") for i in range(30)]
+    ranks = [{v: float(n) for n, v in enumerate(sorted({r[c] for r in rows if r[c] is not None}), 1)} for c in (2, 3)]
+    groups = defaultdict(list)
+    for doc_id, text, lang, source in rows:
+        size = len((text or "").encode()) + 1
+        digest = hashlib.sha256(text.encode()).hexdigest() if text is not None else ""
+        dims = (ranks[0].get(lang, 0.0), ranks[1].get(source, 0.0), math.log(size) / math.log(2), float(doc_id))
+        groups[digest].append((doc_id, dims, size))
+    points = [(sum(m[2] for m in members), min(members, key=lambda m: (m[0], m[1]))[1], digest) for digest, members in groups.items()]
+    expected = {points[i][2]: shard for i, shard in kd_tree(points, n_shards).items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    found = {r.doc_id: r.shard for r in shards.assign(docs, n_shards).collect()}
+    assert found == {m[0]: expected[digest] for digest, members in groups.items() for m in members}
+
+
+def test_fertility_verdicts_follow_from_the_quartiles(documents):
+    with open(MODEL, "rb") as file:
+        table = quality.words_table(file.read())
+    rows = documents.select("doc_id", "text", "lang").collect()
+    names = list(quality.COLUMNS)
+    seen = {r.doc_id: dict(zip(names, quality.measure(table, r.text, r.lang))) for r in rows}
+    values = defaultdict(list)
+    keys = ("band", "n_words", "word_chars", "n_tokens", "entropy", "chars_per_token", "case")
+    for key in {tuple(m[k] for k in keys) for m in seen.values() if m["band"] is not None}:
+        m = dict(zip(keys, key))
+        for name in quality.LEAST_SPREAD:
+            if m[name] is not None and (name != "entropy" or m["n_tokens"] >= quality.LEAST_TOKENS_ENTROPY):
+                values[m["band"], name].append(round(m[name], 3))
+    reach = {}
+    for (band, name), of_band in values.items():
+        if len(of_band) >= quality.LEAST_DOCUMENTS:
+            low, high = np.percentile(of_band, [25, 75])
+            away = quality.FENCE * max(high - low, quality.LEAST_SPREAD[name] * low)
+            reach[band, name] = high + away if name == "case" else low - away
+    assert len({band for band, _ in reach}) == 4
+
+    def kept(m):
+        if m["base_failed"] or m["band"] is None:
+            return not m["base_failed"]
+        (least, most), most_bytes, least_entropy = quality.BANDS[m["band"]]
+        least, least_entropy = max(least, reach.get((m["band"], "chars_per_token"), least)), max(least_entropy, reach.get((m["band"], "entropy"), least_entropy))
+        most_case = min(quality.MOST_CASE, reach.get((m["band"], "case"), quality.MOST_CASE))
+        return least <= m["chars_per_token"] <= most and m["byte_share"] <= most_bytes and m["case"] <= most_case and (
+            m["n_tokens"] < quality.LEAST_TOKENS_ENTROPY or m["entropy"] >= least_entropy)
+
+    found = {r.doc_id: r.kept for r in quality.judge(documents, MODEL).collect()}
+    assert found == {d: kept(m) for d, m in seen.items()}
+    assert len(set(found.values())) == 2
