@@ -98,9 +98,12 @@ def shared_path(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder.
 
-    For rows that several steps read: their lineage runs once, and a lost executor costs no recomputation.
+    For rows that several steps read: their lineage runs once, and a lost executor costs no recomputation. The table
+    goes when the driver ends.
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.parquet(path)

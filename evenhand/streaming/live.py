@@ -89,13 +89,19 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
 
 
+def _row(spark: SparkSession, schema: str, *values) -> DataFrame:
+    """One row made by Spark itself, in one task."""
+    kinds = [column.split() for column in schema.split(", ")]
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, kinds)])
+
+
 def _run(spark: SparkSession, path: str, checkpoint: str) -> tuple[str, float]:
     """The run that a checkpoint belongs to. A restart goes on with its run; a new checkpoint starts a new one."""
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     started = _table(spark, f"{path}/runs", "run string, started double").filter(F.col("run") == name).agg(F.max("started")).first()[0]
     if started is None:
         started = time.time()
-        spark.createDataFrame([(name, started)], "run string, started double").coalesce(1).write.mode("append").parquet(f"{path}/runs")
+        _row(spark, "run string, started double", name, started).write.mode("append").parquet(f"{path}/runs")
     return name, started
 
 
@@ -111,7 +117,7 @@ def reset(spark: SparkSession, path: str) -> str:
 
 def _point(spark: SparkSession, path: str, run: tuple[str, float], batch: int, base: int) -> None:
     """Tell readers about a batch that is wholly written. Pointers take turns in a fixed number of places."""
-    row = spark.createDataFrame([(*run, batch, base)], POINTER).coalesce(1)
+    row = _row(spark, POINTER, *run, batch, base)
     row.write.mode("overwrite").parquet(f"{path}/pointers/{run[0]}/place={batch % SLOTS}")
 
 
