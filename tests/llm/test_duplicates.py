@@ -136,6 +136,24 @@ def test_columns_from_a_file(monkeypatch):
     assert at[0] == [0, 17] and at[-1] == [0, 0]
 
 
+def test_texts_longer_than_a_slice(spark):
+    rnd = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    long = "".join(rnd.choice(letters) for _ in range(2 * suffixes.SLICE + 1000))
+    edge = suffixes.SLICE
+    other = "".join(rnd.choice(letters) for _ in range(suffixes.SLICE + 500))
+    rows = [
+        (1, long), (2, other + long[edge - 70 : edge + 90]), (3, long[-300:] + other[100:400]), (4, "".join(rnd.choice(letters) for _ in range(900))),
+        (5, long), (0, long[edge - 30 : edge + 19]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffixes.removed(docs).collect()}
+    sizes = {d: len(t) for d, t in rows}
+    assert found == {
+        0: (sizes[0], 0, 0), 1: (sizes[1], 0, 0), 2: (sizes[2], 160, 1), 3: (sizes[3], 600, 1), 4: (900, 0, 0), 5: (sizes[5], sizes[5], 1),
+    }
+
+
 def test_cleaned_documents(odd, odd_rows):
     kept = suffixes.cleaned(odd)
     assert kept.columns == odd.columns
