@@ -22,7 +22,6 @@ alike; an empty table gives an empty table; further columns are ignored by ``pre
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,7 +37,7 @@ from evenhand.llm.common import only, ship, written
 UNKNOWN = "und"
 LONGEST = 4
 EVIDENCE = 8
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 ASCII_LETTERS = re.compile(r"[a-z]+")
 LETTERS = regex.compile(r"\p{L}+")
 
@@ -93,7 +92,6 @@ class Model:
 
     def __init__(self, languages: list[str], rows: list[tuple[int, str, dict[str, int]]]):
         self.languages = languages
-        self.key = uuid.uuid4().hex
         self.tables: list[dict[str, int]] = []
         self.logs: list[np.ndarray] = []
         for size in range(LONGEST + 1):
@@ -146,17 +144,6 @@ class Reader(dict):
         return self.model.languages[best], round(float(share), 6)
 
 
-#: One reader per Python worker and model: workers are reused, and so are the words they know.
-READERS: dict[str, Reader] = {}
-
-
-def reader(model: Model) -> Reader:
-    if model.key not in READERS:
-        READERS.clear()
-        READERS[model.key] = Reader(model)
-    return READERS[model.key]
-
-
 def sample_level(sizes: list[int], most: int) -> float:
     """The number of documents a language at which all of them together give ``most``, or all they have."""
     left = float(most)
@@ -168,7 +155,7 @@ def sample_level(sizes: list[int], most: int) -> float:
     return float(max(sizes, default=0))
 
 
-def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int | None = 200_000, max_grams: int | None = 200_000) -> Model:
+def fit(docs: DataFrame, max_docs: int = 8_000, max_words: int | None = 60_000, max_grams: int | None = 120_000) -> Model:
     """Fit on at most about ``max_docs`` labelled documents that are not held out; word counts are summed by Spark.
 
     Shares are sent as a table of languages, so that their number is not limited by the plan.
@@ -204,7 +191,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = reader(shared.value)
+        own = Reader(shared.value)  # goes with its task: later stages in this worker need the memory
         for batch in batches:
             answers = [own.read(text) for text in batch.column("text").to_pylist()]
             yield pa.record_batch(
@@ -224,7 +211,7 @@ def keep_known(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
     place = docs.columns.index("text")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = reader(shared.value)
+        own = Reader(shared.value)  # goes with its task: later stages in this worker need the memory
         for batch in batches:
             answers = [own.read(text) for text in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in answers], pa.bool_()))
