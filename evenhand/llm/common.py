@@ -9,12 +9,12 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.session import written
+from evenhand.session import passing_shuffles, written
 
 #: Words of the corpus contracts: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "discard", "documents", "only", "ship", "word_count", "written"]
+__all__ = ["WORD", "discard", "documents", "only", "passing_shuffles", "ship", "word_count", "written"]
 
 
 #: Rows per batch, with Spark's defaults and what suits texts better.

@@ -35,10 +35,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm.common import discard, only, ship, written
+from evenhand.llm.common import discard, only, passing_shuffles, ship, written
 from evenhand.llm.ranges import frequency_bitmap, lookup_bitmap, lookup_place, marked, packed_rows, prefixes, range_bits, split_ranges
 from evenhand.llm.shingles import BYTE_VALUES, INVERSE_POWERS, PLACES, POWERS, mixed
 
@@ -53,6 +53,7 @@ IN_MEMORY = 256 << 20
 STEP = 16  # different stretches around an anchor in a batch that count as one more occurrence of it
 HEAVY = 4096  # occurrences above which an anchor is no group; at most STEP times as many stretches are one
 WINDOWS_AT_ONCE = 1 << 18
+DOCS_PER_RANGE = 2000  # their stretches, about 80 a document, are built together
 POSITION = np.uint64(0xFFFFFF)
 
 
@@ -96,7 +97,8 @@ class Stretches:
         self.begin = np.flatnonzero(here & (change[:-1] | ~inside[:-2]))
         self.end = np.flatnonzero(here & (change[1:] | ~inside[2:])) + LENGTH
         self.anchor = least[self.begin].astype(np.int64)
-        self.hash = hashes[self.anchor]
+        # An anchor is the least of many, so its hash is small; mixed once more, it fills ranges and bitmap evenly.
+        self.hash = mixed(hashes[self.anchor])
         piece = np.searchsorted(edges, self.begin, side="right") - 1
         self.doc = np.array(docs, dtype=np.int64)[piece]
         self.base = np.array(bases, dtype=np.int64)[piece] - edges[piece]
@@ -405,18 +407,39 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.concat_tables([settled, marks])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, spans): spans of bytes to remove per document, in parts; tie is a hash of the text."""
+def tie(docs: DataFrame) -> Column:
+    """What tells rows with equal doc_id apart: a hash of the text where the doc_id may repeat, else 0, which packs well."""
+    repeated = only(docs, doc_id="doc_id").filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"))
+    repeated = repeated.groupBy("doc_id").count().filter("count > 1")
+    return F.when(_maybe(docs.sparkSession, lookup_bitmap(repeated, "doc_id")), F.xxhash64("text")).otherwise(0)
+
+
+def _maybe(spark: SparkSession, bits: np.ndarray) -> Column:
+    """Whether the row's doc_id, a long, may be among those of the lookup bitmap."""
+    bitmap = spark.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(places):
+        import pandas as pd
+
+        return pd.Series(marked(bitmap.value, places.to_numpy()))
+
+    return maybe(F.coalesce(lookup_place("doc_id"), F.lit(0)))
+
+
+def repeated_spans(docs: DataFrame, own_tie: Column) -> DataFrame:
+    """(doc_id, tie, spans): spans of bytes to remove per document, in parts; tie as ``tie`` has it."""
     ship(docs.sparkSession)
     rows = only(docs, doc_id="doc_id", text="text").filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
-    rows = rows.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    bits = range_bits(only(docs, doc_id="doc_id").count())
-    stretches, windows = filed(rows, bits)
-    spans = stretches.groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary")
-    if windows is None:
-        return written(spans, "suffix-spans")
-    windows = written(windows, "suffix-windows")
-    spans = written(spans.union(heavy_spans(windows)), "suffix-spans")
+    rows = rows.select(F.col("doc_id").cast("long"), "text").select("doc_id", own_tie.alias("tie"), "text")
+    bits = range_bits(only(docs, doc_id="doc_id").count(), DOCS_PER_RANGE)
+    with passing_shuffles(docs.sparkSession):
+        stretches, windows = filed(rows, bits)
+        spans = stretches.groupBy("range").applyInArrow(_build, "doc_id long, tie long, spans binary")
+        if windows is None:
+            return written(spans, "suffix-spans")
+        windows = written(windows, "suffix-windows")
+        spans = written(spans.union(heavy_spans(windows)), "suffix-spans")
     discard(windows)
     return spans
 
@@ -442,20 +465,14 @@ def kept_bytes(data: bytes, spans: list[bytes]) -> tuple[bytes, np.ndarray]:
 
 def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents without and with spans, both with ``spans`` (list) and all their columns in the struct ``row``."""
-    spans = repeated_spans(docs)
-    place = lookup_place("doc_id")
-    bitmap = docs.sparkSession.sparkContext.broadcast(lookup_bitmap(spans, "doc_id"))
-
-    @F.pandas_udf("boolean")
-    def maybe(places):
-        import pandas as pd
-
-        return pd.Series(marked(bitmap.value, places.to_numpy()))
-
+    ship(docs.sparkSession)
+    own_tie = tie(docs)
+    spans = repeated_spans(docs, own_tie)
+    maybe = _maybe(docs.sparkSession, lookup_bitmap(spans, "doc_id"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    whole = whole.withColumn("maybe", F.col("doc_id").isNotNull() & maybe(F.coalesce(place, F.lit(0))))
+    whole = whole.withColumn("maybe", F.col("doc_id").isNotNull() & maybe)
     gathered = spans.groupBy("doc_id", "tie").agg(F.collect_list("spans").alias("spans"))
-    some = whole.filter("maybe").withColumn("tie", F.xxhash64("text")).join(gathered, ["doc_id", "tie"], "left")
+    some = whole.filter("maybe").withColumn("tie", own_tie).join(gathered, ["doc_id", "tie"], "left")
     none = whole.filter("NOT maybe")
     return none, some.select("row", "doc_id", "text", F.coalesce("spans", F.array().cast("array<binary>")).alias("spans"))
 

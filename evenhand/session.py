@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,7 @@ DEFAULT_PARTITIONS = "200"
 TASKS_PER_CORE = 4
 OWN_PARTITIONS = "spark.evenhand.initialPartitionNum"
 PART_BYTES = 128 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MAX_PARTS = 100_000  # a million map tasks with as many parts each would be too many blocks
 
 
@@ -95,6 +98,23 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/evenhand-{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that are made and run herein go when the query ends, not when the driver collects garbage.
+
+    For queries that run once and whose result is collected or written.
+    """
+    chosen = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if chosen is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, chosen)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import types as T
 
 from evenhand.llm import components, jaccard, nearvectors, shingles, suffixes
+from evenhand.session import CLEANUP
 from tests.llm import brute
 
 
@@ -126,6 +128,44 @@ def test_slices_of_long_texts_find_the_same_windows(monkeypatch):
     assert windows(whole) == windows(cut) == [(0, w) for w in range(4951)] + [(2, w) for w in range(251)]
 
 
+def test_anchors_fill_ranges_evenly():
+    """An anchor's hash is the least of a window's, which would all fall into the first ranges and bits."""
+    rnd = random.Random(16)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(100_000)).encode()
+    hashes = suffixes.Stretches([text]).hash
+    counts = np.bincount((hashes >> np.uint64(60)).astype(np.int64), minlength=16)
+    assert len(hashes) > 5000 and counts.max() < 1.3 * counts.mean() and counts.min() > 0.7 * counts.mean()
+
+
+def test_ties_tell_only_repeated_ids_apart(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, None), (None, "d"), (None, "e")], "doc_id int, text string")
+    long = docs.select(docs.doc_id.cast("long"), "text")
+    ties = {(r.doc_id, r.text): r.tie for r in long.withColumn("tie", suffixes.tie(docs)).collect() if r.doc_id is not None}
+    assert ties[1, "a"] == ties[3, None] == 0 and ties[2, "b"] != ties[2, "c"] and 0 not in (ties[2, "b"], ties[2, "c"])
+
+
+def test_no_stretch_stays_on_disk_once_its_marks_are_written(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    own = random.Random(17)
+    text = "".join(own.choice("abcdefgh ") for _ in range(3000))
+    docs = spark.createDataFrame([(i, text[i:] + str(i)) for i in range(40)], "doc_id long, text string").repartition(3)
+    docs.count()
+    own_tie = suffixes.tie(docs)
+    marks_before, setting = files(), spark.conf.get(CLEANUP, None)
+    assert suffixes.repeated_spans(docs, own_tie).count() > 0
+    assert spark.conf.get(CLEANUP, None) == setting
+    heavy = []
+    for _ in range(50):  # files go a moment after the query
+        heavy = [f for f in files() - marks_before if f.endswith(".data")]
+        if len(heavy) <= 4:
+            break
+        time.sleep(0.1)
+    assert len(heavy) <= 4  # of the counts of rows alone
+
+
 def test_columns_from_a_file(monkeypatch):
     letters = np.frombuffer(b"abcabcabcabcabcabc" + b"xbcabcabcabcabcabc", dtype=np.uint8)
     size, before = np.array([18, 18]), np.array([1, 1])
