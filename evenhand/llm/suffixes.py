@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.llm.common import discard, only, passing_shuffles, ship, written
@@ -53,6 +53,8 @@ IN_MEMORY = 256 << 20
 STEP = 16  # different stretches around an anchor in a batch that count as one more occurrence of it
 HEAVY = 4096  # occurrences above which an anchor is no group; at most STEP times as many stretches are one
 WINDOWS_AT_ONCE = 1 << 18
+ROWS_AT_ONCE = 1 << 14
+NAMED = 1000  # ids of which several rows are told apart by name
 DOCS_PER_RANGE = 2000  # their stretches, about 80 a document, are built together
 POSITION = np.uint64(0xFFFFFF)
 
@@ -340,9 +342,11 @@ def build_columns(letters: np.ndarray, size: np.ndarray, before: np.ndarray) ->
     shape = (COLUMNS, n)
     with tempfile.TemporaryFile() as file:
         symbols = np.zeros(shape, np.uint8) if COLUMNS * n <= IN_MEMORY else np.memmap(file, np.uint8, "w+", shape=shape)
-        row = np.repeat(np.arange(n), size)
-        column = np.arange(len(letters)) - np.repeat(starts, size) + np.repeat(LEFT - before, size)
-        symbols[column, row] = letters
+        for start in range(0, n, ROWS_AT_ONCE):  # numbers per letter take eight times its memory
+            own = slice(start, start + ROWS_AT_ONCE)
+            begin, end = starts[start], starts[own][-1] + size[own][-1]
+            row = np.repeat(np.arange(n)[own], size[own])
+            symbols[np.arange(begin, end) - np.repeat(starts[own] - LEFT + before[own], size[own]), row] = letters[begin:end]
         first, last = LEFT - before, LEFT - before + size
         order, common = np.arange(n), np.zeros(n + 1, dtype=np.uint8)
         for at in range(COLUMNS - 1, -1, -1):
@@ -408,23 +412,16 @@ def _build(table: pa.Table) -> pa.Table:
 
 
 def tie(docs: DataFrame) -> Column:
-    """What tells rows with equal doc_id apart: a hash of the text where the doc_id may repeat, else 0, which packs well."""
-    repeated = only(docs, doc_id="doc_id").filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"))
-    repeated = repeated.groupBy("doc_id").count().filter("count > 1")
-    return F.when(_maybe(docs.sparkSession, lookup_bitmap(repeated, "doc_id")), F.xxhash64("text")).otherwise(0)
+    """What tells rows with equal doc_id apart: a hash of the text where the doc_id repeats, else 0, which packs well.
 
-
-def _maybe(spark: SparkSession, bits: np.ndarray) -> Column:
-    """Whether the row's doc_id, a long, may be among those of the lookup bitmap."""
-    bitmap = spark.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def maybe(places):
-        import pandas as pd
-
-        return pd.Series(marked(bitmap.value, places.to_numpy()))
-
-    return maybe(F.coalesce(lookup_place("doc_id"), F.lit(0)))
+    Where more than NAMED ids repeat, all rows have the hash.
+    """
+    own = only(docs, doc_id="doc_id").filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"))
+    with passing_shuffles(docs.sparkSession):
+        repeated = [r["doc_id"] for r in own.groupBy("doc_id").count().filter("count > 1").limit(NAMED + 1).collect()]
+    if len(repeated) > NAMED:
+        return F.xxhash64("text")
+    return F.when(F.col("doc_id").isin(repeated), F.xxhash64("text")).otherwise(F.lit(0).cast("long")) if repeated else F.lit(0).cast("long")
 
 
 def repeated_spans(docs: DataFrame, own_tie: Column) -> DataFrame:
@@ -468,9 +465,17 @@ def _with_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ship(docs.sparkSession)
     own_tie = tie(docs)
     spans = repeated_spans(docs, own_tie)
-    maybe = _maybe(docs.sparkSession, lookup_bitmap(spans, "doc_id"))
+    place = lookup_place("doc_id")
+    bitmap = docs.sparkSession.sparkContext.broadcast(lookup_bitmap(spans, "doc_id"))
+
+    @F.pandas_udf("boolean")
+    def maybe(places):
+        import pandas as pd
+
+        return pd.Series(marked(bitmap.value, places.to_numpy()))
+
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    whole = whole.withColumn("maybe", F.col("doc_id").isNotNull() & maybe)
+    whole = whole.withColumn("maybe", F.col("doc_id").isNotNull() & maybe(F.coalesce(place, F.lit(0))))
     gathered = spans.groupBy("doc_id", "tie").agg(F.collect_list("spans").alias("spans"))
     some = whole.filter("maybe").withColumn("tie", own_tie).join(gathered, ["doc_id", "tie"], "left")
     none = whole.filter("NOT maybe")

@@ -137,11 +137,14 @@ def test_anchors_fill_ranges_evenly():
     assert len(hashes) > 5000 and counts.max() < 1.3 * counts.mean() and counts.min() > 0.7 * counts.mean()
 
 
-def test_ties_tell_only_repeated_ids_apart(spark):
+def test_ties_tell_only_repeated_ids_apart(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, None), (None, "d"), (None, "e")], "doc_id int, text string")
     long = docs.select(docs.doc_id.cast("long"), "text")
     ties = {(r.doc_id, r.text): r.tie for r in long.withColumn("tie", suffixes.tie(docs)).collect() if r.doc_id is not None}
     assert ties[1, "a"] == ties[3, None] == 0 and ties[2, "b"] != ties[2, "c"] and 0 not in (ties[2, "b"], ties[2, "c"])
+    monkeypatch.setattr(suffixes, "NAMED", 0)
+    assert len({r.tie for r in long.withColumn("tie", suffixes.tie(docs)).collect()}) == 6
+    assert {r.tie for r in long.filter("doc_id <> 2").withColumn("tie", suffixes.tie(docs.filter("doc_id <> 2"))).collect()} == {0}
 
 
 def test_no_stretch_stays_on_disk_once_its_marks_are_written(spark):
@@ -176,6 +179,17 @@ def test_columns_from_a_file(monkeypatch):
     assert at[0] == [0, 17] and at[-1] == [0, 0]
 
 
+def test_columns_filled_in_parts(monkeypatch):
+    rnd = np.random.default_rng(18)
+    size = rnd.integers(suffixes.LENGTH, suffixes.COLUMNS + 1, 50)
+    before = np.minimum(size - suffixes.ANCHOR, rnd.integers(0, suffixes.LEFT + 1, 50))
+    size = np.minimum(size, before + suffixes.COLUMNS - suffixes.LEFT)
+    letters = rnd.integers(97, 99, int(size.sum())).astype(np.uint8)
+    whole = [(c, o.tolist(), p.tolist()) for c, o, p in suffixes.build_columns(letters, size, before)]
+    monkeypatch.setattr(suffixes, "ROWS_AT_ONCE", 7)
+    assert whole == [(c, o.tolist(), p.tolist()) for c, o, p in suffixes.build_columns(letters, size, before)]
+
+
 def test_texts_longer_than_a_slice(spark):
     rnd = random.Random(14)
     letters = "abcdefghijklmnopqrstuvwxyz     "
