@@ -19,7 +19,8 @@ repeated, ordered by a hash of their text; an empty table gives no file and no r
 pieces at white space and compressed as one frame; further columns are ignored.
 
 The pieces at white space are exact for a tokenizer file with the normalizer and split that ``PLAIN_NORMALIZER`` and
-``PLAIN_SPLIT`` state; with any other file whole texts go through the library.
+``PLAIN_SPLIT`` state; with any other file whole texts go through the library. Texts of plain characters are taken in
+groups: arrays tell their parts apart, and each different part of a group is looked up once.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -52,13 +53,21 @@ RECORD = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("to
 FOOTER = "<QQ8s"
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 112_640
-CACHED_WORDS = 700_000
-CACHED_PARTS = 300_000
+#: Words and parts that a Python worker remembers, and characters of texts that are taken together.
+CACHED = 1_000_000
+GROUP = 4_000_000
 
 #: White space that ends a word for the tokenizer's normalizer, whatever stands beside it.
 SPLIT = re.compile(r"[^ \n\t\r]+")
 #: Words of which lower case and composed form are beyond doubt; others take the library's whole path.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_TEXT = re.compile(r"[!-~À-ÖØ-öø-ÿ \n\t\r]*")
+#: What a byte of a plain lower-case text in Latin-1 is.
+SPACE, LETTER, DIGIT, OTHER = range(4)
+KINDS = np.zeros(256, dtype=np.uint8)
+KINDS[ord("!") : ord("~") + 1] = OTHER
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+KINDS[[*range(ord("a"), ord("z") + 1), *range(ord("ß"), ord("ö") + 1), *range(ord("ø"), ord("ÿ") + 1)]] = LETTER
 #: The normalizer and the split that words of a text take apart from each other.
 PLAIN_NORMALIZER = {
     "type": "Sequence",
@@ -96,27 +105,29 @@ class WordEncoder(dict):
         self.plain = is_plain(data)
         self.added = re.compile("|".join(re.escape(t["content"]) for t in data["added_tokens"]) or "(?!)")
         self.kind = f"<u{width}"
-        self.parts: dict[str, bytes] = {}
-        # The pattern of this tokenizer, for plain lower-case words.
-        self.pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+        self.parts: dict[bytes, bytes] = {}
+        # The pattern of this tokenizer, for plain lower-case words in Latin-1.
+        self.pattern = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+")
         self.bytes_as_text = _byte_alphabet()
 
-    def _part(self, part: str) -> bytes:
+    def _part(self, part: bytes) -> bytes:
         known = self.parts.get(part)
         if known is None:
-            if len(self.parts) > CACHED_PARTS:
-                self.parts.clear()
-            spelled = part.encode().decode("latin-1").translate(self.bytes_as_text)
+            spelled = part.decode() if part.isascii() else part.decode("latin-1").encode().decode("latin-1").translate(self.bytes_as_text)
             known = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], dtype=self.kind).tobytes()
-            self.parts[part] = known
+            if len(part) < 64:
+                self.parts[part] = known
         return known
 
+    def _parts(self, word: bytes) -> bytes:
+        return b"".join(map(self._part, self.pattern.findall(word)))
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if PLAIN.fullmatch(word) and not self.added.search(word):
-            ids = b"".join(map(self._part, self.pattern.findall(word.lower())))
+            ids = self._parts(word.lower().encode("latin-1"))
         else:
             ids = self._whole(word)
         if len(word) < 64:
@@ -128,10 +139,60 @@ class WordEncoder(dict):
             return b""
         if not self.plain:
             return self._whole(text)
-        if len(self) > CACHED_WORDS:
-            self.clear()
+        self._bound()
         return b"".join(map(self.__getitem__, SPLIT.findall(text)))
 
+    def _bound(self) -> None:
+        if len(self) + len(self.parts) > CACHED:
+            self.clear()
+            self.parts.clear()
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """What ``encode`` gives for every text, in order. Only the ids of one group are held at a time."""
+        group, size = [], 0
+        for text in texts:
+            if size + len(text or "") > GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+            group.append(text or "")
+            size += len(text or "")
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        plain = [self.plain and len(t) <= GROUP and PLAIN_TEXT.fullmatch(t) is not None and not self.added.search(t) for t in texts]
+        by_arrays = iter(self._plain([t for t, p in zip(texts, plain) if p]))
+        return (next(by_arrays) if p else self.encode(t) for t, p in zip(texts, plain))
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts. Parts lie between changes of kind; an apostrophe alone keeps the letters after it for the pattern."""
+        self._bound()
+        data = np.frombuffer("\n".join([*texts, ""]).lower().encode("latin-1"), dtype=np.uint8)
+        if not len(data):
+            return []
+        kinds = KINDS[data]
+        begins = np.ones(len(data) + 1, dtype=bool)
+        begins[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+        at = np.flatnonzero(data == ord("'"))
+        begins[at[begins[at] & begins[at + 1] & (kinds[at + 1] == LETTER)] + 1] = False
+        bounds = np.flatnonzero(begins).astype(np.int32)
+        shown = kinds[bounds[:-1]] != SPACE
+        parts = pa.Array.from_buffers(pa.binary(), len(shown), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        found = parts.filter(pa.array(shown)).dictionary_encode()
+        known = self.parts
+        ids = [known.get(part) or self._parts(part) for part in found.dictionary.to_numpy(zero_copy_only=False)]
+        # Ids of the different parts side by side, and from them those of all parts in their order.
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.frombuffer(b"".join([*ids, bytes(8)]), dtype=self.kind)
+        sizes //= flat.itemsize
+        places = found.indices.to_numpy()
+        n = sizes[places]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        out = flat[np.repeat((np.cumsum(sizes) - sizes)[places] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        # A text ends before its line feed.
+        after = np.cumsum([len(t) + 1 for t in texts])
+        upto = ends[np.searchsorted(bounds[:-1][shown], after)] * flat.itemsize
+        return [out[start:end] for start, end in zip([0, *upto[:-1].tolist()], upto.tolist())]
+
 
 def _byte_alphabet() -> dict[int, str]:
     """Byte-level spelling: printable Latin-1 stands for itself, all other bytes take the letters from U+0100 on."""
@@ -168,7 +229,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, width: int, end_id: int, s
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_encoder(tokenizer, width)
         for batch in batches:
-            yield pa.record_batch([pa.array([words.encode(t) for t in batch.column("text").to_pylist()], pa.binary())], names=["ids"])
+            yield pa.record_batch([pa.array(list(words.encode_all(batch.column("text").to_pylist())), pa.binary())], names=["ids"])
 
     samples = [bytes(row.ids) for row in some.select("text").mapInArrow(serialize, "ids binary").collect()]
     try:
@@ -207,13 +268,13 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 1, sa
         out, index, offset, file = None, [], 0, ""
         own_store, own_top = _filesystem(folder)
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, own_ids in zip(batch.column("doc_id").to_pylist(), words.encode_all(batch.column("text").to_pylist())):
                 if out is None:
                     file = f"shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.tok"
                     out = own_store.open_output_stream(f"{own_top}/{file}")
                     out.write(struct.pack(HEADER, MAGIC, width, name))
                     offset = struct.calcsize(HEADER)
-                ids = words.encode(text) + end
+                ids = own_ids + end
                 frame = compressor.compress(ids)
                 out.write(frame)
                 index.append((doc_id or 0, offset, len(frame), len(ids) // width, doc_id is not None))

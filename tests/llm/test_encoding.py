@@ -93,6 +93,44 @@ def test_word_encoder_is_the_library():
         assert own.encode(case) == np.array(theirs.encode(case, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
 
+@pytest.mark.parametrize("group", [1, 40, 4_000_000])
+@pytest.mark.parametrize("width", [2, 4])
+def test_groups_of_texts_are_the_library(monkeypatch, group, width):
+    monkeypatch.setattr(token_files, "GROUP", group)
+    with open(WORDS) as file:
+        text = file.read()
+    own, theirs = token_files.WordEncoder(text, width), Tokenizer.from_str(text)
+    cases = ["", " \n", "WE'LL see <|endoftext|>", "'STop ''s a's 5's '5 '' ' !'s 's'", "y" * 3000, "ÀÞß÷×ÿ don't", "日本 it's", "x\x0b'll"]
+    cases += random_texts(1000, "ab'sStTdMrevl \n.,12ÀéßÿÞ×'!") + random_texts(1000, "ab'sSTÀé \n\t.,1Σİ日́ \x85\xa0ß×ªµ\x1c<|>")
+    expected = [np.array(e.ids, dtype=f"<u{width}").tobytes() for e in theirs.encode_batch(cases, add_special_tokens=False)]
+    assert list(own.encode_all(cases)) == expected == [own.encode(c) for c in cases]
+    assert list(own.encode_all([])) == [] and list(own.encode_all([None, "", "\n", "a"])) == [b"", b"", b"", own.encode("a")]
+
+
+def test_spellings_of_a_word_are_one_part():
+    """Case and marks around a word make no new entries, and a part of a group is looked up once, however often it stands there."""
+    with open(WORDS) as file:
+        own = token_files.WordEncoder(file.read(), 2)
+    words = ["".join(random.Random(n).choices("abcdefgh", k=8)) for n in range(50)]
+    text = " ".join(f"{a}{spelled}{b}" for w in words for spelled in (w, w.upper(), w.title()) for a in ("", "(") for b in ("", ",", ".", "!!"))
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return super().get(key)
+
+    own.parts = Counted()
+    assert list(own.encode_all([text] * 20)) == [own.encode(text)] * 20
+    own.clear()
+    own.parts = Counted()
+    Counted.asked = 0
+    list(own.encode_all([text] * 20))
+    assert len(own) == 0 and len(own.parts) == len(words) + 4
+    assert Counted.asked == 2 * len(own.parts)  # once for the group, once more as all are new
+
+
 def test_other_tokenizer_files_go_through_the_library(spark):
     multi = public_tokenizers.path("byte_bpe_50k.json")
     with open(multi) as file:
