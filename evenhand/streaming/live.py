@@ -200,16 +200,37 @@ def keep_latest(
     def rank(values: Sequence) -> tuple:
         return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in values)
 
-    def cut(batches):
+    def first(table):
+        """Places of the ``n`` latest rows, of equal ones those that come first. Columns are sorted as they are, not cell by cell."""
         import heapq
 
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kinds = pa.types
+        plain = (kinds.is_integer, kinds.is_floating, kinds.is_boolean, kinds.is_string, kinds.is_large_string, kinds.is_binary,
+                 kinds.is_large_binary, kinds.is_timestamp, kinds.is_date, kinds.is_decimal)
+        columns = [table.column(c) for c in order]
+        if not all(any(is_kind(column.type) for is_kind in plain) for column in columns):
+            ranks = [rank(row) for row in zip(*[column.to_pylist() for column in columns])]
+            return pa.array(heapq.nlargest(n, range(len(ranks)), key=ranks.__getitem__), pa.int64())
+        keys = []
+        for column in columns:
+            if kinds.is_floating(column.type):  # Arrow would put a NaN beside the nulls
+                odd = pc.fill_null(pc.is_nan(column), False)
+                keys += [odd, pc.if_else(odd, pa.scalar(0.0, column.type), column)]
+            else:
+                keys.append(column)
+        labels = [str(i) for i in range(len(keys))]
+        return pc.sort_indices(pa.table(keys, names=labels), sort_keys=[(label, "descending") for label in labels])[:n]
+
+    def cut(batches):
         import pyarrow as pa
 
         best = None
         for batch in batches:
             table = pa.Table.from_batches([batch] if best is None else [*best.to_batches(), batch])
-            ranks = [rank(row) for row in zip(*[table.column(c).to_pylist() for c in order])]
-            best = table.take(pa.array(heapq.nlargest(n, range(len(ranks)), key=ranks.__getitem__), pa.int64())).combine_chunks()
+            best = table.take(first(table)).combine_chunks()
         if best is not None:
             yield from best.to_batches()
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import itertools
 import json
 import time
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -13,6 +16,7 @@ from evenhand import schemas, session
 from evenhand.operators import cleaning, models, sampling
 from evenhand.plans import audit
 from checks import fixture as fx
+from checks.queries import QUERIES
 from evenhand.sources import catalog, files, messages
 from evenhand.streaming import live
 
@@ -222,6 +226,34 @@ def test_latest_rows_outlive_a_restart_and_odd_values(spark, tmp_path):
     assert state.count() <= 2 * 4
 
 
+def test_latest_rows_take_four_batches_however_many_files_there_are(spark, sf, tmp_path):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").limit(400)
+    lines.repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("evenhand-latest-*"))
+    found = QUERIES["stream_latest_restarted"](spark, str(tmp_path)).collect()
+    (made,) = set(shared.glob("evenhand-latest-*")) - before
+    assert len([*(made / "check" / "commits").glob("[0-9]*")]) == 4
+    assert len([*(made / "lines").glob("part-*")]) > 4
+    trips = live.recent_view(fx.trips_from_lines(lines), "h")
+    assert found == trips.orderBy(*[F.desc(c) for c in ("pickup", "h", "fare", "distance")]).limit(20).collect()
+
+
+def test_latest_rows_by_columns_of_several_types(spark, tmp_path):
+    schema = "x double, name string, d decimal(4,1), b boolean, at timestamp_ntz, parts array<int>"
+    nan, day = float("nan"), datetime.datetime(2020, 1, 1)
+    values = ((None, nan, -1.0, 1.0), (None, "a", "\u20ac", "\U0001f600"), (None, Decimal("-1.5"), Decimal("2.0")), (None, False, True), (None, day), (None, [1], [1, 2]))
+    rows = [*itertools.product(*values)]
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/in")
+    for order in (["x", "name", "d", "b", "at"], ["b", "d", "x", "at", "name"], ["parts", "x", "d", "name"]):
+        check = f"{tmp_path}/{'-'.join(order)}"
+        live.drain(live.keep_latest(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), order, check, n=30, buckets=3))
+        places = [schema.replace(", ", " ").split()[::2].index(c) for c in order]
+        ranked = sorted(([(v is not None, v != v, 0 if v is None or v != v else v) for v in (row[i] for i in places)] for row in rows), reverse=True)
+        kept = [[(v is not None, v != v, 0 if v is None or v != v else v) for v in (r[c] for c in order)] for r in live.latest(spark, check, order, 30).collect()]
+        assert kept == ranked[:30]
+
+
 def test_closed_windows_leave_the_state_and_late_rows_are_dropped(spark, tmp_path):
     def batch(*minutes):
         rows = [(f"2024-01-01 {m // 60:02}:{m % 60:02}:30",) for m in minutes]
