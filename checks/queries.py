@@ -941,7 +941,7 @@ def stream_restart(spark, sf):
     for part in range(3):
         lines.filter(F.col("l_orderkey") % 3 == part).write.mode("append").parquet(f"{path}/lines")
         trips = fx.trips_from_lines(live.stream_files(spark, f"{path}/lines", lines.schema, "parquet"))
-        live.drain(live.write_json_lines(cleaning.stamp_ingestion(trips.drop("h")), f"{path}/out", f"{path}/out-check"))
+        live.drain(live.write_json_lines(cleaning.stamp_ingestion(trips.drop("h")), f"{path}/out", f"{path}/out-check", compression="gzip"))
         live.drain(live.publish(live.totals(trips), f"{path}/totals", f"{path}/totals-check"))
         if part < 2:
             # batch by batch: its files are there, its mark and the pointer to it are not

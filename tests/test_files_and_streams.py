@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import gzip
 import itertools
 import json
 import time
@@ -191,6 +192,30 @@ def test_json_lines_are_cut_and_complete(spark, message_files, tmp_path):
     assert max(sizes) <= 500 and sum(sizes) == spark.read.schema(schemas.MESSAGE).json(message_files).count()
 
 
+def test_compressed_json_lines_hold_the_same_messages(spark, message_files, tmp_path):
+    for name, codec in (("plain", "none"), ("small", "gzip"), ("both", "none"), ("both", "gzip")):
+        check = f"{tmp_path}/{name}-{codec}-check" if name != "both" else f"{tmp_path}/both-check"
+        live.drain(live.write_json_lines(stream(spark, message_files), f"{tmp_path}/{name}", check, rows_per_file=500, compression=codec))
+    plain, small, both = (spark.read.schema(schemas.MESSAGE).json(f"{tmp_path}/{name}") for name in ("plain", "small", "both"))
+    assert same(small, plain) and same(both, plain)
+    sizes = [len(gzip.decompress(p.read_bytes()).splitlines()) for p in (tmp_path / "small").glob("part-*.json.gz")]
+    assert max(sizes) <= 500 and sum(sizes) == plain.count()
+
+
+def intake_size(spark, sf, name: str, label: str) -> tuple[int, int]:
+    """Messages and bytes that a query's intake leaves on disk."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob(f"evenhand-{label}-*"))
+    n = QUERIES[name](spark, sf).first()["n"]
+    (made,) = set(shared.glob(f"evenhand-{label}-*")) - before
+    return n, sum(p.stat().st_size for p in (made / "out").glob("part-*"))
+
+
+def test_the_restarted_intake_takes_a_fraction_of_the_text_on_disk(spark, sf):
+    n, size = intake_size(spark, sf, "stream_restart", "restart")
+    assert n == spark.read.parquet(f"{sf}/lineitem.parquet").count() and size < 100 * n
+
+
 def test_rate_counts_every_message_per_window(spark, message_files, tmp_path):
     def timed(df):
         return df.withColumn("t", F.col("tpep_pickup_datetime").cast("timestamp"))
