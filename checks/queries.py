@@ -957,7 +957,7 @@ def stream_restart(spark, sf):
 def stream_jsonl_roundtrip(spark, sf):
     path = shared_path(spark, "jsonl")
     taken = cleaning.stamp_ingestion(_line_stream(spark, sf).drop("h"))
-    live.drain(live.write_json_lines(taken, f"{path}/out", f"{path}/check"))
+    live.drain(live.write_json_lines(taken, f"{path}/out", f"{path}/check", compression="gzip"))
     return _summed(spark.read.schema(schemas.MESSAGE).json(f"{path}/out"))
 
 

@@ -216,6 +216,11 @@ def test_the_restarted_intake_takes_a_fraction_of_the_text_on_disk(spark, sf):
     assert n == spark.read.parquet(f"{sf}/lineitem.parquet").count() and size < 100 * n
 
 
+def test_the_intake_roundtrip_takes_a_fraction_of_the_text_on_disk(spark, sf):
+    n, size = intake_size(spark, sf, "stream_jsonl_roundtrip", "jsonl")
+    assert n == spark.read.parquet(f"{sf}/lineitem.parquet").count() and size < 100 * n
+
+
 def test_rate_counts_every_message_per_window(spark, message_files, tmp_path):
     def timed(df):
         return df.withColumn("t", F.col("tpep_pickup_datetime").cast("timestamp"))
