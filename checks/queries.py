@@ -637,9 +637,12 @@ def _sound(trained: models.TrainedModels) -> DataFrame:
     scorers = {name: forest.Scorer(nodes) for name, nodes in forest.of_models(trained.features, trained.forests, trained.feature_sets).items()}
     band = F.floor(F.col("trip_distance") / BAND_MILES)
     by_band = trained.train.groupBy(band.alias("band")).agg(F.avg("fare_amount").alias("by_band"))
-    native = {f"native_{name}": s.score({f: F.col(f"x_{f}") for f in trained.feature_sets[name]}) for name, s in scorers.items()}
-    scored = trained.score().withColumns(native | {"band": band}).join(F.broadcast(by_band), "band", "left")  # a row per band
-    scored = written(scored.select("fare_amount", F.coalesce("by_band", F.lit(0.0)).alias("by_band"), *native, *trained.predictions.values()), "scored")
+    native = {name: f"native_{name}" for name in scorers}
+    scored = trained.score().select("fare_amount", band.alias("band"), *[f"x_{f}" for f in trained.all_features], *trained.predictions.values())
+    for name, s in scorers.items():
+        scored = s.with_score(scored, {f: F.col(f"x_{f}") for f in trained.feature_sets[name]}, native[name])
+    scored = scored.join(F.broadcast(by_band), "band", "left")  # a row per band
+    scored = written(scored.select("fare_amount", F.coalesce("by_band", F.lit(0.0)).alias("by_band"), *native.values(), *trained.predictions.values()), "scored")
     table = models.regression_metrics(scored, {name: f"native_{name}" for name in scorers})
     bands = models.regression_metrics(scored, {"bands": "by_band"}).select(F.col("r2").alias("band_r2"))
     change = [F.max(F.abs(F.col(f"native_{n}") - F.col(p))).alias(n) for n, p in trained.predictions.items()]

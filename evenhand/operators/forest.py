@@ -19,6 +19,7 @@ from evenhand.operators.sampling import fixed_size
 from evenhand.session import shared_path
 
 DONORS = 1000
+DENSE = 12
 TREE = "struct<feature:array<int>,threshold:array<double>,left:array<int>,right:array<int>,value:array<double>>"
 
 
@@ -102,6 +103,48 @@ class Scorer:
         return F.transform(F.array(*map(scaled, variants)), mean)
 
 
+    def with_score(self, rows: DataFrame, values: Mapping[str, Column], name: str) -> DataFrame:
+        """Rows with the prediction as a column, the same number as ``score`` gives.
+
+        Every tree goes down a level at a time, each level a projection, so that Spark compiles the steps; functions of
+        array elements, as in ``scores``, it does not. With many trees the projections are too long for one stage of
+        generated code; Spark says so in its log and compiles them one by one. A level is stored in full, so trees of
+        more than DENSE levels go by ``score``.
+        """
+        if self.depth > DENSE:
+            return rows.withColumn(name, self.score(values))
+        levels = [_levels(tree, self.depth) for tree in self.trees]
+        cells = [(values[f] - F.lit(self.scaling[f][0])) * F.lit(self.scaling[f][1]) for f in self.features]
+        x, places = "_forest_x", [f"_forest_{i}" for i in range(len(self.trees))]
+
+        def fixed(items: Sequence, kind: str) -> Column:
+            return F.from_json(F.lit(json.dumps(items)), f"array<{kind}>")
+
+        walked = rows.withColumns({x: F.array(*cells) if cells else F.array(F.lit(0.0)), **{p: F.lit(0) for p in places}})
+        for level in range(self.depth):
+            steps = {}
+            for p, (splits, _) in zip(places, levels):
+                feature, threshold = splits[level]
+                # beyond a leaf both sides have its value, so the answer there does not matter
+                lower = F.get(x, F.get(fixed(feature, "int"), F.col(p))) <= F.get(fixed(threshold, "double"), F.col(p))
+                steps[p] = F.col(p) * 2 + F.when(lower, 0).otherwise(1)
+            walked = walked.withColumns(steps)
+        total = F.lit(0.0)
+        for p, (_, leaves) in zip(places, levels):
+            total = total + F.get(fixed(leaves, "double"), F.col(p))
+        return walked.withColumn(name, total / F.lit(float(len(self.trees)))).drop(x, *places)
+
+
+def _levels(tree: Mapping[str, Sequence], depth: int) -> tuple[list[tuple[list[int], list[float]]], list[float]]:
+    """Feature and threshold of all places of each level, and the values below the last; a leaf fills all places under it."""
+    splits, nodes = [], [0]
+    for _ in range(depth):
+        inner = [tree["left"][node] >= 0 for node in nodes]
+        splits.append(([max(tree["feature"][n], 0) for n in nodes], [tree["threshold"][n] if i else 0.0 for n, i in zip(nodes, inner)]))
+        nodes = [child for n, i in zip(nodes, inner) for child in ((tree["left"][n], tree["right"][n]) if i else (n, n))]
+    return splits, [tree["value"][n] for n in nodes]
+
+
 def _depth(tree: Mapping[str, Sequence[int]]) -> int:
     deepest, todo = 0, [(0, 0)]
     while todo:

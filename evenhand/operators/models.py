@@ -113,8 +113,8 @@ def train(
     """Fit one forest per feature set on the same rows.
 
     Scalers see all rows, the held-back ones included. The split goes by row content, so it does not change
-    with the partitioning. Training rows are cached, on disk where memory is short, while the forests grow. Of
-    the columns that no model needs only those in ``keep`` are carried along.
+    with the partitioning. Labels and features of the training rows are cached, on disk where memory is short,
+    while the forests grow. Of the columns that no model needs only those in ``keep`` are carried along.
     """
     names = sorted({f for features in feature_sets.values() for f in features})
     carried = [c for c in trips.columns if c in {*names, LABEL, *split_keys, *keep}]
@@ -125,14 +125,14 @@ def train(
         usable = usable.repartition(cores)  # few rows, read again for every level of every tree
     pipeline = Pipeline(stages=feature_stages(feature_sets)).fit(usable)
     fit_rows, held_back = hash_split(pipeline.transform(usable), split_keys, train_part)
-    fit_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    grown_from = fit_rows.select(LABEL, *[f"{model}_features" for model in feature_sets]).persist(StorageLevel.MEMORY_AND_DISK)
     forests = {}
     for model in feature_sets:
         regressor = RandomForestRegressor(
             featuresCol=f"{model}_features", labelCol=LABEL, predictionCol=f"predicted_fare_{model}", **forest
         )
-        forests[model] = regressor.fit(fit_rows)
-    fit_rows.unpersist()
+        forests[model] = regressor.fit(grown_from)
+    grown_from.unpersist()
     return TrainedModels(pipeline, forests, feature_sets, fit_rows, held_back)
 
 

@@ -266,6 +266,32 @@ def test_node_tables_are_scored_alike_by_mllib_by_expressions_and_by_sql(spark,
     assert all(by_sql[h] == pytest.approx(found[h][0], abs=1e-9) for h in found)
 
 
+def test_scores_by_levels_equal_those_by_nodes_and_need_no_function_of_elements(spark, metered_models, monkeypatch):
+    features = metered_models.feature_sets["baseline"]
+    scorer = forest.Scorer(forest.of_models(metered_models.features, metered_models.forests, metered_models.feature_sets)["baseline"])
+    odd = F.when(F.col("h") % 5 == 0, F.lit(float("nan"))).when(F.col("h") % 5 > 1, F.col("x_trip_distance"))
+    rows = metered_models.forests["baseline"].transform(metered_models.test)
+    for distance in (F.col("x_trip_distance"), odd):
+        values = {f: F.col(f"x_{f}") for f in features} | {"trip_distance": distance}
+        both = scorer.with_score(rows, values, "by_level").withColumn("by_node", scorer.score(values))
+        assert set(both.columns) == {*rows.columns, "by_level", "by_node"}
+        found = both.select("by_level", "by_node", "predicted_fare_baseline").collect()
+        assert len({r["by_level"] for r in found}) > 20 and all(r["by_level"] == r["by_node"] for r in found)
+    assert sum(r["by_level"] != r["predicted_fare_baseline"] for r in found) > 0
+    plan = scorer.with_score(rows, values, "by_level").select("by_level")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    monkeypatch.setattr(forest, "DENSE", scorer.depth - 1)
+    sparse = scorer.with_score(rows, values, "by_level").select("by_level")
+    assert sorted(r[0] for r in sparse.collect()) == sorted(r["by_level"] for r in found)
+
+
+def test_forests_grow_from_labels_and_features_of_all_training_rows(spark, sf, monkeypatch):
+    fit, seen = models.RandomForestRegressor.fit, []
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, rows: seen.append((rows.columns, rows.count())) or fit(self, rows))
+    trained = models.train(fx.metered(fx.valid_trips(spark, sf)), ["h"], {"few": ["trip_distance", "hour_of_day"]}, forest={"numTrees": 2, "maxDepth": 2, "seed": 1})
+    assert seen == [(["fare_amount", "few_features"], trained.train.count())]
+
+
 def test_importance_by_exchange_equals_its_definition(spark, metered_models):
     features = metered_models.feature_sets["baseline"]
     nodes = forest.of_models(metered_models.features, metered_models.forests, metered_models.feature_sets)["baseline"]
@@ -293,3 +319,15 @@ def test_odd_node_tables(spark):
     assert [r[0] for r in rows.select(leaf.score({})).collect()] == [2.5] * 3
     with pytest.raises(ValueError):
         forest.Scorer(stump.filter("node != 1"))
+
+
+def test_odd_node_tables_by_levels(spark):
+    names = "tree int, node int, feature string, shift double, scale double, threshold double, left int, right int, value double"
+    nodes = spark.createDataFrame([(0, 0, None, None, None, None, None, None, 2.5), (1, 0, "a", 1.0, 2.0, 0.0, 1, 2, 9.0),
+                                   (1, 1, None, None, None, None, None, None, 1.0), (1, 2, "a", 1.0, 2.0, 4.0, 3, 4, 5.0),
+                                   (1, 3, None, None, None, None, None, None, 4.0), (1, 4, None, None, None, None, None, None, 6.0)], names)
+    rows = spark.createDataFrame([(1.0,), (1.1,), (-7.0,), (9.0,), (None,)], "a double")
+    scored = forest.Scorer(nodes).with_score(rows, {"a": F.col("a")}, "s")
+    assert scored.columns == ["a", "s"] and [r["s"] for r in scored.collect()] == [1.75, 3.25, 1.75, 4.25, 4.25]
+    leaf = forest.Scorer(nodes.filter("tree = 0"))
+    assert [r["s"] for r in leaf.with_score(rows, {}, "s").collect()] == [2.5] * 5
