@@ -38,7 +38,7 @@ def write_json_lines(
     """Intake to JSON-lines files of limited length.
 
     Offsets are kept with the checkpoint and files count only once their batch is complete, so a restart
-    neither loses nor repeats a message. A message is about 530 bytes of text; ``compression`` names a codec of Spark's
+    neither loses nor repeats a message. A message is about 520 bytes of text; ``compression`` names a codec of Spark's
     for the files, which readers tell by their ending. Runs with and without it may share a folder.
     """
     writer = trips.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
